@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from voxloom.llm import pii, topk
+from voxloom.llm import pii, topk, urlfilter, warc
 
 QUERIES = {
+    "op3_warc": warc.op3_warc,
+    "op5_urlfilter": urlfilter.op5_urlfilter,
     "op7_pii": pii.op7_pii,
     "op9_topk": topk.op9_topk,
 }
-ORACLES = {"op9_topk": topk.ORACLE_SQL}
+ORACLES = {"op3_warc": warc.ORACLE_SQL, "op9_topk": topk.ORACLE_SQL}
