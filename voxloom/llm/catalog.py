@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from voxloom.llm import pii, topk, urlfilter, warc
+from voxloom.llm import packing, pii, topk, urlfilter, warc
 
 QUERIES = {
     "op3_warc": warc.op3_warc,
+    "op4_packing": packing.op4_packing,
     "op5_urlfilter": urlfilter.op5_urlfilter,
     "op7_pii": pii.op7_pii,
     "op9_topk": topk.op9_topk,
