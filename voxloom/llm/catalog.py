@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from voxloom.llm import packing, pii, topk, urlfilter, warc
+from voxloom.llm import langid, packing, pii, quality, topk, urlfilter, warc
 
 QUERIES = {
     "op3_warc": warc.op3_warc,
     "op4_packing": packing.op4_packing,
     "op5_urlfilter": urlfilter.op5_urlfilter,
     "op7_pii": pii.op7_pii,
+    "op8_quality": quality.op8_quality,
     "op9_topk": topk.op9_topk,
+    "op10_langid": langid.op10_langid,
 }
 ORACLES = {"op3_warc": warc.ORACLE_SQL, "op9_topk": topk.ORACLE_SQL}
