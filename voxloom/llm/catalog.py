@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from voxloom.llm import langid, packing, pii, quality, topk, urlfilter, warc
+from voxloom.llm import langid, minhash, packing, pii, quality, topk, urlfilter, warc
 
 QUERIES = {
     "op3_warc": warc.op3_warc,
     "op4_packing": packing.op4_packing,
     "op5_urlfilter": urlfilter.op5_urlfilter,
+    "op6_neardup": minhash.op6_neardup,
     "op7_pii": pii.op7_pii,
     "op8_quality": quality.op8_quality,
     "op9_topk": topk.op9_topk,
