@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from voxloom.llm import decontam, langid, minhash, packing, pii, quality, topk, urlfilter, warc
+from voxloom.llm import decontam, langid, minhash, packing, pii, quality, substring, topk, urlfilter, warc
 
 QUERIES = {
     "op1_decontam": decontam.op1_decontam,
+    "op2_substring": substring.op2_substring,
     "op3_warc": warc.op3_warc,
     "op4_packing": packing.op4_packing,
     "op5_urlfilter": urlfilter.op5_urlfilter,
@@ -15,4 +16,4 @@ QUERIES = {
     "op9_topk": topk.op9_topk,
     "op10_langid": langid.op10_langid,
 }
-ORACLES = {"op1_decontam": decontam.ORACLE_SQL, "op3_warc": warc.ORACLE_SQL, "op9_topk": topk.ORACLE_SQL}
+ORACLES = {"op1_decontam": decontam.ORACLE_SQL, "op2_substring": substring.ORACLE_SQL, "op3_warc": warc.ORACLE_SQL, "op9_topk": topk.ORACLE_SQL}
