@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
-FLAGSHIP = "CN-COMPUTE"
+from voxloom.plans import text  # noqa: F401  registers its queries
+from voxloom.plans.base import ORACLES, QUERIES
+
+FLAGSHIP = "NRM-FULL"
+
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
