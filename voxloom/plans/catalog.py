@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from voxloom.plans import text  # noqa: F401  registers its queries
+from voxloom.plans import calls, text  # noqa: F401  registers its queries
 from voxloom.plans.base import ORACLES, QUERIES
 
-FLAGSHIP = "NRM-FULL"
+FLAGSHIP = "CN-COMPUTE"
 
 __all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
