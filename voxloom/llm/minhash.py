@@ -93,7 +93,7 @@ def _throw(text: np.ndarray, element: np.ndarray, weight: np.ndarray, limit: np.
     rows = np.arange(len(text))
     while len(rows):  # cells [0, 1), [1, 2), [2, 4), ... of weight
         width = max(low, 1.0)
-        t, w, seed = text[rows], weight[rows], mix(element[rows] + np.uint64(cell) * np.uint64(0x9E3779B97F4A7C15))
+        t, w, seed = text[rows], weight[rows], mix(element[rows] + np.uint64(cell * 0x9E3779B97F4A7C15 % (1 << 64)))
         most, rank, state = limit[t], np.zeros(len(rows)), seed
         while len(t):
             state = mix(state + np.uint64(0xD1B54A32D192ED03))
