@@ -27,12 +27,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def held_out(doc_id: Column) -> Column:
     """True for the fifth of the rows that no model may learn from; a null id is never held out."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))

@@ -36,6 +36,8 @@ ALPHA, BETA, COST, EPOCHS, THRESHOLD = 1.0, 0.25, 0.05, 12, 0.3
 @dataclass
 class Model:
     weight: np.ndarray
+    #: Squares of the log-count ratios, for a text's length.
+    square: np.ndarray
     bias: float
     slope: float
     shift: float
@@ -84,7 +86,7 @@ def fit(features: list[np.ndarray], label: np.ndarray) -> Model:
     label = np.asarray(label, dtype=np.int64)
     if len(set(label.tolist())) < 2:
         share = float(label.mean()) if len(label) else 0.5
-        return Model(np.zeros(1 << BITS, np.float32), 0.0, 0.0, float(np.clip(np.log((share + 1e-6) / (1 - share + 1e-6)), -14, 14)))
+        return Model(np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32), 0.0, 0.0, float(np.clip(np.log((share + 1e-6) / (1 - share + 1e-6)), -14, 14)))
     rng = np.random.default_rng(7)
     order = rng.permutation(len(label))
     back = np.zeros(len(label), dtype=bool)
@@ -117,9 +119,7 @@ def fit(features: list[np.ndarray], label: np.ndarray) -> Model:
     size = ratio.astype(np.float32)
     margin = np.array([_margin(weight[f].sum(), (size[f] ** 2).sum(), bias * BETA) for f in features])
     slope, shift = _logistic(margin[back] if back.any() else margin, label[back] if back.any() else label)
-    model = Model(weight, bias * BETA, slope, shift)
-    model.square = size**2
-    return model
+    return Model(weight, size**2, bias * BETA, slope, shift)
 
 
 def _margin(total, square, bias):
@@ -165,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Adds quality_score, and quality_ok from THRESHOLD on."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.weight, getattr(model, "square", np.zeros(1 << BITS, np.float32))))
+    shared = docs.sparkSession.sparkContext.broadcast((model.weight, model.square))
     bias, slope, shift = model.bias, model.slope, model.shift
 
     @F.pandas_udf("double")
