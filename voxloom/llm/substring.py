@@ -22,6 +22,7 @@ columns of documents pass through.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -34,77 +35,100 @@ from pyspark.sql import functions as F
 from voxloom.llm.common import materialise, table
 from voxloom.llm.textvec import SPACES, batches_of, mix, span_hashes, window_hashes, words_of
 
-LENGTH, GRAM, HOT = 35, 8, 1000
+LENGTH, GRAM, HOT = 35, 8, 8000
 #: Words of a reference that may be broadcast, and of each of its shards.
 REFERENCE_WORDS, SHARD_WORDS = 2_000_000, 200_000
 
 
 class Automaton:
-    """A generalised suffix automaton over sequences of words, with weighted occurrence counts."""
+    """A generalised suffix automaton over sequences of words, with weighted occurrence counts.
+
+    Most states have one transition, which two lists hold; dictionaries are for those that branch.
+    """
 
     def __init__(self) -> None:
-        self.next: list[dict] = [{}]
+        self.word: list = [None]  # the word of a state's first transition
+        self.goal: list[int] = [0]  # where that leads
+        self.more: dict[int, dict] = {}  # further transitions
         self.link, self.len, self.seen = [-1], [0], [0]
 
-    def _state(self, length: int, step: dict, link: int) -> int:
-        self.next.append(step)
+    def step(self, v: int, c):
+        """Where v's transition by c leads, or None."""
+        if self.word[v] == c:
+            return self.goal[v]
+        more = self.more.get(v)
+        return more.get(c) if more is not None else None
+
+    def _set(self, v: int, c, q: int) -> None:
+        if self.word[v] is None or self.word[v] == c:
+            self.word[v], self.goal[v] = c, q
+        else:
+            self.more.setdefault(v, {})[c] = q
+
+    def _state(self, length: int, link: int) -> int:
+        self.word.append(None)
+        self.goal.append(0)
         self.len.append(length)
         self.link.append(link)
         self.seen.append(0)
-        return len(self.next) - 1
+        return len(self.len) - 1
 
     def _split(self, p: int, q: int, c) -> int:
         """A state for the part of q that p's extension by c reaches."""
         if self.len[p] + 1 == self.len[q]:
             return q
-        new = self._state(self.len[p] + 1, dict(self.next[q]), self.link[q])
+        new = self._state(self.len[p] + 1, self.link[q])
+        self.word[new], self.goal[new] = self.word[q], self.goal[q]
+        if q in self.more:
+            self.more[new] = dict(self.more[q])
         self.link[q] = new
-        while p >= 0 and self.next[p].get(c) == q:
-            self.next[p][c] = new
+        while p >= 0 and self.step(p, c) == q:
+            self._set(p, c, new)
             p = self.link[p]
         return new
 
     def add(self, words, weight: int = 1) -> None:
-        last = 0
+        last, seen, link, size, step = 0, self.seen, self.link, self.len, self.step
         for c in words:
-            q = self.next[last].get(c)
+            q = step(last, c)
             if q is not None:
-                last = self._split(last, q, c)
+                last = q if size[last] + 1 == size[q] else self._split(last, q, c)
             else:
-                p, new = last, self._state(self.len[last] + 1, {}, 0)
-                while p >= 0 and c not in self.next[p]:
-                    self.next[p][c] = new
-                    p = self.link[p]
+                p, new = last, self._state(size[last] + 1, 0)
+                while p >= 0 and (q := step(p, c)) is None:
+                    self._set(p, c, new)
+                    p = link[p]
                 if p >= 0:
-                    self.link[new] = self._split(p, self.next[p][c], c)
+                    link[new] = self._split(p, q, c)
                 last = new
-            self.seen[last] += weight
+            seen[last] += weight
 
     def count(self) -> None:
         """Sums occurrences over the suffix links; once, after the last text."""
+        seen, link = self.seen, self.link
         for v in sorted(range(1, len(self.len)), key=self.len.__getitem__, reverse=True):
-            self.seen[self.link[v]] += self.seen[v]
+            seen[link[v]] += seen[v]
 
     def statistics(self, words) -> Iterator[int]:
         """At each word, how many words up to it occur in the texts."""
         v = n = 0
         for c in words:
-            while v and c not in self.next[v]:
+            while (q := self.step(v, c)) is None and v:
                 v = self.link[v]
                 n = self.len[v]
-            if c in self.next[v]:
-                v, n = self.next[v][c], n + 1
+            if q is not None:
+                v, n = q, n + 1
             yield n
 
     def frequent(self, words, length: int, least: int = 2) -> Iterator[int]:
         """Places of an added text where a window of ``length`` words ends that occurs at least so often."""
-        v = 0
-        for i, c in enumerate(words):
-            v = self.next[v][c]
-            while self.len[self.link[v]] >= length and v:
-                v = self.link[v]
-            if i + 1 >= length and self.seen[v] >= least:
-                yield i
+        v, link, size, seen = 0, self.link, self.len, self.seen
+        for i, c in enumerate(words, 1):
+            v = self.step(v, c)
+            while v and size[link[v]] >= length:
+                v = link[v]
+            if i >= length and seen[v] >= least:
+                yield i - 1
 
 
 def spans(ends: Iterator[int], length: int) -> list[tuple[int, int]]:
@@ -159,8 +183,8 @@ def repeats(segments: dict[bytes, int], length: int) -> dict[bytes, list[tuple[i
     words = {p: p.split() for p in segments}
     if len(segments) == 1:
         ((p, n),) = segments.items()
-        if n >= 2:
-            return {p: [(0, len(words[p]))]}
+        if n >= 2 or len(words[p]) <= length:  # all of its windows, or its one window, alone
+            return {p: [(0, len(words[p]))] if n >= 2 else []}
     automaton = Automaton()
     for p, n in segments.items():
         automaton.add(words[p], n)
@@ -208,6 +232,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
     segments = materialise(texts.mapInPandas(cut, "route long, hot boolean, key binary, start int, weight long, payload binary"), "segments")
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gc.disable()  # automata have no cycles
         for _, group in _groups(batches):
             weight: dict[bytes, int] = {}
             places: dict[tuple, int] = {}
@@ -296,13 +321,13 @@ def remove_known(docs: DataFrame, reference: DataFrame, length: int = LENGTH, te
             room = max(SHARD_WORDS, len(words))
         shards[-1].add(words)
         room -= len(words)
-    shared = docs.sparkSession.sparkContext.broadcast([(a.next, a.link, a.len) for a in shards])
+    shared = docs.sparkSession.sparkContext.broadcast([(a.word, a.goal, a.more, a.link, a.len) for a in shards])
 
     def known(words) -> list[tuple[int, int]]:
         out = []
-        for step, link, size_ in shared.value:
+        for parts in shared.value:
             a = Automaton()
-            a.next, a.link, a.len = step, link, size_
+            a.word, a.goal, a.more, a.link, a.len = parts
             for i, n in enumerate(a.statistics(words)):
                 if n >= length:
                     out.append((i - n + 1, i + 1))
