@@ -79,6 +79,16 @@ def normalise(text: str | None, fillers: bool = False) -> str:
 def word_distance(a: str, b: str) -> int:
     """Edit distance between word sequences."""
     x, y = a.split(), b.split()
+    # What both begin or end with costs nothing.
+    begin = 0
+    while begin < min(len(x), len(y)) and x[begin] == y[begin]:
+        begin += 1
+    x, y = x[begin:], y[begin:]
+    while x and y and x[-1] == y[-1]:
+        x.pop()
+        y.pop()
+    if not x or not y:
+        return len(x) + len(y)
     row = list(range(len(y) + 1))
     for i, w in enumerate(x, 1):
         corner, row[0] = row[0], i
