@@ -12,7 +12,6 @@ one; texts are read whole; other columns pass through, and a column of the input
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
