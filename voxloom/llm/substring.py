@@ -36,6 +36,8 @@ from voxloom.llm.common import materialise, table
 from voxloom.llm.textvec import SPACES, batches_of, mix, span_hashes, window_hashes, words_of
 
 LENGTH, GRAM, HOT = 35, 8, 8000
+#: Rows that a Python worker gives back at a time.
+BATCH = 5000
 #: Words of a reference that may be broadcast, and of each of its shards.
 REFERENCE_WORDS, SHARD_WORDS = 2_000_000, 200_000
 
@@ -223,7 +225,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
                             out.append((int.from_bytes(hashlib.blake2b(payload, digest_size=8).digest(), "little", signed=True), True, key, s, copies, payload))
                     else:
                         out.append((r["route"], False, key, r["start"], copies, b" ".join(words[r["start"] : r["start"] + r["n"] + length - 1])))
-                if len(out) > 5000:
+                if len(out) > BATCH:
                     yield pd.DataFrame(out, columns=names)
                     out = []
             yield pd.DataFrame(out, columns=names)
@@ -233,6 +235,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         gc.disable()  # automata have no cycles
+        out: list[tuple] = []
         for _, group in _groups(batches):
             weight: dict[bytes, int] = {}
             places: dict[tuple, int] = {}
@@ -241,13 +244,21 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
             for (_, _, p), n in places.items():
                 weight[p] = weight.get(p, 0) + n
             got = repeats(weight, length)
-            out = [(key, start + a, start + b) for key, start, p in places for a, b in got[p]]
-            yield pd.DataFrame(out, columns=("key", "from", "to"))
+            out += [(key, start + a, start + b) for key, start, p in places for a, b in got[p]]
+            if len(out) > BATCH:
+                yield pd.DataFrame(out, columns=("key", "from", "to"))
+                out = []
+        yield pd.DataFrame(out, columns=("key", "from", "to"))
 
     def frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: list[tuple] = []
         for route, group in _groups(batches):
             got = repeats({r.payload: r.weight for r in group}, length)
-            yield pd.DataFrame([(route, p) for p, s in got.items() if s], columns=("route", "payload"))
+            out += [(route, p) for p, s in got.items() if s]
+            if len(out) > BATCH:
+                yield pd.DataFrame(out, columns=("route", "payload"))
+                out = []
+        yield pd.DataFrame(out, columns=("route", "payload"))
 
     cold = segments.where("not hot").select("route", "key", "start", "weight", "payload").repartition("route").sortWithinPartitions("route")
     hot = segments.where("hot")
