@@ -151,7 +151,7 @@ def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", weights:
 
 
 def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Adds ``ok``: whether the whole shingle sets of node and center are similar."""
+    """Adds ``ok``: whether the whole shingle sets of node and center are similar, and the node's text where they aren't."""
 
     @F.pandas_udf("boolean")
     def ok(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -170,7 +170,8 @@ def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     left = texts.select("node", F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("center"), F.col("text").alias("text_b"))
-    return pairs.join(left, "node").join(right, "center").select("node", "center", ok("text_a", "text_b").alias("ok"))
+    judged = pairs.join(left, "node").join(right, "center").select("node", "center", "text_a", ok("text_a", "text_b").alias("ok"))
+    return judged.select("node", "center", "ok", F.when(~F.col("ok"), F.col("text_a")).alias("text"))
 
 
 def links(docs: DataFrame, sk: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -195,6 +196,8 @@ def links(docs: DataFrame, sk: DataFrame, doc_id: str = "doc_id", text: str = "t
         rows = materialise(rest.join(again, "band").where("node <> center"), "near-buckets")
         if rows.isEmpty():
             break
+        # The next round compares texts that weren't like their center: only those move again.
+        texts = judged.where("not ok").groupBy("node").agg(F.max("text").alias("text"))
     return found
 
 
