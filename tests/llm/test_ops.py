@@ -246,6 +246,43 @@ def test_near_duplicates_brute(spark):
     assert kept.count() == len({c for i, c in near_brute(rows) if c is not None}) + sum(1 for _, c in near_brute(rows) if c is None)
 
 
+def test_near_duplicates_of_a_template(spark):
+    """Hundreds of texts that share a template, alike by 0.75, among them pairs that are alike by 0.8 and a little."""
+    template = " ".join(f"t{i}" for i in range(304))
+    own = lambda name, n: " ".join(f"{name}x{i}" for i in range(n))
+    rows = [(i, f"{template} {own(f'u{i}', 50)}") for i in range(300)]
+    rows += [(1000 + 2 * k + side, f"{template} {own(f'p{k}', 14)} {own(f'q{k}y{side}', 36)}") for k in range(60) for side in (0, 1)]
+    want = near_brute(rows)
+    assert len({c for _, c in want}) == 360
+    got = minhash.near_duplicates(docs(spark, rows)).select("doc_id", "class_id").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_near_duplicates_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", 20_000)
+    test_near_duplicates_of_a_template(spark)
+
+
+def test_links_within_brute():
+    rng = np.random.default_rng(5)
+    base = rng.choice(10_000, 60, replace=False)
+    sets = [np.unique(np.r_[rng.choice(base, 54, replace=False), rng.integers(0, 10_000, int(rng.integers(0, 8)))]).astype(np.uint64) for _ in range(150)]
+    label = [i // 2 if i < 20 else 100 + i for i in range(150)]
+
+    def classes(pairs):
+        root = list(range(150))
+        for i, j in pairs:
+            a, b = root[i], root[j]
+            root = [a if x == b else x for x in root]
+        return sorted(sorted(i for i in range(150) if root[i] == r) for r in set(root))
+
+    alike = [(i, j) for i, j in itertools.combinations(range(150), 2) if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))]
+    known = [(i, j) for i, j in itertools.combinations(range(150), 2) if label[i] == label[j]]
+    got = minhash.links_within(sets, label)
+    assert set(map(tuple, map(sorted, got))) <= set(alike)
+    assert 1 < len(classes(known)) and classes(known + got) == classes(known + alike)
+
+
 def test_near_duplicates_empty(spark):
     assert minhash.near_duplicates(empty(spark)).count() == 0
     assert minhash.keep_one(docs(spark, [(1, None), (2, ""), (3, "a b")])).count() == 3

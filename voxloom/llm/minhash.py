@@ -10,7 +10,10 @@ weighted Jaccard similarity.
 
 Coordinates are joined in bands. In a bucket, members are compared with the bucket's smallest
 one, by their whole shingle sets; those that aren't similar to it elect another, for up to ``ROUNDS``
-rounds. Equal shingle sets are one node throughout, so that copies, however many, cost one row each.
+rounds. These links leave two kinds of pairs open, which are then searched exactly: pairs of members that no
+center was like, and pairs of a member that a center is like with one that it isn't. As 1 - similarity is a metric, the
+latter need a similarity of 0.6 at least to the center. Groups in which all are linked already are skipped; large ones are dealt in pairs of blocks.
+Equal shingle sets are one node throughout, so that copies, however many, cost one row each.
 Components of the verified links spread their smallest node, by joins, until nothing changes.
 
 Defined results: null texts and texts without words are classes of their own; repeated rows
@@ -35,6 +38,8 @@ SHINGLE, SIMILAR = 5, 0.8
 BANDS, BAND_ROWS = 26, 5
 K = BANDS * BAND_ROWS
 ROUNDS = 3
+#: Bytes of text of a block; a task of the exact search holds two.
+BLOCK_BYTES = 8 << 20
 
 
 def shingles(texts) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -151,10 +156,10 @@ def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", weights:
 
 
 def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Adds ``ok``: whether the whole shingle sets of node and center are similar, and the node's text where they aren't."""
+    """Adds ``sim``, the similarity of the whole shingle sets of node and center, ``ok`` where it suffices, and the node's text where it doesn't."""
 
-    @F.pandas_udf("boolean")
-    def ok(a: pd.Series, b: pd.Series) -> pd.Series:
+    @F.pandas_udf("double")
+    def sim(a: pd.Series, b: pd.Series) -> pd.Series:
         sets: list[list[np.ndarray]] = []
         for side in (a, b):
             own = []
@@ -162,20 +167,88 @@ def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 cut = np.searchsorted(t, np.arange(n + 1))
                 own += [h[i:j] for i, j in zip(cut, cut[1:], strict=False)]
             sets.append(own)
-        out = np.zeros(len(a), dtype=bool)
+        out = np.zeros(len(a))
         for i, (x, y) in enumerate(zip(*sets, strict=True)):
             common = len(np.intersect1d(x, y, assume_unique=True))
-            out[i] = common >= SIMILAR * (len(x) + len(y) - common) - 1e-9
+            out[i] = common / max(len(x) + len(y) - common, 1)
         return pd.Series(out)
 
     left = texts.select("node", F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("center"), F.col("text").alias("text_b"))
-    judged = pairs.join(left, "node").join(right, "center").select("node", "center", "text_a", ok("text_a", "text_b").alias("ok"))
-    return judged.select("node", "center", "ok", F.when(~F.col("ok"), F.col("text_a")).alias("text"))
+    judged = pairs.join(left, "node").join(right, "center").select("node", "center", "text_a", sim("text_a", "text_b").alias("sim")).withColumn("ok", F.col("sim") >= SIMILAR - 1e-9)
+    return judged.select("node", "center", "sim", "ok", F.when(~F.col("ok"), F.col("text_a")).alias("text"))
+
+
+def links_within(sets: list[np.ndarray], label: list) -> list[tuple[int, int]]:
+    """Links between sets that connect all whose similarity suffices, beyond what labels connect.
+
+    Similar sets share one of their rarest elements, whichever fifth of them that is; only sets that do are compared.
+    """
+    n = np.array([len(x) for x in sets])
+    text = np.repeat(np.arange(len(sets)), n)
+    _, rank, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.argsort(np.argsort(count, kind="stable"))[rank]
+    order = np.lexsort((rank, text))
+    rank, start = rank[order], np.concatenate(([0], np.cumsum(n)))
+    prefix = n - np.ceil(SIMILAR * n - 1e-6).astype(np.int64) + 1
+    rare = np.flatnonzero(np.arange(len(rank)) - start[text] < prefix[text])
+    rare = rare[np.argsort(rank[rare], kind="stable")]
+    place = np.searchsorted(rank[rare], np.arange(len(count) + 1))
+    holder = text[rare]
+    alive, mark, out = np.ones(len(sets), dtype=bool), np.zeros(len(count), dtype=bool), []
+    group: dict = {}
+    for i, x in enumerate(label):
+        group.setdefault(x, []).append(i)
+    for first in group.values():
+        if not alive[first[0]]:
+            continue
+        alive[first] = False
+        todo = list(first)
+        while todo:
+            y = todo.pop()
+            own = rank[start[y] : start[y + 1]]
+            near = np.unique(np.concatenate([holder[place[r] : place[r + 1]] for r in own[: prefix[y]]]))
+            near = near[alive[near] & (np.minimum(n[near], n[y]) >= SIMILAR * np.maximum(n[near], n[y]) - 1e-6)]
+            mark[own] = True
+            for x in near:
+                if alive[x]:
+                    common = int(mark[rank[start[x] : start[x + 1]]].sum())
+                    if common / (n[x] + n[y] - common) >= SIMILAR - 1e-9:
+                        out.append((y, x))
+                        alive[group[label[x]]] = False
+                        todo += group[label[x]]
+            mark[own] = False
+    return out
+
+
+def _rest(groups: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, center) of the links that connect members of each group (group, node) beyond those found."""
+    label = components(found).withColumnRenamed("node", "_n")
+    named = groups.join(label, F.col("node") == F.col("_n"), "left").select("group", "node", F.coalesce("label", "node").alias("label"))
+    named = materialise(named, "near-groups")
+    # Groups of the same members are searched once.
+    kept = named.groupBy("group").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    kept = kept.where("low <> high").groupBy("n", "x", "y").agg(F.min("group").alias("group")).select("group")
+    members = materialise(named.join(kept, "group").join(texts.select("node", "size"), "node"), "near-members")
+    blocks = members.groupBy("group").agg(F.ceil(F.sum("size") / BLOCK_BYTES).alias("g"))
+    cell = F.when(F.col("g") <= 1, F.array(F.struct(F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j")))).otherwise(
+        F.transform(F.filter(F.sequence(F.lit(0).cast("long"), F.col("g") - 1), lambda o: o != F.col("b")), lambda o: F.struct(F.least("b", o).alias("i"), F.greatest("b", o).alias("j")))
+    )
+    dealt = members.join(blocks, "group").withColumn("b", F.pmod(F.xxhash64("node"), F.greatest("g", F.lit(1)))).select("group", "node", "label", F.inline(cell))
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        sets = []
+        for _, n, t, h, _ in shingles(pdf["text"]):
+            cut = np.searchsorted(t, np.arange(n + 1))
+            sets += [h[i:j] for i, j in zip(cut, cut[1:], strict=False)]
+        node = pdf["node"].to_list()
+        return pd.DataFrame([(node[y], node[x]) for y, x in links_within(sets, pdf["label"].to_list())], columns=["node", "center"])
+
+    return materialise(dealt.join(texts.select("node", "text"), "node").groupBy("group", "i", "j").applyInPandas(one, "node binary, center binary"), "near-rest")
 
 
 def links(docs: DataFrame, sk: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(node, center) of verified links between different shingle sets."""
+    """(node, center) of verified links between different shingle sets: all that a shared band suggests, or others that connect the same."""
     key = F.struct(F.xxhash64("doc_id").alias("id_hash"), "text_hash")
     nodes = sk.where("node is not null").groupBy("node").agg(F.any_value("bands").alias("bands"), F.min(key).alias("key"))
     buckets = nodes.select("node", F.explode("bands").alias("band"))
@@ -185,20 +258,32 @@ def links(docs: DataFrame, sk: DataFrame, doc_id: str = "doc_id", text: str = "t
     t = F.col(f"`{text}`").cast("string")
     whole = docs.select(F.xxhash64(F.col(f"`{doc_id}`")).alias("id_hash"), F.xxhash64(t).alias("text_hash"), t.alias("text"))
     # One text a node; rows with both hashes equal are copies.
-    texts = materialise(whole.join(named, ["id_hash", "text_hash"]).groupBy("node").agg(F.max("text").alias("text")), "near-texts")
-    found = None
-    for _ in range(ROUNDS):
+    every = materialise(whole.join(named, ["id_hash", "text_hash"]).groupBy("node").agg(F.max("text").alias("text")).withColumn("size", F.octet_length("text")), "near-texts")
+    texts, found, groups = every, None, None
+    for k in range(ROUNDS):
         judged = materialise(_similar(rows.select("node", "center").distinct(), texts), "near-judged")
         good = judged.where("ok").select("node", "center")
         found = good if found is None else found.union(good)
+        # A node that isn't like the center can only be like one that is if both distances to it differ by no more than that of a link.
+        close = judged.where(~F.col("ok") & (F.col("sim") >= 2 * SIMILAR - 1 - 1e-9))
+        top = close.groupBy("center").agg(F.max("sim").alias("top"))
+        inner = judged.where("ok").join(top, "center").where(F.col("sim") <= F.col("top") + (1 - SIMILAR) + 1e-9)
+        group = F.concat(F.lit(f"{k} "), F.hex("center")).alias("group")
+        open_ = inner.select(group, "node").union(close.select(group, "node"))
+        groups = open_ if groups is None else groups.union(open_)
         rest = rows.join(judged.where("not ok").select("node", "center"), ["node", "center"], "left_semi").select("band", "node")
+        if k == ROUNDS - 1:
+            # Members that no center was like: each bucket's are a group.
+            some = rest.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+            groups = groups.union(rest.join(some, "band").select(F.concat(F.lit("band "), F.col("band").cast("string")).alias("group"), "node"))
+            break
         again = rest.groupBy("band").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1").drop("n")
         rows = materialise(rest.join(again, "band").where("node <> center"), "near-buckets")
         if rows.isEmpty():
             break
         # The next round compares texts that weren't like their center: only those move again.
         texts = judged.where("not ok").groupBy("node").agg(F.max("text").alias("text"))
-    return found
+    return found.union(_rest(groups, found, every))
 
 
 def components(edges: DataFrame) -> DataFrame:
