@@ -403,7 +403,7 @@ def spk_edges(spark, d):
 @query("SPK-CLUSTER")
 def spk_cluster(spark, d):
     s = sides(spark, d)
-    return SP.constrained_clusters(SP.mutual_edges(SP.neighbours(s, 10), 0.35), s, 0.30)
+    return SP.constrained_clusters(SP.mutual_edges(SP.neighbours(s, 10), 0.35), s, 0.30, compact=0.72)
 
 
 @query("SPK-LABEL", "WITH c AS (SELECT label, count(*) AS size FROM embeddings GROUP BY label), n AS (SELECT *, row_number() OVER (ORDER BY size DESC, label) - 1 AS k FROM c) SELECT e.vec_id, 'spk_' || lpad(CAST(k AS VARCHAR), 6, '0') AS name FROM embeddings e JOIN n USING (label)")
