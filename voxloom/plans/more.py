@@ -331,27 +331,8 @@ def jn_knn(spark, d):
 
 @query("SPK-AHC")
 def spk_ahc(spark, d):
-    """Average linkage at a cosine distance of 0.6, of each label's sides by themselves."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = np.stack(pdf["v"].to_list())
-        m = m / (np.linalg.norm(m, axis=1, keepdims=True) + 1e-12)
-        dist, size = 1 - m @ m.T, np.ones(len(m))
-        np.fill_diagonal(dist, np.inf)
-        cluster = np.arange(len(m))
-        while len(m) > 1:
-            i, j = np.unravel_index(dist.argmin(), dist.shape)
-            if dist[i, j] > 0.6:
-                break
-            i, j = min(i, j), max(i, j)
-            row = (dist[i] * size[i] + dist[j] * size[j]) / (size[i] + size[j])
-            row[[i, j]] = np.inf
-            dist[i], dist[:, i], dist[j], dist[:, j] = row, row, np.inf, np.inf
-            size[i] += size[j]
-            cluster[cluster == j] = i
-        return pd.DataFrame({"side_id": pdf["side_id"], "cluster": pdf["side_id"].to_numpy()[cluster]})
-
-    return sides(spark, d).select("label", "side_id", "v").groupBy("label").applyInPandas(one, "side_id long, cluster long")
+    """Average linkage of all sides at a cosine distance of 0.6."""
+    return SP.average_linkage(sides(spark, d), 0.6)
 
 
 @query("LBL-ROLE", f"WITH {SEG} SELECT call_id, channel, CASE WHEN max(length(trim(text))) = 0 THEN 'unknown' WHEN channel = 0 THEN 'customer' ELSE 'agent' END AS role FROM seg GROUP BY call_id, channel")
