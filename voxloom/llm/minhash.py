@@ -9,10 +9,10 @@ however many elements it has. Two texts agree on a coordinate with the probabili
 weighted Jaccard similarity.
 
 Coordinates are joined in bands. In a bucket, members are compared with the bucket's smallest
-one, by their whole shingle sets; those that aren't similar to it elect another, for up to ``ROUNDS``
-rounds. These links leave two kinds of pairs open, which are then searched exactly: pairs of members that no
-center was like, and pairs of a member that a center is like with one that it isn't. As 1 - similarity is a metric, the
+one, its center, by their whole shingle sets. That leaves two kinds of pairs open, which are then searched exactly: pairs of members that the
+center isn't like, and pairs of a member that the center is like with one that it isn't. As 1 - similarity is a metric, the
 latter need a similarity of 0.6 at least to the center. Groups in which all are linked already are skipped; large ones are dealt in pairs of blocks.
+Within a group only texts that share one of their rarest shingles are compared.
 Equal shingle sets are one node throughout, so that copies, however many, cost one row each.
 Components of the verified links spread their smallest node, by joins, until nothing changes.
 
@@ -30,14 +30,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import materialise, table
+from voxloom.llm.common import columns, discard, free_names, materialise, sift, table
 from voxloom.llm.textvec import LOWER, NOT_ALNUM, batches_of, mix, span_hashes, window_hashes, words_of
 
 SHINGLE, SIMILAR = 5, 0.8
 #: 1 - (1 - 0.8 ** 5) ** 26 of the pairs at the threshold share a band: all but 3 in 100,000.
 BANDS, BAND_ROWS = 26, 5
 K = BANDS * BAND_ROWS
-ROUNDS = 3
 #: Bytes of text of a block; a task of the exact search holds two.
 BLOCK_BYTES = 8 << 20
 
@@ -65,6 +64,20 @@ def shingles(texts) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarr
         yield at, len(ends), t[places], h[places], np.diff(np.append(places, len(t)))
 
 
+def sets_of(texts, weights: str = "one") -> list[np.ndarray]:
+    """Each text's shingles; with weights "count" every further occurrence is an element too, so that sets have the bags' similarity."""
+    out = []
+    for _, n, t, h, count in shingles(texts):
+        if weights == "count":
+            nth = (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)).astype(np.uint64)
+            t, h = np.repeat(t, count), mix(np.repeat(h, count) + nth * np.uint64(0x9E3779B97F4A7C15))
+            order = np.lexsort((h, t))
+            t, h = t[order], h[order]
+        cut = np.searchsorted(t, np.arange(n + 1))
+        out += [h[i:j] for i, j in zip(cut, cut[1:], strict=False)]
+    return out
+
+
 def _uniform(h: np.ndarray) -> np.ndarray:
     return ((h >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
@@ -133,7 +146,7 @@ def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", weights:
             for at, n, t, h, count in shingles(pdf["t"]):
                 weight = count.astype(np.float64) if weights == "count" else np.ones(len(t))
                 band = bands_of(darts(t, h, weight, n))
-                value = mix(h + np.uint64(1)) if weights == "one" else mix(mix(h + np.uint64(1)) + count.astype(np.uint64))
+                value = mix(h + np.uint64(1)) if weights == "one" else mix(mix(h + np.uint64(1)) + count.astype(np.uint64))  # names the bag
                 cut = np.searchsorted(t, np.arange(n + 1))
                 full = cut[1:] > cut[:-1]
                 names = np.zeros((n, 2), dtype=np.uint64)
@@ -155,28 +168,21 @@ def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", weights:
     return cols.mapInPandas(rows, f"doc_id {kind}, text_hash long, node binary, bands array<long>")
 
 
-def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Adds ``sim``, the similarity of the whole shingle sets of node and center, ``ok`` where it suffices, and the node's text where it doesn't."""
+def _similar(pairs: DataFrame, texts: DataFrame, weights: str) -> DataFrame:
+    """Adds ``sim``, the similarity of the whole shingle sets of node and center, and ``ok`` where it suffices."""
 
     @F.pandas_udf("double")
     def sim(a: pd.Series, b: pd.Series) -> pd.Series:
-        sets: list[list[np.ndarray]] = []
-        for side in (a, b):
-            own = []
-            for _, n, t, h, _ in shingles(side):
-                cut = np.searchsorted(t, np.arange(n + 1))
-                own += [h[i:j] for i, j in zip(cut, cut[1:], strict=False)]
-            sets.append(own)
         out = np.zeros(len(a))
-        for i, (x, y) in enumerate(zip(*sets, strict=True)):
+        for i, (x, y) in enumerate(zip(sets_of(a, weights), sets_of(b, weights), strict=True)):
             common = len(np.intersect1d(x, y, assume_unique=True))
             out[i] = common / max(len(x) + len(y) - common, 1)
         return pd.Series(out)
 
     left = texts.select("node", F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("center"), F.col("text").alias("text_b"))
-    judged = pairs.join(left, "node").join(right, "center").select("node", "center", "text_a", sim("text_a", "text_b").alias("sim")).withColumn("ok", F.col("sim") >= SIMILAR - 1e-9)
-    return judged.select("node", "center", "sim", "ok", F.when(~F.col("ok"), F.col("text_a")).alias("text"))
+    judged = pairs.join(left.hint("merge"), "node").join(right.hint("merge"), "center")
+    return judged.select("node", "center", sim("text_a", "text_b").alias("sim")).withColumn("ok", F.col("sim") >= SIMILAR - 1e-9)
 
 
 def links_within(sets: list[np.ndarray], label: list) -> list[tuple[int, int]]:
@@ -221,15 +227,17 @@ def links_within(sets: list[np.ndarray], label: list) -> list[tuple[int, int]]:
     return out
 
 
-def _rest(groups: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
+def _rest(groups: DataFrame, found: DataFrame, texts: DataFrame, weights: str, rows: int) -> DataFrame:
     """(node, center) of the links that connect members of each group (group, node) beyond those found."""
-    label = components(found).withColumnRenamed("node", "_n")
-    named = groups.join(label, F.col("node") == F.col("_n"), "left").select("group", "node", F.coalesce("label", "node").alias("label"))
-    named = materialise(named, "near-groups")
+    # What is linked to the same center is connected already.
+    label = found.groupBy(F.col("node").alias("_n")).agg(F.min("center").alias("label"))
+    named = groups.join(label.hint("merge"), F.col("node") == F.col("_n"), "left").select("group", "node", F.coalesce("label", "node").alias("label"))
+    named = materialise(named, "near-groups", rows)
     # Groups of the same members are searched once.
     kept = named.groupBy("group").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
     kept = kept.where("low <> high").groupBy("n", "x", "y").agg(F.min("group").alias("group")).select("group")
-    members = materialise(named.join(kept, "group").join(texts.select("node", "size"), "node"), "near-members")
+    members = materialise(named.join(kept.hint("merge"), "group").join(texts.select("node", "size").hint("merge"), "node"), "near-members", rows)
+    discard(named)
     blocks = members.groupBy("group").agg(F.ceil(F.sum("size") / BLOCK_BYTES).alias("g"))
     cell = F.when(F.col("g") <= 1, F.array(F.struct(F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j")))).otherwise(
         F.transform(F.filter(F.sequence(F.lit(0).cast("long"), F.col("g") - 1), lambda o: o != F.col("b")), lambda o: F.struct(F.least("b", o).alias("i"), F.greatest("b", o).alias("j")))
@@ -237,88 +245,117 @@ def _rest(groups: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
     dealt = members.join(blocks, "group").withColumn("b", F.pmod(F.xxhash64("node"), F.greatest("g", F.lit(1)))).select("group", "node", "label", F.inline(cell))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        sets = []
-        for _, n, t, h, _ in shingles(pdf["text"]):
-            cut = np.searchsorted(t, np.arange(n + 1))
-            sets += [h[i:j] for i, j in zip(cut, cut[1:], strict=False)]
         node = pdf["node"].to_list()
-        return pd.DataFrame([(node[y], node[x]) for y, x in links_within(sets, pdf["label"].to_list())], columns=["node", "center"])
+        return pd.DataFrame([(node[y], node[x]) for y, x in links_within(sets_of(pdf["text"], weights), pdf["label"].to_list())], columns=["node", "center"])
 
-    return materialise(dealt.join(texts.select("node", "text"), "node").groupBy("group", "i", "j").applyInPandas(one, "node binary, center binary"), "near-rest")
+    out = materialise(dealt.join(texts.select("node", "text").hint("merge"), "node").groupBy("group", "i", "j").applyInPandas(one, "node binary, center binary"), "near-rest")
+    discard(members)
+    return out
 
 
-def links(docs: DataFrame, sk: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _texts(docs: DataFrame, named: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(node, text, size) of the rows that (node, id_hash, text_hash) names; the key filter keeps other rows' texts from moving."""
+    t = F.col(f"`{text}`").cast("string")
+    whole = docs.select(F.xxhash64(F.col(f"`{doc_id}`")).alias("id_hash"), F.xxhash64(t).alias("text_hash"), t.alias("text"))
+    near = sift(whole, F.xxhash64("id_hash", "text_hash"), named.select(F.xxhash64("id_hash", "text_hash").alias("k")), "maybe").where("maybe")
+    # One text a node; rows with both hashes equal are copies.
+    once = near.groupBy("id_hash", "text_hash").agg(F.first("text").alias("text"))
+    return once.join(named.hint("merge"), ["id_hash", "text_hash"]).select("node", "text", F.octet_length("text").alias("size"))
+
+
+def links(docs: DataFrame, sk: DataFrame, doc_id: str = "doc_id", text: str = "text", weights: str = "one") -> DataFrame:
     """(node, center) of verified links between different shingle sets: all that a shared band suggests, or others that connect the same."""
     key = F.struct(F.xxhash64("doc_id").alias("id_hash"), "text_hash")
-    nodes = sk.where("node is not null").groupBy("node").agg(F.any_value("bands").alias("bands"), F.min(key).alias("key"))
+    nodes = sk.where("node is not null").groupBy("node").agg(F.first("bands").alias("bands"), F.min(key).alias("key"))
     buckets = nodes.select("node", F.explode("bands").alias("band"))
     center = buckets.groupBy("band").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1").drop("n")
-    rows = materialise(buckets.join(center, "band").where("node <> center"), "near-buckets")
-    named = materialise(rows.select("node").union(rows.select("center")).distinct().join(nodes.select("node", "key.*"), "node"), "near-nodes")
-    t = F.col(f"`{text}`").cast("string")
-    whole = docs.select(F.xxhash64(F.col(f"`{doc_id}`")).alias("id_hash"), F.xxhash64(t).alias("text_hash"), t.alias("text"))
-    # One text a node; rows with both hashes equal are copies.
-    every = materialise(whole.join(named, ["id_hash", "text_hash"]).groupBy("node").agg(F.max("text").alias("text")).withColumn("size", F.octet_length("text")), "near-texts")
-    texts, found, groups = every, None, None
-    for k in range(ROUNDS):
-        judged = materialise(_similar(rows.select("node", "center").distinct(), texts), "near-judged")
-        good = judged.where("ok").select("node", "center")
-        found = good if found is None else found.union(good)
-        # A node that isn't like the center can only be like one that is if both distances to it differ by no more than that of a link.
-        close = judged.where(~F.col("ok") & (F.col("sim") >= 2 * SIMILAR - 1 - 1e-9))
-        top = close.groupBy("center").agg(F.max("sim").alias("top"))
-        inner = judged.where("ok").join(top, "center").where(F.col("sim") <= F.col("top") + (1 - SIMILAR) + 1e-9)
-        group = F.concat(F.lit(f"{k} "), F.hex("center")).alias("group")
-        open_ = inner.select(group, "node").union(close.select(group, "node"))
-        groups = open_ if groups is None else groups.union(open_)
-        rest = rows.join(judged.where("not ok").select("node", "center"), ["node", "center"], "left_semi").select("band", "node")
-        if k == ROUNDS - 1:
-            # Members that no center was like: each bucket's are a group.
-            some = rest.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-            groups = groups.union(rest.join(some, "band").select(F.concat(F.lit("band "), F.col("band").cast("string")).alias("group"), "node"))
-            break
-        again = rest.groupBy("band").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1").drop("n")
-        rows = materialise(rest.join(again, "band").where("node <> center"), "near-buckets")
-        if rows.isEmpty():
-            break
-        # The next round compares texts that weren't like their center: only those move again.
-        texts = judged.where("not ok").groupBy("node").agg(F.max("text").alias("text"))
-    return found.union(_rest(groups, found, every))
+    rows = materialise(buckets.join(center.hint("merge"), "band").where("node <> center"), "near-buckets")
+    n = rows.count()
+    ends = rows.select("node").union(rows.select("center")).distinct()
+    named = materialise(ends.join(nodes.select("node", "key.*").hint("merge"), "node"), "near-nodes", 2 * n)
+    texts = materialise(_texts(docs, named, doc_id, text), "near-texts")
+    discard(named)
+    judged = materialise(_similar(rows.select("node", "center").distinct(), texts, weights), "near-judged")
+    found = judged.where("ok").select("node", "center")
+    # A node that isn't like the center can only be like one that is if both distances to it differ by no more than that of a link.
+    close = judged.where(~F.col("ok") & (F.col("sim") >= 2 * SIMILAR - 1 - 1e-9))
+    top = close.groupBy("center").agg(F.max("sim").alias("top"))
+    inner = judged.where("ok").join(top.hint("merge"), "center").where(F.col("sim") <= F.col("top") + (1 - SIMILAR) + 1e-9)
+    by_center = inner.select("center", "node").union(close.select("center", "node")).select(F.concat(F.lit("c"), F.hex("center")).alias("group"), "node")
+    # Members that the center wasn't like: each bucket's are a group.
+    rest = rows.join(judged.where("not ok").select("node", "center").hint("merge"), ["node", "center"], "left_semi").select("band", "node")
+    some = rest.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    by_band = rest.join(some.hint("merge"), "band").select(F.concat(F.lit("b"), F.col("band").cast("string")).alias("group"), "node")
+    more = _rest(by_center.union(by_band), found, texts, weights, 3 * n)
+    out = materialise(found.union(more), "near-links", n)
+    discard(texts, rows, judged, more)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the smallest node that each reaches; only nodes with a link."""
-    both = materialise(edges.select("node", "center").union(edges.select("center", "node")).toDF("src", "dst"), "near-edges")
-    label = materialise(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.first("src")).alias("label")), "near-labels")
+    """(node, label): the smallest node that each reaches; only nodes with a link. A work table."""
+    n = 2 * edges.count()
+    both = materialise(edges.select("node", "center").union(edges.select("center", "node")).toDF("src", "dst"), "near-edges", n)
+    label = materialise(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.first("src")).alias("label")), "near-labels", n)
     while True:
         seen = both.join(label.select(F.col("node").alias("dst"), "label"), "dst").groupBy(F.col("src").alias("node")).agg(F.min("label").alias("near"))
         down = label.join(seen, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         up = label.select(F.col("node").alias("label"), F.col("label").alias("above"))
-        new = materialise(down.join(up, "label", "left").select("node", "old", F.least("label", "above").alias("label")), "near-labels")
-        label = new.select("node", "label")
+        new = materialise(down.join(up, "label", "left").select("node", "old", F.least("label", "above").alias("label")), "near-labels", n)
+        discard(label)
+        label = new
         if new.where("old <> label").isEmpty():
-            return label
+            discard(both)
+            return _only(label, "node", "label")
+
+
+def _only(work: DataFrame, *names: str) -> DataFrame:
+    """Some columns of a work table, still one to discard."""
+    out = work.select(*names)
+    out.work_path = work.work_path
+    return out
+
 
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", weights: str = "one") -> DataFrame:
+    """doc_id, text_hash, class_id (the smallest id in the class) and class (null without words), for every row.
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text_hash, class_id (the smallest id in the class), for every row."""
-    sk = materialise(sketch(docs, doc_id, text), "near-sketch")
-    label = components(links(docs, sk, doc_id, text))
-    ids = sk.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
-    of = ids.join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "least")
-    of = materialise(of, "near-classes")
+    Ids that several texts have may name several classes; ``class`` tells them apart.
+    """
+    sk = materialise(sketch(docs, doc_id, text, weights), "near-sketch")
+    found = links(docs, sk, doc_id, text, weights)
+    label = components(found)
+    slim = materialise(sk.drop("bands"), "near-rows")
+    discard(sk, found)
+    ids = slim.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
+    of = ids.join(label.hint("merge"), "node", "left").select("node", F.coalesce("label", "node").alias("label"), "least")
+    of = materialise(of, "near-classes", slim.count())
+    discard(label)
     named = of.groupBy("label").agg(F.min("least").alias("class_id"))
-    classes = of.join(named, "label").select("node", "class_id")
-    done = sk.select("doc_id", "text_hash", "node").join(classes, "node", "left")
-    return done.select("doc_id", "text_hash", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    classes = of.join(named, "label").select("node", "class_id", F.col("label").alias("class"))
+    done = slim.select("doc_id", "text_hash", "node").join(classes.hint("merge"), "node", "left")
+    return done.select("doc_id", "text_hash", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "class")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each class, with the columns of docs: that with the smallest id."""
-    keys = near_duplicates(docs, doc_id, text).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"))
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_h"))
-    rows = docs.withColumn("_t", F.xxhash64(F.col(f"`{text}`").cast("string"))).join(keys.distinct(), same, "inner")
-    return rows.dropDuplicates([doc_id, "_t"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", weights: str = "one") -> DataFrame:
+    """One row of each class, with the columns of docs: that with the smallest id (of several of that id, the smallest hash of the text).
+
+    Rows without words are told apart by id and text. Only rows that may have to go, or are there twice, are shuffled.
+    """
+    classes = near_duplicates(docs, doc_id, text, weights)
+    named = materialise(classes.select(F.xxhash64("doc_id").alias("i"), F.col("text_hash").alias("h"), "class", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("first")), "near-named")
+    best = named.where("first and class is not null").groupBy("class").agg(F.min(F.struct("i", "h")).alias("best")).withColumnRenamed("class", "of")
+    times = named.groupBy("class", "i", "h").agg(F.count("*").alias("n"))
+    judged = times.join(best.hint("merge"), F.col("class") == F.col("of"), "left").select("i", "h", "n", (F.col("class").isNull() | (F.struct("i", "h") == F.col("best"))).alias("keep"))
+    out = materialise(judged.where("n > 1 or not coalesce(keep, false)").select("i", "h", F.coalesce("keep", F.lit(False)).alias("keep")), "near-gone")
+    discard(named)
+    i, h, maybe, i2, h2, keep = free_names(docs, "_i", "_h", "_maybe", "_i2", "_h2", "_keep")
+    own = columns(docs)
+    hashed = docs.select(*own, F.xxhash64(F.col(f"`{doc_id}`")).alias(i), F.xxhash64(F.col(f"`{text}`").cast("string")).alias(h))
+    sifted = sift(hashed, F.xxhash64(i, h), out.select(F.xxhash64("i", "h").alias("k")), maybe)
+    sure = sifted.where(~F.col(maybe)).select(*own)
+    gone = out.select(F.col("i").alias(i2), F.col("h").alias(h2), F.col("keep").alias(keep)).hint("merge")
+    unsure = sifted.where(maybe).join(gone, (F.col(i) == F.col(i2)) & (F.col(h) == F.col(h2)), "left").where(F.coalesce(F.col(keep), F.lit(True)))
+    return sure.unionAll(unsure.dropDuplicates([i, h]).select(*own))
 
 
 def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
