@@ -13,7 +13,8 @@ is bounded by ``BLOCK_WORDS``, are broadcast. Larger benchmarks are matched in b
 
 Defined results: null texts and texts without words match nothing; items without id or words are left out, and
 rows with the same item_id are one item; repeated documents are judged alike; an empty
-table gives no row, an empty benchmark no match; columns of documents pass through.
+table gives no row, an empty benchmark no match; columns of documents pass through, but ``contamination`` replaces input
+columns of the names that it adds (``drop_contaminated`` adds none).
 """
 
 from __future__ import annotations
@@ -23,13 +24,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import materialise, table
+from voxloom.llm.common import columns, discard, free_names, look_up, materialise, table
 
 WINDOW = 8
 #: Words of a block of benchmark items at most, unless a single item has more.
 BLOCK_WORDS = 200_000
 #: Items with occurring windows from which on a document counts as contaminated.
 ITEMS = 2
+#: Columns that contamination() adds.
+ADDED = ("n_words", "n_hit", "n_items", "item_ids", "contaminated")
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -44,7 +47,7 @@ def words(text: Column) -> Column:
 
 def _keys(doc_id: str, text: str) -> tuple[Column, Column]:
     """Two hashes that tell rows apart, unless they are equal in both columns."""
-    return F.xxhash64(F.col(f"`{doc_id}`")).alias("_i"), F.xxhash64(F.col(f"`{text}`").cast("string")).alias("_h")
+    return F.xxhash64(F.col(f"`{doc_id}`")), F.xxhash64(F.col(f"`{text}`").cast("string"))
 
 
 def windows(items: DataFrame, n: int = WINDOW) -> DataFrame:
@@ -71,29 +74,33 @@ def coded(texts: Column, vocabulary: list[str]) -> Column:
 
 
 def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW, slop: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(_i, _h, start, length, item_ids): where a window occurs; _i and _h name the document (see _keys)."""
+    """(_i, _h, start, length, item_ids): where a window occurs, a work table; _i and _h name the document (see _keys)."""
     spark = docs.sparkSession
     terms = windows(items, n).select("terms", "item_ids", F.transform("terms", lambda w: F.xxhash64(w)).alias("codes"))
     terms = materialise(terms, "benchmark-windows")
+    def nothing() -> DataFrame:
+        discard(terms)
+        return materialise(spark.createDataFrame([], "_i long, _h long, start int, length int, item_ids array<string>"), "matches")
+
     known = terms.select(F.explode(F.arrays_zip("terms", "codes")).alias("x")).select("x.terms", "x.codes").distinct().collect()
-    empty = "_i long, _h long, start int, length int, item_ids array<string>"
     if not known:
-        return spark.createDataFrame([], empty)
+        return nothing()
     if len({r["codes"] for r in known} | {0}) != len(known) + 1:
         raise ValueError("two terms of the benchmark share a 64-bit hash; match its items in two parts")
     i, h = _keys(doc_id, text)
     vocabulary = sorted(r["terms"] for r in known)
-    forward = docs.select(i, h, coded(words(F.col(f"`{text}`")), vocabulary).alias("codes"))
+    forward = docs.select(i.alias("_i"), h.alias("_h"), coded(words(F.col(f"`{text}`")), vocabulary).alias("codes"))
 
     # Pass 1: how often each term occurs in the corpus.
-    seen = forward.select(F.explode(F.filter("codes", lambda c: c != 0)).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-    ordered = terms.select("codes", "item_ids", F.posexplode("codes").alias("at", "term")).join(materialise(seen, "benchmark-terms"), "term")
+    seen = materialise(forward.select(F.explode(F.filter("codes", lambda c: c != 0)).alias("term")).groupBy("term").agg(F.count("*").alias("n")), "benchmark-terms")
+    ordered = terms.select("codes", "item_ids", F.posexplode("codes").alias("at", "term")).join(seen, "term")
     plan = ordered.groupBy("codes").agg(F.first("item_ids").alias("item_ids"), F.array_sort(F.collect_list(F.struct("n", "at", "term"))).alias("plan"))
     # A window with a term that never occurs can't occur.
     plan = materialise(plan.where(F.size("plan") == F.size("codes")).withColumn("rarest", F.col("plan")[0]["term"]), "benchmark-plan")
     rarest = [r["rarest"] for r in plan.select("rarest").distinct().collect()]
     if not rarest:
-        return spark.createDataFrame([], empty)
+        discard(seen, plan)
+        return nothing()
 
     # Pass 2: postings of the rarest terms, each with the block around it.
     reach = n + slop - 1
@@ -115,24 +122,41 @@ def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW, slop: int = 0, d
         fits = lambda s: F.forall("codes", lambda c: F.array_contains(F.slice("block", s - F.col("block_at") + 1, span), c))
         at = F.filter(F.sequence(lowest, F.col("pos")), fits)
         found = pairs.withColumn("start", F.array_max(at)).where(F.col("start").isNotNull()).withColumn("length", span)
-    return found.select("_i", "_h", "start", "length", "item_ids")
+    out = materialise(found.select("_i", "_h", "start", "length", "item_ids"), "matches")
+    discard(terms, seen, plan, postings)
+    return out
+
+
+def _found(docs: DataFrame, items: DataFrame, n: int, slop: int, doc_id: str, text: str) -> list[DataFrame]:
+    return [matches(docs, part, n, slop, doc_id, text) for part in _blocks(items)]
 
 
 def contamination(docs: DataFrame, items: DataFrame, n: int = WINDOW, slop: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Adds n_words, n_hit, n_items, item_ids (sorted strings) and contaminated to every row."""
-    found = materialise(reduce(DataFrame.unionAll, [matches(docs, part, n, slop, doc_id, text) for part in _blocks(items)]), "matches")
+    parts = _found(docs, items, n, slop, doc_id, text)
+    found = reduce(DataFrame.unionAll, parts)
     hit = found.select("_i", "_h", F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("at")).distinct()
-    hit = hit.groupBy("_i", "_h").agg(F.count("*").alias("_n_hit"))
+    hit = hit.groupBy("_i", "_h").agg(F.count("*").alias("n_hit"))
     item = found.select("_i", "_h", F.explode("item_ids").alias("item")).distinct()
-    item = item.groupBy("_i", "_h").agg(F.sort_array(F.collect_list("item")).alias("_items"))
-    by_doc = hit.join(item, ["_i", "_h"])
-    i, h = _keys(doc_id, text)
-    rows = docs.withColumns({"_i": i, "_h": h, "n_words": F.size(words(F.col(f"`{text}`"))).cast("long")})
-    done = rows.join(by_doc, ["_i", "_h"], "left")
-    ids = F.coalesce("_items", F.array().cast("array<string>"))
-    return done.withColumns(
-        {"n_hit": F.coalesce("_n_hit", F.lit(0).cast("long")), "n_items": F.size(ids).cast("long"), "item_ids": ids, "contaminated": F.size(ids) >= ITEMS}
-    ).drop("_i", "_h", "_n_hit", "_items")
+    item = item.groupBy("_i", "_h").agg(F.sort_array(F.collect_list("item")).alias("item_ids"))
+    by_doc = materialise(hit.join(item, ["_i", "_h"]), "hits")
+    discard(*parts)
+    rows = docs.drop(*ADDED)
+    hits, ids = free_names(rows, "_hits", "_items")
+    done = look_up(rows, list(_keys(doc_id, text)), by_doc.withColumnsRenamed({"n_hit": hits, "item_ids": ids}))
+    listed = F.coalesce(ids, F.array().cast("array<string>"))
+    n_words = F.size(words(F.col(f"`{text}`"))).cast("long")
+    added = (n_words, F.coalesce(hits, F.lit(0).cast("long")), F.size(listed).cast("long"), listed, F.size(listed) >= ITEMS)
+    return done.select(*columns(rows), *[c.alias(name) for c, name in zip(added, ADDED, strict=True)])
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, n: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows in which no window of any item occurs, with their columns."""
+    parts = _found(docs, items, n, 0, doc_id, text)
+    hit = materialise(reduce(DataFrame.unionAll, parts).select("_i", "_h").distinct().withColumn("hit", F.lit(True)), "hits")
+    discard(*parts)
+    (name,) = free_names(docs, "_hit")
+    return look_up(docs, list(_keys(doc_id, text)), hit.withColumnRenamed("hit", name)).where(F.col(name).isNull()).select(*columns(docs))
 
 
 def op1_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
