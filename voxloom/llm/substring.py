@@ -8,16 +8,16 @@ words up to here occur in the reference), and maximal spans of at least ``length
 bounded size, so instead of broadcasting them, shards are made so that a window meets all windows that can
 equal it: every window of ``length`` words is routed by its smallest hash of ``GRAM`` words; consecutive
 windows with the same one travel as one segment. Routes that occur once are dropped before any text
-moves. Each shard of segments becomes an automaton with occurrence counts, its segments stream
-through it, and windows whose state was seen at least twice are repeats. Routes of more than
-``HOT`` segments are split by the windows' own hashes and equal windows are summed first, so that no
-shard grows with one frequent passage. Copies of a text are one text with a count.
+moves. Each shard of segments becomes an automaton with occurrence counts, through which its segments stream
+for matching statistics: how many words up to here occur at least twice. Maximal spans of at least ``length`` words go. Routes of more than
+``HOT`` segments or ``HOT_WINDOWS`` windows are split by the windows' own hashes and equal windows are summed first, so that no
+shard grows with one frequent passage or with one text that repeats a word. Copies of a text are one text with a count.
 
 Words are compared as bytes, hashes only route, so the result is exact, but for texts that share a 128-bit hash.
 
 Defined results: words are runs of all but ASCII white space; null texts have none; texts shorter
 than a window are kept whole; repeated rows repeat each other; an empty table gives no row;
-columns of documents pass through.
+columns of documents pass through, but those of the names that are added are replaced.
 """
 
 from __future__ import annotations
@@ -32,10 +32,14 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import materialise, table
+from voxloom.llm.common import columns, discard, free_names, look_up, materialise, table
 from voxloom.llm.textvec import SPACES, batches_of, mix, span_hashes, window_hashes, words_of
 
-LENGTH, GRAM, HOT = 35, 8, 8000
+LENGTH, GRAM = 35, 8
+#: Segments, and windows, from which on a route is split: no automaton holds more.
+HOT, HOT_WINDOWS = 8000, 200_000
+#: Columns that are added.
+ADDED = ("n_words", "n_removed", "kept_text")
 #: Rows that a Python worker gives back at a time.
 BATCH = 5000
 #: Words of a reference that may be broadcast, and of each of its shards.
@@ -111,36 +115,30 @@ class Automaton:
         for v in sorted(range(1, len(self.len)), key=self.len.__getitem__, reverse=True):
             seen[link[v]] += seen[v]
 
-    def statistics(self, words) -> Iterator[int]:
-        """At each word, how many words up to it occur in the texts."""
+    def statistics(self, words, least: int = 1) -> Iterator[int]:
+        """Matching statistics: at each word, how many words up to it occur in the texts, ``least`` times or more (needs count())."""
         v = n = 0
+        step, link, size, seen = self.step, self.link, self.len, self.seen
         for c in words:
-            while (q := self.step(v, c)) is None and v:
-                v = self.link[v]
-                n = self.len[v]
-            if q is not None:
+            while (q := step(v, c)) is None or (least > 1 and seen[q] < least):
+                if not v:
+                    break
+                v = link[v]
+                n = size[v]
+            else:
                 v, n = q, n + 1
             yield n
 
-    def frequent(self, words, length: int, least: int = 2) -> Iterator[int]:
-        """Places of an added text where a window of ``length`` words ends that occurs at least so often."""
-        v, link, size, seen = 0, self.link, self.len, self.seen
-        for i, c in enumerate(words, 1):
-            v = self.step(v, c)
-            while v and size[link[v]] >= length:
-                v = link[v]
-            if i >= length and seen[v] >= least:
-                yield i - 1
 
-
-def spans(ends: Iterator[int], length: int) -> list[tuple[int, int]]:
-    """Maximal spans [from, to) that windows ending at these places cover."""
+def spans(statistics: Iterator[int], length: int) -> list[tuple[int, int]]:
+    """Maximal spans [from, to) that matches of at least ``length`` words cover."""
     out: list[list[int]] = []
-    for e in ends:
-        if out and e - length + 1 <= out[-1][1]:
-            out[-1][1] = e + 1
-        else:
-            out.append([e - length + 1, e + 1])
+    for i, n in enumerate(statistics):
+        if n >= length:
+            if out and i - n + 1 <= out[-1][1]:
+                out[-1][1] = i + 1
+            else:
+                out.append([i - n + 1, i + 1])
     return [(a, b) for a, b in out]
 
 
@@ -191,7 +189,7 @@ def repeats(segments: dict[bytes, int], length: int) -> dict[bytes, list[tuple[i
     for p, n in segments.items():
         automaton.add(words[p], n)
     automaton.count()
-    return {p: spans(automaton.frequent(w, length), length) for p, w in words.items()}
+    return {p: spans(automaton.statistics(w, least=2), length) for p, w in words.items()}
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -206,11 +204,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
                 yield pd.DataFrame({"key": keys[at + text_], "route": route, "start": start.astype(np.int32), "n": n.astype(np.int32), "more": more})
 
     found = materialise(rows.select("key", "t").mapInPandas(cut_runs, "key binary, route long, start int, n int, more boolean"), "runs")
-    seen = found.groupBy("route").agg(F.sum(1 + F.col("more").cast("int")).alias("seen")).where("seen > 1")
-    again = found.join(seen, "route").groupBy("key").agg(F.collect_set(F.struct("route", "start", "n", (F.col("seen") > HOT).alias("hot"))).alias("runs"))
-    one = rows.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-    again = materialise(again.join(one, "key"), "repeated-runs").withColumnsRenamed({"key": "k", "id": "i"})
-    texts = rows.join(again, (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i"))).select("key", "copies", "runs", "t")
+    seen = found.groupBy("route").agg(F.sum(1 + F.col("more").cast("int")).alias("seen"), F.sum("n").alias("windows")).where("seen > 1")
+    hot = ((F.col("seen") > HOT) | (F.col("windows") > HOT_WINDOWS)).alias("hot")
+    again = found.join(seen.hint("merge"), "route").groupBy("key").agg(F.collect_set(F.struct("route", "start", "n", hot)).alias("runs"))
+    one = rows.groupBy("key").agg(F.min(F.xxhash64("id")).alias("id"), F.count("*").alias("copies"))
+    again = materialise(again.join(one.hint("merge"), "key").select("key", "id", "copies", "runs"), "repeated-runs")
+    discard(found)
+    texts = look_up(rows, [F.col("key"), F.xxhash64("id")], again.select("key", "id", F.col("copies").alias("times"), "runs")).where(F.col("runs").isNotNull())
+    texts = texts.select("key", F.col("times").alias("copies"), "runs", "t")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ("route", "hot", "key", "start", "weight", "payload")
@@ -266,11 +267,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
     twice = windows.repartition("route").sortWithinPartitions("route").mapInPandas(frequent, "route long, payload binary")
     hot_spans = hot.join(twice, ["route", "payload"]).select("key", F.col("start").alias("from"), (F.col("start") + length).alias("to"))
     every = cold.mapInPandas(match, "key binary, from int, to int").unionByName(hot_spans)
-    return every.groupBy("key").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
+    out = materialise(every.groupBy("key").agg(F.collect_set(F.struct("from", "to")).alias("spans")), "repeated-spans")
+    discard(again, segments)
+    return out
 
 
 def _without(docs: DataFrame, spans_of, extra: list[str], text: str) -> DataFrame:
-    """Adds n_words, n_removed and kept_text, by a function from words and the extra columns to spans."""
+    """Replaces the extra columns by n_words, n_removed and kept_text, by a function from words and the extra columns to spans."""
 
     def clean(batches: Iterator[tuple]) -> Iterator[pd.DataFrame]:
         for texts, *more in batches:
@@ -284,11 +287,12 @@ def _without(docs: DataFrame, spans_of, extra: list[str], text: str) -> DataFram
                 away = np.cumsum(gone)[:-1] > 0
                 kept = b" ".join(w for w, x in zip(words, away, strict=True) if not x)
                 out.append((len(words), int(away.sum()), kept.decode()))
-            yield pd.DataFrame(out, columns=("n_words", "n_removed", "kept_text"))
+            yield pd.DataFrame(out, columns=ADDED)
 
     cleaned = F.pandas_udf(_one_or_more(clean, bool(extra)), "n_words long, n_removed long, kept_text string")
-    rows = docs.withColumn("_c", cleaned(F.col(f"`{text}`").cast("string"), *extra))
-    return rows.withColumns({c: F.col(f"_c.{c}") for c in ("n_words", "n_removed", "kept_text")}).drop("_c", *extra)
+    (c,) = free_names(docs, "_clean")
+    rows = docs.withColumn(c, cleaned(F.col(f"`{text}`").cast("string"), *extra))
+    return rows.select(*columns(docs.drop(*ADDED, *extra)), *[F.col(f"`{c}`.{x}").alias(x) for x in ADDED])
 
 
 def _one_or_more(f, many: bool):
@@ -308,11 +312,13 @@ def _one_or_more(f, many: bool):
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Adds n_words, n_removed and kept_text (kept words joined by a space)."""
-    known = repeated_spans(docs, length, doc_id, text).select(F.col("key").alias("_k"), F.col("spans").alias("_s"))
+    (name,) = free_names(docs, "_spans")
+    ends = F.flatten(F.transform("spans", lambda x: F.array(x["from"], x["to"])))
+    known = repeated_spans(docs, length, doc_id, text)
     key = F.unhex(F.md5(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))))
-    rows = docs.join(known, key == F.col("_k"), "left").drop("_k")
-    ends = F.transform(F.coalesce("_s", F.array().cast("array<struct<from:int,to:int>>")), lambda x: F.array(x["from"], x["to"]))
-    return _without(rows.withColumn("_s", F.flatten(ends)), lambda words, flat: zip(flat[0::2], flat[1::2], strict=True), ["_s"], text)
+    rows = look_up(docs, [key], known.select("key", ends.alias(name)))
+    rows = rows.withColumn(name, F.coalesce(name, F.array().cast("array<int>")))
+    return _without(rows, lambda words, flat: zip(flat[0::2], flat[1::2], strict=True), [name], text)
 
 
 def remove_known(docs: DataFrame, reference: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
@@ -339,9 +345,7 @@ def remove_known(docs: DataFrame, reference: DataFrame, length: int = LENGTH, te
         for parts in shared.value:
             a = Automaton()
             a.word, a.goal, a.more, a.link, a.len = parts
-            for i, n in enumerate(a.statistics(words)):
-                if n >= length:
-                    out.append((i - n + 1, i + 1))
+            out += spans(a.statistics(words), length)
         return out
 
     return _without(docs, known, [], text)
