@@ -9,8 +9,10 @@ ISO timestamp, a type, and SHA-1 digests of block and payload. Of records with e
 payloads, the preferred one is a ``response``; the others become ``revisit`` records that
 refer to it and keep only the HTTP header, as the identical-payload-digest profile says.
 
-Files are written by Spark's own writer into the shared folder, one a partition; a record's
-closing blank lines are the writer's line separator. They are gzipped as whole files.
+Files are written by Spark's own writer into the shared folder, of at most ``RECORDS`` rows each; a record's
+closing blank lines are the writer's line separator. They are gzipped as whole files. Bodies are bytes throughout,
+whatever their encoding. The converter reads the archives twice: for digests and header lines, of which it decides who refers
+to whom, and for the records, which it writes where it reads them; payloads aren't shuffled.
 
 Defined results: null payloads are empty; a null URL is written as ``-`` and white space and control
 characters in URLs as percent escapes; an empty table writes no record; repeated rows are
@@ -30,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import table, work_dir
+from voxloom.llm.common import discard, materialise, remove, table, work_dir
 
 #: Header fields of the two ARC versions, as the filedesc body lists them.
 ARC_FIELDS = {
@@ -38,6 +40,8 @@ ARC_FIELDS = {
     2: ("URL", "IP-address", "Archive-date", "Content-type", "Result-code", "Checksum", "Location", "Offset", "Filename", "Archive-length"),
 }
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Rows of a file, which is read as a whole.
+RECORDS = 5000
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 
 
@@ -101,7 +105,7 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, chr(10).join(parts))}>"
 
 
-def warc_record(kind: str, rid: str, uri: str, date: str, http: bytes, payload: bytes, payload_digest: str, refers_to: str | None, ip: str) -> str:
+def warc_record(kind: str, rid: str, uri: str, date: str, http: bytes, payload: bytes, payload_digest: str, refers_to: str | None, ip: str) -> bytes:
     """A record up to, without, its two closing line breaks."""
     block = http if kind == "revisit" else http + payload
     head = {
@@ -116,7 +120,7 @@ def warc_record(kind: str, rid: str, uri: str, date: str, http: bytes, payload:
     if kind == "revisit":
         head |= {"WARC-Refers-To": refers_to or "", "WARC-Profile": REVISIT_PROFILE}
     head |= {"Content-Type": "application/http; msgtype=response", "Content-Length": str(len(block))}
-    return "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()) + "\r\n" + block.decode("utf-8")
+    return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()) + "\r\n").encode("utf-8", "surrogateescape") + block
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -127,7 +131,7 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             at += 1
             continue
         end = data.index(b"\r\n\r\n", at)
-        first, *lines = data[at:end].decode("utf-8").split("\r\n")
+        first, *lines = data[at:end].decode("utf-8", "surrogateescape").split("\r\n")
         if not first.startswith("WARC/"):
             raise ValueError(f"no WARC record at byte {at}")
         head = dict(x.split(": ", 1) for x in lines)
@@ -142,30 +146,47 @@ def write_arc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url
     """Writes pages as gzipped ARC files; the key goes into the HTTP header."""
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        started = False
+        n_rows = 0
         for pdf in batches:
-            out = [] if started else [arc_filedesc(version, "pages.arc", date)]
-            started = True
+            out = []
             for k, u, p in zip(pdf["k"], pdf["u"], pdf["p"], strict=True):
-                body = p or ""
-                n = len(body.encode())
-                http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Page-Key: {k or ''}\r\nContent-Length: {n}\r\n\r\n"
-                out.append(f"{arc_header(version, u or '', '0.0.0.0', date, 'text/html', len(http) + n, name='pages.arc')}\n{http}{body}")
-            yield pd.DataFrame({"value": out})
+                if n_rows % RECORDS == 0:  # a new file
+                    out.append(arc_filedesc(version, "pages.arc", date).encode())
+                    n_rows += 1
+                body = bytes(p) if p is not None else b""
+                http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Page-Key: {k or ''}\r\nContent-Length: {len(body)}\r\n\r\n".encode()
+                out.append(f"{arc_header(version, u or '', '0.0.0.0', date, 'text/html', len(http) + len(body), name='pages.arc')}\n".encode() + http + body)
+                n_rows += 1
+            yield pd.DataFrame({"value": out}, dtype=object)
+
+    cols = pages.select(F.col(f"`{key}`").cast("string").alias("k"), F.col(f"`{url}`").cast("string").alias("u"), F.col(f"`{payload}`").cast("binary").alias("p"))
+    _write(cols.mapInPandas(lines, "value binary"), path, "\n")
+
 
-    cols = pages.select(F.col(key).cast("string").alias("k"), F.col(url).cast("string").alias("u"), F.col(payload).cast("string").alias("p"))
-    cols.mapInPandas(lines, "value string").write.option("lineSep", "\n").option("compression", "gzip").text(path)
+def _write(rows: DataFrame, path: str, end: str) -> None:
+    """Gzipped files of the bytes in ``value``; the cast to text leaves them as they are."""
+    rows.select(F.col("value").cast("string")).write.option("lineSep", end).option("compression", "gzip").option("maxRecordsPerFile", RECORDS).text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
 
 
-ARC_ROW = "file string, place int, key string, url string, ip string, date string, http binary, payload binary, digest string"
+ARC_ROW = "file string, place int, key string, url string, ip string, date string, payload_bytes long, digest string, http binary, payload binary"
+
+
+def _names(row: str) -> list[str]:
+    return [x.split()[0] for x in row.split(", ")]
+
 
+def _key_of(http: bytes) -> str | None:
+    found = re.search(rb"\r\nX-Page-Key: ([^\r]+)\r\n", http)
+    return found and found[1].decode()
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
+
+def read_arc(spark: SparkSession, path: str, with_body: bool = True) -> DataFrame:
     """One row per record of the gzipped ARC files under a path."""
+    schema = ARC_ROW if with_body else ARC_ROW.removesuffix(", http binary, payload binary")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -173,14 +194,14 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
                 rows = []
                 for place, (head, body) in enumerate(parse_arc(gzip.decompress(content))):
                     http, payload = split_http(body)
-                    key = re.search(rb"\r\nX-Page-Key: ([^\r]+)\r\n", http)
-                    rows.append((name, place, key and key[1].decode(), head["URL"], head["IP-address"], head["Archive-date"], http, payload, sha1_base32(payload)))
+                    row = (name, place, _key_of(http), head["URL"], head["IP-address"], head["Archive-date"], len(payload), sha1_base32(payload))
+                    rows.append((*row, http, payload) if with_body else row)
                     if len(rows) >= 500:
-                        yield pd.DataFrame(rows, columns=[x.split()[0] for x in ARC_ROW.split(", ")])
+                        yield pd.DataFrame(rows, columns=_names(schema))
                         rows = []
-                yield pd.DataFrame(rows, columns=[x.split()[0] for x in ARC_ROW.split(", ")])
+                yield pd.DataFrame(rows, columns=_names(schema))
 
-    return _files(spark, path).mapInPandas(parse, ARC_ROW)
+    return _files(spark, path).mapInPandas(parse, schema)
 
 
 def convert(spark: SparkSession, arc: str, warc: str, prefer: str = "cast(key as bigint)", least_bytes: int = 0) -> None:
@@ -189,39 +210,51 @@ def convert(spark: SparkSession, arc: str, warc: str, prefer: str = "cast(key as
     Of equal payloads of at least ``least_bytes``, the record with the largest ``prefer``
     is the response.
     """
-    rows = read_arc(spark, arc)
+    heads = materialise(read_arc(spark, arc, with_body=False), "arc-heads")
     order = F.struct(F.expr(prefer).alias("prefer"), F.hash("file", "place").alias("h"), "file", "place", "key", "url", "date")
-    first = rows.where(F.length("payload") >= least_bytes).groupBy("digest").agg(F.max(order).alias("best"))
+    best = heads.where(F.col("payload_bytes") >= least_bytes).groupBy("digest").agg(F.max(order).alias("best"))
+    same = (F.col("best.file") == F.col("file")) & (F.col("best.place") == F.col("place"))
+    others = heads.where(F.col("payload_bytes") >= least_bytes).join(best, "digest").where(~same)
+    # One row a file, of its own records.
+    refers = others.groupBy(F.col("file").alias("path")).agg(F.collect_list(F.struct("place", *[F.col(f"best.{c}").alias(c) for c in ("key", "url", "date")])).alias("refers"))
+    files = _files(spark, arc).join(refers, "path", "left")
 
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                kind = "response" if pd.isna(r.b_url) or (r.b_file, r.b_place) == (r.file, r.place) else "revisit"
-                refers = None if kind == "response" else record_id(r.b_url, r.b_date, str(r.b_key), r.digest)
-                rid = record_id(r.url, r.date, str(r.key), r.digest) if kind == "response" else record_id(r.url, r.date, str(r.key), r.digest, "revisit", r.file, str(r.place))
-                out.append(warc_record(kind, rid, r.url, iso(r.date), r.http, r.payload, r.digest, refers, r.ip))
-            yield pd.DataFrame({"value": out}, dtype=object)
+            for name, content, refers in zip(pdf["path"], pdf["content"], pdf["refers"], strict=True):
+                to = {r["place"]: r for r in refers} if refers is not None else {}
+                out = []
+                for place, (head, body) in enumerate(parse_arc(gzip.decompress(content))):
+                    http, payload = split_http(body)
+                    digest, own = sha1_base32(payload), (head["URL"], head["Archive-date"], str(_key_of(http)))
+                    if (r := to.get(place)) is None:
+                        kind, rid, target = "response", record_id(*own, digest), None
+                    else:
+                        kind, rid, target = "revisit", record_id(*own, digest, "revisit", name, str(place)), record_id(r["url"], r["date"], str(r["key"]), digest)
+                    out.append(warc_record(kind, rid, head["URL"], iso(head["Archive-date"]), http, payload, digest, target, head["IP-address"]))
+                    if len(out) >= 500:
+                        yield pd.DataFrame({"value": out}, dtype=object)
+                        out = []
+                yield pd.DataFrame({"value": out}, dtype=object)
 
-    best = first.select("digest", *[F.col(f"best.{c}").alias(f"b_{c}") for c in ("file", "place", "key", "url", "date")])
-    joined = rows.join(best, "digest", "left")
-    joined.mapInPandas(records, "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(warc)
+    _write(files.mapInPandas(records, "value binary"), warc, "\r\n\r\n")
+    discard(heads)
 
 
 WARC_ROW = "record_id string, record_type string, uri string, date string, key string, payload_bytes long, payload_digest string, refers_to string, payload binary"
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """One row per record of gzipped WARC files; a revisit's length is the one of its HTTP header."""
+    schema = WARC_ROW if with_payload else WARC_ROW.removesuffix(", payload binary")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [x.split()[0] for x in WARC_ROW.split(", ")]
+        names = _names(schema)
         for pdf in batches:
             for content in pdf["content"]:
                 rows = []
                 for head, block in parse_warc(gzip.decompress(content)):
                     http, payload = split_http(block)
-                    key = re.search(rb"\r\nX-Page-Key: ([^\r]+)\r\n", http)
                     said = head["WARC-Payload-Digest"].removeprefix("sha1:")
                     if head["WARC-Type"] == "response":
                         if sha1_base32(payload) != said:
@@ -230,13 +263,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                     else:
                         length = re.search(rb"\r\nContent-Length: ([0-9]+)\r\n", http)
                         n, payload = int(length[1]) if length else None, None
-                    rows.append((head["WARC-Record-ID"], head["WARC-Type"], head["WARC-Target-URI"], head["WARC-Date"], key and key[1].decode(), n, said, head.get("WARC-Refers-To"), payload))
+                    row = (head["WARC-Record-ID"], head["WARC-Type"], head["WARC-Target-URI"], head["WARC-Date"], _key_of(http), n, said, head.get("WARC-Refers-To"))
+                    rows.append((*row, payload) if with_payload else row)
                     if len(rows) >= 500:
                         yield pd.DataFrame(rows, columns=names)
                         rows = []
                 yield pd.DataFrame(rows, columns=names)
 
-    return _files(spark, path).mapInPandas(parse, WARC_ROW)
+    return _files(spark, path).mapInPandas(parse, schema)
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,7 +279,9 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     arc, warc = work_dir(spark, "arc"), work_dir(spark, "warc")
     write_arc(pages, arc)
     convert(spark, arc, warc)
-    back = read_warc(spark, warc).drop("payload")
+    remove(spark, arc)
+    back = materialise(read_warc(spark, warc, with_payload=False), "warc-rows")
+    remove(spark, warc)
     target = back.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("key").alias("to_key")).distinct()
     return back.join(target, "refers_to", "left").select(
         F.col("key").cast("long").alias("page_id"),
