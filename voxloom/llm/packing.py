@@ -9,14 +9,16 @@ lengths last, so every new pattern exhausts a length and the plan stays small. P
 find their place by their rank among pieces of the same length, counted per hash bucket
 and offset by the buckets before, so that no task sees all pieces of a frequent length.
 
-Defined results: null and empty texts are the end id alone; strings of special tokens are ordinary text;
+Defined results: null and empty texts are the end id alone; strings of the file's added tokens in a text are those tokens, as its library has it;
 repeated rows are packed each; an empty table gives no row; columns of the input other
 than id and text aren't carried.
 """
 
 from __future__ import annotations
 
+import functools
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,11 +27,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import materialise, table
+from voxloom.llm.common import free_names, materialise, table
 
 CAPACITY = 2048
 #: Pieces that one hash bucket has about.
 BUCKET_ROWS = 20_000
+#: Hash buckets of a length that are summed in one run.
+CHUNK = 1000
 
 
 def _byte_of() -> dict[str, int]:
@@ -40,50 +44,77 @@ def _byte_of() -> dict[str, int]:
 
 
 class Encoder:
-    """Ids of a byte-level BPE file, by its own library, or by a faster one with the same ranks.
+    """Ids of a byte-level BPE file: its own library's, by a faster library wherever both are proved to give the same.
 
-    The faster one is used only if the file's ids are in the order of its merges, as they
-    are if its ranks spell every id of a probe; a text that it refuses goes to the file's library.
+    Both merge the pair of the lowest rank first; the file's library merges listed pairs only, the faster one all whose
+    concatenation is a token. These are the same pairs if ids follow the order of the merges and each merged token, alone, is
+    merged to itself: with the ends of a token's span not crossed so far, what is within it is what its own merges leave, which before the
+    last is the listed pair. ``_proved`` checks both on the vocabulary, and that the pattern's classes hold the same characters in both libraries.
+    Texts with another character, or with the string of an added token, go to the file's library.
     """
 
-    PROBE = "Hello  world, it's 12345 naïve déjà-vu\n\n\t  über ñandú 東京 🙂!? we'll see "
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True
-        self.fast = self._fast(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.fast, self.odd = self._proved(spec)
 
-    def _fast(self, path: str):
+    def _proved(self, spec: dict):
         try:
             import public_tokenizers
             import tiktoken
         except ImportError:
-            return None
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        special, to_byte = {t["content"] for t in spec.get("added_tokens", [])}, _byte_of()
-        ranks = {bytes(to_byte[c] for c in w): i for w, i in spec["model"]["vocab"].items() if w not in special}
+            return None, None
+        model, added = spec["model"], [t["content"] for t in spec.get("added_tokens", [])]
+        vocab, to_byte = model["vocab"], _byte_of()
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        first = len(to_byte)
+        plain = spec.get("normalizer") is None and spec["pre_tokenizer"].get("use_regex") and not spec["pre_tokenizer"].get("add_prefix_space") and not model.get("ignore_merges")
+        in_order = all(vocab.get(a + b) == first + i for i, (a, b) in enumerate(pairs)) and len(vocab) == first + len(pairs) + sum(t in vocab for t in added)
+        if not (plain and in_order and all(len(self.slow.model.tokenize(a + b)) == 1 for a, b in pairs)):
+            return None, None
+        ranks = {bytes(to_byte[c] for c in w): i for w, i in vocab.items() if w not in added}
         fast = tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        same = fast.encode_ordinary(self.PROBE) == self.slow.encode(self.PROBE, add_special_tokens=False).ids
-        return fast if same else None
+        differ = "".join(re.escape(c) for c in sorted(self._differ(tiktoken)))
+        return fast, re.compile("|".join(filter(None, [f"[{differ}\ud800-\udfff\U00030000-\U0010ffff]", *map(re.escape, added)])))
+
+    @staticmethod
+    def _differ(tiktoken) -> set[str]:
+        """Characters below U+30000 that the two libraries put into different classes of the pattern."""
+        from tokenizers import Regex, normalizers
+
+        every = "".join(chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000)
+        single = {bytes([b]): b for b in range(256)}
+        out: set[str] = set()
+        for kind in (r"\p{L}", r"\p{N}", r"\s"):
+            one = tiktoken.Encoding("class", pat_str=kind, mergeable_ranks=single, special_tokens={})
+            other = set(every) - set(normalizers.Replace(Regex(kind), "").normalize_str(every))
+            out |= set(one.decode(one.encode_ordinary(every))) ^ other
+        return out
 
     def __call__(self, text: str) -> list[int]:
-        if self.fast is not None:
+        if self.fast is not None and not self.odd.search(text):
             try:
                 return self.fast.encode_ordinary(text)
-            except BaseException as e:  # noqa: BLE001  the library's own panics aren't Exceptions
-                if isinstance(e, (KeyboardInterrupt, SystemExit, MemoryError)):
+            except BaseException as e:
+                if type(e).__name__ != "PanicException":  # the library's own, on runs that its pattern can't hold
                     raise
         return self.slow.encode(text, add_special_tokens=False).ids
 
 
+@functools.lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One a worker process."""
+    return Encoder(path)
+
+
 def tokenise(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = 0, doc_id: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32 and, if asked for, ids."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = Encoder(tokenizer)
+        encode = encoder(tokenizer)
         for pdf in batches:
             out: dict[str, list] = {c: [] for c in ("row", "piece", "start", "length", "ids_crc32", "ids")}
             for row, t in enumerate(pdf["t"]):
@@ -163,17 +194,23 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     schema = "length long, from long, times long, many long, base long, at long"
     by_length = spark.createDataFrame(slots, schema).groupBy("length").agg(F.collect_list(F.struct("from", "times", "many", "base", "at")).alias("slots"))
     buckets = max(1, -(-sum(counts.values()) // BUCKET_ROWS)) * 16
-    rows = pieces.withColumn("_b", F.pmod(F.xxhash64("doc_id", "piece", "start", "length"), F.lit(buckets)))
-    before = Window.partitionBy("length").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.groupBy("length", "_b").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    within = Window.partitionBy("length", "_b").orderBy("doc_id", "piece", "start")
-    ranked = rows.withColumn("_r", F.row_number().over(within)).join(offsets, ["length", "_b"]).withColumn("_r", F.col("_before") + F.col("_r") - 1)
+    b, rank, slot_, turn_, before_ = free_names(pieces, "_b", "_r", "_s", "_q", "_before")
+    rows = pieces.withColumn(b, F.pmod(F.xxhash64("doc_id", "piece", "start", "length"), F.lit(buckets)))
+    # Buckets of a length are counted in runs of CHUNK, so that the sums over all of them go over a row a run.
+    chunk = F.floor(F.col(b) / CHUNK)
+    sizes = materialise(rows.groupBy("length", b).agg(F.count("*").alias("_n")).withColumn("_c", chunk), "piece-buckets")
+    upto = lambda keys, at: Window.partitionBy(*keys).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    runs = sizes.groupBy("length", "_c").agg(F.sum("_n").alias("_n")).select("length", "_c", F.coalesce(F.sum("_n").over(upto(["length"], "_c")), F.lit(0)).alias("_runs"))
+    within_run = sizes.select("length", b, "_c", F.coalesce(F.sum("_n").over(upto(["length", "_c"], b)), F.lit(0)).alias("_in"))
+    offsets = within_run.join(runs, ["length", "_c"]).select("length", b, (F.col("_runs") + F.col("_in")).alias(before_))
+    within = Window.partitionBy("length", b).orderBy("doc_id", "piece", "start")
+    ranked = rows.withColumn(rank, F.row_number().over(within)).join(offsets.hint("merge"), ["length", b]).withColumn(rank, F.col(before_) + F.col(rank) - 1)
     # At most one slot for each length in each bin pattern: bounded by the capacity, not by the corpus.
     placed = ranked.join(F.broadcast(by_length), "length")
-    slot = F.filter("slots", lambda s: (s["from"] <= F.col("_r")) & (F.col("_r") < s["from"] + s["times"] * s["many"]))[0]
-    placed = placed.withColumn("_s", slot).withColumn("_q", F.col("_r") - F.col("_s")["from"])
-    turn = F.floor(F.col("_q") / F.col("_s")["times"]).cast("long")
-    return placed.select(*pieces.columns, (F.col("_s")["base"] + F.col("_q") - turn * F.col("_s")["times"]).alias("sequence_id"), (F.col("_s")["at"] + turn * F.col("length")).alias("offset"))
+    slot = F.filter("slots", lambda s: (s["from"] <= F.col(rank)) & (F.col(rank) < s["from"] + s["times"] * s["many"]))[0]
+    placed = placed.withColumn(slot_, slot).withColumn(turn_, F.col(rank) - F.col(slot_)["from"])
+    turn = F.floor(F.col(turn_) / F.col(slot_)["times"]).cast("long")
+    return placed.select(*pieces.columns, (F.col(slot_)["base"] + F.col(turn_) - turn * F.col(slot_)["times"]).alias("sequence_id"), (F.col(slot_)["at"] + turn * F.col("length")).alias("offset"))
 
 
 def tokenise_and_pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
