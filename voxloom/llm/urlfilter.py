@@ -2,19 +2,22 @@
 
 Rules name a host (with its subdomains) and a path prefix; the longest that fits decides.
 For the other URLs, each host gets a tree of path templates. A segment that looks like a number
-or an identifier becomes a wildcard of its kind; level by level, values that hold too small a
+or an identifier becomes a wildcard of its kind; then, from the root down, values that hold too small a
 share of their parent's URLs become ``*``; then, from the deepest level up, sibling branches whose
 labelled shares don't differ significantly from the pooled share are merged. A
 template is rejected if the smoothed share of its labelled URLs that are bad is at
-least a threshold; without labelled URLs of its own the prior decides.
+least a threshold; without labelled URLs of its own the prior, their share over all hosts, decides.
+
+What the URLs are labelled by is the caller's. ``content_label`` reads it off a page: bad if its visible words have one
+of a list, good if they don't, unknown without words. ``op5_urlfilter`` teaches by it.
 
 All statistics are sums over (host, template) that are aggregated before any shuffle, so a
-host with most of the URLs is one row per path shape. The tree has ``MAX_LEVELS`` levels; what
-follows is one tail wildcard, so deeper URLs are judged by their first levels.
+host with most of the URLs is one row per path shape. Paths have any depth: what all URLs of a branch begin with is passed in
+one step, and only levels at which a host has two names are searched for siblings.
 
 Defined results: a null URL, or one without ``://``, has empty host and path and is judged like
 any other; an empty path has the template of no segment; unknown labels (null) count for
-nothing; repeated rows count each; an empty table gives no row.
+nothing; repeated rows count each; an empty table gives no row; input columns of the names that are added are replaced.
 """
 
 from __future__ import annotations
@@ -22,12 +25,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import materialise, table
+from voxloom.llm.common import columns, discard, free_names, materialise, table
 
-MAX_LEVELS = 12
-MAX_RULES = 1000
 SHARE, SUPPORT = 0.01, 3
 Z, STRENGTH, REJECT = 1.96, 4.0, 0.8
+#: Columns that judge() adds.
+ADDED = ("url_host", "url_path", "url_rule", "url_template", "url_purity", "url_verdict")
 
 #: Fixed values: (verdict, host, path prefix).
 RULES = (
@@ -37,10 +40,13 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
+#: Words that mark a page as bad.
+BAD_WORDS = ("casino", "casinos", "jackpot", "bets", "betting", "poker", "roulette", "pills", "viagra", "cialis", "porn", "xxx")
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _START = r"(?s)^.*?://([^/?#]*)"
 _PATH = r"(?s)^.*?://[^/?#]*([^?#]*)"
+_HIDDEN = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>"
 
 
 def host_of(url: Column) -> Column:
@@ -51,15 +57,20 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _PATH, 1), F.lit(""))
 
 
-def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
-    """(rule as text, its verdict) of the longest rule that fits; null if none does."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"at most {MAX_RULES} rules are compiled into the plan")
-    rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for kind, h, p in sorted(rules, key=lambda r: (len(r[1] + r[2]), r)):
-        fits = ((host == h) | host.endswith(f".{h}")) & path.startswith(p)
-        rule, verdict = F.when(fits, F.lit(h + p)).otherwise(rule), F.when(fits, F.lit(kind)).otherwise(verdict)
-    return rule, verdict
+def content_label(html: Column, words: tuple[str, ...] = BAD_WORDS) -> Column:
+    """1 if the page's visible words have a bad one, 0 if they don't, null if there are none."""
+    seen = F.regexp_replace(html.cast("string"), _HIDDEN, " ")
+    bad = rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{'|'.join(words)})(?![\p{{L}}\p{{N}}])"
+    return F.when(seen.rlike(bad), 1).when(seen.rlike(r"\p{L}"), 0)
+
+
+def rule_of(host: Column, path: Column, rules=RULES) -> Column:
+    """Struct of the rule as text and its verdict, of the longest rule that fits; null if none does."""
+    kind = "array<struct<verdict:string,host:string,path:string>>"
+    ordered = [F.struct(F.lit(v).alias("verdict"), F.lit(h).alias("host"), F.lit(p).alias("path")) for v, h, p in sorted(rules, key=lambda r: (-len(r[1] + r[2]), r))]
+    listed = F.array(*ordered).cast(kind)
+    fits = F.filter(listed, lambda r: ((host == r["host"]) | F.endswith(host, F.concat(F.lit("."), r["host"]))) & F.startswith(path, r["path"]))
+    return F.transform(fits, lambda r: F.struct(F.concat(r["host"], r["path"]).alias("rule"), r["verdict"].alias("verdict")))
 
 
 def segments(path: Column) -> Column:
@@ -74,38 +85,93 @@ def segments(path: Column) -> Column:
         )
         return F.coalesce(F.concat(mark, end), seg)
 
-    parts = F.split(F.regexp_replace(path, r"^/", ""), "/")
-    parts = F.when(F.size(parts) > MAX_LEVELS, F.concat(F.slice(parts, 1, MAX_LEVELS), F.array(F.lit("**")))).otherwise(parts)
-    return F.transform(F.when(path == "", F.array().cast("array<string>")).otherwise(parts), kind)
+    return F.transform(F.when(path == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(path, r"^/", ""), "/")), kind)
+
+
+def _marked(seg: Column) -> Column:
+    """Wildcards of a kind and empty segments are kept however rare."""
+    return seg.startswith("{") | (seg == "")
+
+
+_SUMS = ("n", "labelled", "bad")
+
+
+def _grow(tree: DataFrame) -> DataFrame:
+    """Templates of a work table's (host, segs): rare values of a branch become ``*``."""
+    tree = materialise(tree.select("host", "segs", *_SUMS, F.array().cast("array<string>").alias("template"), F.col("segs").alias("rest")), "url-tree")
+    done = []
+    while True:
+        by = tree.groupBy("host", "template").agg(F.sum("n").alias("total"), F.count("*").alias("rows"), F.min("rest").alias("low"), F.max("rest").alias("high"))
+        here = tree.join(by, ["host", "template"])
+        # Of a branch with little support no value is kept; a branch of one path keeps all of it.
+        ends = F.when(F.col("total") < SUPPORT, F.transform("rest", lambda s: F.when(_marked(s), s).otherwise(F.lit("*")))).when(F.col("rows") == 1, F.col("rest"))
+        # What a branch's least and greatest paths begin with, all of its paths do.
+        short = F.least(F.size("low"), F.size("high"))
+        differ = F.filter(F.sequence(F.lit(0), short), lambda i: ~F.get("low", i).eqNullSafe(F.get("high", i)) | (i == short))
+        step = here.withColumn("ends", ends).withColumn("skip", differ[0])
+        step = materialise(
+            step.select(
+                "host", "segs", *_SUMS, F.col("ends").isNotNull().alias("over"),
+                F.concat("template", F.coalesce("ends", F.slice("rest", F.lit(1), F.col("skip")))).alias("template"),
+                F.when(F.col("ends").isNull(), F.slice("rest", F.col("skip") + 1, F.size("rest") + 1)).alias("rest"),
+            ),
+            "url-tree",
+        )
+        discard(tree)
+        done.append(step)
+        at = step.where("not over").withColumn("seg", F.get("rest", F.lit(0)))
+        seen = at.where("seg is not null").groupBy("host", "template", "seg").agg(F.sum("n").alias("k"))
+        total = seen.groupBy("host", "template").agg(F.sum("k").alias("total"))
+        keep = seen.join(total, ["host", "template"]).where((F.col("k") >= F.greatest(F.lit(SUPPORT), F.col("total") * SHARE)) | _marked(F.col("seg")))
+        joined = at.join(keep.select("host", "template", "seg", F.lit(True).alias("kept")), ["host", "template", "seg"], "left")
+        name = F.when(F.col("kept"), F.col("seg")).otherwise(F.lit("*"))
+        more = joined.where("seg is not null").select("host", "segs", *_SUMS, F.concat("template", F.array(name)).alias("template"), F.slice("rest", F.lit(2), F.size("rest")).alias("rest"))
+        tree = materialise(more, "url-tree")
+        if tree.isEmpty():
+            break
+    finished = [t.where("over or size(rest) = 0").select("host", "segs", *_SUMS, "template") for t in done]
+    out = finished[0]
+    for t in finished[1:]:
+        out = out.unionAll(t)
+    out = materialise(out, "url-templates")
+    discard(tree, *done)
+    return out
+
+
+def _merge(tree: DataFrame) -> DataFrame:
+    """Merges labelled siblings whose shares don't differ significantly from the pooled one, from the deepest level up."""
+    names = tree.select("host", F.posexplode("template").alias("at", "name")).where(~F.col("name").rlike(r"^\{|^\*"))
+    levels = names.groupBy("host", "at").agg(F.min("name").alias("low"), F.max("name").alias("high")).where("low <> high").select("at").distinct()
+    for (level,) in sorted(levels.collect(), reverse=True):  # as many as there are levels at which a host has two names
+        leaf = tree.groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b"))
+        name = F.get("template", F.lit(level))
+        wide = F.transform("template", lambda s, i: F.when(i == level, F.lit("*")).otherwise(s))  # noqa: B023
+        leaf = leaf.where(name.isNotNull() & ~name.rlike(r"^\{|^\*") & (F.col("l") > 0)).withColumn("wide", wide)
+        pooled = leaf.groupBy("host", "wide").agg(F.sum("b").alias("pb"), F.sum("l").alias("pl")).withColumn("rate", F.col("pb") / F.col("pl"))
+        leaf = leaf.join(pooled, ["host", "wide"])
+        far = F.abs(F.col("b") - F.col("l") * F.col("rate")) > Z * F.sqrt(F.col("l") * F.col("rate") * (1 - F.col("rate"))) + 1e-9
+        alike = leaf.where(~far)
+        many = alike.groupBy("host", "wide").agg(F.count("*").alias("k")).where("k > 1").select("host", "wide")
+        alike = alike.join(many, ["host", "wide"]).select("host", "template", "wide")
+        new = materialise(tree.join(alike, ["host", "template"], "left").select("host", "segs", *_SUMS, F.coalesce("wide", "template").alias("template")), "url-templates")
+        discard(tree)
+        tree = new
+    return tree
 
 
 def templates(urls: DataFrame) -> DataFrame:
     """From (host, segs, label: 1 bad, 0 good or null), (host, segs, template, n, labelled, bad, purity)."""
     counts = (F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).cast("long").alias("bad"))
-    tree = materialise(urls.groupBy("host", "segs").agg(*counts).withColumn("template", F.array().cast("array<string>")), "url-tree")
-    depth, seen, bad = tree.agg(F.max(F.size("segs")), F.sum("labelled"), F.sum("bad")).first()
-    for level in range(1, (depth or 0) + 1):
-        here = tree.withColumn("seg", F.get("segs", F.lit(level - 1)))
-        by = here.where("seg is not null").groupBy("host", "template", "seg").agg(F.sum("n").alias("n"))
-        total = by.groupBy("host", "template").agg(F.sum("n").alias("total"))
-        keep = by.join(total, ["host", "template"]).where((F.col("n") >= F.greatest(F.lit(SUPPORT), F.col("total") * SHARE)) | F.col("seg").rlike(r"^\{|^\*\*$|^$"))
-        joined = here.join(keep.select("host", "template", "seg", F.lit(True).alias("kept")), ["host", "template", "seg"], "left")
-        grown = F.when(F.col("seg").isNull(), F.col("template")).otherwise(F.concat("template", F.array(F.when(F.col("kept"), F.col("seg")).otherwise(F.lit("*")))))
-        tree = materialise(joined.select("host", "segs", "n", "labelled", "bad", grown.alias("template")), "url-tree")
-    for level in range(depth or 0, 0, -1):
-        leaf = tree.groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b"))
-        name = F.get("template", F.lit(level - 1))
-        wide = F.transform("template", lambda s, i: F.when(i == level - 1, F.lit("*")).otherwise(s))
-        leaf = leaf.where(name.isNotNull() & ~name.rlike(r"^\{|^\*") & (F.col("l") > 0)).withColumn("wide", wide)
-        siblings = Window.partitionBy("host", "wide")
-        rate = F.sum("b").over(siblings) / F.sum("l").over(siblings)
-        leaf = leaf.withColumn("rate", rate).withColumn("far", F.abs(F.col("b") - F.col("l") * F.col("rate")) > Z * F.sqrt(F.col("l") * F.col("rate") * (1 - F.col("rate"))) + 1e-9)
-        alike = leaf.where("not far").withColumn("k", F.count("*").over(siblings)).where("k > 1").select("host", "template", "wide")
-        tree = materialise(tree.join(alike, ["host", "template"], "left").select("host", "segs", "n", "labelled", "bad", F.coalesce("wide", "template").alias("template")), "url-tree")
+    shapes = materialise(urls.groupBy("host", "segs").agg(*counts), "url-shapes")
+    seen, bad = shapes.agg(F.sum("labelled"), F.sum("bad")).first()
+    tree = _merge(_grow(shapes))
+    discard(shapes)
     prior = (bad or 0) / seen if seen else 0.0
     sums = tree.groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b"))
     purity = F.when(F.col("l") > 0, (F.col("b") + STRENGTH * prior) / (F.col("l") + STRENGTH)).otherwise(F.lit(prior))
-    return tree.join(sums.select("host", "template", purity.alias("purity")), ["host", "template"])
+    out = materialise(tree.join(sums.select("host", "template", purity.alias("purity")), ["host", "template"]), "url-purity")
+    discard(tree)
+    return out
 
 
 def judge(pages: DataFrame, url: str = "url", label: Column | None = None, rules=RULES) -> DataFrame:
@@ -114,18 +180,24 @@ def judge(pages: DataFrame, url: str = "url", label: Column | None = None, rules
     ``label`` (1 bad, 0 good, null unknown) teaches the templates; by default what the
     rules decide does.
     """
-    host, path = host_of(F.col(f"`{url}`").cast("string")), path_of(F.col(f"`{url}`").cast("string"))
-    rows = pages.withColumns({"url_host": host, "url_path": path})
-    rule, verdict = rule_of(F.col("url_host"), F.col("url_path"), rules)
-    rows = rows.withColumns({"url_rule": rule, "url_listed": verdict, "url_segs": segments(F.col("url_path"))})
-    teach = label if label is not None else F.when(F.col("url_listed") == "block", 1).when(F.col("url_listed") == "allow", 0)
-    tree = templates(rows.select(F.col("url_host").alias("host"), F.col("url_segs").alias("segs"), teach.cast("int").alias("label")))
-    tree = tree.select(F.col("host").alias("url_host"), F.col("segs").alias("url_segs"), F.array_join("template", "/").alias("url_template"), F.col("purity").alias("url_purity"))
-    learned = F.when(F.col("url_purity") >= REJECT, F.lit("block")).otherwise(F.lit("allow"))
-    return rows.join(tree, ["url_host", "url_segs"], "left").withColumn("url_verdict", F.coalesce("url_listed", learned)).drop("url_segs", "url_listed")
+    own = columns(pages.drop(*ADDED))
+    host, path, rule, segs, teach = free_names(pages, "_host", "_path", "_rule", "_segs", "_label")
+    address = F.col(f"`{url}`").cast("string")
+    rows = pages.withColumns({host: host_of(address), path: path_of(address)})
+    rows = rows.withColumns({rule: F.get(rule_of(F.col(host), F.col(path), rules), F.lit(0)), segs: segments(F.col(path))})
+    by_rule = F.when(F.col(rule)["verdict"] == "block", 1).when(F.col(rule)["verdict"] == "allow", 0)
+    rows = rows.withColumn(teach, (label if label is not None else by_rule).cast("int"))
+    tree = templates(rows.select(F.col(host).alias("host"), F.col(segs).alias("segs"), F.col(teach).alias("label")))
+    tree = tree.select(F.col("host").alias(host), F.col("segs").alias(segs), F.array_join("template", "/").alias("_t"), F.col("purity").alias("_p"))
+    template, purity = free_names(rows, "_template", "_purity")
+    done = rows.join(tree.withColumnsRenamed({"_t": template, "_p": purity}), [host, segs], "left")
+    learned = F.when(F.col(purity) >= REJECT, F.lit("block")).otherwise(F.lit("allow"))
+    added = (F.col(host), F.col(path), F.col(rule)["rule"], F.col(template), F.col(purity), F.coalesce(F.col(rule)["verdict"], learned))
+    return done.select(*own, *[c.alias(name) for c, name in zip(added, ADDED, strict=True)])
 
 
 def op5_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdict on every page's URL."""
-    done = judge(table(spark, sf_dir, "pages").select("page_id", "url"))
-    return done.select("page_id", F.col("url_host").alias("host"), F.col("url_path").alias("path"), F.col("url_rule").alias("rule"), F.col("url_verdict").alias("verdict"), F.col("url_template").alias("template"))
+    """Verdict on every page's URL; the pages' contents teach the templates."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    done = judge(pages, label=content_label(F.col("html")))
+    return done.select("page_id", F.col("url_host").alias("host"), F.col("url_path").alias("path"), F.col("url_rule").alias("rule"), F.col("url_verdict").alias("verdict"), F.col("url_template").alias("template"), F.col("url_purity").alias("purity"))
