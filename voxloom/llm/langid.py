@@ -3,8 +3,8 @@
 The network reads UTF-8 bytes in windows, one state of ``HIDDEN`` numbers in each direction, and
 labels every byte position; a document's probabilities are the mean over all of its positions.
 It is trained here, in numpy, by backpropagation through time with Adam, on windows of a
-bounded sample of labelled rows (``SAMPLE`` documents, by hash of the id, of which up to ``SAMPLE_CHARS``
-characters teach). Labelling reads every text whole.
+bounded sample of labelled rows (``SAMPLE`` documents, by hash of the id). A text of over ``SAMPLE_CHARS`` characters teaches by
+``PIECES`` pieces of it, one from each part of the whole text, at places that its id's hash names. Labelling reads every text whole.
 
 Defined results: null texts and those without a letter are ``und`` with score 0; rows
 with null language or id don't teach; without rows to learn from every text is ``und``; a single language is the
@@ -18,12 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import held_out, table
+from voxloom.llm.common import columns, free_names, held_out, table
 
-SAMPLE, SAMPLE_CHARS = 1600, 4000
+SAMPLE, SAMPLE_CHARS, PIECES = 1600, 4000, 10
 HIDDEN, TRAIN_WINDOW, WINDOW, BATCH, STEPS, RATE = 8, 48, 96, 160, 220, 0.02
 UNKNOWN = "und"
 
@@ -197,6 +197,14 @@ def label(p: dict[str, np.ndarray], texts: list[str], most: int = 1024) -> np.nd
     return total / np.maximum(count, 1)[:, None]
 
 
+def taught(text: Column, doc_id: Column, most: int = SAMPLE_CHARS, pieces: int = PIECES) -> Column:
+    """A text, or for one of over ``most`` characters as many from places spread over all of it, a line each."""
+    size, part = most // pieces, F.floor(F.char_length(text) / pieces).cast("int")
+    place = lambda i: i * part + F.pmod(F.xxhash64(doc_id, i), F.greatest(part - size + 1, F.lit(1))).cast("int") + 1
+    spread = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda i: F.substr(text, place(i), F.lit(size)))
+    return F.when(F.char_length(text) <= most, text).otherwise(F.array_join(spread, "\n"))
+
+
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> tuple[list[str], dict[str, np.ndarray]]:
     """A network from at most ``sample`` labelled rows that aren't held out."""
     t = F.col(f"`{text}`").cast("string")
@@ -204,7 +212,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int =
     total = rows.count()
     # First about four times the sample by hash, so that the sort moves few texts.
     near = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) <= min(1.0, 4 * sample / max(total, 1)) * (1 << 20))
-    got = near.select("l", F.substring("t", 1, SAMPLE_CHARS).alias("t"), F.xxhash64("doc_id").alias("h"), "doc_id").orderBy("h", "doc_id", "t", "l").limit(sample).toPandas()
+    got = near.select("l", taught(F.col("t"), F.col("doc_id")).alias("t"), F.xxhash64("doc_id").alias("h"), "doc_id").orderBy("h", "doc_id", "t", "l").limit(sample).toPandas()
     return fit(got["t"].to_list(), got["l"].to_list())
 
 
@@ -225,8 +233,9 @@ def identify(docs: DataFrame, names: list[str], p: dict[str, np.ndarray], text:
                     pred[ok], score[ok] = np.array(names, dtype=object)[prob.argmax(axis=1)], prob.max(axis=1)
             yield pd.DataFrame({"lang_pred": pred, "lang_score": np.clip(score, 0, 1)})
 
-    rows = docs.withColumn("_l", labelled(F.col(f"`{text}`").cast("string")))
-    return rows.withColumns({"lang_pred": F.col("_l.lang_pred"), "lang_score": F.col("_l.lang_score")}).drop("_l")
+    (found,) = free_names(docs, "_lang")
+    rows = docs.withColumn(found, labelled(F.col(f"`{text}`").cast("string")))
+    return rows.select(*columns(docs.drop("lang_pred", "lang_score")), F.col(found)["lang_pred"].alias("lang_pred"), F.col(found)["lang_score"].alias("lang_score"))
 
 
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,12 +24,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import held_out, table
+from voxloom.llm.common import columns, discard, free_names, held_out, materialise, table
 from voxloom.llm.textvec import SPACES, batches_of, mix, span_hashes, words_of
 
 BITS = 18
 #: At most so many labelled rows are learned from.
 SAMPLE = 6000
+#: And at most so many indicators, 4 bytes each, unless a single row has more.
+SAMPLE_INDICATORS = 20_000_000
 ALPHA, BETA, COST, EPOCHS, THRESHOLD = 1.0, 0.25, 0.05, 12, 0.3
 
 
@@ -144,21 +146,31 @@ def _logistic(x: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "quality", sample: int = SAMPLE) -> Model:
     """A model from the labelled rows of ``docs`` that aren't held out, at most ``sample`` of them."""
-    one = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
+    one = labels.select("doc_id", F.col(f"`{label}`").cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
     one = one.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("high")).where("label = high").drop("high")
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # Bounded by ``sample`` rows, so it may be broadcast.
-    rows = docs.select("doc_id", F.col(f"`{text}`").cast("string").alias("t")).join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", F.col(f"`{text}`").cast("string").alias("t")).join(F.broadcast(chosen), "doc_id").select(F.xxhash64("doc_id").alias("h"), "label", "t")
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            label = pdf["label"].to_numpy()
             for at, data, ends in batches_of(pdf["t"]):
                 t, f = indicators(data, ends)
                 cut = np.searchsorted(t, np.arange(len(ends) + 1))
-                yield pd.DataFrame({"label": label[at : at + len(ends)], "f": [f[a:b].astype("<i4").tobytes() for a, b in zip(cut, cut[1:], strict=False)]})
-
-    got = rows.mapInPandas(features, "label int, f binary").toPandas()
+                own = pdf.iloc[at : at + len(ends)]
+                yield pd.DataFrame({"h": own["h"].to_numpy(), "label": own["label"].to_numpy(), "f": [f[a:b].astype("<i4").tobytes() for a, b in zip(cut, cut[1:], strict=False)]})
+
+    # Ids may have many rows, and rows many indicators: the first in order of their hashes, up to both bounds.
+    found = materialise(rows.mapInPandas(features, "h long, label int, f binary").withColumns({"k": F.xxhash64("f"), "n": F.length("f") / 4}), "quality-rows")
+    taken, held = [], 0
+    for r in found.select("h", "k", "n").orderBy("h", "k").limit(sample).collect():
+        if taken and held + r["n"] > SAMPLE_INDICATORS:
+            break
+        taken, held = [*taken[-1:], (r["h"], r["k"])], held + r["n"]
+    last = taken[-1] if taken else (0, 0)
+    upto = (F.col("h") < last[0]) | ((F.col("h") == last[0]) & (F.col("k") <= last[1]))
+    got = found.where(upto).orderBy("h", "k").limit(sample).select("label", "f").toPandas()
+    discard(found)
     got = got.sort_values(["label", "f"]).reset_index(drop=True)  # whatever the order of the partitions
     return fit([np.frombuffer(x, "<i4") for x in got["f"]], got["label"].to_numpy())
 
@@ -179,8 +191,16 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             out[at : at + len(ends)] = _margin(total, size, bias)
         return pd.Series(1 / (1 + np.exp(-np.clip(slope * out + shift, -60, 60))))
 
-    rows = docs.withColumn("quality_score", scored(F.col(f"`{text}`").cast("string")))
-    return rows.withColumn("quality_ok", F.col("quality_score") >= THRESHOLD)
+    (name,) = free_names(docs, "_score")
+    rows = docs.withColumn(name, scored(F.col(f"`{text}`").cast("string")))
+    return rows.select(*columns(docs.drop("quality_score", "quality_ok")), F.col(name).alias("quality_score"), (F.col(name) >= THRESHOLD).alias("quality_ok"))
+
+
+def keep_good(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows that aren't rejected, with their columns."""
+    (row,) = free_names(docs, "_row")
+    judged = score(docs.select(F.struct(*columns(docs)).alias(row), F.col(f"`{text}`").alias("text")), model)
+    return judged.where("quality_ok").select(*[F.col(row)[c].alias(c) for c in docs.columns])
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
