@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.llm import decontam, minhash, packing, pii, quality
-from voxloom.llm.common import materialise, table
+from voxloom.llm.common import discard, materialise, table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, trained on the labelled rows among them, doesn't reject."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).where("quality_ok").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return quality.keep_good(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +29,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    items = table(spark, sf_dir, "benchmark")
-    return decontam.contamination(docs, items).where("n_items = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +58,11 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on documents; each stage's rows are written and read again."""
     docs = table(spark, sf_dir, "documents")
+    written: list[DataFrame] = []
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(*written)
+        written = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
