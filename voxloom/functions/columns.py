@@ -38,6 +38,15 @@ vague_time = _lift(kernels.vague_time, "boolean")
 json_object = _lift(kernels.json_object, "string")
 
 
+#: A character that isn't white space, to Java as to RE2.
+NOT_SPACE = r"[^\t-\r\x1c-\x20\x{85}\p{Z}]"
+
+
+def has_text(text: Column) -> Column:
+    """Whether there's more than white space; null has none."""
+    return F.coalesce(text.rlike(NOT_SPACE), F.lit(False))
+
+
 def let(value: Column, f) -> Column:
     """f(value), with the value worked out once, even where f uses it within a lambda."""
     return F.transform(F.array(value), f)[0]

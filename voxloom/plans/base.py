@@ -65,7 +65,7 @@ def model_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def results_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model_results(spark, sf_dir).where(F.col("error").isNull() & (F.trim(F.coalesce("transcript", F.lit(""))) != ""))
+    return model_results(spark, sf_dir).where(F.col("error").isNull() & C.has_text(F.col("transcript")))
 
 
 def sides(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +73,9 @@ def sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "embeddings").select((F.col("vec_id") / 2).cast("long").alias("call_id"), (F.col("vec_id") % 2).cast("int").alias("channel"), F.col("vec_id").alias("side_id"), "label", F.col("embedding").cast("array<double>").alias("v"))
 
 
+#: Whether a transcript is more than white space, in SQL.
+HAS_TEXT = f"regexp_matches(coalesce(transcript, ''), '{C.NOT_SPACE}')"
+
 SEG = r"""seg AS (
   SELECT 'call_' || call_id || '_' || lpad(CAST(turn AS VARCHAR), 5, '0') AS segment_id, call_id, channel, turn, text, duration_sec,
          start_sec, round(start_sec + duration_sec, 6) AS end_sec
@@ -101,7 +104,7 @@ RES = (
     FROM seg, panel
   )
 ), ok AS (
-  SELECT * FROM res WHERE error IS NULL AND trim(transcript) <> ''
+  SELECT * FROM res WHERE error IS NULL AND regexp_matches(transcript, '[^\t-\r\x1c-\x20\x{85}\p{Z}]')
 )"""
 )
 

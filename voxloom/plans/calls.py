@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from voxloom.functions import columns as C
 from voxloom.functions.fixed import PANEL
 from voxloom.operators import consensus as CN
+from voxloom.operators import context as CX
 from voxloom.operators import state as ST
-from voxloom.plans.base import RES, SEG, model_results, query, read, results_ok, segments
+from voxloom.plans.base import HAS_TEXT, RES, SEG, model_results, query, read, results_ok, segments
 
 R = F.round
 
 # Filters and projections
 
 
-@query("FLT-OK", f"WITH {RES} SELECT segment_id, model_name, error IS NULL AND trim(coalesce(transcript, '')) <> '' AS ok FROM res")
+@query("FLT-OK", f"WITH {RES} SELECT segment_id, model_name, error IS NULL AND {HAS_TEXT} AS ok FROM res")
 def flt_ok(spark, d):
-    return model_results(spark, d).select("segment_id", "model_name", (F.col("error").isNull() & (F.trim(F.coalesce("transcript", F.lit(""))) != "")).alias("ok"))
+    return model_results(spark, d).select("segment_id", "model_name", (F.col("error").isNull() & C.has_text(F.col("transcript"))).alias("ok"))
 
 
 @query("FLT-LANG", "SELECT doc_id, CASE WHEN lower(lang) IN ('en', 'es') THEN 'pending' ELSE 'unsupported_language' END AS status FROM documents")
@@ -89,9 +90,9 @@ def jn_filemeta(spark, d):
     return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber").join(o, "l_orderkey", "left").select("l_orderkey", "l_linenumber", "o_orderpriority")
 
 
-@query("JN-SPEAKER", f"WITH {SEG}, m AS (SELECT CAST(vec_id // 2 AS VARCHAR) AS c, CAST(vec_id % 2 AS VARCHAR) AS h, 'spk_' || label AS s FROM embeddings WHERE vec_id < 40) SELECT segment_id, coalesce(s, 'spk_fallback_' || call_id || '_ch' || channel) AS speaker FROM seg LEFT JOIN m ON CAST(call_id AS VARCHAR) = c AND CAST(channel AS VARCHAR) = h")
+@query("JN-SPEAKER", f"WITH {SEG}, m AS (SELECT CAST(vec_id // 2 AS VARCHAR) AS c, CAST(vec_id % 2 AS VARCHAR) AS h, 'spk_' || label AS s FROM embeddings) SELECT segment_id, coalesce(s, 'spk_fallback_' || call_id || '_ch' || channel) AS speaker FROM seg LEFT JOIN m ON CAST(call_id AS VARCHAR) = c AND CAST(channel AS VARCHAR) = h")
 def jn_speaker(spark, d):
-    m = read(spark, d, "embeddings").where("vec_id < 40").select(F.floor(F.col("vec_id") / 2).cast("string").alias("c"), (F.col("vec_id") % 2).cast("string").alias("h"), F.concat(F.lit("spk_"), "label").alias("s"))
+    m = read(spark, d, "embeddings").select(F.floor(F.col("vec_id") / 2).cast("string").alias("c"), (F.col("vec_id") % 2).cast("string").alias("h"), F.concat(F.lit("spk_"), "label").alias("s"))
     s = segments(spark, d).withColumns({"c": F.col("call_id").cast("string"), "h": F.col("channel").cast("string")})
     return s.join(m, ["c", "h"], "left").select("segment_id", F.coalesce("s", F.concat(F.lit("spk_fallback_"), "c", F.lit("_ch"), "h")).alias("speaker"))
 
@@ -127,12 +128,14 @@ def jn_selfmodel(spark, d):
     return a.join(b, (F.col("a.segment_id") == F.col("b.segment_id")) & (F.col("a.rank") < F.col("b.rank"))).select("a.segment_id", F.col("a.model_name").alias("ref"), F.col("b.model_name").alias("hyp"), (F.col("a.norm") == F.col("b.norm")).alias("same"))
 
 
-@query("JN-OTHERCH", f"WITH {SEG} SELECT a.segment_id, string_agg(substr(b.text, 1, 80), ' ' ORDER BY b.turn) AS context FROM seg a JOIN seg b ON a.call_id = b.call_id AND a.channel <> b.channel AND trim(b.text) <> '' GROUP BY a.segment_id")
+@query(
+    "JN-OTHERCH",
+    f"""WITH {SEG}, t AS (SELECT call_id, channel, regexp_replace(string_agg(text, chr(10) ORDER BY turn), '^[ \\t-\\r]+|[ \\t-\\r]+$', '', 'g') AS txt FROM seg GROUP BY call_id, channel),
+    o AS (SELECT call_id, channel, 'Other channel ' || channel || ':' || chr(10) || CASE WHEN length(txt) > 2500 THEN substr(txt, 1, 2500) || chr(10) || '[TRUNCATED]' ELSE txt END AS part FROM t WHERE txt <> '')
+    SELECT a.call_id, a.channel, coalesce(string_agg(o.part, chr(10) || chr(10) ORDER BY o.channel), '') AS context FROM t a LEFT JOIN o ON a.call_id = o.call_id AND a.channel <> o.channel GROUP BY a.call_id, a.channel""",
+)
 def jn_otherch(spark, d):
-    s = segments(spark, d)
-    by = s.where(F.trim("text") != "").groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("turn", "channel", F.substring("text", 1, 80).alias("t")))).alias("x"))
-    other = F.filter("x", lambda x: x["channel"] != F.col("channel"))
-    return s.join(by, "call_id").where(F.size(other) > 0).select("segment_id", F.array_join(F.transform(other, lambda x: x["t"]), " ").alias("context"))
+    return CX.other_channels(segments(spark, d))
 
 
 @query("JN-PAIRBOTH", f"WITH {RES} SELECT a.segment_id FROM ok a JOIN ok b ON a.segment_id = b.segment_id WHERE a.model_name = 'parakeet' AND b.model_name = 'granite'")
@@ -345,7 +348,7 @@ def st_retry(spark, d):
 @query("ST-FAIL", f"WITH {RES} SELECT segment_id || ':' || model_name AS failure_id FROM res WHERE error IS NOT NULL AND segment_id NOT IN (SELECT segment_id FROM ok WHERE model_name = 'whisper')")
 def st_fail(spark, d):
     r = model_results(spark, d)
-    return r.where("error is not null").join(r.where("model_name = 'whisper' and error is null and trim(transcript) <> ''").select("segment_id"), "segment_id", "left_anti").select(F.concat_ws(":", "segment_id", "model_name").alias("failure_id"))
+    return r.where("error is not null").join(r.where("model_name = 'whisper' and error is null").where(C.has_text(F.col("transcript"))).select("segment_id"), "segment_id", "left_anti").select(F.concat_ws(":", "segment_id", "model_name").alias("failure_id"))
 
 
 @query("ST-COUNT", "SELECT 'documents' AS name, count(*) AS n FROM documents UNION ALL SELECT 'labels', count(*) FROM labels UNION ALL SELECT 'pages', count(*) FROM pages")
@@ -464,9 +467,9 @@ def aud_callview(spark, d):
     return model_results(spark, d).where("call_id = 3").select("segment_id", "model_name", F.coalesce("error", "transcript").alias("shown"))
 
 
-@query("AUD-PEEK", f"WITH {RES} SELECT model_name, count(*) AS n, count(*) FILTER (WHERE error IS NOT NULL) AS errors, count(*) FILTER (WHERE trim(coalesce(transcript, '')) = '') AS empties, round(avg(length(transcript)), 6) AS mean_chars FROM res GROUP BY model_name")
+@query("AUD-PEEK", f"WITH {RES} SELECT model_name, count(*) AS n, count(*) FILTER (WHERE error IS NOT NULL) AS errors, count(*) FILTER (WHERE NOT {HAS_TEXT}) AS empties, round(avg(length(transcript)), 6) AS mean_chars FROM res GROUP BY model_name")
 def aud_peek(spark, d):
-    return model_results(spark, d).groupBy("model_name").agg(F.count("*").alias("n"), F.count("error").alias("errors"), F.count_if(F.trim(F.coalesce("transcript", F.lit(""))) == "").alias("empties"), R(F.avg(F.char_length("transcript")), 6).alias("mean_chars"))
+    return model_results(spark, d).groupBy("model_name").agg(F.count("*").alias("n"), F.count("error").alias("errors"), F.count_if(~C.has_text(F.col("transcript"))).alias("empties"), R(F.avg(F.char_length("transcript")), 6).alias("mean_chars"))
 
 
 @query("AUD-VERDICT", "SELECT CASE WHEN toxic = 1 THEN 'leak' WHEN quality = 1 THEN 'pass' ELSE 'unseen' END AS verdict, count(*) AS n FROM labels GROUP BY 1")

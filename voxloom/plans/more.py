@@ -17,7 +17,7 @@ from voxloom.operators import consensus as CN
 from voxloom.operators import intervals as IV
 from voxloom.operators import speakers as SP
 from voxloom.operators import state as ST
-from voxloom.plans.base import RES, SEG, model_results, query, read, results_ok, segments, sides
+from voxloom.plans.base import HAS_TEXT, RES, SEG, model_results, query, read, results_ok, segments, sides
 from voxloom.sources import calls as SRC
 from voxloom.sources import sinks
 from voxloom.sources.work import work_path
@@ -39,9 +39,9 @@ def ag_callpii(spark, d):
     return s.groupBy("call_id").agg(F.count("*").alias("segments"), F.sum(F.regexp_count("text", F.lit("[0-9]+"))).alias("numbers"), R(F.sum("duration_sec"), 6).alias("speech_sec"), F.array_join(F.array_sort(F.collect_set("status")), ",").alias("status"))
 
 
-@query("AG-COVER", f"WITH {RES} SELECT model_name, round(avg(CASE WHEN trim(coalesce(transcript, '')) <> '' THEN 1 ELSE 0 END), 6) AS covered FROM res GROUP BY model_name")
+@query("AG-COVER", f"WITH {RES} SELECT model_name, round(avg(CASE WHEN {HAS_TEXT} THEN 1 ELSE 0 END), 6) AS covered FROM res GROUP BY model_name")
 def ag_cover(spark, d):
-    return model_results(spark, d).groupBy("model_name").agg(R(F.avg((F.trim(F.coalesce("transcript", F.lit(""))) != "").cast("double")), 6).alias("covered"))
+    return model_results(spark, d).groupBy("model_name").agg(R(F.avg(C.has_text(F.col("transcript")).cast("double")), 6).alias("covered"))
 
 
 @query("AG-WER")
@@ -87,9 +87,9 @@ def cns_part(spark, d):
     return CN.mark_loops(results_ok(spark, d)).select("segment_id", "model_name", F.col("degenerate").isNull().alias("usable"))
 
 
-@query("CNS-WEAK", f"WITH {RES} SELECT segment_id, model_name FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY confidence DESC, rank) AS k FROM ok) WHERE k = 1")
+@query("CNS-WEAK", f"WITH {RES} SELECT segment_id, model_name FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY coalesce(confidence, 0) DESC, rank) AS k FROM ok) WHERE k = 1")
 def cns_weak(spark, d):
-    best = F.min(F.struct(F.negative("confidence"), F.col("rank"), F.col("model_name"))).alias("b")
+    best = F.min(F.struct(F.negative(F.coalesce("confidence", F.lit(0.0))), F.col("rank"), F.col("model_name"))).alias("b")
     return results_ok(spark, d).groupBy("segment_id").agg(best).select("segment_id", "b.model_name")
 
 

@@ -472,7 +472,7 @@ def src_sig(spark, d):
 
 @query("SNK-MANIFEST", f"WITH {RES}, n AS (SELECT segment_id, count(*) AS models FROM ok GROUP BY segment_id) SELECT CAST(call_id AS VARCHAR) AS call_id, CAST(models AS VARCHAR) AS models, segment_id FROM seg LEFT JOIN n USING (segment_id)")
 def snk_manifest(spark, d):
-    n = model_results(spark, d).where("error is null and trim(transcript) <> ''").groupBy("segment_id").agg(F.count("*").alias("models"))
+    n = model_results(spark, d).where("error is null").where(C.has_text(F.col("transcript"))).groupBy("segment_id").agg(F.count("*").alias("models"))
     path = work_path(spark, "manifest")
     sinks.write_manifest(sinks.manifest(segments(spark, d).select("segment_id", "call_id"), n), path)
     return spark.read.schema("call_id string, models string, segment_id string").parquet(f"{path}/parquet")

@@ -66,11 +66,11 @@ def txt_degen(spark, d):
     return mark_loops(model_results(spark, d).where("transcript is not null")).select("segment_id", "model_name", F.col("degenerate").alias("reason"))
 
 
-@query("TXT-LEV", f"WITH {RES} SELECT a.segment_id, b.model_name, levenshtein(a.norm, b.norm) AS dist FROM ok a JOIN ok b ON a.segment_id = b.segment_id WHERE a.rank = 0 AND b.rank > 0 AND length(a.norm) <= 400 AND length(b.norm) <= 400")
+@query("TXT-LEV", f"WITH {RES} SELECT a.segment_id, b.model_name, levenshtein(a.norm, b.norm) AS dist FROM ok a JOIN ok b ON a.segment_id = b.segment_id WHERE a.rank = 0 AND b.rank > 0")
 def txt_lev(spark, d):
     r = results_ok(spark, d)
     a = r.where("rank = 0").select("segment_id", F.col("norm").alias("a"))
-    pairs = r.where("rank > 0").join(a, "segment_id").where((F.char_length("norm") <= 400) & (F.char_length("a") <= 400))
+    pairs = r.where("rank > 0").join(a, "segment_id")
     return pairs.select("segment_id", "model_name", F.levenshtein("a", "norm").cast("long").alias("dist"))
 
 
