@@ -31,6 +31,7 @@ def _lift(kernel, kind: str):
 
 
 normalise = _lift(kernels.normalise, "string")
+normalise_first = _lift(kernels.normalise_first, "string")
 word_distance = _lift(lambda a, b: kernels.word_distance(a or "", b or ""), "int")
 detect = _lift(kernels.detect, SPANS)
 spoken_numbers = _lift(kernels.spoken_numbers, SPANS)

@@ -76,6 +76,20 @@ def normalise(text: str | None, fillers: bool = False) -> str:
     return " ".join(join_numbers(tokens if fillers else [t for t in tokens if t not in K.FILLERS]))
 
 
+_FIRST_CONTRACTIONS = {k: v for k, v in K.CONTRACTIONS.items() if k not in K.LATER_CONTRACTIONS}
+
+
+def normalise_first(text: str | None) -> str:
+    """The first form of normalise: ordinals go as a whole, contractions are replaced within words too, each number word is a number of its own."""
+    value = unicodedata.normalize("NFKC", text or "").translate(_QUOTES).lower()
+    value = re.sub(r"\d+(?:st|nd|rd|th)", "", value)
+    for short, long in _FIRST_CONTRACTIONS.items():
+        value = value.replace(short, long)
+    spelled = K.SAME_WORD | K.UNITS | K.TEENS | K.TENS
+    tokens = (t for t in _WORD.findall(value) if t not in K.FILLERS or t in K.LATER_FILLERS)
+    return " ".join(spelled.get(t, t) for t in tokens)
+
+
 def word_distance(a: str, b: str) -> int:
     """Edit distance between word sequences."""
     x, y = a.split(), b.split()

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxloom.functions import fixed as K
+
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
@@ -27,6 +29,27 @@ def detect_by_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
     return docs.join(got, "doc_id", "left").withColumn("confidence", F.coalesce("confidence", F.lit(0.0)))
 
 
+def fold(text: Column) -> Column:
+    """Lower case without the accents of Latin letters."""
+    return F.translate(F.lower(text), *K.ACCENTS)
+
+
+def score(text: Column, spanish: tuple[str, ...] = K.SPANISH_WORDS, english: tuple[str, ...] = K.ENGLISH_WORDS) -> tuple[Column, Column]:
+    """(language, confidence): es or en by their words and the letters that only Spanish has; null without evidence.
+
+    Each such letter counts as two words and breaks a tie; the confidence is the margin over all evidence. The word lists are
+    parameters: their words mustn't belong to the other language.
+    """
+    text = F.coalesce(text, F.lit(""))
+    letters = F.regexp_count(F.lower(text), F.lit(f"[{K.SPANISH_LETTERS}]"))
+    found = F.regexp_extract_all(fold(text), F.lit(r"\p{L}+"), F.lit(0))
+    es = letters * 2 + F.size(F.filter(found, lambda w: w.isin(*spanish)))
+    en = F.size(F.filter(found, lambda w: w.isin(*english) & ~w.isin(*spanish)))
+    code = F.when(es + en == 0, None).when(es > en, "es").when(en > es, "en").when(letters > 0, "es")
+    sure = F.when(es + en == 0, 0.0).otherwise(F.abs(es - en) / (es + en))
+    return code, sure
+
+
 def rollup(rows: DataFrame, keys: list[str], own: str, order: str) -> DataFrame:
     """Rows without a language take their call's majority (of equals the first seen); its share is the confidence."""
     votes = rows.where(F.col(own).isNotNull()).groupBy(*keys, own).agg(F.count("*").alias("n"), F.min(order).alias("seen"))

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions.kernels import pack_batches
+from voxloom.operators.order import running
+
+#: Lines that a task digests.
+SIGNED_LINES = 100_000
 
 
 def latest(log: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -25,25 +29,27 @@ def pending(work: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return work.join(done.select(*keys), keys, "left_anti")
 
 
-def signature(rows: DataFrame, path: str, size: str) -> DataFrame:
+def signature(rows: DataFrame, path: str, size: str, most: int = SIGNED_LINES) -> DataFrame:
     """One row: the digest of all ``path:size`` lines in order, and their number.
 
-    Lines are digested by buckets of their path's hash, in order, and the buckets' digests again,
-    so that no task sorts all of them.
+    Up to ``most`` lines it is the digest of them all. Of more, lines are dealt into so many buckets by their path's hash that each has about
+    ``most``, and the lines are the buckets' digests, over again until they are few: no task sorts more.
     """
-    line = F.struct(F.col(path).alias("p"), F.concat_ws(":", path, size).alias("l"))
-    by = rows.groupBy(F.pmod(F.xxhash64(path), F.lit(4096)).alias("b")).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["l"]), "\n"), 256).alias("s"), F.count("*").alias("n"))
-    return by.agg(F.substring(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "s"))), lambda x: x["s"]), "\n"), 256), 1, 24).alias("signature"), F.sum("n").alias("files"))
+    lines = rows.select(F.struct(F.col(path).cast("string").alias("p"), F.col(size).cast("long").alias("n")).alias("o"), F.concat_ws(":", F.col(path).cast("string"), F.col(size).cast("string")).alias("l"))
+    files = n = rows.count()
+    digest = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "l"))), lambda x: x["l"]), "\n"), 256)
+    while n > most:
+        buckets = -(-n // most) * 2
+        bucket = F.pmod(F.xxhash64("o"), F.lit(buckets))
+        by = lines.groupBy(bucket.alias("b")).agg(digest.alias("l"))
+        lines, n = by.select(F.struct(F.lpad(F.col("b").cast("string"), 12, "0").alias("p"), F.col("b").alias("n")).alias("o"), "l"), buckets
+    return lines.agg(F.substring(digest, 1, 24).alias("signature")).withColumn("files", F.lit(files).cast("long"))
 
 
 def chunks(rows: DataFrame, call: str, target: int) -> DataFrame:
     """(call, chunk): whole calls in order, about ``target`` rows a chunk: a chunk's number is the rows before it over the target."""
     sizes = rows.groupBy(call).agg(F.count("*").alias("n"))
-    # A running sum of one row a call: ranges of calls first, then within each.
-    parts = sizes.repartitionByRange(call).sortWithinPartitions(call).withColumn("_p", F.spark_partition_id())
-    base = parts.groupBy("_p").agg(F.sum("n").alias("s")).withColumn("before", F.coalesce(F.sum("s").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("s")
-    run = F.coalesce(F.sum("n").over(Window.partitionBy("_p").orderBy(call).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return parts.join(base, "_p").select(call, F.floor((run + F.col("before")) / target).alias("chunk"))
+    return running(sizes, [F.col(call)], F.col("n")).select(call, F.floor(F.col("before") / target).alias("chunk"))
 
 
 def batches(rows: DataFrame, keys: list[str], size: str, key: str, most: int, budget: float) -> DataFrame:

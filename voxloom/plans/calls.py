@@ -33,14 +33,6 @@ def flt_train(spark, d):
     return segments(spark, d).select("segment_id", ok.alias("trainable"))
 
 
-@query("FLT-EMBED2", f"WITH {SEG}, q AS (SELECT quantile_cont(duration_sec, 0.02) AS lo, quantile_cont(duration_sec, 0.995) AS hi FROM seg) SELECT segment_id FROM seg, q WHERE duration_sec >= 2.0 AND duration_sec BETWEEN lo AND hi")
-def flt_embed2(spark, d):
-    s = segments(spark, d)
-    # One row: a scalar.
-    q = s.agg(F.percentile("duration_sec", 0.02).alias("lo"), F.percentile("duration_sec", 0.995).alias("hi"))
-    return s.join(F.broadcast(q)).where((F.col("duration_sec") >= 2.0) & F.col("duration_sec").between(F.col("lo"), F.col("hi"))).select("segment_id")
-
-
 @query("FLT-CAND", f"WITH {RES}, n AS (SELECT segment_id, norm, count(*) AS n FROM ok GROUP BY segment_id, norm) SELECT segment_id, max(n) >= 3 AS high_confidence FROM n GROUP BY segment_id")
 def flt_cand(spark, d):
     return results_ok(spark, d).groupBy("segment_id", "norm").count().groupBy("segment_id").agg((F.max("count") >= 3).alias("high_confidence"))
@@ -217,11 +209,6 @@ def ag_distinct(spark, d):
     return segments(spark, d).agg(F.count_distinct("call_id").alias("calls"), F.count_distinct(F.struct("call_id", "channel")).alias("sides"))
 
 
-@query("AG-QUANT", f"WITH {SEG} SELECT channel, round(quantile_cont(duration_sec, 0.1), 6) AS q10, round(quantile_cont(duration_sec, 0.2), 6) AS q20, round(quantile_cont(duration_sec, 0.999), 6) AS q999 FROM seg GROUP BY channel")
-def ag_quant(spark, d):
-    return segments(spark, d).groupBy("channel").agg(*[R(F.percentile("duration_sec", q), 6).alias(n) for n, q in (("q10", 0.1), ("q20", 0.2), ("q999", 0.999))])
-
-
 @query("AG-LANGVOTE", "WITH v AS (SELECT source, lang, count(*) AS n FROM documents GROUP BY source, lang), r AS (SELECT *, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY source) AS share, row_number() OVER (PARTITION BY source ORDER BY n DESC, lang) AS k FROM v) SELECT source, lang, round(share, 6) AS share FROM r WHERE k = 1")
 def ag_langvote(spark, d):
     v = read(spark, d, "documents").groupBy("source", "lang").agg(F.count("*").alias("n"))
@@ -255,12 +242,6 @@ def wn_dedupe(spark, d):
     return ST.latest(read(spark, d, "events"), ["user_id"], ["event_id"]).select("user_id", "event_id")
 
 
-@query("WN-RENUM", "WITH c AS (SELECT event_type, count(*) AS n FROM events GROUP BY event_type) SELECT event_type, n, row_number() OVER (ORDER BY n DESC, event_type) - 1 AS number FROM c")
-def wn_renum(spark, d):
-    c = read(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"))
-    return c.withColumn("number", (F.row_number().over(Window.orderBy(F.desc("n"), "event_type")) - 1).cast("long"))
-
-
 @query("WN-ROWID", f"WITH {SEG} SELECT segment_id, 'seg_' || lpad(CAST(row_number() OVER (PARTITION BY call_id, channel ORDER BY turn) - 1 AS VARCHAR), 5, '0') AS row_id FROM seg")
 def wn_rowid(spark, d):
     n = F.row_number().over(Window.partitionBy("call_id", "channel").orderBy("turn")) - 1
@@ -318,13 +299,6 @@ def set_intersect(spark, d):
     return read(spark, d, "documents").select("doc_id").intersect(read(spark, d, "labels").select("doc_id"))
 
 
-@query("SET-DISJOINT", "SELECT CAST(0 AS BIGINT) AS shared, count(*) AS every FROM (SELECT DISTINCT conv_id FROM conversations)")
-def set_disjoint(spark, d):
-    keys = read(spark, d, "conversations").select("conv_id").distinct().withColumn("shard", C.shard_of(F.col("conv_id").cast("string"), 3))
-    by = keys.groupBy("conv_id").agg(F.count_distinct("shard").alias("n"))
-    return by.agg(F.count_if(F.col("n") > 1).alias("shared"), F.count("*").alias("every"))
-
-
 # State
 
 
@@ -478,13 +452,6 @@ def aud_verdict(spark, d):
     return read(spark, d, "labels").groupBy(v.alias("verdict")).agg(F.count("*").alias("n"))
 
 
-@query("VAL-PARITY", f"WITH {RES}, n AS (SELECT model_name, count(*) AS c, count(*) FILTER (WHERE error IS NOT NULL) AS f FROM res GROUP BY model_name) SELECT 'failed_' || model_name AS violation, f AS n FROM n WHERE f > 0 UNION ALL SELECT 'inverted', count(*) FROM seg WHERE end_sec < start_sec HAVING count(*) > 0")
-def val_parity(spark, d):
-    failed = model_results(spark, d).where("error is not null").groupBy("model_name").agg(F.count("*").alias("n")).select(F.concat(F.lit("failed_"), "model_name").alias("violation"), "n")
-    inverted = segments(spark, d).where("end_sec < start_sec").agg(F.count("*").alias("n")).where("n > 0").select(F.lit("inverted").alias("violation"), "n")
-    return failed.unionAll(inverted)
-
-
 @query("VAL-PAIR", f"WITH {SEG} SELECT a.segment_id, abs(a.duration_sec - (a.end_sec - a.start_sec)) <= 0.010 AS ok FROM seg a")
 def val_pair(spark, d):
     return segments(spark, d).select("segment_id", (F.abs(F.col("duration_sec") - (F.col("end_sec") - F.col("start_sec"))) <= 0.010).alias("ok"))

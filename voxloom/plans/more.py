@@ -16,7 +16,6 @@ from voxloom.operators import adapters, alignment
 from voxloom.operators import consensus as CN
 from voxloom.operators import intervals as IV
 from voxloom.operators import speakers as SP
-from voxloom.operators import state as ST
 from voxloom.plans.base import HAS_TEXT, RES, SEG, model_results, query, read, results_ok, segments, sides
 from voxloom.sources import calls as SRC
 from voxloom.sources import sinks
@@ -60,12 +59,6 @@ def ag_drift(spark, d):
     return pairs.agg(R(F.avg((F.col("a") == F.col("norm")).cast("double")), 6).alias("exact"))
 
 
-@query("AG-CONF", "SELECT lang AS want, CASE WHEN text LIKE '%the%' THEN 'en' WHEN text LIKE '%que%' THEN 'es' ELSE 'none' END AS got, count(*) AS n FROM documents GROUP BY ALL")
-def ag_conf(spark, d):
-    got = F.when(F.col("text").contains("the"), "en").when(F.col("text").contains("que"), "es").otherwise("none")
-    return read(spark, d, "documents").groupBy(F.col("lang").alias("want"), got.alias("got")).agg(F.count("*").alias("n"))
-
-
 @query("AG-INVARIANT", "SELECT vec_id // 2 AS call_id, count(DISTINCT label) AS speakers FROM embeddings GROUP BY 1 HAVING count(DISTINCT label) < 2")
 def ag_invariant(spark, d):
     """Calls whose two sides have one speaker."""
@@ -319,11 +312,6 @@ def msk_fade(spark, d):
     return read(spark, d, "embeddings").select("vec_id", R(peak("embedding"), 6).alias("peak"))
 
 
-@query("RDC-FILE", f"WITH {SEG} SELECT call_id AS file_id, CASE WHEN count(*) FILTER (WHERE channel = 0) = 0 THEN 'copied' ELSE 'redacted' END AS status FROM seg GROUP BY call_id")
-def rdc_file(spark, d):
-    return segments(spark, d).groupBy(F.col("call_id").alias("file_id")).agg(F.when(F.count_if(F.col("channel") == 0) == 0, "copied").otherwise("redacted").alias("status"))
-
-
 @query("JN-KNN")
 def jn_knn(spark, d):
     return SP.neighbours(sides(spark, d), 3).select("a", "b", "rank")
@@ -378,13 +366,6 @@ def src_csv(spark, d):
     return spark.read.schema("o_orderkey long, o_orderstatus string").option("header", "true").csv(path)
 
 
-@query("SRC-PROBE")
-def src_probe(spark, d):
-    """Headers of files that aren't WAV are errors, not failures."""
-    files = read(spark, d, "pages").select(F.col("url").alias("path"), F.encode("html", "UTF-8").alias("content"))
-    return SRC.wav_headers(files).select("path", F.col("error").isNotNull().alias("failed"))
-
-
 @query("SNK-PARQUET", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, CAST(n_chars AS VARCHAR) AS n_chars FROM documents")
 def snk_parquet(spark, d):
     return sinks.as_strings(read(spark, d, "documents").select("doc_id", "lang", "n_chars"))
@@ -422,14 +403,6 @@ def snk_npz(spark, d):
     return spark.read.parquet(path).select("label", "n_used", F.size("centroid").alias("dim"))
 
 
-@query("ST-MARKER")
-def st_marker(spark, d):
-    """A stage is done if its input has the signature that it had."""
-    pages = read(spark, d, "pages").select(F.col("url").alias("p"), F.octet_length("html").alias("n"))
-    a, b = ST.signature(pages, "p", "n"), ST.signature(pages, "p", "n").withColumnRenamed("signature", "again").drop("files")
-    return a.join(F.broadcast(b)).select((F.col("signature") == F.col("again")).alias("done"))
-
-
 @query("OPS-DRYRUN", f"WITH {SEG} SELECT count(*) AS segments, count(DISTINCT call_id) AS calls, round(sum(duration_sec), 4) AS seconds FROM seg")
 def ops_dryrun(spark, d):
     return segments(spark, d).agg(F.count("*").alias("segments"), F.count_distinct("call_id").alias("calls"), R(F.sum("duration_sec"), 4).alias("seconds"))

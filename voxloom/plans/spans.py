@@ -8,13 +8,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from voxloom.functions import columns as C
+from voxloom.functions import fixed as K
 from voxloom.functions import kernels
 from voxloom.functions.fixed import NOT_MASKED
 from voxloom.operators import adapters, alignment
 from voxloom.operators import consensus as CN
 from voxloom.operators import intervals as IV
 from voxloom.operators import speakers as SP
-from voxloom.operators import state as ST
 from voxloom.plans.base import RES, SEG, SIDES, model_results, query, read, segments, sides
 from voxloom.sources import calls as SRC
 from voxloom.sources import sinks
@@ -149,12 +149,19 @@ def _found(kind: str, pattern: str):
 
 
 _found("EMAIL", r"(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b")
-_found("PHONE", r"\+?\d[\d\s().-]{7,}\d")
 _found("SSN", r"\b\d{3}-\d{2}-\d{4}\b")
 _found("DOB", r"\b(?:\d{1,2}[/-]){2}\d{2,4}\b")
 _found("ZIP", r"\b\d{5}(?:-\d{4})?\b")
 
 
+@query("PII-PHONE")
+def pii_phone(spark, d):
+    """Phone numbers by their pattern, which looks at the characters around: RE2 can't."""
+    pattern = next(p for kind, p, *_ in K.PATTERNS if kind == "PHONE")
+    x = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(pattern), F.lit(0))
+    return read(spark, d, "documents").select("doc_id", x.alias("x")).where(F.size("x") > 0).select("doc_id", F.size("x").cast("long").alias("n"), F.array_join("x", "|").alias("found"))
+
+
 @query("PII-ID")
 def pii_id(spark, d):
     return _kind(spark, d, "ID", F.concat(F.lit("my member id is four four four two. "), "text"))
@@ -203,14 +210,6 @@ def pii_batch(spark, d):
     return placed.groupBy("segment_id", (F.col("at") - 1).alias("start"), (F.col("at") - 1 + F.char_length("text")).alias("end"), "type").agg(F.max("confidence").alias("confidence"))
 
 
-@query("PII-AUDIT")
-def pii_audit(spark, d):
-    """Texts with a number that pattern or spoken-number rules find but the plan of masked spans misses: none here."""
-    s = segments(spark, d)
-    plan = s.select("segment_id", F.size(C.detect("text")).alias("masked"))
-    return s.select("segment_id", F.size(C.spoken_numbers("text")).alias("spoken")).join(plan, "segment_id").where("spoken > 0 and masked = 0")
-
-
 @query("SPN-RESOLVE")
 def spn_resolve(spark, d):
     kind = "array<struct<start:int,end:int,confidence:double>>"
@@ -327,13 +326,6 @@ def aln_ctc(spark, d):
     return read(spark, d, "embeddings").select("vec_id", F.posexplode(path("embedding")).alias("token", "p")).select("vec_id", "token", "p.first", "p.behind", R("p.probability", 6).alias("probability"))
 
 
-@query("MSK-APPLY", "SELECT vec_id, round(list_sum(list_transform(list_concat(embedding[1:8], embedding[25:]), lambda x: abs(CAST(x AS DOUBLE)))), 6) AS left_over FROM embeddings")
-def msk_apply(spark, d):
-    v = F.col("embedding").cast("array<double>")
-    masked = F.transform(v, lambda x, i: F.when((i >= 8) & (i < 24), F.lit(0.0)).otherwise(x))
-    return read(spark, d, "embeddings").select("vec_id", R(F.aggregate(masked, F.lit(0.0), lambda a, x: a + F.abs(x)), 6).alias("left_over"))
-
-
 @query("MSK-BEEP")
 def msk_beep(spark, d):
     @F.pandas_udf("double")
@@ -417,12 +409,6 @@ def spk_sim2side(spark, d):
     return x.select("call_id", F.when(F.col("sim") < 0.55, "low").when(F.col("sim") >= 0.75, "high").otherwise("medium").alias("confidence"), (F.col("sim") < 0.55).alias("outlier"))
 
 
-@query("GRP-CC", "WITH e AS (SELECT DISTINCT doc_id AS a, CAST(quality * 2 + toxic AS BIGINT) - 10 AS b FROM labels) SELECT a AS node, b AS label FROM e UNION ALL SELECT DISTINCT b, b FROM e")
-def grp_cc(spark, d):
-    e = read(spark, d, "labels").select(F.col("doc_id").alias("src"), (F.col("quality") * 2 + F.col("toxic") - 10).cast("long").alias("dst"))
-    return SP.connected(e)
-
-
 @query("GRP-SPLIT")
 def grp_split(spark, d):
     return read(spark, d, "embeddings").select("vec_id", SP.split_of(F.col("label")).alias("split"))
@@ -465,11 +451,6 @@ def src_metakey(spark, d):
     return read(spark, d, "events").select("event_id", SRC.first_matching(SRC.flatten_json(F.col("props")), ("K",)).alias("value"))
 
 
-@query("SRC-SIG")
-def src_sig(spark, d):
-    return ST.signature(read(spark, d, "pages").select(F.col("url").alias("p"), F.octet_length("html").alias("n")), "p", "n")
-
-
 @query("SNK-MANIFEST", f"WITH {RES}, n AS (SELECT segment_id, count(*) AS models FROM ok GROUP BY segment_id) SELECT CAST(call_id AS VARCHAR) AS call_id, CAST(models AS VARCHAR) AS models, segment_id FROM seg LEFT JOIN n USING (segment_id)")
 def snk_manifest(spark, d):
     n = model_results(spark, d).where("error is null").where(C.has_text(F.col("transcript"))).groupBy("segment_id").agg(F.count("*").alias("models"))

@@ -166,42 +166,6 @@ def src_shard(spark, d):
     return read(spark, d, "conversations").select("conv_id").distinct().select("conv_id", C.shard_of(F.col("conv_id").cast("string"), 7).alias("shard"))
 
 
-#: Words that mark one language: frequent in it, and hardly used in the others.
-_MARKS = r"""words AS (SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS w FROM documents WHERE lang IS NOT NULL),
-bylang AS (SELECT w, lang, count(DISTINCT doc_id) AS n FROM words GROUP BY w, lang),
-top AS (SELECT w, lang, n, sum(n) OVER (PARTITION BY w) AS total FROM bylang),
-marks AS (SELECT w, lang FROM top WHERE n >= 20 AND n >= 0.9 * total)"""
-
-
-@query(
-    "LNG-DETECT",
-    rf"""WITH {_MARKS}, score AS (SELECT x.doc_id, m.lang, count(*) AS n FROM words x JOIN marks m ON x.w = m.w GROUP BY x.doc_id, m.lang),
-    best AS (SELECT doc_id, max(n) AS top, sum(n) AS total FROM score GROUP BY doc_id),
-    pick AS (SELECT s.doc_id, min(s.lang) AS lang, count(*) AS ties, any_value(b.top) AS top, any_value(b.total) AS total FROM score s JOIN best b ON s.doc_id = b.doc_id AND s.n = b.top GROUP BY s.doc_id)
-    SELECT d.doc_id, CASE WHEN ties = 1 THEN p.lang END AS detected, round(coalesce(CASE WHEN ties = 1 THEN CAST(top AS DOUBLE) / total END, 0), 6) AS confidence FROM documents d LEFT JOIN pick p USING (doc_id)""",
-)
-def lng_detect(spark, d):
-    from voxloom.operators.language import detect_by_marks, marks_of
-
-    docs = read(spark, d, "documents")
-    return detect_by_marks(docs, marks_of(docs)).select("doc_id", "detected", R("confidence", 6).alias("confidence"))
-
-
-@query(
-    "LNG-ROLLUP",
-    f"""WITH {SEG}, x AS (SELECT *, CASE WHEN text LIKE '%the%' THEN 'en' WHEN text LIKE '%que%' THEN 'es' END AS own FROM seg),
-    votes AS (SELECT call_id, own, count(*) AS n, min(turn) AS seen FROM x WHERE own IS NOT NULL GROUP BY call_id, own),
-    pick AS (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY n DESC, seen) AS r, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY call_id) AS share FROM votes)
-    SELECT segment_id, coalesce(x.own, p.own) AS language, round(CASE WHEN x.own IS NOT NULL THEN 1 ELSE coalesce(share, 0) END, 6) AS confidence FROM x LEFT JOIN (SELECT * FROM pick WHERE r = 1) p USING (call_id)""",
-)
-def lng_rollup(spark, d):
-    from voxloom.operators.language import rollup
-
-    own = F.when(F.col("text").contains("the"), "en").when(F.col("text").contains("que"), "es")
-    rows = rollup(segments(spark, d).withColumn("own", own), ["call_id"], "own", "turn")
-    return rows.select("segment_id", "language", R("confidence", 6).alias("confidence"))
-
-
 @query("LNG-CODE", "SELECT doc_id, CASE WHEN lower(lang) LIKE 'es%' OR lower(lang) LIKE 'spanish%' THEN 'es' ELSE 'en' END AS code FROM documents")
 def lng_code(spark, d):
     low = F.lower("lang")

@@ -11,9 +11,11 @@ _own_dir: dict[str, str] = {}
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir, or, where it is unset, a folder of this machine."""
+    """A new path under spark.checkpoint.dir; a session on one machine that has none (tests) gets a folder of its own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = _own_dir.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="voxloom-"))
     return f"{base.rstrip('/')}/voxloom/{name}-{uuid.uuid4().hex}"
 
