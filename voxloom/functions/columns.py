@@ -31,6 +31,8 @@ def _lift(kernel, kind: str):
 
 
 normalise = _lift(kernels.normalise, "string")
+_spelled = _lift(lambda t, language: [kernels.spelled_digits(t, language)], "array<struct<text:string,place:array<int>>>")
+word_places = _lift(kernels.word_places, "array<struct<word:string,start_char:int>>")
 normalise_first = _lift(kernels.normalise_first, "string")
 word_distance = _lift(lambda a, b: kernels.word_distance(a or "", b or ""), "int")
 detect = _lift(kernels.detect, SPANS)
@@ -48,6 +50,11 @@ def has_text(text: Column) -> Column:
     return F.coalesce(text.rlike(NOT_SPACE), F.lit(False))
 
 
+def spelled_digits(text: Column, language: Column) -> Column:
+    """Struct of the text with digits as words, and the place that each character comes from."""
+    return _spelled(text, language)[0]
+
+
 def let(value: Column, f) -> Column:
     """f(value), with the value worked out once, even where f uses it within a lambda."""
     return F.transform(F.array(value), f)[0]

@@ -120,6 +120,37 @@ def word_distance(a: str, b: str) -> int:
     return distance
 
 
+def word_places(text: str | None) -> list[dict]:
+    """Words between spaces, each with the place of its first character."""
+    return [{"word": m[0], "start_char": m.start()} for m in re.finditer("[^ ]+", text or "")]
+
+
+def spelled_digits(text: str | None, language: str | None = "en") -> dict:
+    """A text with digits as words, and for each of its characters the place in the text that it comes from (None for added spaces).
+
+    Separators between digits give way to the spaces around the words.
+    """
+    words = K.DIGIT_WORDS.get((language or "en").lower().replace("_", "-").split("-")[0], K.DIGIT_WORDS["en"])
+    out: list[tuple[str, int | None]] = []
+
+    def space() -> None:
+        if out and not out[-1][0].isspace():
+            out.append((" ", None))
+
+    for m in re.finditer(rf"[0-9]|(?<=[0-9]){K.BETWEEN_DIGITS}+(?=[0-9])|.", text or "", re.DOTALL):
+        if len(m[0]) == 1 and m[0] in K.UNITS.values():
+            space()
+            out += [(c, m.start()) for c in words[int(m[0])]]
+            space()
+        elif re.fullmatch(K.BETWEEN_DIGITS + "+", m[0]) and m.start() and text[m.start() - 1].isdigit() and text[m.end() : m.end() + 1].isdigit():
+            space()
+        else:
+            out.append((m[0], m.start()))
+    first = next((i for i, (c, _) in enumerate(out) if not c.isspace()), len(out))
+    behind = next((i for i in range(len(out), first, -1) if not out[i - 1][0].isspace()), first)
+    return {"text": "".join(c for c, _ in out[first:behind]), "place": [at for _, at in out[first:behind]]}
+
+
 def resolve(spans: list[dict]) -> list[dict]:
     """Greedy choice among overlapping spans: by start, then the longer, then the surer.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxloom.functions.columns import let
+from voxloom.functions.columns import word_places
 
 
 def islands(rows: DataFrame, keys: list[str], gap: float = 0.0, start: str = "start_sec", end: str = "end_sec") -> DataFrame:
@@ -43,13 +43,29 @@ def overlap(s1: Column, e1: Column, s2: Column, e2: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(e1, e2) - F.greatest(s1, s2))
 
 
+def overlap_seconds(rows: DataFrame, others: DataFrame, keys: list[str], id_: str = "segment_id") -> DataFrame:
+    """(id, seconds): the sum of each row's overlaps with the others of its key, by a sweep over their ends instead of pairs.
+
+    The sum of overlaps with [s, e) is the integral over it of how many others are open, which grows linearly between ends; so it is
+    the difference of a running integral at e and at s.
+    """
+    mark = lambda at, step, who: F.struct(at.alias("at"), F.lit(step).alias("step"), who.alias("who"))
+    none = F.lit(None).cast(dict(rows.dtypes)[id_])
+    ends = others.where("end_sec > start_sec").select(*keys, F.explode(F.array(mark(F.col("start_sec"), 1, none), mark(F.col("end_sec"), -1, none))).alias("x"))
+    asks = rows.select(*keys, F.explode(F.array(mark(F.col("start_sec"), 0, F.col(id_)), mark(F.greatest("start_sec", "end_sec"), 0, F.col(id_)))).alias("x"))
+    line = ends.unionAll(asks).select(*keys, "x.*")
+    order = Window.partitionBy(*keys).orderBy("at", "step", "who")
+    # Between a mark and the one before it as many are open as the steps before say.
+    run = line.withColumn("_open", F.coalesce(F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    run = run.withColumn("_area", F.col("_open") * (F.col("at") - F.coalesce(F.lag("at").over(order), F.col("at"))))
+    run = run.withColumn("_upto", F.sum("_area").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return run.where(F.col("who").isNotNull()).groupBy(F.col("who").alias(id_)).agg((F.max("_upto") - F.min("_upto")).alias("seconds"))
+
+
 def uniform_words(rows: DataFrame, text: str = "text", duration: str = "duration_sec") -> DataFrame:
     """Each word of a text with its characters [start_char, end_char) and an equal share of the time."""
 
-    def placed(parts: Column) -> Column:
-        return F.transform(parts, lambda w, i: F.struct(w.alias("word"), (F.aggregate(F.slice(parts, 1, i), F.lit(0), lambda a, x: a + F.char_length(x)) + i).alias("start_char")))
-
-    words = F.filter(let(F.split(F.col(text), " "), placed), lambda x: x["word"] != "")
+    words = word_places(F.col(text))
     each = rows.withColumn("_w", words).withColumn("_n", F.size("_w"))
     out = each.select(*rows.columns, "_n", F.posexplode("_w").alias("word_index", "_x"))
     step = F.col(duration) / F.col("_n")

@@ -137,24 +137,10 @@ def nrm_uni(spark, d):
 
 @query("NRM-ALIGN")
 def nrm_align(spark, d):
-    """Digits of a text as words, with the place in the text that each character comes from."""
-    names = ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"]
-
-    @F.pandas_udf("struct<text:string,place:array<int>>")
-    def spelled(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t in texts:
-            out, place = [], []
-            for i, c in enumerate(t or ""):
-                joins = c in "-./ ()" and 0 < i < len(t) - 1 and t[i - 1] in "0123456789" and t[i + 1] in "0123456789"
-                w = f" {names[int(c)]} " if c in "0123456789" else " " if joins else c
-                out.append(w)
-                place += [i] * len(w)
-            rows.append(("".join(out), place))
-        return pd.DataFrame(rows, columns=["text", "place"])
-
-    s = segments(spark, d).select("segment_id", spelled(F.concat("text", F.lit(" 555-12"))).alias("x"))
-    return s.select("segment_id", "x.text", F.size("x.place").alias("places"))
+    """Digits of a text as words of its language, with the place in the text that each character comes from."""
+    es = F.when(F.col("call_id") % 2 == 0, "es").otherwise("en")
+    s = segments(spark, d).select("segment_id", C.spelled_digits(F.concat("text", F.lit(" 555-12, (4) 0")), es).alias("x"))
+    return s.select("segment_id", "x.text", F.size("x.place").alias("places"), F.aggregate(F.filter("x.place", lambda p: p.isNotNull()), F.lit(0).cast("long"), lambda a, p: a + p).alias("sum_of_places"))
 
 
 @query("TXT-LEVW")
@@ -338,9 +324,12 @@ def src_walk(spark, d):
 
 @query("SRC-SHARDSCAN")
 def src_shardscan(spark, d):
-    """Both halves of a scan that is cut by the hash of the name are the scan."""
-    files = SRC.scan(spark, f"{d}/documents.parquet", ("parquet",)).select(F.element_at(F.split("path", "/"), -1).alias("name"))
-    return files.withColumn("shard", C.shard_of(F.col("name"), 2))
+    """Files that each of two shards keeps of its own scan, by the hash of the name: together they are the folder, and share nothing."""
+    parts = []
+    for shard in range(2):
+        files = SRC.scan(spark, f"{d}/documents.parquet", ("parquet",)).select(F.element_at(F.split("path", "/"), -1).alias("name"))
+        parts.append(files.where(C.shard_of(F.col("name"), 2) == shard).withColumn("shard", F.lit(shard)))
+    return parts[0].unionAll(parts[1])
 
 
 @query("SRC-FPRINT", "SELECT page_id, sha256(url) AS by_path, sha256(coalesce(html, '')) AS by_content, sha256(url || ':' || octet_length(encode(coalesce(html, '')))) AS by_size FROM pages")

@@ -66,8 +66,13 @@ def int_clip(spark, d):
 @query("INT-OVERLAP", f"WITH {SEG} SELECT a.segment_id, round(sum(greatest(0, least(a.end_sec, b.end_sec + 1) - greatest(a.start_sec, b.start_sec))), 6) AS seconds FROM seg a JOIN seg b ON a.call_id = b.call_id AND a.channel <> b.channel GROUP BY a.segment_id")
 def int_overlap(spark, d):
     s = segments(spark, d)
-    b = s.select("call_id", F.col("channel").alias("c2"), F.col("start_sec").alias("s2"), (F.col("end_sec") + 1).alias("e2"))
-    return s.join(b, "call_id").where("channel <> c2").groupBy("segment_id").agg(R(F.sum(IV.overlap(F.col("start_sec"), F.col("end_sec"), F.col("s2"), F.col("e2"))), 6).alias("seconds"))
+    # With all of the call less with the channel's own: with the other channels.
+    late = s.select("call_id", "channel", "start_sec", (F.col("end_sec") + 1).alias("end_sec"))
+    call = IV.overlap_seconds(s, late, ["call_id"]).withColumnRenamed("seconds", "whole")
+    own = IV.overlap_seconds(s, late, ["call_id", "channel"]).withColumnRenamed("seconds", "own")
+    many = s.groupBy("call_id").agg(F.count_distinct("channel").alias("channels")).where("channels > 1")
+    kept = s.join(many, "call_id", "left_semi").select("segment_id")
+    return kept.join(call, "segment_id").join(own, "segment_id").select("segment_id", R(F.greatest(F.lit(0.0), F.col("whole") - F.col("own")), 6).alias("seconds"))
 
 
 @query("JN-OVERSEC", f"WITH {SEG} SELECT segment_id, round(greatest(0, least(end_sec, 30) - greatest(start_sec, 10)), 6) AS seconds FROM seg")
@@ -239,7 +244,7 @@ def spn_expand(spark, d):
     """A numeric span grown over digits and separators on both sides; with 7 digits it is a phone."""
     x = segments(spark, d).select("segment_id", F.concat(F.lit("call 212-537-0830 today "), "text").alias("t")).withColumn("at", F.instr("t", "212"))
     left = F.regexp_extract(F.substring("t", F.lit(1), F.col("at") - 1), r"([0-9+().\-/ #]*)$", 1)
-    right = F.regexp_extract(F.substring("t", F.col("at") + 3, F.lit(1000)), r"^([0-9+().\-/ #]*)", 1)
+    right = F.regexp_extract(F.substring("t", F.col("at") + 3, F.char_length("t")), r"^([0-9+().\-/ #]*)", 1)
     grown = F.regexp_replace(F.concat(left, F.lit("212"), right), r"^[().\-/ #]+|[+(.\-/ #]+$", "")
     return x.select("segment_id", grown.alias("span"), F.when(F.regexp_count(grown, F.lit("[0-9]")) >= 7, "PHONE").otherwise("NUMBER").alias("type"))
 
