@@ -13,8 +13,14 @@ from pyspark.sql import functions as F
 _own_dir: dict[str, str] = {}
 #: Words of 64 bits of a key filter: it's broadcast, so this is its bound (4 MB of numbers) whatever the keys.
 FILTER_WORDS = 1 << 18
+#: Rows that go to a Python worker at a time: rows may hold long texts.
+ARROW_ROWS = 1000
+#: Texts, and narrow rows of a result, that a task writes.
+TEXT_ROWS, RESULT_ROWS = 4000, 20_000
 #: Narrow rows (keys and labels) that a task of a work table writes.
 FILE_ROWS = 250_000
+#: Bytes that a task of a work table reads, as Spark estimates them.
+FILE_BYTES = 16 << 20
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -27,14 +33,28 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/voxloom/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
-    """Write a work table and read it back: cuts the lineage in storage that outlives executors.
+def small_batches(spark: SparkSession) -> None:
+    """Sets the session's rows of an Arrow batch to ARROW_ROWS, unless someone has set another number than Spark's own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, ARROW_ROWS)
 
-    ``rows``: at most so many narrow rows are expected, so that no more files than these need are written.
-    """
-    path = work_dir(df.sparkSession, name)
+
+def compact(df: DataFrame, rows: int | None = None, each: int = FILE_ROWS) -> DataFrame:
+    """No more tasks than df needs: one for ``each`` of the ``rows`` that are expected at most, or, where these aren't known, for FILE_BYTES of what is read, but two a core at least."""
     if rows is not None:
-        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
+        tasks = -(-rows // each)
+    else:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        tasks = max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-size // FILE_BYTES))
+    return df.coalesce(min(max(1, tasks), 1 << 20))
+
+
+def materialise(df: DataFrame, name: str, rows: int | None = None, each: int = FILE_ROWS) -> DataFrame:
+    """Write a work table and read it back: cuts the lineage in storage that outlives executors. See compact() for rows and each."""
+    path = work_dir(df.sparkSession, name)
+    df = compact(df, rows, each)
+    small_batches(df.sparkSession)
     df.write.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back.work_path = path

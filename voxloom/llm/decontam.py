@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import columns, discard, free_names, look_up, materialise, table
+from voxloom.llm.common import TEXT_ROWS, columns, compact, discard, free_names, look_up, materialise, table
 
 WINDOW = 8
 #: Words of a block of benchmark items at most, unless a single item has more.
@@ -77,7 +77,7 @@ def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW, slop: int = 0, d
     """(_i, _h, start, length, item_ids): where a window occurs, a work table; _i and _h name the document (see _keys)."""
     spark = docs.sparkSession
     terms = windows(items, n).select("terms", "item_ids", F.transform("terms", lambda w: F.xxhash64(w)).alias("codes"))
-    terms = materialise(terms, "benchmark-windows")
+    terms = materialise(terms, "benchmark-windows", BLOCK_WORDS)
     def nothing() -> DataFrame:
         discard(terms)
         return materialise(spark.createDataFrame([], "_i long, _h long, start int, length int, item_ids array<string>"), "matches")
@@ -92,11 +92,11 @@ def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW, slop: int = 0, d
     forward = docs.select(i.alias("_i"), h.alias("_h"), coded(words(F.col(f"`{text}`")), vocabulary).alias("codes"))
 
     # Pass 1: how often each term occurs in the corpus.
-    seen = materialise(forward.select(F.explode(F.filter("codes", lambda c: c != 0)).alias("term")).groupBy("term").agg(F.count("*").alias("n")), "benchmark-terms")
+    seen = materialise(forward.select(F.explode(F.filter("codes", lambda c: c != 0)).alias("term")).groupBy("term").agg(F.count("*").alias("n")), "benchmark-terms", len(known))
     ordered = terms.select("codes", "item_ids", F.posexplode("codes").alias("at", "term")).join(seen, "term")
     plan = ordered.groupBy("codes").agg(F.first("item_ids").alias("item_ids"), F.array_sort(F.collect_list(F.struct("n", "at", "term"))).alias("plan"))
     # A window with a term that never occurs can't occur.
-    plan = materialise(plan.where(F.size("plan") == F.size("codes")).withColumn("rarest", F.col("plan")[0]["term"]), "benchmark-plan")
+    plan = materialise(plan.where(F.size("plan") == F.size("codes")).withColumn("rarest", F.col("plan")[0]["term"]), "benchmark-plan", BLOCK_WORDS)
     rarest = [r["rarest"] for r in plan.select("rarest").distinct().collect()]
     if not rarest:
         discard(seen, plan)
@@ -122,7 +122,7 @@ def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW, slop: int = 0, d
         fits = lambda s: F.forall("codes", lambda c: F.array_contains(F.slice("block", s - F.col("block_at") + 1, span), c))
         at = F.filter(F.sequence(lowest, F.col("pos")), fits)
         found = pairs.withColumn("start", F.array_max(at)).where(F.col("start").isNotNull()).withColumn("length", span)
-    out = materialise(found.select("_i", "_h", "start", "length", "item_ids"), "matches")
+    out = materialise(found.select("_i", "_h", "start", "length", "item_ids"), "matches", postings.count())
     discard(terms, seen, plan, postings)
     return out
 
@@ -163,7 +163,7 @@ def op1_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of benchmark windows in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = contamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
-    return done.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+    return compact(done, docs.count(), TEXT_ROWS).select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
 ORACLE_SQL = r"""

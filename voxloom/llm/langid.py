@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import columns, free_names, held_out, table
+from voxloom.llm.common import columns, compact, free_names, held_out, small_batches, table
 
 SAMPLE, SAMPLE_CHARS, PIECES = 1600, 4000, 10
 HIDDEN, TRAIN_WINDOW, WINDOW, BATCH, STEPS, RATE = 8, 48, 96, 160, 220, 0.02
@@ -202,7 +202,7 @@ def taught(text: Column, doc_id: Column, most: int = SAMPLE_CHARS, pieces: int =
     size, part = most // pieces, F.floor(F.char_length(text) / pieces).cast("int")
     place = lambda i: i * part + F.pmod(F.xxhash64(doc_id, i), F.greatest(part - size + 1, F.lit(1))).cast("int") + 1
     spread = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda i: F.substr(text, place(i), F.lit(size)))
-    return F.when(F.char_length(text) <= most, text).otherwise(F.array_join(spread, "\n"))
+    return F.when(text.isNull() | (F.char_length(text) <= most), text).otherwise(F.array_join(spread, "\n"))
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> tuple[list[str], dict[str, np.ndarray]]:
@@ -218,6 +218,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int =
 
 def identify(docs: DataFrame, names: list[str], p: dict[str, np.ndarray], text: str = "text") -> DataFrame:
     """Adds lang_pred and lang_score."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(p)
 
     @F.pandas_udf("lang_pred string, lang_score double")
@@ -242,5 +243,5 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     docs = table(spark, sf_dir, "documents")
     names, p = train(docs.select("doc_id", "text", "lang"))
-    done = identify(docs.select("doc_id", "text"), names, p)
+    done = identify(compact(docs.select("doc_id", "text")), names, p)
     return done.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import columns, discard, free_names, materialise, sift, table
+from voxloom.llm.common import RESULT_ROWS, TEXT_ROWS, columns, compact, discard, free_names, materialise, sift, table
 from voxloom.llm.textvec import LOWER, NOT_ALNUM, batches_of, mix, span_hashes, window_hashes, words_of
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -39,6 +39,8 @@ BANDS, BAND_ROWS = 26, 5
 K = BANDS * BAND_ROWS
 #: Bytes of text of a block; a task of the exact search holds two.
 BLOCK_BYTES = 8 << 20
+#: Pairs of texts that a task compares.
+TASK_TEXTS = 2000
 
 
 def shingles(texts) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -248,7 +250,7 @@ def _rest(groups: DataFrame, found: DataFrame, texts: DataFrame, weights: str, r
         node = pdf["node"].to_list()
         return pd.DataFrame([(node[y], node[x]) for y, x in links_within(sets_of(pdf["text"], weights), pdf["label"].to_list())], columns=["node", "center"])
 
-    out = materialise(dealt.join(texts.select("node", "text").hint("merge"), "node").groupBy("group", "i", "j").applyInPandas(one, "node binary, center binary"), "near-rest")
+    out = materialise(dealt.join(texts.select("node", "text").hint("merge"), "node").groupBy("group", "i", "j").applyInPandas(one, "node binary, center binary"), "near-rest", members.count(), TASK_TEXTS)
     discard(members)
     return out
 
@@ -269,13 +271,13 @@ def links(docs: DataFrame, sk: DataFrame, doc_id: str = "doc_id", text: str = "t
     nodes = sk.where("node is not null").groupBy("node").agg(F.first("bands").alias("bands"), F.min(key).alias("key"))
     buckets = nodes.select("node", F.explode("bands").alias("band"))
     center = buckets.groupBy("band").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1").drop("n")
-    rows = materialise(buckets.join(center.hint("merge"), "band").where("node <> center"), "near-buckets")
+    rows = materialise(buckets.join(center.hint("merge"), "band").where("node <> center"), "near-buckets", BANDS * sk.count())
     n = rows.count()
     ends = rows.select("node").union(rows.select("center")).distinct()
     named = materialise(ends.join(nodes.select("node", "key.*").hint("merge"), "node"), "near-nodes", 2 * n)
-    texts = materialise(_texts(docs, named, doc_id, text), "near-texts")
+    texts = materialise(_texts(docs, named, doc_id, text), "near-texts", named.count(), 5 * TASK_TEXTS)
     discard(named)
-    judged = materialise(_similar(rows.select("node", "center").distinct(), texts, weights), "near-judged")
+    judged = materialise(_similar(rows.select("node", "center").distinct(), texts, weights), "near-judged", n, TASK_TEXTS)
     found = judged.where("ok").select("node", "center")
     # A node that isn't like the center can only be like one that is if both distances to it differ by no more than that of a link.
     close = judged.where(~F.col("ok") & (F.col("sim") >= 2 * SIMILAR - 1 - 1e-9))
@@ -333,7 +335,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     named = of.groupBy("label").agg(F.min("least").alias("class_id"))
     classes = of.join(named, "label").select("node", "class_id", F.col("label").alias("class"))
     done = slim.select("doc_id", "text_hash", "node").join(classes.hint("merge"), "node", "left")
-    return done.select("doc_id", "text_hash", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "class")
+    return compact(done, slim.count(), RESULT_ROWS).select("doc_id", "text_hash", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "class")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", weights: str = "one") -> DataFrame:
@@ -343,10 +345,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", weight
     """
     classes = near_duplicates(docs, doc_id, text, weights)
     named = materialise(classes.select(F.xxhash64("doc_id").alias("i"), F.col("text_hash").alias("h"), "class", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("first")), "near-named")
+    total = named.count()
     best = named.where("first and class is not null").groupBy("class").agg(F.min(F.struct("i", "h")).alias("best")).withColumnRenamed("class", "of")
     times = named.groupBy("class", "i", "h").agg(F.count("*").alias("n"))
     judged = times.join(best.hint("merge"), F.col("class") == F.col("of"), "left").select("i", "h", "n", (F.col("class").isNull() | (F.struct("i", "h") == F.col("best"))).alias("keep"))
-    out = materialise(judged.where("n > 1 or not coalesce(keep, false)").select("i", "h", F.coalesce("keep", F.lit(False)).alias("keep")), "near-gone")
+    out = materialise(judged.where("n > 1 or not coalesce(keep, false)").select("i", "h", F.coalesce("keep", F.lit(False)).alias("keep")), "near-gone", total)
     discard(named)
     i, h, maybe, i2, h2, keep = free_names(docs, "_i", "_h", "_maybe", "_i2", "_h2", "_keep")
     own = columns(docs)
@@ -355,7 +358,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", weight
     sure = sifted.where(~F.col(maybe)).select(*own)
     gone = out.select(F.col("i").alias(i2), F.col("h").alias(h2), F.col("keep").alias(keep)).hint("merge")
     unsure = sifted.where(maybe).join(gone, (F.col(i) == F.col(i2)) & (F.col(h) == F.col(h2)), "left").where(F.coalesce(F.col(keep), F.lit(True)))
-    return sure.unionAll(unsure.dropDuplicates([i, h]).select(*own))
+    return compact(sure.unionAll(unsure.dropDuplicates([i, h]).select(*own)), total, TEXT_ROWS)
 
 
 def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

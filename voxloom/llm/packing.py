@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import free_names, materialise, table
+from voxloom.llm.common import RESULT_ROWS, compact, free_names, materialise, table
 
 CAPACITY = 2048
 #: Pieces that one hash bucket has about.
@@ -198,7 +198,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     rows = pieces.withColumn(b, F.pmod(F.xxhash64("doc_id", "piece", "start", "length"), F.lit(buckets)))
     # Buckets of a length are counted in runs of CHUNK, so that the sums over all of them go over a row a run.
     chunk = F.floor(F.col(b) / CHUNK)
-    sizes = materialise(rows.groupBy("length", b).agg(F.count("*").alias("_n")).withColumn("_c", chunk), "piece-buckets")
+    sizes = materialise(rows.groupBy("length", b).agg(F.count("*").alias("_n")).withColumn("_c", chunk), "piece-buckets", sum(counts.values()))
     upto = lambda keys, at: Window.partitionBy(*keys).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
     runs = sizes.groupBy("length", "_c").agg(F.sum("_n").alias("_n")).select("length", "_c", F.coalesce(F.sum("_n").over(upto(["length"], "_c")), F.lit(0)).alias("_runs"))
     within_run = sizes.select("length", b, "_c", F.coalesce(F.sum("_n").over(upto(["length", "_c"], b)), F.lit(0)).alias("_in"))
@@ -210,7 +210,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     slot = F.filter("slots", lambda s: (s["from"] <= F.col(rank)) & (F.col(rank) < s["from"] + s["times"] * s["many"]))[0]
     placed = placed.withColumn(slot_, slot).withColumn(turn_, F.col(rank) - F.col(slot_)["from"])
     turn = F.floor(F.col(turn_) / F.col(slot_)["times"]).cast("long")
-    return placed.select(*pieces.columns, (F.col(slot_)["base"] + F.col(turn_) - turn * F.col(slot_)["times"]).alias("sequence_id"), (F.col(slot_)["at"] + turn * F.col("length")).alias("offset"))
+    return compact(placed, sum(counts.values()), RESULT_ROWS).select(*pieces.columns, (F.col(slot_)["base"] + F.col(turn_) - turn * F.col(slot_)["times"]).alias("sequence_id"), (F.col(slot_)["at"] + turn * F.col("length")).alias("offset"))
 
 
 def tokenise_and_pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:

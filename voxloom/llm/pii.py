@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import table
+from voxloom.llm.common import compact, small_batches, table
 
 #: Kinds in the order in which spans at one place are listed.
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "mac")
@@ -139,6 +139,7 @@ SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``spans``, an array of (kind, start, end, score)."""
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf(SPANS)
     def spans(texts: pd.Series) -> pd.Series:
@@ -149,6 +150,7 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def redact_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     """Replaces every found span in the text."""
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("string")
     def redacted(texts: pd.Series) -> pd.Series:
@@ -163,7 +165,7 @@ def digest(spans: list, kinds: tuple[str, ...] = KINDS) -> str:
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: counts of base kinds, digest of base spans, all spans."""
-    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "spans")
+    found = find_pii(compact(table(spark, sf_dir, "documents").select("doc_id", "text"))).select("doc_id", "spans")
     count = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
     text = lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))
     base = F.filter("spans", lambda x: x["kind"].isin(*BASE_KINDS))

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import columns, discard, free_names, held_out, materialise, table
+from voxloom.llm.common import columns, compact, discard, free_names, held_out, materialise, small_batches, table
 from voxloom.llm.textvec import SPACES, batches_of, mix, span_hashes, words_of
 
 BITS = 18
@@ -177,6 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Adds quality_score, and quality_ok from THRESHOLD on."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.weight, model.square))
     bias, slope, shift = model.bias, model.slope, model.shift
 
@@ -206,5 +207,5 @@ def keep_good(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = score(docs, train(docs, table(spark, sf_dir, "labels")))
+    done = score(compact(docs), train(docs, table(spark, sf_dir, "labels")))
     return done.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("quality_score").alias("score"), F.col("quality_ok").cast("int").alias("predicted"))

@@ -75,8 +75,8 @@ def find_words(data: np.ndarray, separates: np.ndarray) -> tuple[np.ndarray, np.
     return edge[0::2], edge[1::2]
 
 
-def batches_of(texts: Iterable[str | None], most: int = 1 << 21) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, UTF-8 bytes with a line break behind each text, where each text ends) of a few MB each; a longer text is alone."""
+def batches_of(texts: Iterable[str | None], most: int = 1 << 19) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, UTF-8 bytes with a line break behind each text, where each text ends) of half a MB each; a longer text is alone."""
     at, row, part, size = 0, 0, [], 0
     for row, t in enumerate(texts):
         b = (t or "").encode("utf-8", "replace") + b"\n"

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import columns, discard, free_names, materialise, table
+from voxloom.llm.common import RESULT_ROWS, columns, compact, discard, free_names, materialise, table
 
 SHARE, SUPPORT = 0.01, 3
 Z, STRENGTH, REJECT = 1.96, 4.0, 0.8
@@ -96,9 +96,9 @@ def _marked(seg: Column) -> Column:
 _SUMS = ("n", "labelled", "bad")
 
 
-def _grow(tree: DataFrame) -> DataFrame:
+def _grow(tree: DataFrame, many: int) -> DataFrame:
     """Templates of a work table's (host, segs): rare values of a branch become ``*``."""
-    tree = materialise(tree.select("host", "segs", *_SUMS, F.array().cast("array<string>").alias("template"), F.col("segs").alias("rest")), "url-tree")
+    tree = materialise(tree.select("host", "segs", *_SUMS, F.array().cast("array<string>").alias("template"), F.col("segs").alias("rest")), "url-tree", many)
     done = []
     while True:
         by = tree.groupBy("host", "template").agg(F.sum("n").alias("total"), F.count("*").alias("rows"), F.min("rest").alias("low"), F.max("rest").alias("high"))
@@ -116,6 +116,7 @@ def _grow(tree: DataFrame) -> DataFrame:
                 F.when(F.col("ends").isNull(), F.slice("rest", F.col("skip") + 1, F.size("rest") + 1)).alias("rest"),
             ),
             "url-tree",
+            many,
         )
         discard(tree)
         done.append(step)
@@ -126,19 +127,19 @@ def _grow(tree: DataFrame) -> DataFrame:
         joined = at.join(keep.select("host", "template", "seg", F.lit(True).alias("kept")), ["host", "template", "seg"], "left")
         name = F.when(F.col("kept"), F.col("seg")).otherwise(F.lit("*"))
         more = joined.where("seg is not null").select("host", "segs", *_SUMS, F.concat("template", F.array(name)).alias("template"), F.slice("rest", F.lit(2), F.size("rest")).alias("rest"))
-        tree = materialise(more, "url-tree")
+        tree = materialise(more, "url-tree", many)
         if tree.isEmpty():
             break
     finished = [t.where("over or size(rest) = 0").select("host", "segs", *_SUMS, "template") for t in done]
     out = finished[0]
     for t in finished[1:]:
         out = out.unionAll(t)
-    out = materialise(out, "url-templates")
+    out = materialise(out, "url-templates", many)
     discard(tree, *done)
     return out
 
 
-def _merge(tree: DataFrame) -> DataFrame:
+def _merge(tree: DataFrame, many: int) -> DataFrame:
     """Merges labelled siblings whose shares don't differ significantly from the pooled one, from the deepest level up."""
     names = tree.select("host", F.posexplode("template").alias("at", "name")).where(~F.col("name").rlike(r"^\{|^\*"))
     levels = names.groupBy("host", "at").agg(F.min("name").alias("low"), F.max("name").alias("high")).where("low <> high").select("at").distinct()
@@ -151,9 +152,9 @@ def _merge(tree: DataFrame) -> DataFrame:
         leaf = leaf.join(pooled, ["host", "wide"])
         far = F.abs(F.col("b") - F.col("l") * F.col("rate")) > Z * F.sqrt(F.col("l") * F.col("rate") * (1 - F.col("rate"))) + 1e-9
         alike = leaf.where(~far)
-        many = alike.groupBy("host", "wide").agg(F.count("*").alias("k")).where("k > 1").select("host", "wide")
-        alike = alike.join(many, ["host", "wide"]).select("host", "template", "wide")
-        new = materialise(tree.join(alike, ["host", "template"], "left").select("host", "segs", *_SUMS, F.coalesce("wide", "template").alias("template")), "url-templates")
+        several = alike.groupBy("host", "wide").agg(F.count("*").alias("k")).where("k > 1").select("host", "wide")
+        alike = alike.join(several, ["host", "wide"]).select("host", "template", "wide")
+        new = materialise(tree.join(alike, ["host", "template"], "left").select("host", "segs", *_SUMS, F.coalesce("wide", "template").alias("template")), "url-templates", many)
         discard(tree)
         tree = new
     return tree
@@ -164,12 +165,13 @@ def templates(urls: DataFrame) -> DataFrame:
     counts = (F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).cast("long").alias("bad"))
     shapes = materialise(urls.groupBy("host", "segs").agg(*counts), "url-shapes")
     seen, bad = shapes.agg(F.sum("labelled"), F.sum("bad")).first()
-    tree = _merge(_grow(shapes))
+    many = shapes.count()
+    tree = _merge(_grow(shapes, many), many)
     discard(shapes)
     prior = (bad or 0) / seen if seen else 0.0
     sums = tree.groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b"))
     purity = F.when(F.col("l") > 0, (F.col("b") + STRENGTH * prior) / (F.col("l") + STRENGTH)).otherwise(F.lit(prior))
-    out = materialise(tree.join(sums.select("host", "template", purity.alias("purity")), ["host", "template"]), "url-purity")
+    out = materialise(tree.join(sums.select("host", "template", purity.alias("purity")), ["host", "template"]), "url-purity", many)
     discard(tree)
     return out
 
@@ -200,4 +202,4 @@ def op5_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's URL; the pages' contents teach the templates."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     done = judge(pages, label=content_label(F.col("html")))
-    return done.select("page_id", F.col("url_host").alias("host"), F.col("url_path").alias("path"), F.col("url_rule").alias("rule"), F.col("url_verdict").alias("verdict"), F.col("url_template").alias("template"), F.col("url_purity").alias("purity"))
+    return compact(done, pages.count(), RESULT_ROWS).select("page_id", F.col("url_host").alias("host"), F.col("url_path").alias("path"), F.col("url_rule").alias("rule"), F.col("url_verdict").alias("verdict"), F.col("url_template").alias("template"), F.col("url_purity").alias("purity"))

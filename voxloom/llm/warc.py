@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import discard, materialise, remove, table, work_dir
+from voxloom.llm.common import RESULT_ROWS, compact, discard, materialise, remove, table, work_dir
 
 #: Header fields of the two ARC versions, as the filedesc body lists them.
 ARC_FIELDS = {
@@ -159,7 +159,7 @@ def write_arc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url
                 n_rows += 1
             yield pd.DataFrame({"value": out}, dtype=object)
 
-    cols = pages.select(F.col(f"`{key}`").cast("string").alias("k"), F.col(f"`{url}`").cast("string").alias("u"), F.col(f"`{payload}`").cast("binary").alias("p"))
+    cols = compact(pages).select(F.col(f"`{key}`").cast("string").alias("k"), F.col(f"`{url}`").cast("string").alias("u"), F.col(f"`{payload}`").cast("binary").alias("p"))
     _write(cols.mapInPandas(lines, "value binary"), path, "\n")
 
 
@@ -283,7 +283,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = materialise(read_warc(spark, warc, with_payload=False), "warc-rows")
     remove(spark, warc)
     target = back.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("key").alias("to_key")).distinct()
-    return back.join(target, "refers_to", "left").select(
+    return compact(back.join(target, "refers_to", "left"), back.count(), RESULT_ROWS).select(
         F.col("key").cast("long").alias("page_id"),
         "payload_bytes",
         "payload_digest",
