@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.llm import decontam, minhash, packing, pii, quality
-from voxloom.llm.common import discard, materialise, table
+from voxloom.llm.common import TEXT_ROWS, compact, discard, materialise, table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, trained on the labelled rows among them, doesn't reject."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.keep_good(docs, model)
+    return compact(quality.keep_good(docs, model))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return compact(decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark")), docs.count(), TEXT_ROWS)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
         done = done.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(kind))
-    return done.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return compact(done.select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
