@@ -158,8 +158,40 @@ def test_batch_of_models(spark, res):
     check(spark, "PII-BATCH", ["segment_id", "start", "end", "type", "confidence"], [(*k, c) for k, c in best.items()])
 
 
-def test_refusals(spark, segs):
-    check(spark, "PII-NEURAL", ["segment_id", "model_name", "error"], [(s.segment_id, "stand-in", "refused" if "qu" in s.text else None) for s in segs])
+def test_entities_in_windows(spark, docs):
+    want = []
+    for d in docs:
+        own = {("PERSON_NAME", m.start(), m.end(), min(1.0, len(m[0]) / 10)) for m in re.finditer(r"\b[A-Z][a-z]+\b", d.text or "")}
+        want += [(str(d.doc_id), *x) for x in own if x[3] >= 0.45]
+    got = {tuple(r) for r in catalog.QUERIES["PII-NEURAL"](spark, SF).select("segment_id", "type", "start", "end", "confidence").collect()}
+    # A window may begin within a word, whose rest isn't a name, or end at its last.
+    assert set(want) <= got and len(got - set(want)) <= 0.02 * len(want)
+
+
+def test_plans_of_a_run(spark, segs, res):
+    of = by(res, lambda r: r.segment_id)
+    want = {s.call_id: [] for s in segs}
+    for s in segs:
+        own = []
+        for r in of[s.segment_id]:
+            if r.transcript is not None and s.turn % 7 != 6:
+                t = ("my name is John Smith call 555-123-4567 " if s.turn % 2 == 1 else "") + r.transcript
+                if t.strip() and not loops(t, r.duration_sec):
+                    own.append((r, t))
+        if not own:
+            want[s.call_id].append(s.duration_sec)
+            continue
+        groups = by(own, lambda x: x[0].norm)
+        top = min(groups.values(), key=lambda g: (-len(g), min(x[0].rank for x in g)))
+        text = min(top, key=lambda x: x[0].rank)[1] if len(top) >= 3 else min(own, key=lambda x: (-x[0].confidence, x[0].rank))[1]
+        words = words_at(text)
+        step = s.duration_sec / len(words)
+        for x in K.detect(text):
+            hit = [k for k, (_, a, b) in enumerate(words) if a < x["end"] and b > x["start"]]
+            want[s.call_id].append(min(s.duration_sec, (hit[-1] + 1) * step + 0.12) - max(0.0, hit[0] * step - 0.08))
+    rows = catalog.QUERIES["RUN-PLAN"](spark, SF).collect()
+    assert {(r.file_id, r.status, r.n) for r in rows} == {(i, "completed", len(v)) for i, v in want.items()}
+    assert all(r.seconds == pytest.approx(sum(want[r.file_id]), abs=0.001) for r in rows)
 
 
 def test_highlights(spark, docs):

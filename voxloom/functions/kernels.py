@@ -170,34 +170,37 @@ _TOKEN, _CUE = re.compile(r"[A-Za-z]+|\d+"), re.compile(K.SPOKEN_CUE, re.IGNOREC
 _PATTERNS = [(kind, re.compile(p), group, conf, source) for kind, p, group, conf, source in K.PATTERNS]
 
 
+_RUN = re.compile("D(?:[DX]|B(?=[DX]))*")
+
+
+def _spoken_class(word: str) -> str:
+    """D for a digit, X for what multiplies or repeats digits, B for what may stand once between them, w for the rest."""
+    if word in K.SPOKEN_DIGITS or word.isdigit():
+        return "D"
+    if word in K.SPOKEN_MULTI or word in K.SPOKEN_REPEAT:
+        return "X"
+    return "B" if word in K.SPOKEN_BETWEEN else "w"
+
+
 def spoken_numbers(text: str | None) -> list[dict]:
-    """Numbers that are recited in words: long ones are phones, shorter ones after a cue are ids."""
+    """Numbers that are recited in words: long ones are phones, shorter ones soon after a cue are ids.
+
+    Words are classed, and numbers are the matches of a pattern over the classes.
+    """
     text = text or ""
-    runs, now, joined = [], None, False
-
-    for m in _TOKEN.finditer(text):
-        w = m[0].lower()
-        digit = w in K.SPOKEN_DIGITS or w.isdigit()
-        if digit or (now and w in (*K.SPOKEN_MULTI, *K.SPOKEN_REPEAT)):
-            now = now or {"start": m.start(), "digits": 0, "tokens": 0}
-            now |= {"end": m.end(), "digits": now["digits"] + digit, "tokens": now["tokens"] + 1}
-            joined = False
-        elif now and w in K.SPOKEN_BETWEEN and not joined:
-            joined = True
-        elif w not in (*K.SPOKEN_MULTI, *K.SPOKEN_REPEAT) or now:
-            runs += [now] if now else []
-            now, joined = None, False
-    runs += [now] if now else []
-    cues = [m.end() for m in _CUE.finditer(text)]
-    out = []
-    for r in runs:
-        kind = None
-        if r["tokens"] >= K.PHONE_RUN and r["digits"] >= K.TRUE_DIGITS:
+    words = list(_TOKEN.finditer(text))
+    cues, out = [m.end() for m in _CUE.finditer(text)], []
+    for run in _RUN.finditer("".join(_spoken_class(m[0].lower()) for m in words)):
+        start, end = words[run.start()].start(), words[run.end() - 1].end()
+        size, digits = len(run[0]) - run[0].count("B"), run[0].count("D")
+        cued = any(0 <= start - c <= K.CUE_CHARS for c in cues)
+        if size >= K.PHONE_RUN and digits >= K.TRUE_DIGITS:
             kind = "PHONE"
-        elif r["tokens"] >= K.CUED_RUN and r["digits"] >= K.CUED_DIGITS and any(0 <= r["start"] - c <= K.CUE_CHARS for c in cues):
+        elif size >= K.CUED_RUN and digits >= K.CUED_DIGITS and cued:
             kind = "ID"
-        if kind:
-            out.append({"type": kind, "text": text[r["start"] : r["end"]], "start": r["start"], "end": r["end"], "confidence": 0.95, "source": "spoken_number"})
+        else:
+            continue
+        out.append({"type": kind, "text": text[start:end], "start": start, "end": end, "confidence": 0.95, "source": "spoken_number"})
     return out
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -51,3 +52,67 @@ def transcribe(segments: DataFrame, make: Callable[[], Recogniser], payload: str
             yield pd.DataFrame(out, columns=["segment_id", "model_name", "transcript", "confidence", "error"])
 
     return segments.select("segment_id", F.col(payload).alias("p")).mapInPandas(run, "segment_id string, model_name string, transcript string, confidence double, error string")
+
+
+class Detector(Protocol):
+    """Loaded once a worker; finds entities in texts of bounded length."""
+
+    def find(self, texts: list[str]) -> list[list[tuple[str, int, int, float]]]:
+        """(type, start, end, confidence) of the entities in each text."""
+
+
+class CapitalWords:
+    """A stand-in: words with a capital are names, the surer the longer."""
+
+    def find(self, texts: list[str]) -> list[list[tuple[str, int, int, float]]]:
+        return [[("PERSON_NAME", m.start(), m.end(), min(1.0, len(m[0]) / 10)) for m in re.finditer(r"\b[A-Z][a-z]+\b", t)] for t in texts]
+
+
+def text_windows(text: str, size: int = 1200, back: int = 150) -> list[tuple[int, int]]:
+    """Windows of at most ``size`` characters, cut at a space in their second half if there is one, that reach ``back`` over each other."""
+    out, at = [], 0
+    while at < len(text):
+        end = min(len(text), at + size)
+        if end < len(text) and (space := text.rfind(" ", at + size // 2, end)) > 0:
+            end = space
+        out.append((at, end))
+        at = end if end >= len(text) else max(end - back, at + 1)
+    return out
+
+
+def find_entities(rows: DataFrame, make: Callable[[], Detector], threshold: float, text: str = "text", size: int = 1200, back: int = 150, batch: int = 128) -> DataFrame:
+    """(segment_id, type, start, end, confidence, error): whole texts in windows, entities at least so sure, of overlapping finds of a type the surest.
+
+    A batch that raises is tried window by window; a window that raises gives its row an error and no entity.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = make()
+        for pdf in batches:
+            parts = [(i, a, t[a:b]) for i, t in enumerate(pdf["t"]) for a, b in text_windows(t or "", size, back)]
+            found: list[list[tuple[str, int, int, float]]] = [[] for _ in range(len(pdf))]
+            wrong: dict[int, str] = {}
+            for at in range(0, len(parts), batch):
+                some = parts[at : at + batch]
+                try:
+                    got = model.find([t for _, _, t in some])
+                except Exception:  # noqa: BLE001  any model failure becomes rows with an error
+                    got = []
+                    for i, _, t in some:
+                        try:
+                            got += model.find([t])
+                        except Exception as e:  # noqa: BLE001
+                            got.append([])
+                            wrong[i] = f"{type(e).__name__}: {e}"[:500]
+                for (i, a, _), own in zip(some, got, strict=True):
+                    found[i] += [(k, a + s, a + e, c) for k, s, e, c in own if c >= threshold]
+            out = []
+            for i, key in enumerate(pdf["segment_id"]):
+                kept: list[tuple[str, int, int, float]] = []
+                for x in sorted(set(found[i]), key=lambda x: (-x[3], x[1], -x[2], x[0])) if i not in wrong else ():
+                    if not any(k[0] == x[0] and k[1] < x[2] and x[1] < k[2] for k in kept):
+                        kept.append(x)
+                out += [(key, *x, None) for x in kept] + ([(key, None, None, None, None, wrong[i])] if i in wrong else [])
+            yield pd.DataFrame(out, columns=["segment_id", "type", "start", "end", "confidence", "error"]).astype({"start": "Int32", "end": "Int32"})
+
+    return rows.select("segment_id", F.col(text).alias("t")).mapInPandas(run, "segment_id string, type string, start int, end int, confidence double, error string")

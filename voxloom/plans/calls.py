@@ -89,11 +89,6 @@ def jn_speaker(spark, d):
     return s.join(m, ["c", "h"], "left").select("segment_id", F.coalesce("s", F.concat(F.lit("spk_fallback_"), "c", F.lit("_ch"), "h")).alias("speaker"))
 
 
-@query("JN-VALIDATE1", "SELECT count(*) AS n, count(DISTINCT o_orderkey) AS keys, count(*) = count(DISTINCT o_orderkey) AS one_to_one FROM orders")
-def jn_validate1(spark, d):
-    return read(spark, d, "orders").agg(F.count("*").alias("n"), F.count_distinct("o_orderkey").alias("keys")).withColumn("one_to_one", F.col("n") == F.col("keys"))
-
-
 @query("JN-REPLACE", "WITH r AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY doc_id ORDER BY quality DESC, toxic) AS k FROM labels) SELECT d.doc_id, d.lang, coalesce(r.quality, -1) AS quality FROM documents d LEFT JOIN r ON d.doc_id = r.doc_id AND r.k = 1")
 def jn_replace(spark, d):
     first = read(spark, d, "labels").withColumn("_k", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("quality"), "toxic"))).where("_k = 1").select("doc_id", "quality")
@@ -344,22 +339,6 @@ def st_bystatus(spark, d):
     return read(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"))
 
 
-@query("ST-PAUSE", "SELECT count(*) > 0 AS paused FROM events WHERE user_id = 1 AND event_type <> 'release'")
-def st_pause(spark, d):
-    return read(spark, d, "events").where("user_id = 1 and event_type <> 'release'").agg((F.count("*") > 0).alias("paused"))
-
-
-@query("ST-LEASE", "SELECT user_id, max(ts) < TIMESTAMP '2024-01-30 00:00:00' AS stale FROM events GROUP BY user_id")
-def st_lease(spark, d):
-    return read(spark, d, "events").groupBy("user_id").agg((F.max("ts") < F.lit("2024-01-30 00:00:00").cast("timestamp_ntz")).alias("stale"))
-
-
-@query("ST-INVALIDATE", "SELECT doc_id FROM documents WHERE NOT regexp_matches(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+[.][A-Za-z]{2,}')")
-def st_invalidate(spark, d):
-    docs = read(spark, d, "documents").select("doc_id", "text")
-    return docs.select("doc_id").join(docs.where(F.col("text").rlike("[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+[.][A-Za-z]{2,}")).select("doc_id"), "doc_id", "left_anti")
-
-
 @query("ST-JOINSQL", f"WITH {RES} SELECT r.segment_id, s.channel, r.transcript FROM res r JOIN seg s ON r.segment_id = s.segment_id WHERE model_name = 'whisper'")
 def st_joinsql(spark, d):
     return model_results(spark, d).where("model_name = 'whisper'").join(segments(spark, d).select("segment_id", "channel"), "segment_id").select("segment_id", "channel", "transcript")
@@ -446,12 +425,6 @@ def aud_peek(spark, d):
     return model_results(spark, d).groupBy("model_name").agg(F.count("*").alias("n"), F.count("error").alias("errors"), F.count_if(~C.has_text(F.col("transcript"))).alias("empties"), R(F.avg(F.char_length("transcript")), 6).alias("mean_chars"))
 
 
-@query("AUD-VERDICT", "SELECT CASE WHEN toxic = 1 THEN 'leak' WHEN quality = 1 THEN 'pass' ELSE 'unseen' END AS verdict, count(*) AS n FROM labels GROUP BY 1")
-def aud_verdict(spark, d):
-    v = F.when(F.col("toxic") == 1, "leak").when(F.col("quality") == 1, "pass").otherwise("unseen")
-    return read(spark, d, "labels").groupBy(v.alias("verdict")).agg(F.count("*").alias("n"))
-
-
 @query("VAL-PAIR", f"WITH {SEG} SELECT a.segment_id, abs(a.duration_sec - (a.end_sec - a.start_sec)) <= 0.010 AS ok FROM seg a")
 def val_pair(spark, d):
     return segments(spark, d).select("segment_id", (F.abs(F.col("duration_sec") - (F.col("end_sec") - F.col("start_sec"))) <= 0.010).alias("ok"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from voxloom.plans import calls, more, runs, spans, text  # noqa: F401  registers its queries
+from voxloom.plans import calls, more, ops, runs, spans, text  # noqa: F401  registers its queries
 from voxloom.plans.base import ORACLES, QUERIES
 
 FLAGSHIP = "CN-COMPUTE"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from voxloom.functions import columns as C
 from voxloom.functions import kernels
 from voxloom.functions.fixed import PANEL
-from voxloom.operators import adapters, alignment
+from voxloom.operators import alignment
 from voxloom.operators import consensus as CN
 from voxloom.operators import intervals as IV
 from voxloom.operators import speakers as SP
@@ -59,19 +59,6 @@ def ag_drift(spark, d):
     return pairs.agg(R(F.avg((F.col("a") == F.col("norm")).cast("double")), 6).alias("exact"))
 
 
-@query("AG-INVARIANT", "SELECT vec_id // 2 AS call_id, count(DISTINCT label) AS speakers FROM embeddings GROUP BY 1 HAVING count(DISTINCT label) < 2")
-def ag_invariant(spark, d):
-    """Calls whose two sides have one speaker."""
-    return read(spark, d, "embeddings").groupBy(F.floor(F.col("vec_id") / 2).alias("call_id")).agg(F.count_distinct("label").alias("speakers")).where("speakers < 2")
-
-
-@query("AG-PROJECT", f"WITH {SEG}, c AS (SELECT call_id, count(*) AS n, sum(duration_sec) AS s FROM seg GROUP BY call_id) SELECT round(avg(n), 6) AS segments_per_call, round(avg(s), 6) AS seconds_per_call, round(1 / (1 / CAST(8.0 AS DOUBLE) + 1 / CAST(12.0 AS DOUBLE)), 6) AS rate, round(avg(s) * 1000 / (1 / (1 / CAST(8.0 AS DOUBLE) + 1 / CAST(12.0 AS DOUBLE))) / 3600, 6) AS hours FROM c")
-def ag_project(spark, d):
-    c = segments(spark, d).groupBy("call_id").agg(F.count("*").alias("n"), F.sum("duration_sec").alias("s"))
-    rate = 1 / (1 / 8.0 + 1 / 12.0)
-    return c.agg(R(F.avg("n"), 6).alias("segments_per_call"), R(F.avg("s"), 6).alias("seconds_per_call"), F.lit(round(rate, 6)).alias("rate"), R(F.avg("s") * 1000 / rate / 3600, 6).alias("hours"))
-
-
 # Consensus parts
 
 
@@ -235,12 +222,6 @@ def pii_savedjson(spark, d):
     return s.select("segment_id", F.explode(places("text", "saved")).alias("p")).select("segment_id", "p.*")
 
 
-@query("PII-NEURAL")
-def pii_neural(spark, d):
-    """The adapter interface with a stand-in that refuses some texts."""
-    return adapters.transcribe(segments(spark, d), lambda: adapters.Fixture("stand-in", "qu")).select("segment_id", "model_name", "error")
-
-
 @query("PRS-HIGHLIGHT")
 def prs_highlight(spark, d):
     @F.pandas_udf("string")
@@ -338,16 +319,6 @@ def src_fprint(spark, d):
     return read(spark, d, "pages").select("page_id", F.sha2("url", 256).alias("by_path"), F.sha2(h, 256).alias("by_content"), F.sha2(F.concat_ws(":", "url", F.octet_length(h)), 256).alias("by_size"))
 
 
-@query("SRC-STATE", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
-def src_state(spark, d):
-    return read(spark, d, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_orderstatus")
-
-
-@query("SRC-SUBSET", "SELECT DISTINCT conv_id FROM conversations ORDER BY conv_id LIMIT 10")
-def src_subset(spark, d):
-    return read(spark, d, "conversations").select("conv_id").distinct().orderBy("conv_id").limit(10)
-
-
 @query("SRC-CSV", "SELECT o_orderkey, o_orderstatus FROM orders")
 def src_csv(spark, d):
     path = work_path(spark, "csv")
@@ -367,18 +338,6 @@ def snk_csv(spark, d):
     return spark.read.schema("doc_id string, lang string").option("header", "true").csv(f"{path}/csv")
 
 
-@query("SNK-YEAR", "SELECT event_id, CAST(year(ts) AS INTEGER) AS year FROM events")
-def snk_year(spark, d):
-    path = work_path(spark, "manifest")
-    sinks.write_manifest(read(spark, d, "events").select("event_id", F.year("ts").alias("year")), path, by_year=True)
-    return spark.read.schema("event_id long, year int").json(f"{path}/by_year")
-
-
-@query("SNK-REPORT", "SELECT count(*) AS documents, count(DISTINCT lang) AS languages FROM documents")
-def snk_report(spark, d):
-    return read(spark, d, "documents").agg(F.count("*").alias("documents"), F.count_distinct("lang").alias("languages"))
-
-
 @query("SNK-REVIEW", f"WITH {SEG} SELECT call_id, CAST(sum(len(regexp_extract_all(text, '[0-9]+'))) AS BIGINT) AS numbers, count(*) AS n FROM seg GROUP BY call_id ORDER BY numbers DESC, n DESC, call_id LIMIT 30")
 def snk_review(spark, d):
     c = segments(spark, d).groupBy("call_id").agg(F.sum(F.regexp_count("text", F.lit("[0-9]+"))).alias("numbers"), F.count("*").alias("n"))
@@ -390,8 +349,3 @@ def snk_npz(spark, d):
     path = work_path(spark, "centroids")
     SP.robust_centroids(sides(spark, d).select("label", "v"), ["label"]).withColumn("shard", F.col("label") % 2).write.partitionBy("shard").parquet(path)
     return spark.read.parquet(path).select("label", "n_used", F.size("centroid").alias("dim"))
-
-
-@query("OPS-DRYRUN", f"WITH {SEG} SELECT count(*) AS segments, count(DISTINCT call_id) AS calls, round(sum(duration_sec), 4) AS seconds FROM seg")
-def ops_dryrun(spark, d):
-    return segments(spark, d).agg(F.count("*").alias("segments"), F.count_distinct("call_id").alias("calls"), R(F.sum("duration_sec"), 4).alias("seconds"))

@@ -446,11 +446,6 @@ def src_record(spark, d):
     return SRC.records(files, root, "path").select("relative_path", "call_id", "year", "file_id")
 
 
-@query("SRC-SIDECAR", "SELECT event_id, CAST(json_extract(props, '$.k') AS VARCHAR) AS k FROM events")
-def src_sidecar(spark, d):
-    return read(spark, d, "events").select("event_id", SRC.flatten_json(F.col("props"))["k"].alias("k"))
-
-
 @query("SRC-METAKEY", "SELECT event_id, CAST(json_extract(props, '$.k') AS VARCHAR) AS value FROM events")
 def src_metakey(spark, d):
     return read(spark, d, "events").select("event_id", SRC.first_matching(SRC.flatten_json(F.col("props")), ("K",)).alias("value"))
@@ -470,11 +465,6 @@ def snk_merge(spark, d):
     return sinks.merge_shards([o.where(F.col("o_orderkey") % 2 == i) for i in (0, 1)], "o_orderkey")
 
 
-@query("SNK-XLSX", r"SELECT doc_id, substr(regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g'), 1, 32767) AS text FROM documents")
-def snk_xlsx(spark, d):
-    return sinks.clean_cells(read(spark, d, "documents").select("doc_id", "text"))
-
-
 @query("STR-RESUME", "SELECT user_id, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY user_id")
 def str_resume(spark, d):
     """Events as a log that a stream applies, with a checkpoint in the shared folder."""

@@ -28,15 +28,29 @@ def write_manifest(df: DataFrame, path: str, csv: bool = False, by_year: bool =
         as_strings(df).write.mode("overwrite").option("header", "true").csv(f"{path}/csv")
     if by_year:
         df.write.mode("overwrite").partitionBy("year").json(f"{path}/by_year")
+        if csv:
+            df.write.mode("overwrite").partitionBy("year").option("header", "true").csv(f"{path}/by_year_csv")
+
+
+def write_report(summary: DataFrame, path: str) -> None:
+    """One row as a line of JSON with its names in order."""
+    ordered = F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(summary.columns)]))
+    summary.select(ordered.alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
 def merge_shards(parts: list[DataFrame], key: str) -> DataFrame:
     """Shards as one table with the union of their columns; a key in two shards is an error, raised when rows are read."""
     every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p.withColumn("_shard", F.lit(i)) for i, p in enumerate(parts)])
-    twice = every.groupBy(key).agg(F.count_distinct("_shard").alias("n")).where("n > 1").limit(1)
-    if not twice.isEmpty():
-        raise ValueError(f"{key} {twice.first()[0]} is in more than one shard")
-    return every.drop("_shard")
+    held = every.groupBy(F.col(key).alias("_key")).agg(F.count_distinct("_shard").alias("_n"))
+    once = F.assert_true(F.col("_n") == 1, F.concat(F.lit(f"{key} "), F.col("_key").cast("string"), F.lit(" is in more than one shard")))
+    checked = every.join(held, F.col(key).eqNullSafe(F.col("_key"))).where(once.isNull())
+    return checked.drop("_shard", "_key", "_n")
+
+
+def sheet(df: DataFrame, most: int = SHEET_ROWS - 1) -> DataFrame:
+    """Clean cells of a sheet with a header line; no rows if there are more than ``most``."""
+    many = df.agg(F.count("*").alias("_rows"))
+    return clean_cells(df).join(F.broadcast(many)).where(F.col("_rows") <= most).drop("_rows")
 
 
 def clean_cells(df: DataFrame) -> DataFrame:
