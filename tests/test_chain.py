@@ -85,3 +85,22 @@ def test_detectors_fail_row_by_row(spark):
     assert all(s == "c" and t == long.index("x") for s, t, _ in got[3:]) and len(got) <= 4
     cuts = adapters.text_windows(long)
     assert cuts[0][0] == 0 and cuts[-1][1] == len(long) and all(b - a <= 1200 for a, b in cuts)
+
+
+class Moody:
+    """Labels at the second try; never those with a bang."""
+
+    def __init__(self):
+        self.asked = 0
+
+    def label(self, transcript):
+        self.asked += 1
+        if self.asked % 2 or "!" in transcript:
+            raise RuntimeError("not now")
+        return " AGENT", "r" * 999
+
+
+def test_labels_are_tried_again(spark):
+    sides = spark.createDataFrame([(1, 0, "hi"), (1, 1, " "), (2, 0, None), (3, 0, "no!"), (4, 0, "was there")], "call_id long, channel int, transcript string").coalesce(1)
+    got = {r.call_id * 10 + r.channel: (r.role, len(r.reason), r.error) for r in adapters.label_sides(sides, Moody, sides.where("call_id = 4")).collect()}
+    assert got == {10: ("agent", 250, None), 11: ("unknown", 0, None), 20: ("unknown", 0, None), 30: ("unknown", 0, "RuntimeError: not now")}

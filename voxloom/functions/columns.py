@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,6 +34,7 @@ def _lift(kernel, kind: str):
 
 normalise = _lift(kernels.normalise, "string")
 _spelled = _lift(lambda t, language: [kernels.spelled_digits(t, language)], "array<struct<text:string,place:array<int>>>")
+_remapped = _lift(lambda t, p, s, e: kernels.remap_units(t, json.loads(p), json.loads(s), json.loads(e)), "array<struct<word:string,start_char:int,start_sec:double,end_sec:double>>")
 word_places = _lift(kernels.word_places, "array<struct<word:string,start_char:int>>")
 normalise_first = _lift(kernels.normalise_first, "string")
 word_distance = _lift(lambda a, b: kernels.word_distance(a or "", b or ""), "int")
@@ -55,6 +58,11 @@ def spelled_digits(text: Column, language: Column) -> Column:
     return _spelled(text, language)[0]
 
 
+def remapped_units(text: Column, place: Column, start: Column, end: Column) -> Column:
+    """Words with the times of the aligned characters that come from them (arrays: where from, start, end)."""
+    return _remapped(text, F.to_json(place), F.to_json(start), F.to_json(end))
+
+
 def let(value: Column, f) -> Column:
     """f(value), with the value worked out once, even where f uses it within a lambda."""
     return F.transform(F.array(value), f)[0]

@@ -151,6 +151,20 @@ def spelled_digits(text: str | None, language: str | None = "en") -> dict:
     return {"text": "".join(c for c, _ in out[first:behind]), "place": [at for _, at in out[first:behind]]}
 
 
+def remap_units(text: str | None, place: list[int | None], start: list[float], end: list[float]) -> list[dict]:
+    """Words of a text with the time of the aligned characters that come from them; a word that none comes from has no unit.
+
+    place, start, end: of each aligned character where it comes from in the text (None: nowhere) and its time.
+    """
+    words = word_places(text)
+    of = {at: k for k, w in enumerate(words) for at in range(w["start_char"], w["start_char"] + len(w["word"]))}
+    span: dict[int, list[float]] = {}
+    for at, s, e in zip(place, start, end, strict=True):
+        if (k := of.get(at)) is not None:
+            span[k] = [min(s, span[k][0]), max(e, span[k][1])] if k in span else [s, e]
+    return [{"word": words[k]["word"], "start_char": words[k]["start_char"], "start_sec": s, "end_sec": e} for k, (s, e) in sorted(span.items())]
+
+
 def resolve(spans: list[dict]) -> list[dict]:
     """Greedy choice among overlapping spans: by start, then the longer, then the surer.
 

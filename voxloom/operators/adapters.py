@@ -116,3 +116,52 @@ def find_entities(rows: DataFrame, make: Callable[[], Detector], threshold: floa
             yield pd.DataFrame(out, columns=["segment_id", "type", "start", "end", "confidence", "error"]).astype({"start": "Int32", "end": "Int32"})
 
     return rows.select("segment_id", F.col(text).alias("t")).mapInPandas(run, "segment_id string, type string, start int, end int, confidence double, error string")
+
+
+class Labeller(Protocol):
+    """Loaded once a worker; labels a transcript."""
+
+    def label(self, transcript: str) -> tuple[str, str]:
+        """(role, reason)."""
+
+
+#: Roles of a call's sides, and the characters of a reason that are kept.
+ROLES, REASON_CHARS = ("customer", "agent", "voicemail", "other"), 250
+
+
+def label_sides(sides: DataFrame, make: Callable[[], Labeller], done: DataFrame | None = None, tries: int = 3) -> DataFrame:
+    """(call_id, channel, role, reason, error) of sides (call_id, channel, transcript) that ``done`` doesn't have.
+
+    Empty transcripts are ``unknown`` without asking, as is a role that isn't one of ROLES; a side whose every try raises is ``unknown`` with the error.
+    """
+    keys = ["call_id", "channel"]
+    todo = sides if done is None else sides.join(done.select(*keys), keys, "left_anti")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = make()
+        for pdf in batches:
+            out = []
+            for t in pdf["transcript"]:
+                role, reason, error = "unknown", "", None
+                for _ in range(tries if t and t.strip() else 0):
+                    try:
+                        role, reason = model.label(t)
+                    except Exception as e:  # noqa: BLE001  any model failure becomes a row with an error
+                        error = f"{type(e).__name__}: {e}"[:500]
+                    else:
+                        error = None
+                        break
+                role = role.strip().lower()
+                out.append((role if role in ROLES else "unknown", reason[:REASON_CHARS], error))
+            got = pd.DataFrame(out, columns=["role", "reason", "error"])
+            yield pd.concat([pdf[keys].reset_index(drop=True), got], axis=1)
+
+    kinds = dict(sides.dtypes)
+    return todo.select(*keys, "transcript").mapInPandas(run, f"call_id {kinds['call_id']}, channel {kinds['channel']}, role string, reason string, error string")
+
+
+class ByLength:
+    """A stand-in: the role is the transcript's length by threes."""
+
+    def label(self, transcript: str) -> tuple[str, str]:
+        return ("Customer ", "agent", "robot")[len(transcript) % 3], f"{len(transcript)} characters"

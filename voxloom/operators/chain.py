@@ -5,7 +5,7 @@ What can't be read is masked as a whole, what fails fails its file: no stage pas
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions import columns as C
@@ -30,6 +30,13 @@ def personal(texts: DataFrame) -> DataFrame:
     return found.where(~F.col("s.type").isin(*NOT_MASKED)).select("segment_id", F.col("s.type").alias("type"), F.col("s.start").alias("span_start"), F.col("s.end").alias("span_end"))
 
 
+def route(method: Column, text: Column, spans: Column, language: Column, error: Column, supported: tuple[str, ...] = ("en", "es")) -> Column:
+    """How a segment gets its times: masked as a whole if it can't be read, nothing without spans, uniform words if the aligner doesn't know the language or failed, else aligned."""
+    unreadable = method.startswith("failed") | ~C.has_text(text)
+    known = F.coalesce(F.substring_index(F.lower(language), "-", 1).isin(*supported), F.lit(False))
+    return F.when(unreadable, "mask_whole").when(spans == 0, "no_spans").when(~known, "uniform_language").when(error.isNotNull(), "uniform_error").otherwise("align")
+
+
 def alignments(texts: DataFrame, spans: DataFrame) -> DataFrame:
     """Per segment its status and intervals, in the segment's time.
 

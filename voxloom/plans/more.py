@@ -14,7 +14,6 @@ from voxloom.functions import kernels
 from voxloom.functions.fixed import PANEL
 from voxloom.operators import alignment
 from voxloom.operators import consensus as CN
-from voxloom.operators import intervals as IV
 from voxloom.operators import speakers as SP
 from voxloom.plans.base import HAS_TEXT, RES, SEG, model_results, query, read, results_ok, segments, sides
 from voxloom.sources import calls as SRC
@@ -255,13 +254,6 @@ def aln_tokenmap(spark, d):
     return both.select("segment_id", F.size(pairs("a", "b")).alias("matched"))
 
 
-@query("ALN-WHISPERX")
-def aln_whisperx(spark, d):
-    """Aligner stand-in: uniform times, with the characters of the original text."""
-    w = IV.uniform_words(segments(spark, d))
-    return w.select("segment_id", "start_char", "end_char", R("word_start", 6).alias("start_sec"))
-
-
 @query("MSK-FADE")
 def msk_fade(spark, d):
     @F.pandas_udf("double")
@@ -290,11 +282,6 @@ def spk_ahc(spark, d):
     return SP.average_linkage(sides(spark, d), 0.6)
 
 
-@query("LBL-ROLE", f"WITH {SEG} SELECT call_id, channel, CASE WHEN max(length(trim(text))) = 0 THEN 'unknown' WHEN channel = 0 THEN 'customer' ELSE 'agent' END AS role FROM seg GROUP BY call_id, channel")
-def lbl_role(spark, d):
-    return segments(spark, d).groupBy("call_id", "channel").agg(F.max(F.char_length(F.trim("text"))).alias("n")).select("call_id", "channel", F.when(F.col("n") == 0, "unknown").when(F.col("channel") == 0, "customer").otherwise("agent").alias("role"))
-
-
 # Sources and sinks
 
 

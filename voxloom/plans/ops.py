@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from voxloom.operators import adapters, chain, order, review
+from voxloom.functions import columns as C
+from voxloom.operators import adapters, chain, context, order, review
 from voxloom.plans.base import SEG, model_results, query, read, segments
 from voxloom.sources import calls as SRC
 from voxloom.sources import config, sinks
@@ -191,6 +192,38 @@ def snk_xlsx(spark, d):
 # The whole chain
 
 
+_TEXTS = """t AS (SELECT call_id, channel, regexp_replace(string_agg(text, chr(10) ORDER BY turn), '^[ \\t-\\r]+|[ \\t-\\r]+$', '', 'g') AS transcript FROM seg GROUP BY call_id, channel)"""
+
+
+@query("LBL-ROLE", f"WITH {SEG}, {_TEXTS} SELECT call_id, channel, CASE WHEN transcript = '' THEN 'unknown' WHEN length(transcript) % 3 = 0 THEN 'customer' WHEN length(transcript) % 3 = 1 THEN 'agent' ELSE 'unknown' END AS role, CASE WHEN transcript = '' THEN '' ELSE length(transcript) || ' characters' END AS reason FROM t WHERE call_id % 4 <> 1")
+def lbl_role(spark, d):
+    """Sides labelled by a stand-in, but for calls that a run before has labelled."""
+    s = segments(spark, d)
+    done = s.where("call_id % 4 = 1").select("call_id", "channel").distinct()
+    return adapters.label_sides(context.channel_texts(s), adapters.ByLength, done).drop("error")
+
+
+@query(
+    "ALN-STAGE",
+    f"""WITH {SEG} SELECT segment_id, CASE WHEN turn % 7 = 6 OR NOT regexp_matches(text, '[^\\s]') THEN 'mask_whole' WHEN turn % 2 = 1 THEN 'no_spans' WHEN call_id % 5 IN (2, 4) THEN 'uniform_language' WHEN turn % 4 = 2 THEN 'uniform_error' ELSE 'align' END AS route FROM seg""",
+)
+def aln_stage(spark, d):
+    lang = F.array(*[F.lit(x) for x in ("en", "es-MX", "fr", "EN-us", None)])[F.col("call_id") % 5]
+    method = F.when(F.col("turn") % 7 == 6, "failed_no_transcripts").otherwise("strong_exact")
+    error = F.when(F.col("turn") % 4 == 2, "aligner failed")
+    return segments(spark, d).select("segment_id", chain.route(method, F.col("text"), 1 - F.col("turn") % 2, lang, error).alias("route"))
+
+
+@query("ALN-WHISPERX")
+def aln_whisperx(spark, d):
+    """Words by the times of aligned characters of the text with digits as words: each character of a stand-in takes 50 ms."""
+    s = segments(spark, d).select("segment_id", F.concat("text", F.lit(" at 212-537 now")).alias("said"))
+    x = s.withColumn("x", C.spelled_digits(F.col("said"), F.lit("en")))
+    times = lambda late: F.transform("x.place", lambda _, i: (i + late) * 0.05)
+    units = x.select("segment_id", F.inline(C.remapped_units(F.col("said"), F.col("x.place"), times(0), times(1))))
+    return units.select("segment_id", "word", "start_char", R("start_sec", 6).alias("start_sec"), R("end_sec", 6).alias("end_sec"))
+
+
 @query("PII-NEURAL")
 def pii_neural(spark, d):
     """The detectors' interface with a stand-in, over whole texts in windows."""

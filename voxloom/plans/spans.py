@@ -312,11 +312,6 @@ def aln_numeric(spark, d):
     return s.select("segment_id", wide(F.lit(1.0), F.lit(1.5), F.lit(10), "duration_sec").alias("w")).select("segment_id", "w.*")
 
 
-@query("ALN-STAGE", f"WITH {SEG} SELECT segment_id, CASE WHEN trim(text) = '' THEN 'mask_whole' WHEN turn % 2 = 1 THEN 'no_spans' ELSE 'align' END AS route FROM seg")
-def aln_stage(spark, d):
-    return segments(spark, d).select("segment_id", F.when(F.trim("text") == "", "mask_whole").when(F.col("turn") % 2 == 1, "no_spans").otherwise("align").alias("route"))
-
-
 @query("ALN-CTC")
 def aln_ctc(spark, d):
     @F.pandas_udf("array<struct<first:int,behind:int,probability:double>>")
