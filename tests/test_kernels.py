@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from voxloom.functions import fixed as X
 from voxloom.functions import kernels as K
 from voxloom.operators import alignment as A
 
@@ -99,3 +100,15 @@ def test_chunks_stay_within_the_limit():
     got = A.chunk([(0, 4), (4.2, 9), (12, 18), (18.1, 25)], 10, 15)
     assert got == [(0, 9), (12, 25)]
     assert all(b - a <= 28 for a, b in A.chunk([(0, 100)], 15, 28))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*list(X.CONTRACTIONS), "they", "'", "s", "all", " ", "re", "ma", "can", "-", "am"]), max_size=14))
+def test_contractions_in_one_pass(parts):
+    import re
+
+    for sep in ("", " "):
+        text = want = sep.join(parts)
+        for short, long in X.CONTRACTIONS.items():
+            want = re.sub(rf"\b{re.escape(short)}\b", long, want)
+        assert K._CONTRACTION.sub(lambda m: X.CONTRACTIONS[m[0]], text) == want

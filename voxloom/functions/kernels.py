@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import re
-import string
 import unicodedata
 from itertools import groupby
 
 from voxloom.functions import fixed as K
 
 _QUOTES = str.maketrans({"’": "'", "‘": "'", "“": '"', "”": '"'})
-_PUNCT = str.maketrans(dict.fromkeys(string.punctuation + "“”’‘", " "))
-_CONTRACTIONS = [(re.compile(rf"\b{re.escape(k)}\b"), v) for k, v in K.CONTRACTIONS.items()]
+# No contraction is part of another or of what one becomes, so one pass does for all.
+_CONTRACTION = re.compile(rf"\b(?:{'|'.join(map(re.escape, K.CONTRACTIONS))})\b")
 _ECHO, _ARTIFACT, _ORDINAL = re.compile(K.ECHO), re.compile(K.ARTIFACT), re.compile(K.ORDINAL)
 _WORD = re.compile(r"[a-z0-9]+")
 _NUMBER_WORDS = {*K.UNITS, *K.TEENS, *K.TENS, "oh", "o"}
@@ -70,9 +69,8 @@ def normalise(text: str | None, fillers: bool = False) -> str:
         return ""
     value = unicodedata.normalize("NFKC", value).translate(_QUOTES).lower()
     value = _ARTIFACT.sub(" ", _ECHO.sub(" ", _ORDINAL.sub(r"\1", value)))
-    for pattern, long in _CONTRACTIONS:
-        value = pattern.sub(long, value)
-    tokens = _WORD.findall(value.translate(_PUNCT))
+    value = _CONTRACTION.sub(lambda m: K.CONTRACTIONS[m[0]], value)
+    tokens = _WORD.findall(value)
     return " ".join(join_numbers(tokens if fillers else [t for t in tokens if t not in K.FILLERS]))
 
 
