@@ -244,6 +244,13 @@ def test_clashing_names(spark):
     assert all(r["_host"] == r["_segs"] == r["url_segs"] == r["url_listed"] == "own" for r in urlfilter.judge(pages).collect())
 
 
+def test_codes_that_clash_are_drawn_again(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "_code", lambda w, seed: F.char_length(w).cast("long") if seed == 0 else F.xxhash64(w, F.lit(seed)))
+    items = spark.createDataFrame([(9, "aa bb cc")], "item_id long, text string")
+    got = {r.doc_id: r.n_hit for r in decontam.contamination(docs(spark, [(1, "x aa bb cc"), (2, "bb aa cc"), (3, None)]), items).collect()}
+    assert got == {1: 3, 2: 0, 3: 0}
+
+
 def test_key_filter_loses_nothing(spark, monkeypatch):
     for words in (4, common.FILTER_WORDS):
         monkeypatch.setattr(common, "FILTER_WORDS", words)

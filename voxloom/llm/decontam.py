@@ -68,28 +68,42 @@ def _in(x: Column, values: list) -> Column:
     return x.isin(values) if len(values) < 11 else reduce(lambda a, b: a | b, [x.isin(values[i : i + 20_000]) for i in range(0, len(values), 20_000)])
 
 
-def coded(texts: Column, vocabulary: list[str]) -> Column:
+def _code(word: Column, seed: int) -> Column:
+    return F.xxhash64(word, F.lit(seed))
+
+
+def coded(texts: Column, vocabulary: list[str], seed: int = 0) -> Column:
     """A text's words as hashes of those in the vocabulary, and 0 for the rest."""
-    return F.transform(texts, lambda w: F.when(_in(w, vocabulary), F.xxhash64(w)).otherwise(F.lit(0).cast("long")))
+    return F.transform(texts, lambda w: F.when(_in(w, vocabulary), _code(w, seed)).otherwise(F.lit(0).cast("long")))
+
+
+def _coded_windows(items: DataFrame, n: int) -> tuple[DataFrame, list, int]:
+    """A work table of windows with their terms' codes, the terms, and the first seed by which no two terms share a code, or have 0."""
+    plain = materialise(windows(items, n).select("terms", "item_ids"), "benchmark-terms", BLOCK_WORDS)
+    seed = -1
+    while True:
+        seed += 1
+        terms = materialise(plain.withColumn("codes", F.transform("terms", lambda w: _code(w, seed))), "benchmark-windows", BLOCK_WORDS)  # noqa: B023
+        known = terms.select(F.explode(F.arrays_zip("terms", "codes")).alias("x")).select("x.terms", "x.codes").distinct().collect()
+        if len({r["codes"] for r in known} | {0}) == len(known) + 1:
+            discard(plain)
+            return terms, known, seed
+        discard(terms)
 
 
 def matches(docs: DataFrame, items: DataFrame, n: int = WINDOW, slop: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(_i, _h, start, length, item_ids): where a window occurs, a work table; _i and _h name the document (see _keys)."""
     spark = docs.sparkSession
-    terms = windows(items, n).select("terms", "item_ids", F.transform("terms", lambda w: F.xxhash64(w)).alias("codes"))
-    terms = materialise(terms, "benchmark-windows", BLOCK_WORDS)
+    terms, known, seed = _coded_windows(items, n)
     def nothing() -> DataFrame:
         discard(terms)
         return materialise(spark.createDataFrame([], "_i long, _h long, start int, length int, item_ids array<string>"), "matches")
 
-    known = terms.select(F.explode(F.arrays_zip("terms", "codes")).alias("x")).select("x.terms", "x.codes").distinct().collect()
     if not known:
         return nothing()
-    if len({r["codes"] for r in known} | {0}) != len(known) + 1:
-        raise ValueError("two terms of the benchmark share a 64-bit hash; match its items in two parts")
     i, h = _keys(doc_id, text)
     vocabulary = sorted(r["terms"] for r in known)
-    forward = docs.select(i.alias("_i"), h.alias("_h"), coded(words(F.col(f"`{text}`")), vocabulary).alias("codes"))
+    forward = docs.select(i.alias("_i"), h.alias("_h"), coded(words(F.col(f"`{text}`")), vocabulary, seed).alias("codes"))
 
     # Pass 1: how often each term occurs in the corpus.
     seen = materialise(forward.select(F.explode(F.filter("codes", lambda c: c != 0)).alias("term")).groupBy("term").agg(F.count("*").alias("n")), "benchmark-terms", len(known))
