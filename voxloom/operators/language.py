@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.functions import fixed as K
+from voxloom.functions.columns import let
 
 
 def words(text: Column) -> Column:
@@ -43,11 +44,16 @@ def score(text: Column, spanish: tuple[str, ...] = K.SPANISH_WORDS, english: tup
     text = F.coalesce(text, F.lit(""))
     letters = F.regexp_count(F.lower(text), F.lit(f"[{K.SPANISH_LETTERS}]"))
     found = F.regexp_extract_all(fold(text), F.lit(r"\p{L}+"), F.lit(0))
-    es = letters * 2 + F.size(F.filter(found, lambda w: w.isin(*spanish)))
-    en = F.size(F.filter(found, lambda w: w.isin(*english) & ~w.isin(*spanish)))
-    code = F.when(es + en == 0, None).when(es > en, "es").when(en > es, "en").when(letters > 0, "es")
-    sure = F.when(es + en == 0, 0.0).otherwise(F.abs(es - en) / (es + en))
-    return code, sure
+    counts = let(found, lambda ws: F.struct(F.size(F.filter(ws, lambda w: w.isin(*spanish))).alias("es"), F.size(F.filter(ws, lambda w: w.isin(*english) & ~w.isin(*spanish))).alias("en")))
+
+    def judged(x: Column) -> Column:
+        es, en = x["letters"] * 2 + x["words"]["es"], x["words"]["en"]
+        code = F.when(es + en == 0, None).when(es > en, "es").when(en > es, "en").when(x["letters"] > 0, "es")
+        return F.struct(code.alias("code"), F.when(es + en == 0, 0.0).otherwise(F.abs(es - en) / (es + en)).alias("sure"))
+
+    # Bound once: branches would count again.
+    row = let(F.struct(letters.alias("letters"), counts.alias("words")), judged)
+    return row["code"], row["sure"]
 
 
 def rollup(rows: DataFrame, keys: list[str], own: str, order: str) -> DataFrame:
