@@ -19,8 +19,8 @@ ARROW_ROWS = 1000
 TEXT_ROWS, RESULT_ROWS = 4000, 20_000
 #: Narrow rows (keys and labels) that a task of a work table writes.
 FILE_ROWS = 250_000
-#: Bytes that a task of a work table reads, as Spark estimates them.
-FILE_BYTES = 16 << 20
+#: Bytes that a task reads, as Spark estimates them after it has pruned columns: small, so that only tiny partitions are put together.
+FILE_BYTES = 6 << 20
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
