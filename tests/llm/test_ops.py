@@ -94,6 +94,36 @@ def test_substring_brute(spark, hot, monkeypatch):
     assert sorted(map(tuple, got), key=key) == sorted(brute_removed(rows, 35), key=key)
 
 
+def test_substring_tables_by_their_own_rows(spark, monkeypatch):
+    """Spans, a row a text, are dealt out by the number of texts and not by that of their segments."""
+    files, write = {}, substring.materialise
+
+    def spy(df, name, *args):
+        files[name] = len((out := write(df, name, *args)).inputFiles())
+        return out
+
+    monkeypatch.setattr(substring, "materialise", spy)
+    monkeypatch.setattr(substring, "TASK_TEXTS", 4)
+    same = [f"s{i}" for i in range(300)]
+    rows = [(i, " ".join([f"a{i}", *same, f"b{i}"])) for i in range(40)] + [(100 + i, " ".join(f"u{i}x{j}" for j in range(300))) for i in range(40)]
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "12"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = {r.doc_id: (r.n_words, r.n_removed) for r in substring.remove_repeats(docs(spark, rows)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: (302, 300) if i < 100 else (300, 0) for i, _ in rows}
+    assert files["repeated-spans"] <= 2  # 40 texts, 20 a task
+
+
+def test_substring_result_tasks():
+    assert substring.result_texts(256_410, 6) == 10_000  # 26 files and not 65
+    assert [substring.result_texts(n, 6) for n in (0, 1000, 60_000)] == [4000, 4000, 5000]
+
+
 def test_substring_reference(spark):
     ref = docs(spark, [(1, "a b c d e f g"), (2, None)])
     got = substring.remove_known(docs(spark, [(1, "x b c d e y"), (2, "a b x"), (3, None)]), ref, 4).collect()

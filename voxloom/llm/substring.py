@@ -32,7 +32,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import columns, compact, discard, free_names, look_up, materialise, table
+from voxloom.llm.common import FILE_ROWS, columns, compact, discard, free_names, look_up, materialise, table
 from voxloom.llm.textvec import SPACES, batches_of, mix, span_hashes, window_hashes, words_of
 
 LENGTH, GRAM = 35, 8
@@ -40,8 +40,8 @@ LENGTH, GRAM = 35, 8
 HOT, HOT_WINDOWS = 8000, 200_000
 #: Columns that are added.
 ADDED = ("n_words", "n_removed", "kept_text")
-#: Texts that a task cuts.
-TASK_TEXTS = 4000
+#: Texts that a task cuts, and whose counts and digests it writes at most.
+TASK_TEXTS, RESULT_TEXTS = 4000, 10_000
 #: Rows that a Python worker gives back at a time.
 BATCH = 5000
 #: Words of a reference that may be broadcast, and of each of its shards.
@@ -211,7 +211,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
     hot = ((F.col("seen") > HOT) | (F.col("windows") > HOT_WINDOWS)).alias("hot")
     again = found.join(seen.hint("merge"), "route").groupBy("key").agg(F.collect_set(F.struct("route", "start", "n", hot)).alias("runs"))
     one = rows.groupBy("key").agg(F.min(F.xxhash64("id")).alias("id"), F.count("*").alias("copies"))
-    again = materialise(again.join(one.hint("merge"), "key").select("key", "id", "copies", "runs"), "repeated-runs", found.count())
+    # Each file forks its executor, so tables have no more of them than their own rows need: at most a row a text.
+    again = materialise(again.join(one.hint("merge"), "key").select("key", "id", "copies", "runs"), "repeated-runs", found.count(), 4 * FILE_ROWS)
+    n_texts = again.count()
     discard(found)
     texts = look_up(rows, [F.col("key"), F.xxhash64("id")], again.select("key", "id", F.col("copies").alias("times"), "runs")).where(F.col("runs").isNotNull())
     texts = texts.select("key", F.col("times").alias("copies"), "runs", "t")
@@ -235,7 +237,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
             yield pd.DataFrame(out, columns=names)
 
     # Repeated rows of one text and id would be cut once each; they are one text.
-    segments = materialise(texts.mapInPandas(cut, "route long, hot boolean, key binary, start int, weight long, payload binary"), "segments", again.count(), TASK_TEXTS)
+    segments = materialise(texts.mapInPandas(cut, "route long, hot boolean, key binary, start int, weight long, payload binary"), "segments", n_texts, TASK_TEXTS)
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         gc.disable()  # automata have no cycles
@@ -270,7 +272,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
     twice = windows.repartition("route").sortWithinPartitions("route").mapInPandas(frequent, "route long, payload binary")
     hot_spans = hot.join(twice, ["route", "payload"]).select("key", F.col("start").alias("from"), (F.col("start") + length).alias("to"))
     every = cold.mapInPandas(match, "key binary, from int, to int").unionByName(hot_spans)
-    out = materialise(every.groupBy("key").agg(F.collect_set(F.struct("from", "to")).alias("spans")), "repeated-spans", segments.count(), 5 * TASK_TEXTS)
+    out = materialise(every.groupBy("key").agg(F.collect_set(F.struct("from", "to")).alias("spans")), "repeated-spans", n_texts, 5 * TASK_TEXTS)
     discard(again, segments)
     return out
 
@@ -354,10 +356,16 @@ def remove_known(docs: DataFrame, reference: DataFrame, length: int = LENGTH, te
     return _without(docs, known, [], text)
 
 
+def result_texts(n: int, cores: int) -> int:
+    """Texts of a task of the result: RESULT_TEXTS, or fewer so that each core gets two tasks, but no fewer than TASK_TEXTS."""
+    return max(TASK_TEXTS, min(RESULT_TEXTS, n // (2 * cores)))
+
+
 def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left of every document, without those that repeated windows cover."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return compact(remove_repeats(docs), docs.count(), TASK_TEXTS).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+    n = docs.count()
+    return compact(remove_repeats(docs), n, result_texts(n, spark.sparkContext.defaultParallelism)).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
 #: Windows are told apart by their whole word sequence.
