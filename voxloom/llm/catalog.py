@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from voxloom.llm import decontam, langid, minhash, packing, pii, quality, substring, topk, urlfilter, warc
+from voxloom.llm import decontam, langid, lexical, minhash, packing, pii, quality, substring, topk, urlfilter, warc
 
 QUERIES = {
     "op1_decontam": decontam.op1_decontam,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_topk": topk.op9_topk,
     "op10_langid": langid.op10_langid,
+    "op11_lexical": lexical.op11_lexical,
 }
-ORACLES = {"op1_decontam": decontam.ORACLE_SQL, "op2_substring": substring.ORACLE_SQL, "op3_warc": warc.ORACLE_SQL, "op9_topk": topk.ORACLE_SQL}
+ORACLES = {"op1_decontam": decontam.ORACLE_SQL, "op2_substring": substring.ORACLE_SQL, "op3_warc": warc.ORACLE_SQL, "op9_topk": topk.ORACLE_SQL, "op11_lexical": lexical.ORACLE_SQL}
