@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from voxloom.llm import decontam, dualtree, langid, lexical, minhash, packing, pii, quality, substring, topk, urlfilter, warc
+from voxloom.llm import decontam, dualtree, htmltext, langid, lexical, minhash, packing, pii, quality, substring, topk, urlfilter, warc
 
 QUERIES = {
     "op1_decontam": decontam.op1_decontam,
@@ -17,5 +17,6 @@ QUERIES = {
     "op10_langid": langid.op10_langid,
     "op11_lexical": lexical.op11_lexical,
     "op12_cluster": dualtree.op12_cluster,
+    "op13_htmltext": htmltext.op13_htmltext,
 }
 ORACLES = {"op1_decontam": decontam.ORACLE_SQL, "op2_substring": substring.ORACLE_SQL, "op3_warc": warc.ORACLE_SQL, "op9_topk": topk.ORACLE_SQL, "op11_lexical": lexical.ORACLE_SQL, "op12_cluster": dualtree.ORACLE_SQL}
