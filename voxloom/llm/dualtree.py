@@ -225,7 +225,7 @@ def _sums(blocks: DataFrame, centroids: np.ndarray, fits: bool, unit: float) ->
             lambda key, pdf: pd.DataFrame({"cluster": [key[0]], "at": [key[1]], "n": [int(pdf["n"].sum())], "s": [str(sum(map(int, pdf["s"])))]}), "cluster int, at int, n long, s string"
         )
     n, total = {}, {}
-    for r in added.toLocalIterator():  # clusters times dimensions
+    for r in added.collect():  # clusters times dimensions
         n[r["cluster"]] = r["n"]
         total.setdefault(r["cluster"], [0] * dim)[r["at"]] = int(r["s"])
     return n, total
