@@ -393,28 +393,14 @@ def test_tones(spark, vecs):
 
 def test_batches(spark, segs):
     calls = by(segs, lambda s: s.call_id)
-    fixed, chars, packed = [], [], []
+    packed = []
     for call, own in calls.items():
-        n = total = batch = 0
-        for s in sorted(own, key=lambda s: (-s.duration_sec, s.segment_id)):
-            if n and (n == 4 or total + s.duration_sec > 60.0):
-                batch, n, total = batch + 1, 0, 0
-            n, total = n + 1, total + s.duration_sec
-            fixed.append((call, s.segment_id, batch))
-        n = batch = 0
-        for s in sorted(own, key=lambda s: (len(s.text), s.segment_id)):
-            if n and (n == 16 or (n + 1) * len(s.text) > 24_000):
-                batch, n = batch + 1, 0
-            n += 1
-            chars.append((call, s.segment_id, batch))
         total, window, first = 0.0, 0, True
         for s in sorted(own, key=lambda s: s.turn):
             if not first and total + s.duration_sec + 0.6 > 28.6:
                 window, total = window + 1, 0.0
             total, first = total + s.duration_sec + 0.6, False
             packed.append((call, s.segment_id, window))
-    check(spark, "SO-BATCH", ["call_id", "segment_id", "batch"], fixed)
-    check(spark, "SO-CHARBATCH", ["call_id", "segment_id", "batch"], chars)
     check(spark, "SO-PACKCALL", ["call_id", "segment_id", "window"], packed)
 
 

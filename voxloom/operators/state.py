@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.functions.kernels import pack_batches
-from voxloom.operators.order import running
+from voxloom.operators.packing import pack
 
 #: Lines that a task digests.
 SIGNED_LINES = 100_000
@@ -46,18 +44,12 @@ def signature(rows: DataFrame, path: str, size: str, most: int = SIGNED_LINES) -
     return lines.agg(F.substring(digest, 1, 24).alias("signature")).withColumn("files", F.lit(files).cast("long"))
 
 
-def chunks(rows: DataFrame, call: str, target: int) -> DataFrame:
-    """(call, chunk): whole calls in order, about ``target`` rows a chunk: a chunk's number is the rows before it over the target."""
-    sizes = rows.groupBy(call).agg(F.count("*").alias("n"))
-    return running(sizes, [F.col(call)], F.col("n")).select(call, F.floor(F.col("before") / target).alias("chunk"))
+def chunks(rows: DataFrame, call: str, target: int, order: list[str]) -> DataFrame:
+    """(call, chunk): whole calls in the order in which their first rows are seen; a chunk closes once it has ``target`` rows. A larger call closes its chunk."""
+    sizes = rows.groupBy(call).agg(F.count("*").alias("n"), F.min(F.struct(*order)).alias("seen"))
+    return pack(sizes, [F.col("seen"), F.col(call)], F.col("n"), "target", target, target, [call]).withColumnRenamed("batch", "chunk")
 
 
-def batches(rows: DataFrame, keys: list[str], size: str, key: str, most: int, budget: float) -> DataFrame:
-    """Adds ``batch``: rows of a group, longest first, until ``most`` rows or ``budget`` in all; a larger row is alone."""
-    schema = ", ".join(f"{k} {dict(rows.dtypes)[k]}" for k in [*keys, key]) + ", batch int"
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([size, key], ascending=[False, True])
-        return pdf[[*keys, key]].assign(batch=pack_batches(pdf[size].to_list(), most, budget))
-
-    return rows.select(*keys, key, size).groupBy(*keys).applyInPandas(one, schema)
+def batches(rows: DataFrame, size: str, key: str, most: int, budget: float, rule: str = "budget") -> DataFrame:
+    """(key, batch): all rows, shortest first, until ``most`` rows or ``budget`` in all (``padded``: or rows times the longest); a larger row is alone."""
+    return pack(rows, [F.coalesce(F.col(size), F.lit(0)), F.col(key)], F.greatest(F.col(size), F.lit(0)), rule, most, budget, [key])

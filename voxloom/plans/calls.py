@@ -260,14 +260,32 @@ def so_sample(spark, d):
     return read(spark, d, "documents").select("doc_id").orderBy(F.sha1(F.concat(F.col("doc_id").cast("string"), F.lit("42"))), "doc_id").limit(50)
 
 
-@query("SO-CHUNK", f"WITH {SEG}, c AS (SELECT call_id, count(*) AS n FROM seg GROUP BY call_id), s AS (SELECT call_id, n, coalesce(sum(n) OVER (ORDER BY call_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM c) SELECT call_id, CAST(before // 50 AS BIGINT) AS chunk FROM s")
+#: A loop over rows in SQL: ``line`` has i from 1, and ``key``, and ``size``; a batch closes before a row for which ``closes`` holds.
+LOOP = """line AS MATERIALIZED ({line}), loop AS (
+  SELECT i, {key}, CAST(0 AS BIGINT) AS batch, CAST(1 AS BIGINT) AS held, CAST(size AS DOUBLE) AS total FROM line WHERE i = 1
+  UNION ALL
+  SELECT n.i, n.{key}, l.batch + CASE WHEN {closes} THEN 1 ELSE 0 END, CASE WHEN {closes} THEN 1 ELSE l.held + 1 END, CASE WHEN {closes} THEN n.size ELSE l.total + n.size END
+  FROM loop l JOIN line n ON n.i = l.i + 1
+)"""
+_CALLS = "SELECT row_number() OVER (ORDER BY seen, call_id) AS i, call_id, CAST(n AS DOUBLE) AS size FROM (SELECT call_id, count(*) AS n, min((start_sec, segment_id)) AS seen FROM seg GROUP BY call_id)"
+_SHORTEST = "SELECT row_number() OVER (ORDER BY {size}, segment_id) AS i, segment_id, CAST({size} AS DOUBLE) AS size FROM seg"
+
+
+@query("SO-CHUNK", f"WITH RECURSIVE {SEG}, {LOOP.format(line=_CALLS, key='call_id', closes='l.total >= 50')} SELECT call_id, batch AS chunk FROM loop")
 def so_chunk(spark, d):
-    return ST.chunks(segments(spark, d), "call_id", 50)
+    return ST.chunks(segments(spark, d), "call_id", 50, ["start_sec", "segment_id"])
 
 
-@query("SO-BATCH")
+@query("SO-BATCH", f"WITH RECURSIVE {SEG}, {LOOP.format(line=_SHORTEST.format(size='duration_sec'), key='segment_id', closes='(l.held >= 8 OR l.total + n.size > 240)')} SELECT segment_id, batch FROM loop")
 def so_batch(spark, d):
-    return ST.batches(segments(spark, d), ["call_id"], "duration_sec", "segment_id", 4, 60.0)
+    return ST.batches(segments(spark, d), "duration_sec", "segment_id", 8, 240.0)
+
+
+@query("SO-CHARBATCH", f"WITH RECURSIVE {SEG}, {LOOP.format(line=_SHORTEST.format(size='length(text)'), key='segment_id', closes='(l.held >= 16 OR (l.held + 1) * n.size > 24000)')} SELECT segment_id, batch FROM loop")
+def so_charbatch(spark, d):
+    """All texts by length, until 16 of them or until their number times the longest passes 24,000 characters."""
+    s = segments(spark, d).select("segment_id", F.char_length("text").cast("double").alias("n"))
+    return ST.batches(s, "n", "segment_id", 16, 24_000, "padded")
 
 
 @query("SO-RR", f"WITH {SEG} SELECT segment_id, (row_number() OVER (PARTITION BY call_id ORDER BY turn) - 1) % 4 AS worker FROM seg")

@@ -165,24 +165,6 @@ def lng_source(spark, d):
 # Batches
 
 
-@query("SO-CHARBATCH")
-def so_charbatch(spark, d):
-    """Texts of a call by length, until (texts + 1) times the longest passes 24,000 characters, or 16 texts."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n", "segment_id"])
-        out, batch, held = [], 0, 0
-        for n in pdf["n"]:
-            if held and (held >= 16 or (held + 1) * n > 24_000):
-                batch, held = batch + 1, 0
-            held += 1
-            out.append(batch)
-        return pdf[["call_id", "segment_id"]].assign(batch=out)
-
-    s = segments(spark, d).select("call_id", "segment_id", F.char_length("text").alias("n"))
-    return s.groupBy("call_id").applyInPandas(one, "call_id long, segment_id string, batch int")
-
-
 @query("SO-PACKCALL")
 def so_packcall(spark, d):
     """Segments of a call in order, with 0.6 s between them, in windows of 28 s."""
