@@ -434,8 +434,8 @@ def test_greedy_spans(spark):
                     break
             else:
                 kept.append(s)
-        want.append((user, len(kept)))
-    check(spark, "SPN-RESOLVE", ["user_id", "kept"], want)
+        want.append((user, len(kept), sum(k["start"] for k in kept)))
+    check(spark, "SPN-RESOLVE", ["user_id", "kept", "starts"], want)
 
 
 def test_neighbours_and_splits(spark, vecs):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 from itertools import groupby
 
 from voxloom.functions import fixed as K
@@ -166,20 +167,47 @@ def remap_units(text: str | None, place: list[int | None], start: list[float], e
 def resolve(spans: list[dict]) -> list[dict]:
     """Greedy choice among overlapping spans: by start, then the longer, then the surer.
 
-    A span is held against the first kept one that it overlaps, and replaces it if it is surer.
+    A span is held against the first kept one that it overlaps, and replaces it if it is surer. Starts only grow, so a kept span that has ended before one
+    has ended for good: the first that hasn't is found by moving on, and the choice is linear in sorted spans.
     """
     kept: list[dict] = []
+    first = 0
     for s in sorted(spans, key=lambda s: (s["start"], s["start"] - s["end"], -s["confidence"])):
-        clash = next((i for i, k in enumerate(kept) if s["start"] < k["end"] and k["start"] < s["end"]), None)
-        if clash is None:
+        while first < len(kept) and kept[first]["end"] <= s["start"]:
+            first += 1
+        at = first
+        # Only an empty span can fail to overlap a live one: that which starts with it.
+        while at < len(kept) and not (s["start"] < kept[at]["end"] and kept[at]["start"] < s["end"]):
+            at += 1
+        if at == len(kept):
             kept.append(s)
-        elif s["confidence"] > kept[clash]["confidence"]:
-            kept[clash] = s
+        elif s["confidence"] > kept[at]["confidence"]:
+            kept[at] = s
     return sorted(kept, key=lambda s: s["start"])
 
 
 _TOKEN, _CUE = re.compile(r"[A-Za-z]+|\d+"), re.compile(K.SPOKEN_CUE, re.IGNORECASE)
-_PATTERNS = [(kind, re.compile(p), group, conf, source) for kind, p, group, conf, source in K.PATTERNS]
+#: White space that a pattern passes is never given back: what follows it isn't white space. So long white space costs one look.
+_PATTERNS = [(kind, re.compile(p.replace(r"\s*", r"\s*+")), group, conf, source) for kind, p, group, conf, source in K.PATTERNS]
+_LOCAL, _EDGE = re.compile(r"(?i)[A-Z0-9._%+-]"), re.compile(r"\b")
+
+
+def _matches(kind: str, pattern: re.Pattern, text: str) -> Iterator[re.Match]:
+    """Matches of a pattern; those of e-mails are looked for before each @ alone, where the pattern's own scan is quadratic in a run without one."""
+    if kind != "EMAIL":
+        yield from pattern.finditer(text)
+        return
+    free, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > free and _LOCAL.match(text[start - 1]):
+            start -= 1
+        edge = _EDGE.search(text, start, at) if start < at else None
+        # The edge of the text that is looked at isn't one of the word.
+        if edge and (m := pattern.match(text, edge.start())):
+            yield m
+            free = m.end()
+        at = text.find("@", max(at + 1, free))
 
 
 _RUN = re.compile("D(?:[DX]|B(?=[DX]))*")
@@ -221,7 +249,7 @@ def detect(text: str | None) -> list[dict]:
     text = text or ""
     out = []
     for kind, pattern, group, conf, source in _PATTERNS:
-        for m in pattern.finditer(text):
+        for m in _matches(kind, pattern, text):
             names = m[group].lower().split()
             if kind == "PERSON_NAME" and any(len(n) < 2 or n in K.NOT_NAMES for n in names):
                 continue
@@ -250,23 +278,39 @@ def pack_batches(sizes: list[float], most: int, budget: float) -> list[int]:
     return out
 
 
+_JSON_MARK = re.compile(r'[\\"{}]')
+
+
 def json_object(text: str | None) -> str | None:
-    """The first balanced {...} in a text, code fences and trailing commas removed; None without one."""
+    """The first balanced {...} in a text, code fences and trailing commas removed; None without one.
+
+    A scan from an open brace tells of every brace that it meets outside quotes whether it closes; others start a scan of their own.
+    """
     value = re.sub(r"```(?:json)?", "", text or "")
+    met: set[int] = set()
+    best: tuple[int, int] | None = None
     start = value.find("{")
-    while start >= 0:
-        depth, quoted, skip = 0, False, False
-        for i in range(start, len(value)):
-            c = value[i]
-            if skip:
-                skip = False
-            elif c == "\\":
-                skip = quoted
-            elif c == '"':
-                quoted = not quoted
-            elif not quoted:
-                depth += (c == "{") - (c == "}")
-                if depth == 0:
-                    return re.sub(r",\s*([}\]])", r"\1", value[start : i + 1])
+    while start >= 0 and (best is None or start < best[0]):
+        if start not in met:
+            quoted, skip, open_at = False, -1, []
+            for m in _JSON_MARK.finditer(value, start):
+                i, c = m.start(), m[0]
+                if i == skip:
+                    continue
+                if c == "\\":
+                    skip = i + 1 if quoted else -1
+                elif c == '"':
+                    quoted = not quoted
+                elif quoted:
+                    continue
+                elif c == "{":
+                    open_at.append(i)
+                    met.add(i)
+                else:
+                    s = open_at.pop()
+                    if best is None or s < best[0]:
+                        best = (s, i)
+                    if not open_at:
+                        break
         start = value.find("{", start + 1)
-    return None
+    return re.sub(r",\s*+([}\]])", r"\1", value[best[0] : best[1] + 1]) if best else None

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions.columns import word_places
+from voxloom.functions.kernels import resolve
+from voxloom.operators.order import Scans
+from voxloom.sources.work import write_work
 
 
 def islands(rows: DataFrame, keys: list[str], gap: float = 0.0, start: str = "start_sec", end: str = "end_sec") -> DataFrame:
-    """Adds ``island``: intervals of a key whose gaps are at most ``gap`` share one. Ties are ordered by end."""
-    order = Window.partitionBy(*keys).orderBy(start, end)
-    reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(reach.isNull() | (F.col(start) - reach > gap), 1).otherwise(0)
-    return rows.withColumn("_open", opens).withColumn("island", F.sum("_open").over(order)).drop("_open")
+    """Adds ``island``: intervals of a key whose gaps are at most ``gap`` share one. Ties are ordered by end. A key may have any share of the rows."""
+    scans = Scans(rows, keys, [F.col(start), F.col(end)]).before(F.col(end), "max", "_reach")
+    opens = F.when(F.col("_reach").isNull() | (F.col(start) - F.col("_reach") > gap), 1).otherwise(0)
+    return scans.upto(opens, "sum", "island").done("island")
 
 
 def merge(rows: DataFrame, keys: list[str], gap: float = 0.0, start: str = "start_sec", end: str = "end_sec") -> DataFrame:
@@ -21,17 +24,55 @@ def merge(rows: DataFrame, keys: list[str], gap: float = 0.0, start: str = "star
     return islands(rows, keys, gap, start, end).groupBy(*keys, "island").agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("merged")).drop("island")
 
 
+def in_order(found: DataFrame, keys: list[str], value: str, mark: str, distinct: bool, start: str = "start_sec", end: str = "end_sec") -> DataFrame:
+    """(keys, island, value): an island's values in order of its intervals, joined by a mark; of equal ones, if ``distinct``, the first alone."""
+    one = F.struct(start, end, value)
+    if distinct:
+        found = found.where(F.col(value).isNotNull()).groupBy(*keys, "island", value).agg(F.min(one).alias("_x"))
+    else:
+        found = found.select(*keys, "island", one.alias("_x"))
+    listed = F.transform(F.array_sort(F.collect_list("_x")), lambda x: x[value])
+    return found.groupBy(*keys, "island").agg(F.array_join(listed, mark).alias(value))
+
+
 def merge_masks(rows: DataFrame, keys: list[str], gap: float = 0.02) -> DataFrame:
     """Merged mask intervals with their distinct reasons in order, first known type, highest confidence."""
-    found = islands(rows, keys, gap)
-    first = F.struct("start_sec", "end_sec", "reason")
-    return found.groupBy(*keys, "island").agg(
+    found = write_work(islands(rows, keys, gap), "islands")
+    whole = found.groupBy(*keys, "island").agg(
         F.min("start_sec").alias("start_sec"),
         F.max("end_sec").alias("end_sec"),
-        F.array_join(F.array_distinct(F.transform(F.array_sort(F.collect_list(first)), lambda x: x["reason"])), ",").alias("reason"),
         F.min_by("entity_type", F.when(F.col("entity_type").isNotNull(), F.struct("start_sec", "end_sec", "entity_type"))).alias("entity_type"),
         F.max(F.coalesce("confidence", F.lit(0.0))).alias("confidence"),
-    ).drop("island")
+    )
+    reasons = in_order(found, keys, "reason", ",", True)
+    same = [whole[k].eqNullSafe(reasons[k]) for k in [*keys, "island"]]
+    return whole.join(reasons, same, "left").select(*[whole[k] for k in keys], "start_sec", "end_sec", F.coalesce("reason", F.lit("")).alias("reason"), "entity_type", "confidence")
+
+
+def merge_times(rows: DataFrame, keys: list[str], values: list[str], gap: float = 0.0, start: str = "start_sec", end: str = "end_sec") -> DataFrame:
+    """Merged intervals of a key with the values of all of theirs in order, joined by `` | ``; a null value counts as empty."""
+    found = islands(rows.withColumns({v: F.coalesce(v, F.lit("")) for v in values}), keys, gap, start, end)
+    one = F.struct(start, end, *values)
+    listed = F.array_sort(F.collect_list(one))
+    texts = [F.array_join(F.transform(listed, lambda x: x[v]), " | ").alias(v) for v in values]
+    return found.groupBy(*keys, "island").agg(F.min(start).alias(start), F.max(end).alias(end), *texts).drop("island")
+
+
+def resolve_spans(spans: DataFrame, keys: list[str], start: str = "start", end: str = "end", confidence: str = "confidence") -> DataFrame:
+    """Spans (keys, start, end, confidence) of which no kept one was held against a surer one that it overlaps (``kernels.resolve``), island by island.
+
+    Spans that touch but don't overlap, and those of two islands, can't clash. An empty span joins the island that it starts in.
+    """
+    kinds = dict(spans.dtypes)
+    found = islands(spans.select(*keys, start, end, confidence), keys, -1e-9 if kinds[start] in ("double", "float") else -1, start, end)
+
+    def chosen(pdf: pd.DataFrame) -> pd.DataFrame:
+        kept = resolve([{"start": s, "end": e, "confidence": c} for s, e, c in zip(pdf[start], pdf[end], pdf[confidence], strict=True)])
+        own = pdf[keys].iloc[:1].loc[lambda x: x.index.repeat(len(kept))].reset_index(drop=True)
+        return own.assign(**{start: [k["start"] for k in kept], end: [k["end"] for k in kept], confidence: [k["confidence"] for k in kept]})
+
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*keys, start, end, confidence])
+    return found.groupBy(*keys, "island").applyInPandas(chosen, schema)
 
 
 def clip(rows: DataFrame, limit: Column, start: str = "start_sec", end: str = "end_sec") -> DataFrame:
@@ -54,11 +95,10 @@ def overlap_seconds(rows: DataFrame, others: DataFrame, keys: list[str], id_: st
     ends = others.where("end_sec > start_sec").select(*keys, F.explode(F.array(mark(F.col("start_sec"), 1, none), mark(F.col("end_sec"), -1, none))).alias("x"))
     asks = rows.select(*keys, F.explode(F.array(mark(F.col("start_sec"), 0, F.col(id_)), mark(F.greatest("start_sec", "end_sec"), 0, F.col(id_)))).alias("x"))
     line = ends.unionAll(asks).select(*keys, "x.*")
-    order = Window.partitionBy(*keys).orderBy("at", "step", "who")
     # Between a mark and the one before it as many are open as the steps before say.
-    run = line.withColumn("_open", F.coalesce(F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    run = run.withColumn("_area", F.col("_open") * (F.col("at") - F.coalesce(F.lag("at").over(order), F.col("at"))))
-    run = run.withColumn("_upto", F.sum("_area").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    scans = Scans(line, keys, [F.col("at"), F.col("step"), F.col("who")]).before(F.col("step"), "sum", "_open").before(F.col("at"), "max", "_earlier")
+    area = F.coalesce("_open", F.lit(0)) * (F.col("at") - F.coalesce("_earlier", "at"))
+    run = scans.upto(area, "sum", "_upto").done("_upto")
     return run.where(F.col("who").isNotNull()).groupBy(F.col("who").alias(id_)).agg((F.max("_upto") - F.min("_upto")).alias("seconds"))
 
 

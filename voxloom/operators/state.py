@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.operators.order import running
 from voxloom.operators.packing import pack
 
-#: Lines that a task digests.
-SIGNED_LINES = 100_000
+#: Lines of a node of the tree that a signature is the root of.
+FAN = 10_000
 
 
 def latest(log: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -27,21 +28,22 @@ def pending(work: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return work.join(done.select(*keys), keys, "left_anti")
 
 
-def signature(rows: DataFrame, path: str, size: str, most: int = SIGNED_LINES) -> DataFrame:
-    """One row: the digest of all ``path:size`` lines in order, and their number.
+def signature(rows: DataFrame, path: str, size: str, fan: int = FAN) -> DataFrame:
+    """One row: the signature of all ``path:size`` lines in order, and their number.
 
-    Up to ``most`` lines it is the digest of them all. Of more, lines are dealt into so many buckets by their path's hash that each has about
-    ``most``, and the lines are the buckets' digests, over again until they are few: no task sorts more.
+    It is the root of a hash tree: each ``fan`` consecutive lines have a digest, their digests are the next level's lines, and the
+    last level has one. The same at every size: up to ``fan`` lines that one is the digest of all lines, as they are; no task sees more of a level.
     """
-    lines = rows.select(F.struct(F.col(path).cast("string").alias("p"), F.col(size).cast("long").alias("n")).alias("o"), F.concat_ws(":", F.col(path).cast("string"), F.col(size).cast("string")).alias("l"))
-    files = n = rows.count()
-    digest = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "l"))), lambda x: x["l"]), "\n"), 256)
-    while n > most:
-        buckets = -(-n // most) * 2
-        bucket = F.pmod(F.xxhash64("o"), F.lit(buckets))
-        by = lines.groupBy(bucket.alias("b")).agg(digest.alias("l"))
-        lines, n = by.select(F.struct(F.lpad(F.col("b").cast("string"), 12, "0").alias("p"), F.col("b").alias("n")).alias("o"), "l"), buckets
-    return lines.agg(F.substring(digest, 1, 24).alias("signature")).withColumn("files", F.lit(files).cast("long"))
+    line = F.concat_ws(":", F.col(path).cast("string"), F.col(size).cast("string"))
+    level = rows.select(F.col(path).cast("string").alias("p"), F.col(size).cast("long").alias("n"), line.alias("l"))
+    files = left = rows.count()
+    order = [F.col("p"), F.col("n")]
+    while True:
+        placed = running(level, order).select(F.floor(F.col("before") / fan).alias("g"), F.struct("before", "l").alias("x"))
+        digest = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["l"]), "\n"), 256)
+        if left <= fan:
+            return placed.agg(F.substring(digest, 1, 24).alias("signature")).withColumn("files", F.lit(files).cast("long"))
+        level, left, order = placed.groupBy("g").agg(digest.alias("l")), -(-left // fan), [F.col("g")]
 
 
 def chunks(rows: DataFrame, call: str, target: int, order: list[str]) -> DataFrame:

@@ -52,10 +52,10 @@ def int_maskmerge(spark, d):
     return IV.merge_masks(rows, ["user_id"], 0.02)
 
 
-@query("INT-TIMEMERGE", f"WITH {ACT}, {ISL.format(gap=0)} SELECT user_id, min(start_sec) AS start_sec, max(end_sec) AS end_sec, string_agg(DISTINCT event_type, ' | ' ORDER BY event_type) AS types FROM isl GROUP BY user_id, island")
+@query("INT-TIMEMERGE", f"WITH {ACT}, {ISL.format(gap=0)} SELECT user_id, min(start_sec) AS start_sec, max(end_sec) AS end_sec, string_agg(CAST(event_id AS VARCHAR), ' | ' ORDER BY start_sec, end_sec, CAST(event_id AS VARCHAR), upper(event_type), event_type) AS texts, string_agg(upper(event_type), ' | ' ORDER BY start_sec, end_sec, CAST(event_id AS VARCHAR), upper(event_type), event_type) AS types, string_agg(event_type, ' | ' ORDER BY start_sec, end_sec, CAST(event_id AS VARCHAR), upper(event_type), event_type) AS sources FROM isl GROUP BY user_id, island")
 def int_timemerge(spark, d):
-    found = IV.islands(_activity(spark, d), ["user_id"])
-    return found.groupBy("user_id", "island").agg(F.min("start_sec").alias("start_sec"), F.max("end_sec").alias("end_sec"), F.array_join(F.array_sort(F.collect_set("event_type")), " | ").alias("types")).drop("island")
+    rows = _activity(spark, d).select("user_id", "start_sec", "end_sec", F.col("event_id").cast("string").alias("texts"), F.upper("event_type").alias("types"), F.col("event_type").alias("sources"))
+    return IV.merge_times(rows, ["user_id"], ["texts", "types", "sources"])
 
 
 @query("INT-CLIP", f"WITH {ACT} SELECT event_id, greatest(0, least(start_sec, 1000000)) AS start_sec, greatest(0, least(end_sec, 1000000)) AS end_sec FROM act WHERE end_sec > start_sec")
@@ -217,14 +217,9 @@ def pii_batch(spark, d):
 
 @query("SPN-RESOLVE")
 def spn_resolve(spark, d):
-    kind = "array<struct<start:int,end:int,confidence:double>>"
-
-    @F.pandas_udf(kind)
-    def chosen(xs: pd.Series) -> pd.Series:
-        return pd.Series([kernels.resolve([dict(s) for s in x]) for x in xs], dtype=object)
-
+    """Spans of a key are chosen in islands that no span connects, so a key with many spans is spread."""
     e = _activity(spark, d).select("user_id", F.col("start_sec").cast("int").alias("start"), F.col("end_sec").cast("int").alias("end"), F.col("value").alias("confidence"))
-    return e.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "confidence"))).alias("x")).select("user_id", F.size(chosen("x")).alias("kept"))
+    return IV.resolve_spans(e, ["user_id"]).groupBy("user_id").agg(F.count("*").alias("kept"), F.sum("start").alias("starts"))
 
 
 @query("SPN-DEDUPE", "SELECT user_id, event_type, max(value) AS value FROM events GROUP BY user_id, event_type")
