@@ -40,7 +40,7 @@ normalise_first = _lift(kernels.normalise_first, "string")
 word_distance = _lift(lambda a, b: kernels.word_distance(a or "", b or ""), "int")
 detect = _lift(kernels.detect, SPANS)
 spoken_numbers = _lift(kernels.spoken_numbers, SPANS)
-vague_time = _lift(kernels.vague_time, "boolean")
+times_and_numbers = _lift(kernels.times_and_numbers, SPANS)
 json_object = _lift(kernels.json_object, "string")
 
 
@@ -135,6 +135,13 @@ def shard_of(key: Column, shards: int) -> Column:
     return F.aggregate(digits, F.lit(0).cast("long"), lambda a, x: (a * 16 + x) % shards).cast("int")
 
 
+def vague(kind: Column, text: Column) -> Column:
+    """Whether a DATE or NUMBER is a relative time, a duration or a small number."""
+    said = F.btrim(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), r"^[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+$", "")), F.lit(".,!?;:'\""))
+    empty = (said == "") | said.isin(*K.VAGUE_TIMES) | said.rlike(r"^\p{Nd}{1,2}$") | (said.rlike(K.VAGUE_START) & ~said.rlike(K.MONTH_OR_YEAR))
+    return F.coalesce(kind.isin("DATE", "NUMBER") & empty, F.lit(False))
+
+
 def blank(text: Column) -> Column:
     """Null for strings that mean nothing."""
     t = F.trim(text)

@@ -257,6 +257,26 @@ def detect(text: str | None) -> list[dict]:
     return resolve(out + spoken_numbers(text))
 
 
+#: Dates, times of a day or week, stretches of time; numbers.
+_TIMES = re.compile(
+    rf"(?i)\b(?:\d{{1,2}}[/-]\d{{1,2}}[/-]\d{{2,4}}|(?:{'|'.join(K.MONTHS)})\.?[ ]\d{{1,2}}(?:st|nd|rd|th)?(?:,?[ ]\d{{4}})?"
+    rf"|(?:the[ ])?(?:this|that|last|next|past|each|every|few|several|an?|{'|'.join(K.COUNTS)}|\d{{1,3}})[ ](?:{'|'.join(K.VAGUE_TIMES)})|{'|'.join(K.VAGUE_TIMES)})\b"
+)
+_NUMBER = re.compile(r"\d+")
+
+
+def times_and_numbers(text: str | None) -> list[dict]:
+    """DATE spans, and NUMBER spans of the digits outside of them."""
+    text, out, at = text or "", [], 0
+    for m in [*_TIMES.finditer(text), None]:
+        for n in _NUMBER.finditer(text, at, m.start() if m else len(text)):
+            out.append({"type": "NUMBER", "text": n[0], "start": n.start(), "end": n.end(), "confidence": 0.8, "source": "number_rule"})
+        if m:
+            out.append({"type": "DATE", "text": m[0], "start": m.start(), "end": m.end(), "confidence": 0.8, "source": "time_rule"})
+            at = m.end()
+    return out
+
+
 def vague_time(kind: str, text: str | None) -> bool:
     """Whether a DATE or NUMBER is a relative time, a duration or a small number."""
     if kind not in ("DATE", "NUMBER"):

@@ -86,12 +86,3 @@ def chunk(intervals: list[tuple[float, float]], target: float, most: float, dept
 
     best = max(range(1, len(intervals)), key=value)
     return chunk(intervals[:best], target, most, depth - 1) + chunk(intervals[best:], target, most, depth - 1)
-
-
-def numeric_window(start: float, end: float, digits: int, covered: float, limit: float) -> tuple[float, float]:
-    """A numeric span's time, widened evenly if too few characters were aligned or it is shorter than such a number takes."""
-    need = max(2.4, 0.32 * digits) if digits >= 7 else max(1.2, 0.28 * digits) if digits >= 4 else 0.0
-    if digits < 4 or (covered >= 0.85 and end - start >= 0.65 * need):
-        return start, end
-    more = max(0.0, need - (end - start)) / 2
-    return max(0.0, start - more), min(limit, end + more)

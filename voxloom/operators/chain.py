@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions import columns as C
-from voxloom.functions.fixed import NOT_MASKED
 from voxloom.operators import audio
 from voxloom.operators import intervals as IV
+from voxloom.operators import spans as SP
 from voxloom.operators.consensus import consensus
 
 INTERVAL = "array<struct<start_sec:double,end_sec:double,type:string,reason:string>>"
@@ -24,10 +24,11 @@ def transcripts(segments: DataFrame, results: DataFrame, min_models: int = 3) ->
     return rows.withColumns({"method": F.coalesce("method", F.lit("failed_no_transcripts")), "text": F.coalesce("text", F.lit(""))})
 
 
-def personal(texts: DataFrame) -> DataFrame:
-    """(segment_id, type, span_start, span_end) of the spans that are masked."""
-    found = texts.select("segment_id", F.explode(C.detect("text")).alias("s"))
-    return found.where(~F.col("s.type").isin(*NOT_MASKED)).select("segment_id", F.col("s.type").alias("type"), F.col("s.start").alias("span_start"), F.col("s.end").alias("span_end"))
+def personal(texts: DataFrame, results: DataFrame | None = None) -> DataFrame:
+    """(segment_id, type, text, start, end) of the spans that are masked, in the final text: of all that is found in it and, with ``results``, in what each model heard."""
+    finals = texts.select("segment_id", F.col("text").alias("final"))
+    heard = results.select("segment_id", F.col("model_name").alias("source_name"), "transcript") if results is not None else None
+    return SP.personal(finals, heard).select("segment_id", "type", "text", "start", "end").distinct()
 
 
 def route(method: Column, text: Column, spans: Column, language: Column, error: Column, supported: tuple[str, ...] = ("en", "es")) -> Column:
@@ -40,12 +41,11 @@ def route(method: Column, text: Column, spans: Column, language: Column, error:
 def alignments(texts: DataFrame, spans: DataFrame) -> DataFrame:
     """Per segment its status and intervals, in the segment's time.
 
-    A segment without a usable transcript is one interval; a span that no word overlaps fails its segment.
+    A segment without a usable transcript is one interval; a span for which there is no word at all fails its segment.
     """
     unreadable = F.col("method").startswith("failed") | ~C.has_text(F.col("text"))
     words = IV.uniform_words(texts.select("segment_id", "text", "duration_sec"))
-    timed = IV.spans_to_intervals(spans.select("segment_id", "span_start", "span_end").distinct(), words)
-    each = spans.join(timed, ["segment_id", "span_start", "span_end"], "left")
+    each = SP.in_time(spans, words)
     at = F.struct("start_sec", "end_sec", "type", F.lit("pii").alias("reason"))
     by = each.groupBy("segment_id").agg(F.array_sort(F.collect_list(F.when(F.col("start_sec").isNotNull(), at))).alias("found"), F.count_if(F.col("start_sec").isNull()).alias("lost"))
     whole = F.array(F.struct(F.lit(0.0).alias("start_sec"), F.col("duration_sec").alias("end_sec"), F.lit("UNKNOWN").alias("type"), F.lit("no_usable_transcript").alias("reason"))).cast(INTERVAL)
@@ -71,11 +71,11 @@ def plans(files: DataFrame, aligned: DataFrame) -> DataFrame:
     return files.select("file_id").distinct().join(by, "file_id", "left").select("file_id", F.when(bad, "failed").otherwise("completed").alias("status"), F.when(bad, none).otherwise(F.coalesce("all", none)).alias("intervals"))
 
 
-def plan_run(segments: DataFrame, results: DataFrame, files: DataFrame, min_models: int = 3) -> DataFrame:
+def plan_run(segments: DataFrame, results: DataFrame, files: DataFrame, min_models: int = 3, every_model: bool = True) -> DataFrame:
     texts = transcripts(segments, results, min_models)
-    return plans(files, alignments(texts, personal(texts)))
+    return plans(files, alignments(texts, personal(texts, results if every_model else None)))
 
 
-def protect(segments: DataFrame, results: DataFrame, files: DataFrame, strategy: str = "beep", min_models: int = 3) -> DataFrame:
+def protect(segments: DataFrame, results: DataFrame, files: DataFrame, strategy: str = "beep", min_models: int = 3, every_model: bool = True) -> DataFrame:
     """(file_id, status, message, content) of files (file_id, content) with all that was found masked."""
-    return audio.redact(files, plan_run(segments, results, files, min_models), strategy)
+    return audio.redact(files, plan_run(segments, results, files, min_models, every_model), strategy)

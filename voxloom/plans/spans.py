@@ -14,6 +14,7 @@ from voxloom.functions.fixed import NOT_MASKED
 from voxloom.operators import adapters, alignment
 from voxloom.operators import consensus as CN
 from voxloom.operators import intervals as IV
+from voxloom.operators import spans as SN
 from voxloom.operators import speakers as SP
 from voxloom.plans.base import RES, SEG, SIDES, model_results, query, read, segments, sides
 from voxloom.sources import calls as SRC
@@ -188,10 +189,14 @@ def pii_spoken(spark, d):
     return segments(spark, d).select("segment_id", F.explode(C.spoken_numbers(said)).alias("s")).select("segment_id", "s.type", "s.start", "s.end")
 
 
+def _timed(spark, d):
+    """Dates and numbers of documents."""
+    return read(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("final"), F.explode(C.times_and_numbers("text")).alias("s")).select("doc_id", "final", "s.*")
+
+
 @query("PII-TEMPORAL")
 def pii_temporal(spark, d):
-    words = F.explode(F.array(*[F.lit(x) for x in ("today", "two years", "49", "March 5th", "1999", "12/05/1987", "last week")]))
-    return segments(spark, d).select("segment_id", words.alias("t")).withColumn("drop", C.vague_time(F.lit("DATE"), "t"))
+    return _timed(spark, d).select("doc_id", "type", "text", "start", "end", C.vague(F.col("type"), F.col("text")).alias("drop"))
 
 
 @query("PII-LABELMAP", "SELECT event_id, CASE event_type WHEN 'click' THEN 'PERSON_NAME' WHEN 'view' THEN 'LOCATION' ELSE upper(event_type) END AS entity_type FROM events")
@@ -227,21 +232,18 @@ def spn_dedupe(spark, d):
     return read(spark, d, "events").groupBy("user_id", "event_type").agg(F.max("value").alias("value"))
 
 
-@query("SPN-MAP", f"WITH {SEG}, x AS (SELECT segment_id, text, substr(lower(text), 5, 12) AS needle FROM seg WHERE length(text) >= 17) SELECT segment_id, instr(lower(text), needle) - 1 AS start, instr(lower(text), needle) - 1 + length(needle) AS stop FROM x")
+@query("SPN-MAP")
 def spn_map(spark, d):
-    x = segments(spark, d).where(F.char_length("text") >= 17).withColumn("needle", F.substring(F.lower("text"), 5, 12))
-    at = F.instr(F.lower("text"), F.col("needle")).cast("long") - 1
-    return x.select("segment_id", at.alias("start"), (at + F.char_length("needle")).alias("stop"))
+    """Spans that are found in what a model heard of a document, without its marks and in small letters, placed in the document."""
+    docs = read(spark, d, "documents").where("text is not null").select("doc_id", F.col("text").alias("final"), F.lower(F.regexp_replace("text", "[,;:!?]", "")).alias("transcript"))
+    found = docs.withColumn("s", F.explode(C.detect("transcript"))).select("doc_id", "final", "transcript", "s.*")
+    return SN.placed(found).select("doc_id", "type", "text", "start", "end")
 
 
 @query("SPN-EXPAND")
 def spn_expand(spark, d):
-    """A numeric span grown over digits and separators on both sides; with 7 digits it is a phone."""
-    x = segments(spark, d).select("segment_id", F.concat(F.lit("call 212-537-0830 today "), "text").alias("t")).withColumn("at", F.instr("t", "212"))
-    left = F.regexp_extract(F.substring("t", F.lit(1), F.col("at") - 1), r"([0-9+().\-/ #]*)$", 1)
-    right = F.regexp_extract(F.substring("t", F.col("at") + 3, F.char_length("t")), r"^([0-9+().\-/ #]*)", 1)
-    grown = F.regexp_replace(F.concat(left, F.lit("212"), right), r"^[().\-/ #]+|[+(.\-/ #]+$", "")
-    return x.select("segment_id", grown.alias("span"), F.when(F.regexp_count(grown, F.lit("[0-9]")) >= 7, "PHONE").otherwise("NUMBER").alias("type"))
+    """Numbers of documents grown over the digits and separators around them."""
+    return SN.grown(_timed(spark, d)).select("doc_id", "type", "text", "start", "end")
 
 
 @query("SPN-LONG", "SELECT event_id, user_id, unnest([event_type, 'any']) AS entity FROM events")
@@ -298,13 +300,11 @@ def jn_interval(spark, d):
 
 @query("ALN-NUMERIC")
 def aln_numeric(spark, d):
-    @F.pandas_udf("struct<start_sec:double,end_sec:double>")
-    def wide(s: pd.Series, e: pd.Series, n: pd.Series, limit: pd.Series) -> pd.DataFrame:
-        got = [alignment.numeric_window(a, b, int(k), 0.5, z) for a, b, k, z in zip(s, e, n, limit, strict=True)]
-        return pd.DataFrame(got, columns=["start_sec", "end_sec"])
-
-    s = segments(spark, d)
-    return s.select("segment_id", wide(F.lit(1.0), F.lit(1.5), F.lit(10), "duration_sec").alias("w")).select("segment_id", "w.*")
+    """Times of the numbers and dates of documents, from words of equal length of which every fifth has got lost and others are clipped."""
+    docs = read(spark, d, "documents").where("text is not null").select(F.col("doc_id").alias("segment_id"), "text", (F.char_length("text") / 15.0).alias("duration_sec"))
+    spans = SN.grown(_timed(spark, d)).withColumnRenamed("doc_id", "segment_id").select("segment_id", "type", "text", "start", "end").distinct()
+    words = IV.uniform_words(docs).where(F.col("word_index") % 5 != 3).withColumn("end_char", F.when(F.col("word_index") % 2 == 0, F.col("end_char")).otherwise(F.col("end_char") - F.floor(F.char_length("word") / 2)).cast("int"))
+    return SN.in_time(spans, words)
 
 
 @query("ALN-CTC")
