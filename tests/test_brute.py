@@ -364,15 +364,55 @@ def test_activity_and_chunks(spark, segs, vecs):
                 at = None
         want.append((v.vec_id, spans))
     check(spark, "INT-ENERGYVAD", ["vec_id", "intervals"], want)
-    rows = []
-    for (call, ch), own in by(segs, lambda s: (s.call_id, s.channel)).items():
-        spans = sorted((s.start_sec, s.end_sec) for s in own)
-        got = A.chunk(spans, 15.0, 28.0)
-        assert (got[0][0], got[-1][1]) == (spans[0][0], spans[-1][1]) and all(b - a <= 28.0 + 1e-9 for a, b in got)
-        edges = {x for s in spans for x in s}
-        assert all(a in edges and b in edges for a, b in got) or any(e - s > 28.0 for s, e in spans)
-        rows += [(call, ch, a, b) for a, b in got]
-    check(spark, "INT-CHUNK", ["call_id", "channel", "start_sec", "end_sec"], rows)
+
+
+def plain_chunks(start, end, spans, depth=0, target=12.0, most=30.0, least=0.25, pause=0.35):
+    """One stretch, cut in two again and again."""
+    if end - start < least:
+        return []
+    if depth > 10 or end - start <= most:
+        return [(start, end)]
+    cuts = []
+    for (_, a), (b, _) in zip(spans, spans[1:], strict=False):
+        at = (a + b) / 2
+        if b - a >= pause and at - start >= least and end - at >= least:
+            cuts.append((2 * (b - a) - 0.35 * abs(at - start - target) - 5 * (at - start > most) - 5 * (end - at > most), at))
+    cut = max(cuts, key=lambda c: c[0])[1] if cuts else min(start + target, end - least)
+    if not start < cut < end:
+        return [(start, end)]
+    left, right = [s for s in spans if s[1] <= cut], [s for s in spans if s[0] >= cut]
+    return plain_chunks(start, cut, left or [(start, cut)], depth + 1) + plain_chunks(cut, end, right or [(cut, end)], depth + 1)
+
+
+def test_chunks_at_pauses(spark, docs):
+    want = []
+    for d in docs:
+        if d.text is None:
+            continue
+        total, spans, blocks = 0.0, [], []
+        for said in d.text.split("."):
+            a = round(total, 6)
+            spans.append((a, round(a + len(said) / 15.0, 6)))
+            total += len(said) / 15.0 + 0.1 + (len(said) % 10) / 10.0
+        for s in sorted(s for s in spans if s[1] > s[0]):
+            if blocks and s[0] - blocks[-1][-1][1] <= 0.8:
+                blocks[-1].append(s)
+            else:
+                blocks.append([s])
+        want += [(d.doc_id, a, b) for own in blocks for a, b in plain_chunks(own[0][0], own[-1][1], own) if b - a >= 0.25]
+    assert len(want) > 2 * len(docs)
+    check(spark, "INT-CHUNK", ["doc_id", "start_sec", "end_sec"], want)
+
+
+def test_chunk_plain():
+    rng = np.random.default_rng(8)
+    for _ in range(400):
+        edges = np.round(np.cumsum(rng.exponential(1.5, 2 * int(rng.integers(1, 60))) * rng.choice([0.2, 1.0, 4.0])), 3)
+        spans = list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
+        assert A.chunk(spans) == plain_chunks(spans[0][0], spans[-1][1], spans)
+    known = A.chunk([(0.0, 4.0), (4.6, 9.0), (9.6, 14.0)], target=8.0, most=10.0)
+    assert len(known) == 2 and 9.0 < known[0][1] < 9.6 and known[0][1] == known[1][0]
+    assert A.chunk([]) == [] and A.chunk([(0.0, 100.0)]) == plain_chunks(0.0, 100.0, [(0.0, 100.0)])
 
 
 def test_tones(spark, vecs):

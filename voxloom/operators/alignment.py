@@ -65,24 +65,35 @@ def ctc_align(log_probs: np.ndarray, tokens: list[int], blank: int = 0) -> list[
     return out
 
 
-def chunk(intervals: list[tuple[float, float]], target: float, most: float, depth: int = 10) -> list[tuple[float, float]]:
-    """Groups activity into chunks of at most ``most`` seconds, cut at the best pause: long ones near the target count most.
+def chunk(intervals: list[tuple[float, float]], target: float = 12.0, most: float = 30.0, least: float = 0.25, pause: float = 0.35, depth: int = 10) -> list[tuple[float, float]]:
+    """Cuts a block of activity, intervals by start, into chunks: a tree of cuts in the middle of pauses.
 
-    A cut's value is twice the pause less 0.35 of its distance from the target, and 5 less for each side that stays too long.
+    A stretch of over ``most`` seconds is cut where twice the pause (``pause`` at least) less 0.35 of the cut's distance from ``target`` seconds is most,
+    with 5 less for each side that stays over ``most``; each side has at least ``least``. Without such a pause it is cut at the target. Stretches
+    of under ``least`` go, and those ``depth`` cuts down stay whole.
     """
+    out: list[tuple[float, float]] = []
     if not intervals:
-        return []
-    whole = (intervals[0][0], intervals[-1][1])
-    if whole[1] - whole[0] <= most:
-        return [whole]
-    if len(intervals) == 1 or depth == 0:
-        n = int(np.ceil((whole[1] - whole[0]) / most))
-        at = np.linspace(whole[0], whole[1], n + 1)
-        return list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
-
-    def value(i: int) -> float:
-        gap, spent = intervals[i][0] - intervals[i - 1][1], intervals[i - 1][1] - whole[0]
-        return 2 * gap - 0.35 * abs(spent - target) - 5 * ((spent > most) + (whole[1] - intervals[i][0] > most))
-
-    best = max(range(1, len(intervals)), key=value)
-    return chunk(intervals[:best], target, most, depth - 1) + chunk(intervals[best:], target, most, depth - 1)
+        return out
+    stretches = [(intervals[0][0], intervals[-1][1], np.array(intervals, float).reshape(-1, 2), 0)]
+    while stretches:
+        start, end, own, cuts = stretches.pop()
+        if end - start < least:
+            continue
+        if cuts > depth or end - start <= most:
+            out.append((start, end))
+            continue
+        gap, at = own[1:, 0] - own[:-1, 1], (own[1:, 0] + own[:-1, 1]) / 2
+        worth = 2 * gap - 0.35 * np.abs(at - start - target) - 5.0 * (at - start > most) - 5.0 * (end - at > most)
+        worth[(gap < pause) | (at - start < least) | (end - at < least)] = -np.inf
+        if len(worth) and worth.max() > -np.inf:
+            cut = float(at[int(worth.argmax())])
+        else:
+            cut = min(start + target, end - least)
+            if not start < cut < end:
+                out.append((start, end))
+                continue
+        left, right = own[own[:, 1] <= cut], own[own[:, 0] >= cut]
+        stretches.append((cut, end, right if len(right) else np.array([(cut, end)]), cuts + 1))
+        stretches.append((start, cut, left if len(left) else np.array([(start, cut)]), cuts + 1))
+    return out

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from voxloom.functions.columns import word_places
 from voxloom.functions.kernels import resolve
+from voxloom.operators.alignment import chunk
 from voxloom.operators.order import Scans
 from voxloom.sources.work import write_work
 
@@ -75,6 +76,31 @@ def resolve_spans(spans: DataFrame, keys: list[str], start: str = "start", end:
     return found.groupBy(*keys, "island").applyInPandas(chosen, schema)
 
 
+def chunks(rows: DataFrame, keys: list[str], limit: Column | None = None, gap: float = 0.8, target: float = 12.0, most: float = 30.0, least: float = 0.25, pause: float = 0.35, depth: int = 10) -> DataFrame:
+    """(keys, start_sec, end_sec): activity cut into chunks at pauses (``alignment.chunk``), within [0, ``limit``] of the key.
+
+    Activity whose gaps to the interval before are at most ``gap`` is a block; blocks are found by a scan and cut apart, so a long recording is spread. Empty intervals go.
+    """
+    kinds = dict(rows.dtypes)
+    asked = rows.where(F.col("end_sec") > F.col("start_sec")).select(*keys, F.col("start_sec").cast("double").alias("start_sec"), F.col("end_sec").cast("double").alias("end_sec"), (F.lit(None) if limit is None else limit).cast("double").alias("_limit"))
+    scans = Scans(asked, keys, [F.col("start_sec"), F.col("end_sec")]).before(F.col("end_sec"), "last", "_before")
+    opens = F.when(F.col("_before").isNull() | (F.col("start_sec") - F.col("_before") > gap), 1).otherwise(0)
+    found = scans.upto(opens, "sum", "_block").done("_block")
+
+    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["start_sec", "end_sec"])
+        got = chunk(list(zip(pdf["start_sec"], pdf["end_sec"], strict=True)), target, most, least, pause, depth)
+        top = pdf["_limit"].iloc[0]
+        if not pd.isna(top):
+            got = [(max(0.0, min(a, top)), max(0.0, min(b, top))) for a, b in got]
+        got = [(a, b) for a, b in got if b - a >= least]
+        own = pdf[keys].iloc[:1].loc[lambda x: x.index.repeat(len(got))].reset_index(drop=True)
+        return own.assign(start_sec=[a for a, _ in got], end_sec=[b for _, b in got])
+
+    schema = ", ".join([*[f"`{k}` {kinds[k]}" for k in keys], "start_sec double", "end_sec double"])
+    return found.groupBy(*keys, "_block").applyInPandas(cut, schema)
+
+
 def clip(rows: DataFrame, limit: Column, start: str = "start_sec", end: str = "end_sec") -> DataFrame:
     """Intervals within [0, limit]; empty and inverted ones go first."""
     return rows.where(F.col(end) > F.col(start)).withColumns({start: F.greatest(F.lit(0.0), F.least(F.col(start), limit)), end: F.greatest(F.lit(0.0), F.least(F.col(end), limit))})

@@ -38,25 +38,27 @@ class Scans:
         self.rows = write_work(ranged.withColumn("_m", F.monotonically_increasing_id()), "scanned").withColumn("_p", F.shiftright("_m", 33)).withColumn("_k", F.struct(*[F.col(f"`{k}`") for k in keys]) if keys else F.struct(F.lit(1).alias("one")))
 
     def _scan(self, value: Column, kind: str, name: str, last: int) -> None:
-        gather, join = {"max": (F.max, F.greatest), "sum": (F.sum, lambda a, b: F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b))}[kind]
+        gather, join = {"max": (F.max, F.greatest), "sum": (F.sum, lambda a, b: F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)), "last": (F.last, lambda a, b: F.coalesce(b, a))}[kind]
+        whole = F.max_by("__v", "_m") if kind == "last" else gather("__v")
         if self.scanned:  # its rows are read twice below
             self.rows = write_work(self.rows, "scanned")
         self.scanned = True
         at = self.rows.withColumn("__v", value)
         ends = at.groupBy("_p").agg(F.min_by("_k", "_m").alias("__first"), F.max_by("_k", "_m").alias("__last"))
         mine = at.join(F.broadcast(ends.select(F.col("_p").alias("__p2"), "__last")), F.col("_p") == F.col("__p2")).where(F.col("_k") == F.col("__last"))
-        tails = mine.groupBy("_p", "__last").agg(gather("__v").alias("__held"))
+        tails = mine.groupBy("_p", "__last").agg(whole.alias("__held"))
         # A range asks what earlier ranges that end in its first key hold of it, and tells what it holds of its last: two rows a range.
         line = tails.select(F.col("__last").alias("_k"), (F.col("_p") * 2 + 1).alias("__at"), "__held").unionAll(ends.select(F.col("__first").alias("_k"), (F.col("_p") * 2).alias("__at"), F.lit(None).cast(dict(at.dtypes)["__v"])))
         ahead = Window.partitionBy("_k").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
-        carried = line.withColumn("__carry", gather("__held").over(ahead)).where(F.col("__at") % 2 == 0).select("_k", F.shiftright("__at", 1).alias("_p"), "__carry")
+        told = F.last("__held", ignorenulls=True) if kind == "last" else gather("__held")
+        carried = line.withColumn("__carry", told.over(ahead)).where(F.col("__at") % 2 == 0).select("_k", F.shiftright("__at", 1).alias("_p"), "__carry")
         within = Window.partitionBy("_p", "_k").orderBy("_m").rowsBetween(Window.unboundedPreceding, last)
         own = at.withColumn("__own", gather("__v").over(within))
         back = own.join(F.broadcast(carried.withColumnsRenamed({"_k": "__k2", "_p": "__p2"})), (F.col("_p") == F.col("__p2")) & (F.col("_k") == F.col("__k2")), "left")
         self.rows = back.withColumn(name, join(F.col("__carry"), F.col("__own"))).drop("__k2", "__p2", "__carry", "__own", "__v")
 
     def before(self, value: Column, kind: str, name: str) -> Scans:
-        """Adds the greatest, or the sum, of the values of the key's earlier rows; null for its first."""
+        """Adds the greatest (``max``), the sum, or the last of the values of the key's earlier rows; null for its first. A last one mustn't be null."""
         self._scan(value, kind, name, -1)
         return self
 

@@ -111,12 +111,13 @@ def int_plan(spark, d):
 
 @query("INT-CHUNK")
 def int_chunk(spark, d):
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("start_sec")
-        got = alignment.chunk(list(zip(pdf["start_sec"], pdf["end_sec"], strict=True)), 15.0, 28.0)
-        return pd.DataFrame([(pdf["call_id"].iloc[0], pdf["channel"].iloc[0], a, b) for a, b in got], columns=["call_id", "channel", "start_sec", "end_sec"])
-
-    return segments(spark, d).select("call_id", "channel", "start_sec", "end_sec").groupBy("call_id", "channel").applyInPandas(one, "call_id long, channel int, start_sec double, end_sec double")
+    """Documents as recordings: their sentences are activity, with pauses between that follow from their lengths."""
+    each = read(spark, d, "documents").where("text is not null").select("doc_id", F.posexplode(F.split("text", "[.]")).alias("at", "said"))
+    each = each.withColumns({"took": F.char_length("said") / 15.0, "pause": 0.1 + (F.char_length("said") % 10) / 10.0})
+    before = Window.partitionBy("doc_id").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.round(F.coalesce(F.sum(F.col("took") + F.col("pause")).over(before), F.lit(0.0)), 6)
+    said = each.withColumn("start_sec", start).withColumn("end_sec", F.round(F.col("start_sec") + F.col("took"), 6))
+    return IV.chunks(said, ["doc_id"])
 
 
 @query("INT-ENERGYVAD")
