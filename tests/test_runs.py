@@ -98,17 +98,25 @@ def test_leakage_groups(spark):
     assert got == {"a": "leakgrp_000000", "b": "leakgrp_000000", "c": "leakgrp_000000", "f": "leakgrp_000001", "g": "leakgrp_000001", "d": "leakgrp_000002", "e": "leakgrp_000003"}
 
 
-@pytest.mark.parametrize(
-    ("text", "want"),
-    [
-        ("Gracias por su llamada", "es"), ("¿Cuál es su número de teléfono?", "es"), ("Cual es su numero de telefono", "es"), ("Bueno.", "es"), ("Sí.", "es"), ("Muy bien.", "es"),
-        ("Thank you for calling, how can I help you today?", "en"), ("Mm-hmm.", None), ("Okay.", None), ("", None), (None, None), ("the que", None), ("the ñ", "es"),
-    ],
-)
-def test_language_rule(spark, text, want):
-    code, sure = language.score(F.col("t"))
-    row = spark.createDataFrame([(text,)], "t string").select(code.alias("code"), sure.alias("sure")).first()
-    assert row.code == want and 0 <= row.sure <= 1 and (row.code is not None or row.sure == 0)
+RULES = [
+    ("Gracias por su llamada", "es"), ("¿Cuál es su número de teléfono?", "es"), ("Cual es su numero de telefono", "es"), ("Bueno.", "es"), ("Sí.", "es"), ("Muy bien.", "es"),
+    ("Thank you for calling, how can I help you today?", "en"), ("Mm-hmm.", None), ("Okay.", None), ("", None), (None, None), ("the que", None), ("the ñ", "es"),
+]
+ES_MARKS, EN_MARKS = "gracias por su llamada cual es numero de telefono bueno si muy bien que".split(), "thank you for calling how help the today".split()
+
+
+def test_language_rule(spark):
+    marks = spark.createDataFrame([(w, "es") for w in ES_MARKS] + [(w, "en") for w in EN_MARKS], "w string, lang string")
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(RULES)] * 2, "i int, text string")
+    got = language.score(rows, marks).collect()
+    assert len(got) == 2 * len(RULES)
+    for r in got:
+        assert r.code == RULES[r.i][1] and 0 <= r.sure <= 1 and (r.code is not None or r.sure == 0)
+
+
+def test_learned_marks(spark):
+    docs = spark.createDataFrame([(i, "es" if i % 2 else "en", "Mañana casa no" if i % 2 else "house no") for i in range(60)] + [(99, "fr", "maison"), (100, None, "nada"), (101, "es", None)], "doc_id long, lang string, text string")
+    assert {(r.w, r.lang) for r in language.pair_marks(docs).collect()} == {("manana", "es"), ("casa", "es"), ("house", "en")}
 
 
 def test_options(tmp_path, spark):

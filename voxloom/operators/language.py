@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.functions import fixed as K
-from voxloom.functions.columns import let
+from voxloom.sources.work import write_work
 
 
 def words(text: Column) -> Column:
@@ -35,25 +35,28 @@ def fold(text: Column) -> Column:
     return F.translate(F.lower(text), *K.ACCENTS)
 
 
-def score(text: Column, spanish: tuple[str, ...] = K.SPANISH_WORDS, english: tuple[str, ...] = K.ENGLISH_WORDS) -> tuple[Column, Column]:
-    """(language, confidence): es or en by their words and the letters that only Spanish has; null without evidence.
+def pair_marks(docs: DataFrame, least: int = 20, share: float = 0.9) -> DataFrame:
+    """(w, lang): the marking words of es and en, without accents, learned from documents (lang, text) of the two."""
+    two = docs.where(F.col("lang").isin("es", "en")).select("lang", fold(F.col("text")).alias("text"))
+    return marks_of(two, least, share)
 
-    Each such letter counts as two words and breaks a tie; the confidence is the margin over all evidence. The word lists are
-    parameters: their words mustn't belong to the other language.
+
+def score(rows: DataFrame, marks: DataFrame, text: str = "text") -> DataFrame:
+    """Adds code (es or en, null without evidence) and sure: by marks (w, lang) of the two languages and the letters that only Spanish has.
+
+    Each such letter counts as two words and breaks a tie; sure is the margin over all evidence. The marks are any list of folded words, each of one language; their
+    number isn't bounded: words meet them in a join, counted by text first.
     """
-    text = F.coalesce(text, F.lit(""))
-    letters = F.regexp_count(F.lower(text), F.lit(f"[{K.SPANISH_LETTERS}]"))
-    found = F.regexp_extract_all(fold(text), F.lit(r"\p{L}+"), F.lit(0))
-    counts = let(found, lambda ws: F.struct(F.size(F.filter(ws, lambda w: w.isin(*spanish))).alias("es"), F.size(F.filter(ws, lambda w: w.isin(*english) & ~w.isin(*spanish))).alias("en")))
-
-    def judged(x: Column) -> Column:
-        es, en = x["letters"] * 2 + x["words"]["es"], x["words"]["en"]
-        code = F.when(es + en == 0, None).when(es > en, "es").when(en > es, "en").when(x["letters"] > 0, "es")
-        return F.struct(code.alias("code"), F.when(es + en == 0, 0.0).otherwise(F.abs(es - en) / (es + en)).alias("sure"))
-
-    # Bound once: branches would count again.
-    row = let(F.struct(letters.alias("letters"), counts.alias("words")), judged)
-    return row["code"], row["sure"]
+    kept = write_work(rows.withColumn("_row", F.monotonically_increasing_id()), "texts")
+    said = F.coalesce(F.col(text), F.lit(""))
+    letters = 2 * F.regexp_count(F.lower(said), F.lit(f"[{K.SPANISH_LETTERS}]"))
+    each = kept.select("_row", F.explode(F.regexp_extract_all(fold(said), F.lit(r"\p{L}+"), F.lit(0))).alias("w")).groupBy("_row", "w").agg(F.count("*").alias("n"))
+    of = lambda lang: F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("n"))), F.lit(0))
+    found = each.join(marks, "w").groupBy("_row").agg(of("es").alias("_es"), of("en").alias("_en"))
+    both = kept.join(found, "_row", "left").withColumn("_letters", letters).withColumns({"_es": F.col("_letters") + F.coalesce("_es", F.lit(0)), "_en": F.coalesce("_en", F.lit(0))})
+    es, en = F.col("_es"), F.col("_en")
+    code = F.when(es + en == 0, None).when(es > en, "es").when(en > es, "en").when(F.col("_letters") > 0, "es")
+    return both.withColumns({"code": code, "sure": F.when(es + en == 0, 0.0).otherwise(F.abs(es - en) / (es + en))}).drop("_row", "_es", "_en", "_letters")
 
 
 def rollup(rows: DataFrame, keys: list[str], own: str, order: str) -> DataFrame:

@@ -223,17 +223,25 @@ def snk_atomic(spark, d):
 # Language rules, normal forms
 
 
-_ES, _EN = (f"[{', '.join(repr(w) for w in words)}]" for words in (K.SPANISH_WORDS, K.ENGLISH_WORDS))
-_PARTS = f"""len(regexp_extract_all(lower(coalesce(text, '')), '[{K.SPANISH_LETTERS}]')) AS letters,
-    regexp_extract_all(translate(lower(coalesce(text, '')), '{K.ACCENTS[0]}', '{K.ACCENTS[1]}'), '\\p{{L}}+') AS w"""
-_SCORED = f"""scored AS (SELECT *, letters * 2 + len(list_filter(w, lambda x: list_contains({_ES}, x))) AS es, len(list_filter(w, lambda x: list_contains({_EN}, x))) AS en FROM parts),
+_WORDS = f"regexp_extract_all(translate(lower(coalesce(text, '')), '{K.ACCENTS[0]}', '{K.ACCENTS[1]}'), '\\p{{L}}+')"
+#: Marks of the two languages, learned from the documents of both; a text's words meet them. ``parts`` has a row, its key and its text.
+_MARKS = f"""bylang AS (SELECT w, lang, count(DISTINCT doc_id) AS n FROM (SELECT doc_id, lang, unnest({_WORDS}) AS w FROM documents WHERE lang IN ('es', 'en')) GROUP BY w, lang),
+    marks AS (SELECT w, lang FROM (SELECT *, sum(n) OVER (PARTITION BY w) AS total FROM bylang) WHERE n >= 20 AND n >= 0.9 * total)"""
+_RULED = f"""hits AS (SELECT r, count(*) FILTER (WHERE lang = 'es') AS es, count(*) FILTER (WHERE lang = 'en') AS en FROM (SELECT r, unnest({_WORDS}) AS w FROM parts) JOIN marks USING (w) GROUP BY r),
+    scored AS (SELECT parts.*, len(regexp_extract_all(lower(coalesce(text, '')), '[{K.SPANISH_LETTERS}]')) AS letters, coalesce(es, 0) + 2 * letters AS es, coalesce(en, 0) AS en FROM parts LEFT JOIN hits USING (r)),
     ruled AS (SELECT *, CASE WHEN es + en = 0 THEN NULL WHEN es > en THEN 'es' WHEN en > es THEN 'en' WHEN letters > 0 THEN 'es' END AS own, CASE WHEN es + en = 0 THEN 0 ELSE abs(es - en) / CAST(es + en AS DOUBLE) END AS sure FROM scored)"""
+_DOC_PARTS = "parts AS (SELECT row_number() OVER () AS r, doc_id, lang AS want, text FROM documents)"
 
 
-@query("LNG-DETECT", f"WITH parts AS (SELECT doc_id, {_PARTS} FROM documents), {_SCORED} SELECT doc_id, own AS detected, round(sure, 6) AS confidence FROM ruled")
+def _two_languages(spark, d):
+    return language.pair_marks(read(spark, d, "documents"))
+
+
+@query("LNG-DETECT", f"WITH {_MARKS}, {_DOC_PARTS}, {_RULED} SELECT doc_id, own AS detected, round(sure, 6) AS confidence FROM ruled")
 def lng_detect(spark, d):
-    code, sure = language.score(F.col("text"))
-    return read(spark, d, "documents").select("doc_id", code.alias("detected"), R(sure, 6).alias("confidence"))
+    """The rule of marks and letters with learned lists: lists are parameters of the rule."""
+    done = language.score(read(spark, d, "documents").select("doc_id", "text"), _two_languages(spark, d))
+    return done.select("doc_id", F.col("code").alias("detected"), R("sure", 6).alias("confidence"))
 
 
 @query(
@@ -253,20 +261,21 @@ def lng_marks(spark, d):
 
 @query(
     "LNG-ROLLUP",
-    f"""WITH {SEG}, parts AS (SELECT *, {_PARTS} FROM seg), {_SCORED},
+    f"""WITH {SEG}, {_MARKS}, parts AS (SELECT row_number() OVER () AS r, * FROM seg), {_RULED},
     votes AS (SELECT call_id, own, count(*) AS n, min(turn) AS seen FROM ruled WHERE own IS NOT NULL GROUP BY call_id, own),
     pick AS (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY n DESC, seen) AS r, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY call_id) AS share FROM votes)
     SELECT segment_id, coalesce(x.own, p.own) AS language, round(CASE WHEN x.own IS NOT NULL THEN 1 ELSE coalesce(share, 0) END, 6) AS confidence FROM ruled x LEFT JOIN (SELECT * FROM pick WHERE r = 1) p USING (call_id)""",
 )
 def lng_rollup(spark, d):
-    rows = language.rollup(segments(spark, d).withColumn("own", language.score(F.col("text"))[0]), ["call_id"], "own", "turn")
+    own = language.score(segments(spark, d), _two_languages(spark, d)).withColumnRenamed("code", "own")
+    rows = language.rollup(own, ["call_id"], "own", "turn")
     return rows.select("segment_id", "language", R("confidence", 6).alias("confidence"))
 
 
-@query("AG-CONF", f"WITH parts AS (SELECT lang, {_PARTS} FROM documents), {_SCORED} SELECT lang AS want, coalesce(own, 'none') AS got, count(*) AS n FROM ruled GROUP BY ALL")
+@query("AG-CONF", f"WITH {_MARKS}, {_DOC_PARTS}, {_RULED} SELECT want, coalesce(own, 'none') AS got, count(*) AS n FROM ruled GROUP BY ALL")
 def ag_conf(spark, d):
-    got = F.coalesce(language.score(F.col("text"))[0], F.lit("none"))
-    return read(spark, d, "documents").select(F.col("lang").alias("want"), got.alias("got")).groupBy("want", "got").agg(F.count("*").alias("n"))
+    done = language.score(read(spark, d, "documents").select("lang", "text"), _two_languages(spark, d))
+    return done.select(F.col("lang").alias("want"), F.coalesce("code", F.lit("none")).alias("got")).groupBy("want", "got").agg(F.count("*").alias("n"))
 
 
 @query("NRM-V1")
