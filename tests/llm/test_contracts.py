@@ -358,3 +358,27 @@ def test_long_texts_teach_by_all_of_them(spark):
     places = [int(re.search(r"<(\d{5})>", part)[1]) for part in got[1].split("\n")]
     assert len(places) == langid.PIECES and all(i * 2000 <= p < (i + 1) * 2000 for i, p in enumerate(places)) and got[1] != got[2]
     assert len(got[1]) <= langid.SAMPLE_CHARS + langid.PIECES and got[3] == "short" and got[4] is None
+
+
+def test_large_bodies_and_lists_in_groups(spark, tmp_path, monkeypatch):
+    """Bodies of every class of size, 50 MB included; lists of revisits in one broadcast, in several and by a shuffle give the same records."""
+    rows = [(i, f"http://h/{i}", "a" * (i % 3)) for i in range(30)] + [(100 + i, "http://big/[x]*", "é" * 400_000) for i in range(2)] + [(200, "u", "b" * 2_000_000), (201, None, "c" * 50_000_000), (202, "u", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    monkeypatch.setattr(warc, "RECORDS", 7)
+    got = []
+    for k, (size, groups) in enumerate(((64 << 20, 16), (200, 16), (200, 1))):
+        monkeypatch.setattr(warc, "LISTS_BYTES", size)
+        monkeypatch.setattr(warc, "GROUPS", groups)
+        arc, out = f"{tmp_path}/arc{k}", f"{tmp_path}/warc{k}"
+        warc.write_arc(pages, arc)
+        warc.convert(spark, arc, out)
+        back = warc.read_warc(spark, out)
+        got.append(sorted((r.key, r.record_type, r.payload_bytes, r.payload_digest) for r in back.select("key", "record_type", "payload_bytes", "payload_digest").collect()))
+        assert back.where("payload_bytes = 50000000").select(F.length("payload").alias("n")).first().n == 50_000_000
+        sizes = [os.path.getsize(f"{arc}/{x}") for x in os.listdir(arc) if x.endswith(".gz")]
+        assert len(sizes) >= 7
+    assert got[0] == got[1] == got[2] and len(got[0]) == len(rows)
+    want = {}
+    for i, _, t in rows:
+        want.setdefault(t or "", []).append(i)
+    assert {r[0] for r in got[0] if r[1] == "response"} == {str(max(x)) for x in want.values()}

@@ -9,10 +9,12 @@ ISO timestamp, a type, and SHA-1 digests of block and payload. Of records with e
 payloads, the preferred one is a ``response``; the others become ``revisit`` records that
 refer to it and keep only the HTTP header, as the identical-payload-digest profile says.
 
-Files are written by Spark's own writer into the shared folder, of at most ``RECORDS`` rows each; a record's
-closing blank lines are the writer's line separator. They are gzipped as whole files. Bodies are bytes throughout,
+Files are written by Spark's own writer into the shared folder; a record's
+closing blank lines are the writer's line separator. They are gzipped as whole files, and read whole, so their bytes are bounded: records are written by
+classes of size (``CLASSES``), the larger the fewer to a file. Bodies are bytes throughout,
 whatever their encoding. The converter reads the archives twice: for digests and header lines, of which it decides who refers
-to whom, and for the records, which it writes where it reads them; payloads aren't shuffled.
+to whom, and for the records, which it writes where it reads them. Who refers to whom is broadcast to the files, in groups of files whose lists have a measured size within
+``LISTS_BYTES``, so that payloads aren't shuffled; only beyond ``GROUPS`` such groups are lists and files joined by a shuffle.
 
 Defined results: null payloads are empty; a null URL is written as ``-`` and white space and control
 characters in URLs as percent escapes; an empty table writes no record; repeated rows are
@@ -29,7 +31,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import RESULT_ROWS, compact, discard, materialise, remove, table, work_dir
@@ -42,6 +44,10 @@ ARC_FIELDS = {
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Rows of a file, which is read as a whole.
 RECORDS = 5000
+#: (bytes of a record at most, records of a file) by class of size: 256 MB a file, or one record.
+CLASSES = ((52_000, RECORDS), (1 << 20, 256), (16 << 20, 16), (None, 1))
+#: Bytes of the lists of revisits that are broadcast at a time, and how many times at most.
+LISTS_BYTES, GROUPS = 64 << 20, 16
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 
 
@@ -142,15 +148,23 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         yield head, block
 
 
+def _class_of(size: Column) -> Column:
+    """Number of the class of a record of so many bytes."""
+    out = F.lit(len(CLASSES) - 1)
+    for i in reversed(range(len(CLASSES) - 1)):
+        out = F.when(size <= CLASSES[i][0], i).otherwise(out)
+    return out
+
+
 def write_arc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html", version: int = 2, date: str = "20200101000000") -> None:
-    """Writes pages as gzipped ARC files; the key goes into the HTTP header."""
+    """Writes pages as gzipped ARC files; the key goes into the HTTP header. A file of small records also takes up to RECORDS of them; larger ones have files of their own."""
 
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def lines(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
         n_rows = 0
         for pdf in batches:
             out = []
             for k, u, p in zip(pdf["k"], pdf["u"], pdf["p"], strict=True):
-                if n_rows % RECORDS == 0:  # a new file
+                if n_rows % most == 0:  # a new file
                     out.append(arc_filedesc(version, "pages.arc", date).encode())
                     n_rows += 1
                 body = bytes(p) if p is not None else b""
@@ -160,18 +174,26 @@ def write_arc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url
             yield pd.DataFrame({"value": out}, dtype=object)
 
     cols = compact(pages).select(F.col(f"`{key}`").cast("string").alias("k"), F.col(f"`{url}`").cast("string").alias("u"), F.col(f"`{payload}`").cast("binary").alias("p"))
-    _write(cols.mapInPandas(lines, "value binary"), path, "\n")
+    size = _class_of(F.coalesce(F.octet_length("p"), F.lit(0)))
+    for i in sorted(r["i"] for r in cols.select(size.alias("i")).distinct().collect()) or [0]:
+        most = max(2, CLASSES[i][1]) if i else RECORDS  # a filedesc and a record at least
+        _write(cols.where(size == i).mapInPandas(lambda b, most=most: lines(b, most), "value binary"), path, "\n", most)
 
 
-def _write(rows: DataFrame, path: str, end: str) -> None:
-    """Gzipped files of the bytes in ``value``; the cast to text leaves them as they are."""
-    rows.select(F.col("value").cast("string")).write.option("lineSep", end).option("compression", "gzip").option("maxRecordsPerFile", RECORDS).text(path)
+def _write(rows: DataFrame, path: str, end: str, most: int) -> None:
+    """More gzipped files of the bytes in ``value``; the cast to text leaves them as they are."""
+    rows.select(F.col("value").cast("string")).write.mode("append").option("lineSep", end).option("compression", "gzip").option("maxRecordsPerFile", most).text(path)
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
+def _files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
 
 
+def _literal(path: str) -> str:
+    """A path that isn't taken for a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 ARC_ROW = "file string, place int, key string, url string, ip string, date string, payload_bytes long, digest string, http binary, payload binary"
 
 
@@ -216,8 +238,9 @@ def convert(spark: SparkSession, arc: str, warc: str, prefer: str = "cast(key as
     same = (F.col("best.file") == F.col("file")) & (F.col("best.place") == F.col("place"))
     others = heads.where(F.col("payload_bytes") >= least_bytes).join(best, "digest").where(~same)
     # One row a file, of its own records.
-    refers = others.groupBy(F.col("file").alias("path")).agg(F.collect_list(F.struct("place", *[F.col(f"best.{c}").alias(c) for c in ("key", "url", "date")])).alias("refers"))
-    files = _files(spark, arc).join(refers, "path", "left")
+    listed = F.collect_list(F.struct("place", *[F.col(f"best.{c}").alias(c) for c in ("key", "url", "date")]))
+    taken = F.sum(F.lit(40) + F.coalesce(F.octet_length("best.url"), F.lit(0)) + F.coalesce(F.octet_length("best.key"), F.lit(0)))
+    refers = materialise(others.groupBy(F.col("file").alias("path")).agg(listed.alias("refers"), taken.alias("bytes")), "arc-lists")
 
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -237,8 +260,21 @@ def convert(spark: SparkSession, arc: str, warc: str, prefer: str = "cast(key as
                         out = []
                 yield pd.DataFrame({"value": out}, dtype=object)
 
-    _write(files.mapInPandas(records, "value binary"), warc, "\r\n\r\n")
-    discard(heads)
+    groups = -(-(refers.agg(F.sum("bytes")).first()[0] or 0) // LISTS_BYTES)
+    group = F.pmod(F.xxhash64("file"), F.lit(max(1, groups))) if groups <= GROUPS else F.lit(0)
+    sizes = heads.groupBy("file").agg(F.max(_class_of(F.col("payload_bytes"))).alias("i"), F.any_value(group).alias("g"))
+    jobs: dict[tuple[int, int], list[str]] = {}
+    for r in sizes.collect():  # names of files, which a listing holds as well
+        jobs.setdefault((r["i"], r["g"]), []).append(r["file"])
+    for (i, g), names in sorted(jobs.items()):
+        mine = refers.select("path", "refers")
+        if groups <= GROUPS:
+            mine = F.broadcast(mine.where(F.pmod(F.xxhash64("path"), F.lit(max(1, groups))) == g))
+        files = _files(spark, [_literal(n) for n in names]).join(mine, "path", "left")
+        _write(files.mapInPandas(records, "value binary"), warc, "\r\n\r\n", CLASSES[i][1] if i else RECORDS)
+    if not jobs:
+        _write(spark.createDataFrame([], "value binary"), warc, "\r\n\r\n", RECORDS)
+    discard(heads, refers)
 
 
 WARC_ROW = "record_id string, record_type string, uri string, date string, key string, payload_bytes long, payload_digest string, refers_to string, payload binary"
