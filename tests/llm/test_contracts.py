@@ -155,12 +155,46 @@ def test_templates_plain(spark):
     assert {r.url_verdict for r in got if "/evil/" in r.url} == {"block"} and {r.url_verdict for r in got if "/fine/" in r.url} == {"allow"}
 
 
+JUNK, FINE = "<p>aa%%% bb### cc!!! " * 9 + "</p>", "<p>hello there, all of you</p><script>%%%%%%%%%%%%%%%%%%%</script>"
+
+
 def test_pages_teach(spark):
-    """Without rules, hosts whose pages have bad words are rejected as wholes; unlabelled pages follow their template."""
-    rows = [(f"http://bad.org/p/{i}", "<p>play Casino now</p>" if i % 20 else None) for i in range(60)] + [(f"http://good.org/p/{i}", "<p>hello</p><script>casino</script>") for i in range(60)]
+    """Without rules, hosts whose pages are junk are rejected as wholes; unlabelled pages follow their template; held-out pages bear it out."""
+    rows = [(f"http://bad.org/p/{i}", JUNK if i % 20 else None) for i in range(60)] + [(f"http://good.org/p/{i}", FINE) for i in range(60)]
     pages = spark.createDataFrame(rows, "url string, html string")
-    got = urlfilter.judge(pages, label=urlfilter.content_label(F.col("html")), rules=()).collect()
+    label = urlfilter.content_label(F.col("html"))
+    got = urlfilter.judge(pages, label=label, rules=()).collect()
     assert {(r.url_host, r.url_verdict) for r in got} == {("bad.org", "block"), ("good.org", "allow")}
+    held = {r.verdict: (r.labelled > 3, r.purity) for r in urlfilter.held_out_purity(pages, label).collect()}
+    assert held == {"block": (True, 1.0), "allow": (True, 0.0)}
+
+
+def plain_label(page):
+    seen = re.sub(r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>", " ", page or "")
+    words = seen.split()
+    if not any(c.isalpha() for c in seen):
+        return None
+    odd = sum(not c.isalpha() and not c.isnumeric() and not c.isspace() for c in seen) > 0.08 * len(seen)
+    return int(odd or (len(words) >= 50 and len(set(words)) < 0.3 * len(words)))
+
+
+@data
+def test_op5(spark):
+    """The whole query against plain rules, labels, templates and verdicts."""
+    rules = sorted(urlfilter.RULES, key=lambda r: -len(r[1] + r[2]))
+    judged = []
+    for r in table(spark, "pages").collect():
+        rest = (r.url or "").split("://", 1)[1] if "://" in (r.url or "") else ""
+        host = re.split("[/?#]", rest)[0].lower()
+        path = re.split("[?#]", rest[len(host) :])[0]
+        rule = next(((h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)), (None, None))
+        judged.append((r.page_id, host, path, rule, plain_label(r.html)))
+    paths = {p for _, _, p, _, _ in judged}
+    segs = dict(zip(sorted(paths), spark.createDataFrame([(p,) for p in sorted(paths)], "p string").coalesce(1).select(urlfilter.segments(F.col("p")).alias("s")).toPandas()["s"].map(tuple), strict=True))
+    learned = plain_verdicts([(h, segs[p], x) for _, h, p, _, x in judged])
+    want = sorted((i, h, p, rule, verdict or learned[h, segs[p]][2]) for i, h, p, (rule, verdict), _ in judged)
+    got = sorted(tuple(r)[:5] for r in catalog.QUERIES["op5_urlfilter"](spark, SF).collect())
+    assert got == want and sum(x == 1 for *_, x in judged) > 5
 
 
 def test_many_rules(spark):

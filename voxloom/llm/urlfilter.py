@@ -8,8 +8,8 @@ labelled shares don't differ significantly from the pooled share are merged. A
 template is rejected if the smoothed share of its labelled URLs that are bad is at
 least a threshold; without labelled URLs of its own the prior, their share over all hosts, decides.
 
-What the URLs are labelled by is the caller's. ``content_label`` reads it off a page: bad if its visible words have one
-of a list, good if they don't, unknown without words. ``op5_urlfilter`` teaches by it.
+What the URLs are labelled by is the caller's. ``content_label`` measures it on a page: bad if its visible text is junk by its shares of symbols and of
+distinct words, good if it isn't, unknown without words. ``op5_urlfilter`` teaches by it, and ``held_out_purity`` tells how well templates foretell it.
 
 All statistics are sums over (host, template) that are aggregated before any shuffle, so a
 host with most of the URLs is one row per path shape. Paths have any depth: what all URLs of a branch begin with is passed in
@@ -40,8 +40,8 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-#: Words that mark a page as bad.
-BAD_WORDS = ("casino", "casinos", "jackpot", "bets", "betting", "poker", "roulette", "pills", "viagra", "cialis", "porn", "xxx")
+#: Shares by which a page's text is junk: characters that are symbols at least, words that are distinct at most, and words that this takes.
+SYMBOLS, DISTINCT, LEAST_WORDS = 0.08, 0.3, 50
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _START = r"(?s)^.*?://([^/?#]*)"
@@ -57,11 +57,16 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _PATH, 1), F.lit(""))
 
 
-def content_label(html: Column, words: tuple[str, ...] = BAD_WORDS) -> Column:
-    """1 if the page's visible words have a bad one, 0 if they don't, null if there are none."""
+def content_label(html: Column, symbols: float = SYMBOLS, distinct: float = DISTINCT, least: int = LEAST_WORDS) -> Column:
+    """1 if the page's visible text is junk by what can be measured of it, 0 if it isn't, null if there are no words.
+
+    Junk has more than a share of characters that are neither letters, digits nor white space, or, from ``least`` words on, less than a share of distinct words.
+    """
     seen = F.regexp_replace(html.cast("string"), _HIDDEN, " ")
-    bad = rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{'|'.join(words)})(?![\p{{L}}\p{{N}}])"
-    return F.when(seen.rlike(bad), 1).when(seen.rlike(r"\p{L}"), 0)
+    words = F.array_remove(F.split(seen, r"\s+"), "")
+    odd = F.char_length(F.regexp_replace(seen, r"[\p{L}\p{N}\s]+", "")) > symbols * F.char_length(seen)
+    same = (F.size(words) >= least) & (F.size(F.array_distinct(words)) < distinct * F.size(words))
+    return F.when(~seen.rlike(r"\p{L}"), F.lit(None)).when(odd | same, 1).when(seen.isNotNull(), 0)
 
 
 def rule_of(host: Column, path: Column, rules=RULES) -> Column:
@@ -198,6 +203,14 @@ def judge(pages: DataFrame, url: str = "url", label: Column | None = None, rules
     return done.select(*own, *[c.alias(name) for c, name in zip(added, ADDED, strict=True)])
 
 
+def held_out_purity(pages: DataFrame, label: Column, url: str = "url", rules=()) -> DataFrame:
+    """(verdict, labelled, purity): of a fifth of the labelled URLs, by hash, which don't teach, how many are bad by the verdict of the templates that the others teach."""
+    (name, out) = free_names(pages, "_label", "_held")
+    rows = pages.withColumns({name: label.cast("int"), out: F.pmod(F.xxhash64(F.col(f"`{url}`")), F.lit(5)) == 0})
+    done = judge(rows, url, F.when(~F.col(out), F.col(name)), rules).where(F.col(out) & F.col(name).isNotNull())
+    return done.groupBy(F.col("url_verdict").alias("verdict")).agg(F.count("*").alias("labelled"), F.avg(name).alias("purity"))
+
+
 def op5_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's URL; the pages' contents teach the templates."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
