@@ -304,7 +304,6 @@ def test_matched_words(spark, ok):
     a, b = ({r.segment_id: r.norm.split() for r in ok if r.rank == k} for k in (0, 3))
     both = {s: difflib.SequenceMatcher(None, a[s], b[s], autojunk=False) for s in a.keys() & b.keys()}
     check(spark, "TXT-RATIO", ["segment_id", "ratio"], [(s, m.ratio()) for s, m in both.items()])
-    check(spark, "ALN-TOKENMAP", ["segment_id", "matched"], [(s, sum(x.size for x in m.get_matching_blocks())) for s, m in both.items()])
 
 
 # Alignment and intervals

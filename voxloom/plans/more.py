@@ -14,7 +14,9 @@ from voxloom.functions import kernels
 from voxloom.functions.fixed import PANEL
 from voxloom.operators import alignment
 from voxloom.operators import consensus as CN
+from voxloom.operators import intervals as IV
 from voxloom.operators import speakers as SP
+from voxloom.operators import tokenmap as TM
 from voxloom.plans.base import HAS_TEXT, RES, SEG, model_results, query, read, results_ok, segments, sides
 from voxloom.sources import calls as SRC
 from voxloom.sources import sinks
@@ -219,21 +221,23 @@ def prs_highlight(spark, d):
     return read(spark, d, "documents").select("doc_id", marked("text", C.detect("text")).alias("html"))
 
 
-@query("ALN-TOKENMAP")
-def aln_tokenmap(spark, d):
-    """Words of the final text matched with recognised words, in order, to take over their places."""
+def _recognised(spark, d):
+    """Documents, the spans that are found in them, and words that a recogniser heard: without marks, digits spoken, every seventh word lost, in equal shares of the time."""
+    docs = read(spark, d, "documents").where("text is not null").select(F.col("doc_id").alias("segment_id"), "text")
+    spans = docs.select("segment_id", F.explode(F.concat(C.detect("text"), C.times_and_numbers("text"))).alias("s")).select("segment_id", "s.type", "s.text", "s.start", "s.end")
+    heard = F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N} @.]", " ")
+    for i, w in enumerate(TM.DIGITS):
+        heard = F.regexp_replace(heard, str(i), f" {w} ")
+    words = IV.uniform_words(docs.select("segment_id", heard.alias("text"), (F.char_length("text") / 15.0).alias("duration_sec"))).where(F.col("word_index") % 7 != 5)
+    return docs, spans, words.select("segment_id", "word_index", "word", "word_start", "word_end")
 
-    @F.pandas_udf("array<struct<token:int,word:int>>")
-    def pairs(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b, strict=True):
-            blocks = difflib.SequenceMatcher(None, x.split(), y.split(), autojunk=False).get_matching_blocks()
-            out.append([{"token": m.a + k, "word": m.b + k} for m in blocks for k in range(m.size)])
-        return pd.Series(out, dtype=object)
 
-    r = results_ok(spark, d)
-    both = r.where("rank = 0").select("segment_id", F.col("norm").alias("a")).join(r.where("rank = 3").select("segment_id", F.col("norm").alias("b")), "segment_id")
-    return both.select("segment_id", F.size(pairs("a", "b")).alias("matched"))
+@query("ALN-TOKENMAP")
+def aln_tokenmap(spark, d):
+    """Times of what is found in documents, by tokens that are mapped in order and by runs of tokens that are looked for."""
+    docs, spans, words = _recognised(spark, d)
+    mapped = TM.mapped_times(spans, docs, words).select("segment_id", "type", "text", "start_sec", "end_sec", F.lit("mapped").alias("way"))
+    return mapped.unionByName(TM.searched_times(spans.select("segment_id", "type", "text").distinct(), words).withColumn("way", F.lit("searched")))
 
 
 @query("MSK-FADE")
