@@ -414,19 +414,6 @@ def test_chunk_plain():
     assert A.chunk([]) == [] and A.chunk([(0.0, 100.0)]) == plain_chunks(0.0, 100.0, [(0.0, 100.0)])
 
 
-def test_tones(spark, vecs):
-    beep, fade = [], []
-    for v in vecs:
-        x = np.asarray(v.embedding, float)
-        y = x.copy()
-        y[10:30] = [0.2 * math.sin(2 * math.pi * 10 * i / 100) for i in range(10, 30)]
-        beep.append((v.vec_id, float((y**2).sum())))
-        ramp = [0.0, 0.5, *[1.0] * 16, 0.5, 0.0]
-        fade.append((v.vec_id, max(abs(0.2 * np.abs(x).max() * math.sin(2 * math.pi * 10 * i / 100) * r) for i, r in zip(range(10, 30), ramp, strict=True))))
-    check(spark, "MSK-BEEP", ["vec_id", "energy"], beep)
-    check(spark, "MSK-FADE", ["vec_id", "peak"], fade)
-
-
 # Batches, spans, speakers, sources
 
 

@@ -21,18 +21,6 @@ def energy_vad(samples: np.ndarray, rate: int, window: float = 0.03, ratio: floa
     return [(a * step / rate, min(len(samples), b * step) / rate) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
 
 
-def mask(samples: np.ndarray, rate: int, intervals: list[tuple[float, float]], mode: str = "silence", gain: float = 0.2, frequency: float = 1000.0, seed: int = 1337) -> np.ndarray:
-    """Samples with intervals silenced, or replaced by a tone with absolute phase, or by seeded noise."""
-    out = np.array(samples, dtype=np.float64)
-    noise = np.random.default_rng(seed)
-    for s, e in intervals:
-        a, b = max(0, int(np.floor(s * rate))), min(len(out), int(np.ceil(e * rate)))
-        if a < b:
-            at = np.arange(a, b)
-            out[a:b] = {"silence": lambda at=at: 0.0, "beep": lambda at=at: gain * np.sin(2 * np.pi * frequency * at / rate), "noise": lambda at=at: noise.uniform(-gain, gain, len(at))}[mode]()
-    return out
-
-
 def ctc_align(log_probs: np.ndarray, tokens: list[int], blank: int = 0) -> list[tuple[int, int, float]]:
     """(first frame, frame behind the last, mean probability) of each token on the best monotone path."""
     frames, n = len(log_probs), len(tokens)

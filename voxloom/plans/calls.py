@@ -441,8 +441,3 @@ def aud_callview(spark, d):
 @query("AUD-PEEK", f"WITH {RES} SELECT model_name, count(*) AS n, count(*) FILTER (WHERE error IS NOT NULL) AS errors, count(*) FILTER (WHERE NOT {HAS_TEXT}) AS empties, round(avg(length(transcript)), 6) AS mean_chars FROM res GROUP BY model_name")
 def aud_peek(spark, d):
     return model_results(spark, d).groupBy("model_name").agg(F.count("*").alias("n"), F.count("error").alias("errors"), F.count_if(~C.has_text(F.col("transcript"))).alias("empties"), R(F.avg(F.char_length("transcript")), 6).alias("mean_chars"))
-
-
-@query("VAL-PAIR", f"WITH {SEG} SELECT a.segment_id, abs(a.duration_sec - (a.end_sec - a.start_sec)) <= 0.010 AS ok FROM seg a")
-def val_pair(spark, d):
-    return segments(spark, d).select("segment_id", (F.abs(F.col("duration_sec") - (F.col("end_sec") - F.col("start_sec"))) <= 0.010).alias("ok"))

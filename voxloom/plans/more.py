@@ -240,23 +240,6 @@ def aln_tokenmap(spark, d):
     return mapped.unionByName(TM.searched_times(spans.select("segment_id", "type", "text").distinct(), words).withColumn("way", F.lit("searched")))
 
 
-@query("MSK-FADE")
-def msk_fade(spark, d):
-    @F.pandas_udf("double")
-    def peak(v: pd.Series) -> pd.Series:
-        out = []
-        for x in v:
-            a = np.asarray(x, dtype=float)
-            tone = alignment.mask(a, 100, [(0.1, 0.3)], "beep", 0.2 * float(np.abs(a).max()), 10.0)
-            ramp = np.ones(20)
-            ramp[:2], ramp[-2:] = [0.0, 0.5], [0.5, 0.0]
-            tone[10:30] *= ramp
-            out.append(float(np.abs(tone[10:30]).max()))
-        return pd.Series(out)
-
-    return read(spark, d, "embeddings").select("vec_id", R(peak("embedding"), 6).alias("peak"))
-
-
 @query("JN-KNN")
 def jn_knn(spark, d):
     return SP.neighbours(sides(spark, d), 3).select("a", "b", "rank")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-
+import pandas as pd
 from pyspark.sql import functions as F
 
 from voxloom.functions import columns as C
 from voxloom.functions import fixed as K
 from voxloom.operators import audio, language, order, parity
+from voxloom.operators import blocks as BL
 from voxloom.operators import speakers as SP
 from voxloom.operators import state as ST
 from voxloom.plans.base import SEG, SIDES, query, read, segments, sides
@@ -62,13 +63,63 @@ def src_probe(spark, d):
     return got.select(F.col("path").cast("long").alias("file_id"), "sample_rate", "channels", R("duration_sec", 6).alias("duration_sec"), F.col("error").isNotNull().alias("failed"))
 
 
+#: Frames of a block in these queries: a file has several.
+_BLOCK = 10
+
+
+def _blocks(spark, d):
+    heads, blocks = BL.from_files(_files(spark, d), _BLOCK)
+    return write_work(heads, "heads"), write_work(blocks, "blocks")
+
+
+def _cut(heads, first: int, behind: int, channel: int = 0):
+    return heads.select("file_id", F.lit(0).alias("place"), F.lit(channel).alias("channel"), F.lit(first / 16000).alias("start_sec"), F.lit(behind / 16000).alias("end_sec"))
+
+
 @query("MSK-APPLY", f"WITH {SIDES}, {_PCM} SELECT file_id, channel, CAST(list_sum(list_transform(range(1, len(q) + 1), lambda i: CASE WHEN channel = 0 AND i > 8 AND i <= 24 THEN 0 ELSE abs(CAST(round_even(q[i] / CAST(32768 AS DOUBLE) * 32767, 0) AS BIGINT)) END)) AS BIGINT) AS loud FROM wav")
 def msk_apply(spark, d):
-    """Frames 8 to 24 of channel 0 silenced; the other channel passes."""
-    mask = F.array(F.struct(F.lit(0).alias("channel"), F.lit(8 / 16000).alias("start_sec"), F.lit(24 / 16000).alias("end_sec")))
-    files = _files(spark, d)
-    done = audio.redact(files, files.select("file_id", F.lit("completed").alias("status"), mask.alias("intervals")), "silence")
-    return done.select("file_id", F.posexplode(_sound("content")["loud"]).alias("channel", "loud"))
+    """Frames 8 to 24 of channel 0 silenced in blocks; the other channel passes."""
+    heads, blocks = _blocks(spark, d)
+    return BL.heard(BL.mask(heads, blocks, _cut(heads, 8, 24), "silence", _BLOCK), heads).select("file_id", "channel", "loud")
+
+
+@query("MSK-BEEP")
+def msk_beep(spark, d):
+    """Frames 10 to 30 of channel 0 as a tone in the file's phase."""
+    heads, blocks = _blocks(spark, d)
+    return BL.heard(BL.mask(heads, blocks, _cut(heads, 10, 30), "beep", _BLOCK), heads).select("file_id", "channel", "energy")
+
+
+@query("MSK-FADE")
+def msk_fade(spark, d):
+    """Frames 10 to 50 of all channels as a tone of a share of the file's peak, with ramps of 8 frames."""
+    heads, blocks = _blocks(spark, d)
+    return BL.heard(BL.fade(heads, blocks, _cut(heads, 10, 50).drop("channel"), ms=0.5, frames=_BLOCK), heads).select("file_id", "channel", "loud", "energy")
+
+
+@query("VAL-PAIR")
+def val_pair(spark, d):
+    """Files held against their outputs, of which some are cut short, have lost a channel, or have another rate; one in eleven is missing."""
+    heads, _ = _blocks(spark, d)
+    out = heads.where("file_id % 11 <> 10").withColumns({"frames": F.when(F.col("file_id") % 5 == 1, F.col("frames") * 8).otherwise(F.col("frames")), "channels": F.when(F.col("file_id") % 5 == 2, 1).otherwise(F.col("channels")), "rate": F.when(F.col("file_id") % 5 == 3, 8000).otherwise(F.col("rate"))})
+    return BL.pairs(heads, out)
+
+
+@query("VAL-RECON")
+def val_recon(spark, d):
+    """Calls put together from clips of 13 frames, of which the fourth of some calls is moved or missing, and held against their files."""
+    heads, blocks = _blocks(spark, d)
+    clip = F.transform(F.sequence(F.lit(0), F.size("v") - 1, F.lit(13)), lambda i: F.struct(i.alias("first"), F.slice("v", i + 1, 13).alias("x")))
+    each = sides(spark, d).select(F.col("call_id").alias("file_id"), "channel", F.explode(clip).alias("c")).select("file_id", "channel", F.col("c.first").cast("long").alias("first"), "c.x")
+    fourth = F.col("first") == 39
+    each = each.where(~(fourth & (F.col("file_id") % 9 == 4))).withColumn("first", F.when(fourth & (F.col("file_id") % 9 == 2), F.col("first") - 5).otherwise(F.col("first")))
+
+    @F.pandas_udf("binary")
+    def pcm(x: pd.Series) -> pd.Series:
+        return pd.Series([audio.to_int16(v).tobytes() for v in x])
+
+    built = BL.rebuilt(each.select("file_id", "channel", "first", pcm("x").alias("samples")), heads, _BLOCK)
+    return BL.placement(built, blocks, heads).withColumn("max_error", R("max_error", 6))
 
 
 @query(

@@ -322,21 +322,6 @@ def aln_ctc(spark, d):
     return read(spark, d, "embeddings").select("vec_id", F.posexplode(path("embedding")).alias("token", "p")).select("vec_id", "token", "p.first", "p.behind", R("p.probability", 6).alias("probability"))
 
 
-@query("MSK-BEEP")
-def msk_beep(spark, d):
-    @F.pandas_udf("double")
-    def energy(v: pd.Series) -> pd.Series:
-        return pd.Series([float((alignment.mask(np.asarray(x, dtype=float), 100, [(0.1, 0.3)], "beep", 0.2, 10.0) ** 2).sum()) for x in v])
-
-    return read(spark, d, "embeddings").select("vec_id", R(energy("embedding"), 6).alias("energy"))
-
-
-@query("VAL-RECON", f"WITH {SEG}, o AS (SELECT call_id, start_sec, lag(end_sec) OVER (PARTITION BY call_id ORDER BY turn) AS before, duration_sec, end_sec FROM seg) SELECT call_id, round(max(abs(coalesce(start_sec - before, start_sec))), 4) AS placement, abs(max(end_sec) - sum(duration_sec)) <= 0.05 AS ok FROM o GROUP BY call_id")
-def val_recon(spark, d):
-    before = F.lag("end_sec").over(Window.partitionBy("call_id").orderBy("turn"))
-    o = segments(spark, d).withColumn("gap", F.abs(F.coalesce(F.col("start_sec") - before, F.col("start_sec"))))
-    return o.groupBy("call_id").agg(R(F.max("gap"), 4).alias("placement"), (F.abs(F.max("end_sec") - F.sum("duration_sec")) <= 0.05).alias("ok"))
-
 
 # Speakers
 
