@@ -290,7 +290,11 @@ def test_pairs(spark, ok, pairs):
             sims[a].append(m[3]), sims[b].append(m[3])
         best = min(sims, key=lambda m: (-round(float(np.mean(sims[m])), 9), X.PANEL.index(m)))
         soft[s] = (best, float(np.mean(sims[best])), 1 + sum(x >= 0.85 for x in sims[best]))
-    check(spark, "CNS-SOFT", ["segment_id", "soft_model", "soft_score", "soft_agreed"], [(s, *v) for s, v in soft.items()])
+    said = {(r.segment_id, r.model_name): r.transcript for r in ok}
+    votes = {s: collections.Counter(r.norm for r in rows) for s, rows in by(ok, lambda r: r.segment_id).items()}
+    most = {s: max(c.values()) for s, c in votes.items()}
+    label = {s: "all_same" if most[s] == sum(c.values()) else f"{most[s]}_agree" if most[s] >= 3 else "2_agree" if most[s] == 2 else "all_different" for s, c in votes.items()}
+    check(spark, "CNS-SOFT", ["segment_id", "soft_model", "soft_score", "soft_agreed", "agreement_label", "soft_text"], [(s, *v, label[s], said[s, v[0]]) for s, v in soft.items()])
     want = []
     for s, rows in by(ok, lambda r: r.segment_id).items():
         agree = max(collections.Counter(r.norm for r in rows).values())
@@ -298,6 +302,8 @@ def test_pairs(spark, ok, pairs):
         w, c, j, _ = (round(x, 6) for x in mean[s])
         want.append((s, method, not method.startswith("rejected") and (agree >= 3 or (w <= 0.20 and c <= 0.15 and j >= 0.75)), w, c, j))
     check(spark, "CNS-FINAL", ["segment_id", "final_method", "accepted", "avg_wer", "avg_cer", "avg_jaccard"], want)
+    cand = [(x[0], x[2] and x[0] in soft and bool((said[x[0], soft[x[0]][0]] or "").strip()), label[x[0]] in ("all_same", "3_agree") if x[0] in soft else False) for x in want]
+    check(spark, "FLT-CAND", ["segment_id", "candidate", "sure"], [(s, c, y or most[s] >= 3 or soft.get(s, (0, 0, 0))[2] >= 3) for s, c, y in cand])
 
 
 def test_matched_words(spark, ok):
@@ -486,6 +492,38 @@ def test_json_in_text(spark):
     check(spark, "TXT-JSONTOL", ["event_id", "k"], [(e.event_id, json.loads(e.props)["k"]) for e in events])
 
 
+def test_labels_of_replies(spark, segs):
+    roles = (("AGENT", ("AGENT", "EMPLOYEE", "COMPANY REPRESENTATIVE")), ("USER", ("USER", "PATIENT", "CUSTOMER", "MEMBER")), ("IVR", ("IVR", "AUTOMATED", "RECORDED")), ("MIXED", ("MIXED",)))
+    want = []
+    for s in segs:
+        which = s.turn % 5
+        if which == 0:
+            want.append((s.segment_id, str(s.channel), None, "x{y", None, "json"))
+        elif which == 1:
+            want.append((s.segment_id, "AGENT", "high", "UNKNOWN", "medium", "keys"))
+        elif which == 3:
+            want.append((s.segment_id, "UNKNOWN", "medium", "FOLLOW_UP", "medium", "keys"))
+        else:
+            t = (("the customer left a " + ("voicemail " if s.channel == 0 else "")) if which == 2 else "") + s.text
+            role = next((r for r, words in roles if any(w in t.upper() for w in words)), "UNKNOWN")
+            stage = next((x for x in ("ONBOARDING", "OFFBOARDING", "FOLLOW_UP", "ROUTINE_CHECKIN", "VOICEMAIL", "OTHER") if x in t.upper()), "UNKNOWN")
+            want.append((s.segment_id, role, "medium", stage, "medium", "keywords") if (role, stage) != ("UNKNOWN", "UNKNOWN") else (s.segment_id, *[None] * 5))
+    assert {w[-1] for w in want} == {"json", "keys", "keywords", None}
+    check(spark, "TXT-JSONX", ["segment_id", "speaker_role", "speaker_role_confidence", "call_stage", "call_stage_confidence", "way"], want)
+
+
+def test_artifacts_of_spoken_numbers(spark, segs):
+    bad, files, want = set(), set(), []
+    for s in segs:
+        t = s.text + ({2: " call me at five five five one two three four five", 1: " in 20 minutes or two"}.get(s.turn % 3, "") if s.call_id % 4 else "")
+        if K.spoken_numbers(t):
+            bad.add(s.segment_id), files.add(s.call_id)
+    want += [(s.segment_id, k) for s in segs if s.segment_id not in bad for k in ("pii", "alignment")]
+    want += [(f"file_{c}", k) for c in {s.call_id for s in segs} - files for k in ("mask_plan", "redacted")]
+    assert bad and len(bad) < len(segs) and any(w[0].startswith("file_") for w in want)
+    check(spark, "ST-INVALIDATE", ["owner", "kind"], want)
+
+
 def test_scans(spark):
     found = [(f, os.path.getsize(os.path.join(at, f))) for at, _, names in os.walk(f"{SF}/documents.parquet") for f in names if f.endswith(".parquet")] if os.path.isdir(f"{SF}/documents.parquet") else [("documents.parquet", os.path.getsize(f"{SF}/documents.parquet"))]
     check(spark, "SRC-WALK", ["name", "length"], found)
@@ -496,8 +534,12 @@ def test_scans(spark):
 def test_every_query_without_sql_has_a_plain_version():
     """Of those, what tests elsewhere hold against plain versions."""
     elsewhere = {"SPK-AHC", "SPK-CLUSTER", "SPK-ROBUST"}  # test_speakers, test_runs
-    with open(__file__, encoding="utf-8") as f:
-        here = set(re.findall(r'"([A-Z]+\d?-[A-Z0-9]+)"', f.read()))
+    here = set()
+    for name in os.listdir(os.path.dirname(__file__)):
+        if name.startswith("test_") and name.endswith(".py"):
+            with open(os.path.join(os.path.dirname(__file__), name), encoding="utf-8") as f:
+                here |= set(re.findall(r'check\(\s*spark, "([A-Z]+\d?-[A-Z0-9]+)"|QUERIES\["([A-Z]+\d?-[A-Z0-9]+)"\]|\("([A-Z]+\d?-[A-Z0-9]+)", "', f.read()))
+    here = {x for found in here for x in found if x}
     assert set(catalog.QUERIES) - set(catalog.ORACLES) - here - elsewhere == set()
 
 

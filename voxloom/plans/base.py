@@ -114,3 +114,35 @@ SIDES = """sides AS (
 
 #: A sum of a repeat ratio's parts in SQL, over a column of words.
 REPEAT = "CASE WHEN len(w) < 10 THEN CAST(0 AS DOUBLE) ELSE 1 - CAST(len(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')))) AS DOUBLE) / (len(w) - 4) END"
+
+
+def sound_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is measured of a vector as a clip of sound: error, duration, usable speech, shares of active windows and clipped samples, level, language."""
+    v = F.col("embedding").cast("array<double>")
+    power = lambda x: F.aggregate(x, F.lit(0.0), lambda a, y: a + y * y)
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "label", v.alias("v")).withColumn("n", F.size("v"))
+    windows = F.transform(F.sequence(F.lit(0), F.col("n") - 1, F.lit(4)), lambda i: power(F.slice("v", i + 1, 4)) / 4)
+    rows = rows.withColumns({"mean": power(F.col("v")) / F.col("n"), "w": windows})
+    speech = F.size(F.filter("w", lambda x: x >= 0.05 * F.col("mean"))) / F.size("w")
+    duration = F.when(F.col("vec_id") % 29 != 7, F.col("n") / (2 + F.col("vec_id") % 30))
+    return rows.select(
+        "vec_id",
+        F.when(F.col("vec_id") % 23 == 5, "cut short").alias("error"),
+        duration.alias("duration"),
+        (duration * speech).alias("usable"),
+        F.when(F.col("vec_id") % 31 != 3, speech).alias("speech"),
+        F.when(F.col("vec_id") % 37 != 3, F.size(F.filter("v", lambda x: F.abs(x) >= 0.35)) / F.col("n")).alias("clipped"),
+        F.when(F.col("label") != 7, F.col("label") % 5 != 3).alias("english"),
+        F.round(F.sqrt("mean") * (1 + F.col("label")), 9).alias("level"),
+    )
+
+
+FACTS = """fact AS (
+  SELECT vec_id, CASE WHEN vec_id % 23 = 5 THEN 'cut short' END AS error, duration, duration * s AS usable, CASE WHEN vec_id % 31 <> 3 THEN s END AS speech,
+         CASE WHEN vec_id % 37 <> 3 THEN len(list_filter(v, lambda x: abs(x) >= 0.35)) / CAST(len(v) AS DOUBLE) END AS clipped,
+         CASE WHEN label <> 7 THEN label % 5 <> 3 END AS english, round(sqrt(mean) * (1 + label), 9) AS level
+  FROM (SELECT *, len(list_filter(w, lambda x: x >= 0.05 * mean)) / CAST(len(w) AS DOUBLE) AS s, CASE WHEN vec_id % 29 <> 7 THEN len(v) / CAST(2 + vec_id % 30 AS DOUBLE) END AS duration
+        FROM (SELECT vec_id, label, v, list_sum(list_transform(v, lambda x: x * x)) / len(v) AS mean,
+                     list_transform(range(0, len(v), 4), lambda i: list_sum(list_transform(v[i + 1 : i + 4], lambda x: x * x)) / 4) AS w
+              FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)))
+), trained AS (SELECT *, error IS NULL AND coalesce(duration, 0) > 0 AND coalesce(duration, 999999) <= 20 AND coalesce(usable, 0) >= 1 AND coalesce(speech, 0) >= 0.85 AND coalesce(clipped, 1) < 0.02 AS trainable FROM fact)"""

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from voxloom.functions import columns as C
 from voxloom.functions.fixed import PANEL
 from voxloom.operators import consensus as CN
+from voxloom.operators import filters as FT
 from voxloom.operators import context as CX
 from voxloom.operators import state as ST
-from voxloom.plans.base import HAS_TEXT, RES, SEG, model_results, query, read, results_ok, segments
+from voxloom.plans.base import HAS_TEXT, RES, SEG, model_results, query, read, results_ok, segments, FACTS, sound_facts
 
 R = F.round
 
@@ -27,15 +28,17 @@ def flt_lang(spark, d):
     return read(spark, d, "documents").select("doc_id", F.when(F.lower("lang").isin("en", "es"), "pending").otherwise("unsupported_language").alias("status"))
 
 
-@query("FLT-TRAIN", f"WITH {SEG} SELECT segment_id, coalesce(duration_sec, 0) > 0 AND coalesce(duration_sec, 999999) <= 20 AND duration_sec * 0.9 >= 1.0 AND (turn % 10) / CAST(10 AS DOUBLE) < 0.85 AS trainable FROM seg")
+@query("FLT-TRAIN", f"WITH {FACTS} SELECT vec_id, trainable FROM trained")
 def flt_train(spark, d):
-    ok = (F.coalesce("duration_sec", F.lit(0)) > 0) & (F.coalesce("duration_sec", F.lit(999999)) <= 20) & (F.col("duration_sec") * 0.9 >= 1.0) & ((F.col("turn") % 10) / 10.0 < 0.85)
-    return segments(spark, d).select("segment_id", ok.alias("trainable"))
+    return sound_facts(spark, d).select("vec_id", FT.trainable().alias("trainable"))
 
 
-@query("FLT-CAND", f"WITH {RES}, n AS (SELECT segment_id, norm, count(*) AS n FROM ok GROUP BY segment_id, norm) SELECT segment_id, max(n) >= 3 AS high_confidence FROM n GROUP BY segment_id")
+@query("FLT-CAND")
 def flt_cand(spark, d):
-    return results_ok(spark, d).groupBy("segment_id", "norm").count().groupBy("segment_id").agg((F.max("count") >= 3).alias("high_confidence"))
+    """Segments whose final text may teach, and whether it's surely right: by label, votes or likeness."""
+    r = results_ok(spark, d)
+    judged = CN.final_method(r).join(CN.soft_consensus(r).select("segment_id", "agreement_label", F.col("soft_text").alias("text")), "segment_id", "left")
+    return FT.candidates(judged).select("segment_id", "candidate", "sure")
 
 
 @query("FLT-COLSEL", "SELECT doc_id, coalesce(lang, source, 'none') AS label FROM documents")
@@ -76,10 +79,18 @@ def jn_extras(spark, d):
     return segments(spark, d).join(n, "segment_id", "left").select("segment_id", "call_id", F.coalesce("models", F.lit(0)).alias("models"), R("duration_sec", 6).alias("duration_sec"))
 
 
-@query("JN-FILEMETA", "SELECT l_orderkey, l_linenumber, o_orderpriority FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey AND o_orderstatus = 'F'")
+@query(
+    "JN-FILEMETA",
+    f"WITH {SEG}, m AS (SELECT call_id, 8000 + 8000 * (call_id % 2) AS rate, count(DISTINCT channel) AS channels FROM seg GROUP BY call_id) SELECT s.segment_id, m.rate, m.channels, CASE WHEN s.call_id % 4 < 3 THEN 'redacted/' || s.call_id || '.wav' END AS redacted_path, CASE WHEN s.call_id % 4 = 3 THEN 'pending' WHEN s.call_id % 8 = 1 THEN 'failed' ELSE 'redacted' END AS redacted_status FROM seg s LEFT JOIN m ON m.call_id = s.call_id AND s.call_id % 5 < 4",
+)
 def jn_filemeta(spark, d):
-    o = read(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
-    return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber").join(o, "l_orderkey", "left").select("l_orderkey", "l_linenumber", "o_orderpriority")
+    """Segments with what is known of their files and of what became of these; files that nobody looked into, and redactions that weren't, leave nulls and a status."""
+    s = segments(spark, d)
+    call = F.col("call_id")
+    files = s.groupBy("call_id").agg(F.count_distinct("channel").alias("channels")).where(call % 5 < 4).select(call.alias("file_id"), (8000 + 8000 * (call % 2)).alias("rate"), "channels")
+    done = s.select("call_id").distinct().where(call % 4 < 3).select(call.alias("file_id"), F.concat(F.lit("redacted/"), call.cast("string"), F.lit(".wav")).alias("redacted_path"), F.when(call % 8 == 1, "failed").otherwise("redacted").alias("redacted_status"))
+    rows = s.select("segment_id", call.alias("file_id")).join(files, "file_id", "left").join(done, "file_id", "left")
+    return rows.select("segment_id", "rate", "channels", "redacted_path", F.coalesce("redacted_status", F.lit("pending")).alias("redacted_status"))
 
 
 @query("JN-SPEAKER", f"WITH {SEG}, m AS (SELECT CAST(vec_id // 2 AS VARCHAR) AS c, CAST(vec_id % 2 AS VARCHAR) AS h, 'spk_' || label AS s FROM embeddings) SELECT segment_id, coalesce(s, 'spk_fallback_' || call_id || '_ch' || channel) AS speaker FROM seg LEFT JOIN m ON CAST(call_id AS VARCHAR) = c AND CAST(channel AS VARCHAR) = h")

@@ -14,10 +14,11 @@ from voxloom.functions import kernels
 from voxloom.functions.fixed import PANEL
 from voxloom.operators import alignment
 from voxloom.operators import consensus as CN
+from voxloom.operators import filters as FT
 from voxloom.operators import intervals as IV
 from voxloom.operators import speakers as SP
 from voxloom.operators import tokenmap as TM
-from voxloom.plans.base import HAS_TEXT, RES, SEG, model_results, query, read, results_ok, segments, sides
+from voxloom.plans.base import HAS_TEXT, RES, SEG, model_results, query, read, results_ok, segments, sides, FACTS, sound_facts
 from voxloom.sources import calls as SRC
 from voxloom.sources import sinks
 from voxloom.sources.work import work_path
@@ -84,9 +85,9 @@ def cns_priority(spark, d):
     return spark.createDataFrame([(m, i) for i, m in enumerate(PANEL)], "model_name string, rank int")
 
 
-@query("FLT-EMBED", f"WITH {SEG} SELECT segment_id FROM seg WHERE duration_sec >= 0.5 AND duration_sec <= 20 AND turn % 10 < 8")
+@query("FLT-EMBED", f"WITH {FACTS} SELECT vec_id FROM trained WHERE usable >= 0.5 AND clipped < 0.05 AND trainable AND coalesce(english, true)")
 def flt_embed(spark, d):
-    return segments(spark, d).where("duration_sec >= 0.5 and duration_sec <= 20 and turn % 10 < 8").select("segment_id")
+    return sound_facts(spark, d).withColumn("trainable", FT.trainable()).where(FT.embeddable()).select("vec_id")
 
 
 @query("PRJ-MINIMAL", f"WITH {SEG} SELECT segment_id, call_id, channel, round(start_sec, 6) AS start_sec, round(end_sec, 6) AS end_sec, text FROM seg")

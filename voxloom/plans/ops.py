@@ -46,19 +46,15 @@ def st_lease(spark, d):
     return beats.join(F.broadcast(now)).select("shard", "holder", (age > 3600).alias("stale"), F.when(age > 3600, -1).otherwise(F.col("holder")).alias("owner"))
 
 
-@query(
-    "ST-INVALIDATE",
-    f"""WITH {SEG}, a AS (SELECT segment_id AS owner, unnest(['pii', 'alignment']) AS kind FROM seg UNION ALL SELECT DISTINCT 'file_' || call_id, unnest(['mask_plan', 'redacted']) FROM seg),
-    bad AS (SELECT segment_id AS owner FROM seg WHERE regexp_matches(text, '[0-9]') UNION ALL SELECT DISTINCT 'file_' || call_id FROM seg WHERE regexp_matches(text, '[0-9]'))
-    SELECT owner, kind FROM a WHERE owner NOT IN (SELECT owner FROM bad)""",
-)
+@query("ST-INVALIDATE")
 def st_invalidate(spark, d):
-    """Artifacts that stay when segments with digits, and so their files, are to be done again."""
-    s = segments(spark, d)
+    """Artifacts that stay when segments in which a number is recited, and so their files, are to be done again; every third turn recites one."""
+    said = F.when(F.col("turn") % 3 == 2, F.concat("text", F.lit(" call me at five five five one two three four five"))).when(F.col("turn") % 3 == 1, F.concat("text", F.lit(" in 20 minutes or two"))).otherwise(F.col("text"))
+    s = segments(spark, d).withColumn("text", F.when(F.col("call_id") % 4 > 0, said).otherwise(F.col("text")))
     owned = lambda owner, *kinds: s.select(owner.alias("owner"), F.explode(F.array(*map(F.lit, kinds))).alias("kind"))
     file = F.concat(F.lit("file_"), F.col("call_id").cast("string"))
     artifacts = owned(F.col("segment_id"), "pii", "alignment").unionAll(owned(file, "mask_plan", "redacted").distinct())
-    affected = s.where(F.col("text").rlike("[0-9]"))
+    affected = s.where(F.size(C.spoken_numbers("text")) > 0)
     gone = affected.select(F.col("segment_id").alias("owner")).unionAll(affected.select(file.alias("owner")).distinct())
     return artifacts.join(gone, "owner", "left_anti")
 

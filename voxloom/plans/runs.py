@@ -9,9 +9,10 @@ from voxloom.functions import columns as C
 from voxloom.functions import fixed as K
 from voxloom.operators import audio, language, order, parity
 from voxloom.operators import blocks as BL
+from voxloom.operators import filters as FT
 from voxloom.operators import speakers as SP
 from voxloom.operators import state as ST
-from voxloom.plans.base import SEG, SIDES, query, read, segments, sides
+from voxloom.plans.base import SEG, SIDES, query, read, segments, sides, FACTS, sound_facts
 from voxloom.sources import calls as SRC
 from voxloom.sources import config, publish
 from voxloom.sources.work import work_path, write_work
@@ -366,9 +367,6 @@ def ag_quant(spark, d):
     return q.select("channel", *[R(c, 6).alias(c) for c in ("q10", "q20", "q999")])
 
 
-@query("FLT-EMBED2", f"WITH {SEG}, q AS (SELECT quantile_cont(duration_sec, 0.02) AS lo, quantile_cont(duration_sec, 0.995) AS hi FROM seg) SELECT segment_id FROM seg, q WHERE duration_sec >= 2.0 AND duration_sec BETWEEN lo AND hi")
+@query("FLT-EMBED2", f"WITH {FACTS}, k AS (SELECT * FROM fact WHERE coalesce(usable, 0) >= 2 AND coalesce(speech, 1) >= 0.9 AND coalesce(clipped, 0) < 0.005 AND coalesce(english, false)), q AS (SELECT quantile_cont(level, 0.02) AS lo, quantile_cont(level, 0.995) AS hi FROM k) SELECT vec_id FROM k, q WHERE level BETWEEN lo AND hi")
 def flt_embed2(spark, d):
-    s = segments(spark, d)
-    # One row: a scalar.
-    q = order.quantiles(s, [], "duration_sec", {"lo": 0.02, "hi": 0.995}).drop("n")
-    return s.join(F.broadcast(q)).where((F.col("duration_sec") >= 2.0) & F.col("duration_sec").between(F.col("lo"), F.col("hi"))).select("segment_id")
+    return FT.clean(sound_facts(spark, d)).select("vec_id")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from voxloom.functions import columns as C
 from voxloom.functions import fixed as K
+from voxloom.operators import filters as FT
 from voxloom.plans.base import REPEAT, RES, SEG, model_results, query, read, results_ok, segments
 
 R = F.round
@@ -138,9 +139,18 @@ def txt_bucket(spark, d):
     return pairs.groupBy(name.alias("bucket")).agg(F.count("*").alias("n"))
 
 
-@query("TXT-JSONX", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+@query("TXT-JSONX")
 def txt_jsonx(spark, d):
-    return read(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+    """Labels read from what a model may write of a turn: an object in a fence with a trailing comma, fields in words, a sentence, or nothing of use."""
+    which = F.col("turn") % 5
+    said = (
+        F.when(which == 0, F.concat(F.lit('Sure:\n```json\n{"speaker_role": "'), F.col("channel").cast("string"), F.lit('", "call_stage": "x{y", "more": {"a": [1,]},}\n```')))
+        .when(which == 1, F.concat(F.lit("speaker_role = 'agent', Speaker_Role_Confidence: HIGH; "), "text"))
+        .when(which == 2, F.concat(F.lit("{broken} the customer left a "), F.when(F.col("channel") == 0, "voicemail ").otherwise(""), "text"))
+        .when(which == 3, F.concat(F.lit("call_stage: follow_up "), "text"))
+        .otherwise(F.col("text"))
+    )
+    return segments(spark, d).select("segment_id", FT.label_of(said).alias("l")).select("segment_id", "l.*")
 
 
 @query("TXT-JSONTOL")
