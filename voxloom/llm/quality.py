@@ -4,7 +4,8 @@ Features are indicators (present or not) of words and of n-grams of word shapes
 closing punctuation, digits, equal to the words before), hashed into 2**BITS places.
 Each is scaled by its log-count ratio between the classes; a linear model with hinge loss is
 fitted on the scaled indicators by dual coordinate descent, its weights are
-drawn towards their mean magnitude, and a logistic curve on rows kept back turns margins
+drawn towards their mean magnitude (those beyond it; smaller ones keep theirs and all keep their sign, where the published
+form blends every weight with the mean), and a logistic curve on rows kept back turns margins
 into scores. The fit takes a bounded sample of labelled rows (``SAMPLE``, by hash of the id);
 scoring reads every text whole, in batches, with the model as one array of 2**BITS numbers.
 
