@@ -211,6 +211,7 @@ def _matches(kind: str, pattern: re.Pattern, text: str) -> Iterator[re.Match]:
 
 
 _RUN = re.compile("D(?:[DX]|B(?=[DX]))*")
+_DIGIT_WORD = re.compile(rf"\d+|(?<![A-Za-z])(?i:{'|'.join(K.SPOKEN_DIGITS)})(?![A-Za-z])")
 
 
 def _spoken_class(word: str) -> str:
@@ -228,6 +229,9 @@ def spoken_numbers(text: str | None) -> list[dict]:
     Words are classed, and numbers are the matches of a pattern over the classes.
     """
     text = text or ""
+    # Most texts have too few digits for any number.
+    if len(_DIGIT_WORD.findall(text)) < min(K.TRUE_DIGITS, K.CUED_DIGITS):
+        return []
     words = list(_TOKEN.finditer(text))
     cues, out = [m.end() for m in _CUE.finditer(text)], []
     for run in _RUN.finditer("".join(_spoken_class(m[0].lower()) for m in words)):
@@ -244,11 +248,28 @@ def spoken_numbers(text: str | None) -> list[dict]:
     return out
 
 
+#: What a text without must lack matches of a kind: digits, or one of the words of its pattern.
+_DIGIT = re.compile(r"\d")
+_WORDS_OF = {
+    "ID": ("member", "account", "policy", "reference", "case", "claim", "subscriber", "insurance"),
+    "PERSON_NAME": ("my name is", "this is", "this message is for"),
+}
+
+
+def _may_match(text: str) -> set[str]:
+    """Kinds of which a text may have matches; white space within phrases is a plain space, as in the patterns."""
+    fold = text.casefold()
+    out = {kind for kind, words in _WORDS_OF.items() if any(w in fold for w in words)}
+    return out | {"EMAIL"} | ({"PHONE", "SSN", "DOB", "ZIP"} if _DIGIT.search(text) else set())
+
+
 def detect(text: str | None) -> list[dict]:
     """Spans of personal data that patterns, name phrases and spoken numbers find, without overlaps."""
     text = text or ""
-    out = []
+    out, kinds = [], _may_match(text)
     for kind, pattern, group, conf, source in _PATTERNS:
+        if kind not in kinds:
+            continue
         for m in _matches(kind, pattern, text):
             names = m[group].lower().split()
             if kind == "PERSON_NAME" and any(len(n) < 2 or n in K.NOT_NAMES for n in names):
