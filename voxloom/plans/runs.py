@@ -98,7 +98,13 @@ def msk_fade(spark, d):
     return BL.heard(BL.fade(heads, blocks, _cut(heads, 10, 50).drop("channel"), ms=0.5, frames=_BLOCK), heads).select("file_id", "channel", "loud", "energy")
 
 
-@query("VAL-PAIR")
+@query(
+    "VAL-PAIR",
+    f"""WITH {SIDES}, h AS (SELECT call_id AS file_id, count(*) AS channels, max(len(v)) AS frames, 16000 AS rate FROM sides GROUP BY call_id),
+    o AS (SELECT file_id, CASE WHEN file_id % 5 = 1 THEN frames * 8 ELSE frames END AS frames, CASE WHEN file_id % 5 = 2 THEN 1 ELSE channels END AS channels, CASE WHEN file_id % 5 = 3 THEN 8000 ELSE rate END AS rate FROM h WHERE file_id % 11 <> 10),
+    c AS (SELECT h.file_id, coalesce(abs(h.frames / CAST(h.rate AS DOUBLE) - o.frames / CAST(o.rate AS DOUBLE)) <= 0.010000000001, false) AS duration_ok, coalesce(h.channels = o.channels, false) AS channels_ok, coalesce(h.rate = o.rate, false) AS rate_ok FROM h LEFT JOIN o USING (file_id))
+    SELECT *, duration_ok AND channels_ok AND rate_ok AS ok FROM c""",
+)
 def val_pair(spark, d):
     """Files held against their outputs, of which some are cut short, have lost a channel, or have another rate; one in eleven is missing."""
     heads, _ = _blocks(spark, d)
@@ -106,7 +112,14 @@ def val_pair(spark, d):
     return BL.pairs(heads, out)
 
 
-@query("VAL-RECON")
+@query(
+    "VAL-RECON",
+    f"""WITH {SIDES}, {_PCM}, s AS (SELECT file_id, channel, unnest(range(0, len(q))) AS place, unnest(q) AS x FROM wav),
+    c AS (SELECT file_id, channel, place - CASE WHEN place // 13 = 3 AND file_id % 9 = 2 THEN 5 ELSE 0 END AS place, x FROM s WHERE NOT (place // 13 = 3 AND file_id % 9 = 4)),
+    b AS (SELECT file_id, channel, place, sum(x) AS x, count(*) AS n FROM c GROUP BY ALL),
+    d AS (SELECT s.file_id, abs(greatest(-32768, least(32767, coalesce(b.x, 0))) - s.x) / CAST(32768 AS DOUBLE) AS e, n FROM s LEFT JOIN b USING (file_id, channel, place))
+    SELECT file_id, round(max(e), 6) AS max_error, count(*) FILTER (WHERE e > 5e-4) AS bad, count(*) FILTER (WHERE n > 1) AS doubled, count(*) FILTER (WHERE n IS NULL) AS holes, true AS duration_ok, count(*) FILTER (WHERE e > 5e-4) = 0 AS ok FROM d GROUP BY file_id""",
+)
 def val_recon(spark, d):
     """Calls put together from clips of 13 frames, of which the fourth of some calls is moved or missing, and held against their files."""
     heads, blocks = _blocks(spark, d)

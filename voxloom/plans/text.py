@@ -139,7 +139,20 @@ def txt_bucket(spark, d):
     return pairs.groupBy(name.alias("bucket")).agg(F.count("*").alias("n"))
 
 
-@query("TXT-JSONX")
+_ROLE = " ".join(f"WHEN {' OR '.join(f'contains(t, {chr(39)}{w}{chr(39)})' for w in words)} THEN '{r}'" for r, words in FT.ROLE_WORDS)
+_STAGE = " ".join(f"WHEN contains(t, '{x}') THEN '{x}'" for x in FT.STAGES)
+
+
+@query(
+    "TXT-JSONX",
+    f"""WITH {SEG}, x AS (SELECT *, turn % 5 AS which, upper(CASE WHEN turn % 5 = 2 THEN '{{broken}} the customer left a ' || CASE WHEN channel = 0 THEN 'voicemail ' ELSE '' END || text ELSE text END) AS t FROM seg),
+    y AS (SELECT *, CASE {_ROLE} ELSE 'UNKNOWN' END AS r, CASE {_STAGE} ELSE 'UNKNOWN' END AS g FROM x),
+    z AS (SELECT *, CASE WHEN which = 0 THEN 'json' WHEN which IN (1, 3) THEN 'keys' WHEN r <> 'UNKNOWN' OR g <> 'UNKNOWN' THEN 'keywords' END AS way FROM y)
+    SELECT segment_id, way, CASE which WHEN 0 THEN CAST(channel AS VARCHAR) WHEN 1 THEN 'AGENT' WHEN 3 THEN 'UNKNOWN' ELSE CASE WHEN way IS NOT NULL THEN r END END AS speaker_role,
+           CASE WHEN which = 1 THEN 'high' WHEN which <> 0 AND way IS NOT NULL THEN 'medium' END AS speaker_role_confidence,
+           CASE which WHEN 0 THEN 'x{{y' WHEN 1 THEN 'UNKNOWN' WHEN 3 THEN 'FOLLOW_UP' ELSE CASE WHEN way IS NOT NULL THEN g END END AS call_stage,
+           CASE WHEN which <> 0 AND way IS NOT NULL THEN 'medium' END AS call_stage_confidence FROM z""",
+)
 def txt_jsonx(spark, d):
     """Labels read from what a model may write of a turn: an object in a fence with a trailing comma, fields in words, a sentence, or nothing of use."""
     which = F.col("turn") % 5
