@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,12 +69,31 @@ def resolve_spans(spans: DataFrame, keys: list[str], start: str = "start", end:
     found = islands(spans.select(*keys, start, end, confidence), keys, -1e-9 if kinds[start] in ("double", "float") else -1, start, end)
 
     def chosen(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept = resolve([{"start": s, "end": e, "confidence": c} for s, e, c in zip(pdf[start], pdf[end], pdf[confidence], strict=True)])
-        own = pdf[keys].iloc[:1].loc[lambda x: x.index.repeat(len(kept))].reset_index(drop=True)
-        return own.assign(**{start: [k["start"] for k in kept], end: [k["end"] for k in kept], confidence: [k["confidence"] for k in kept]})
+        kept: list[int] = []
+        for _, at in _islands_of(pdf, keys, "island"):
+            own = zip(at, pdf[start].iloc[at], pdf[end].iloc[at], pdf[confidence].iloc[at], strict=True)
+            kept += [k["row"] for k in resolve([{"row": i, "start": s, "end": e, "confidence": c} for i, s, e, c in own])]
+        return pdf.iloc[kept][[*keys, start, end, confidence]]
 
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*keys, start, end, confidence])
-    return found.groupBy(*keys, "island").applyInPandas(chosen, schema)
+    return _dealt(found, keys, "island", spans.count()).applyInPandas(chosen, schema)
+
+
+#: Rows that a task has at a time, of as many islands as these are.
+ISLAND_ROWS = 20_000
+
+
+def _dealt(found: DataFrame, keys: list[str], island: str, rows: int):
+    """Rows grouped so that an island stays together and many small ones share a task."""
+    return found.groupBy(F.pmod(F.xxhash64(*keys, island), F.lit(max(1, rows // ISLAND_ROWS))))
+
+
+def _islands_of(pdf: pd.DataFrame, keys: list[str], island: str):
+    """(first row, rows) of each island, by place in the frame."""
+    number = pdf.groupby([*keys, island], dropna=False, sort=False).ngroup().to_numpy()
+    order = np.argsort(number, kind="stable")
+    for at in np.split(order, np.flatnonzero(np.diff(number[order])) + 1) if len(order) else []:
+        yield at[0], at.tolist()
 
 
 def chunks(rows: DataFrame, keys: list[str], limit: Column | None = None, gap: float = 0.8, target: float = 12.0, most: float = 30.0, least: float = 0.25, pause: float = 0.35, depth: int = 10) -> DataFrame:
@@ -89,16 +109,20 @@ def chunks(rows: DataFrame, keys: list[str], limit: Column | None = None, gap: f
 
     def cut(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["start_sec", "end_sec"])
-        got = chunk(list(zip(pdf["start_sec"], pdf["end_sec"], strict=True)), target, most, least, pause, depth)
-        top = pdf["_limit"].iloc[0]
-        if not pd.isna(top):
-            got = [(max(0.0, min(a, top)), max(0.0, min(b, top))) for a, b in got]
-        got = [(a, b) for a, b in got if b - a >= least]
-        own = pdf[keys].iloc[:1].loc[lambda x: x.index.repeat(len(got))].reset_index(drop=True)
-        return own.assign(start_sec=[a for a, _ in got], end_sec=[b for _, b in got])
+        place, starts, ends = [], [], []
+        for first, at in _islands_of(pdf, keys, "_block"):
+            got = chunk(list(zip(pdf["start_sec"].iloc[at], pdf["end_sec"].iloc[at], strict=True)), target, most, least, pause, depth)
+            top = pdf["_limit"].iloc[first]
+            if not pd.isna(top):
+                got = [(max(0.0, min(a, top)), max(0.0, min(b, top))) for a, b in got]
+            got = [(a, b) for a, b in got if b - a >= least]
+            place += [first] * len(got)
+            starts += [a for a, _ in got]
+            ends += [b for _, b in got]
+        return pdf.iloc[place][keys].assign(start_sec=starts, end_sec=ends)
 
     schema = ", ".join([*[f"`{k}` {kinds[k]}" for k in keys], "start_sec double", "end_sec double"])
-    return found.groupBy(*keys, "_block").applyInPandas(cut, schema)
+    return _dealt(found, keys, "_block", rows.count()).applyInPandas(cut, schema)
 
 
 def clip(rows: DataFrame, limit: Column, start: str = "start_sec", end: str = "end_sec") -> DataFrame:
