@@ -142,3 +142,12 @@ def test_hot_key_of_spans(spark, ranges):
     for k, s, e, c in spans:
         by.setdefault(k or "", []).append({"start": s, "end": e, "confidence": c})
     assert got == sorted((k, s["start"], s["end"], s["confidence"]) for k, own in by.items() for s in K.resolve(own))
+
+
+def test_large_keys_beside_null_ones(spark):
+    big = 9007199254740993
+    spans = spark.createDataFrame([(None, 1, 5, 0.5), (None, 4, 6, 0.9), (big, 1, 2, 0.3), (3, 1, 2, 0.3)], "key long, start int, end int, confidence double")
+    assert {tuple(r)[:3] for r in IV.resolve_spans(spans, ["key"]).collect()} == {(None, 4, 6), (big, 1, 2), (3, 1, 2)}
+    active = spark.createDataFrame([(None, 0.0, 5.0), (big, 1.0, 4.0)], "key long, start_sec double, end_sec double")
+    assert {tuple(r) for r in IV.chunks(active, ["key"]).collect()} == {(None, 0.0, 5.0), (big, 1.0, 4.0)}
+    assert IV.chunks(active.limit(0), ["key"]).count() == 0

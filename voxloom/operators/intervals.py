@@ -84,8 +84,8 @@ ISLAND_ROWS = 20_000
 
 
 def _dealt(found: DataFrame, keys: list[str], island: str, rows: int):
-    """Rows grouped so that an island stays together and many small ones share a task."""
-    return found.groupBy(F.pmod(F.xxhash64(*keys, island), F.lit(max(1, rows // ISLAND_ROWS))))
+    """Rows grouped so that an island stays together and many small ones share a task; null keys are apart, so that pandas keeps whole numbers beside them."""
+    return found.groupBy(F.pmod(F.xxhash64(*keys, island), F.lit(max(1, rows // ISLAND_ROWS))), *[F.col(f"`{k}`").isNull() for k in keys])
 
 
 def _islands_of(pdf: pd.DataFrame, keys: list[str], island: str):
