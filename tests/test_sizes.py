@@ -1,6 +1,7 @@
 """What tasks hold and do grows with a part or a difference, not with a batch, a call or the square of a text."""
 
 import random
+import time
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -35,3 +36,22 @@ def test_lifted_functions_over_many_rows(spark):
     df = spark.createDataFrame(rows, "id int, text string").coalesce(1)
     got = {r["id"]: [x.asDict() for x in r["w"]] for r in df.select("id", C.word_places("text").alias("w")).collect()}
     assert got == {i: kernels.word_places(t) for i, t in rows}
+
+
+def test_distance_is_levenshteins(spark):
+    r = random.Random(1)
+    said = lambda n, of="abé 𝄞": "".join(r.choice(of) for _ in range(n))
+    long = said(400, "ab cdef")
+    rows = [(said(r.randint(0, 40)), said(r.randint(0, 40))) for _ in range(100)] + [(said(1500), said(1300)), ("", ""), ("", "a"), ("ab", "ab ab"), ("aaaa", "aa"), (None, "a"), ("a", None)]
+    rows += [(long, long[:i] + said(j) + long[i + k :]) for i in (0, 7, 399, 400) for j in (0, 30) for k in (0, 1, 40)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    assert df.where(~C.distance(F.col("a"), F.col("b")).eqNullSafe(F.levenshtein("a", "b"))).count() == 0
+
+
+def test_distance_of_long_texts_takes_no_whole_table(spark):
+    """Four pairs of 100,000 characters: whole tables have 5e10 cells."""
+    text = " ".join(str(i * i) for i in range(15_000))[:100_000]
+    df = spark.createDataFrame([(text, text + " " + text), (text, "x" + text), (text[5:], text), (text, text[:50_000] + "!?" + text[50_003:-1])], "a string, b string")
+    began = time.time()
+    assert sorted(x for x, in df.select(C.distance(F.col("a"), F.col("b"))).collect()) == [1, 4, 5, 100_001]
+    assert time.time() - began < 60

@@ -72,14 +72,14 @@ def txt_lev(spark, d):
     r = results_ok(spark, d)
     a = r.where("rank = 0").select("segment_id", F.col("norm").alias("a"))
     pairs = r.where("rank > 0").join(a, "segment_id")
-    return pairs.select("segment_id", "model_name", F.levenshtein("a", "norm").cast("long").alias("dist"))
+    return pairs.select("segment_id", "model_name", C.distance(F.col("a"), F.col("norm")).cast("long").alias("dist"))
 
 
 @query("TXT-CER", f"WITH {RES} SELECT a.segment_id, b.model_name, round(CASE WHEN length(a.norm) = 0 AND length(b.norm) = 0 THEN 0 WHEN length(a.norm) = 0 THEN 1 ELSE CAST(levenshtein(a.norm, b.norm) AS DOUBLE) / length(a.norm) END, 6) AS cer FROM ok a JOIN ok b ON a.segment_id = b.segment_id WHERE a.rank = 0 AND b.rank > 0")
 def txt_cer(spark, d):
     r = results_ok(spark, d)
     pairs = r.where("rank > 0").join(r.where("rank = 0").select("segment_id", F.col("norm").alias("a")), "segment_id")
-    return pairs.select("segment_id", "model_name", R(C.error_rate(F.levenshtein("a", "norm"), F.char_length("a"), F.char_length("norm")), 6).alias("cer"))
+    return pairs.select("segment_id", "model_name", R(C.error_rate(C.distance(F.col("a"), F.col("norm")), F.char_length("a"), F.char_length("norm")), 6).alias("cer"))
 
 
 @query("TXT-WER")
