@@ -88,3 +88,19 @@ def test_times_of_entities(spark):
                     want.append((d.doc_id, kind, text, half_up(s), half_up(e), "searched"))
     assert sum(w[-1] == "mapped" for w in want) > 50 and sum(w[-1] == "searched" for w in want) > 50
     check(spark, "ALN-TOKENMAP", ["segment_id", "type", "text", "start_sec", "end_sec", "way"], want)
+
+
+def test_spans_and_runs_of_a_long_text_are_found_together():
+    """4,000 spans among 40,000 words: all of them against all words would be 1.6e8 steps in each of three passes."""
+    import time
+
+    n = 40_000
+    words = [f"w{i % 9973}" for i in range(n)]
+    begins = [i * 7 for i in range(n)]
+    ends = [b + 5 for b in begins]
+    starts = [i * 70 + 3 for i in range(4000)]
+    began = time.time()
+    got = TM.span_words(words, begins, ends, words, starts, [s + 12 for s in starts])
+    assert got == [[i * 10, i * 10 + 1, *([i * 10 + 2] if 70 * i + 14 < s + 12 else [])] for i, s in enumerate(starts)]
+    assert TM.run_places(words, [words[i : i + 3] for i in range(0, 4000)]) == [list(range(i, n - 2, 9973)) for i in range(0, 4000)]
+    assert time.time() - began < 5

@@ -7,13 +7,16 @@ as a run of words, wherever they are said. Segments bound the arrays that both w
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.functions import columns as C
+
 #: Padding and least duration of the two ways, and the words of digits.
 MAP_PAD, SEARCH_PAD, LEAST = 0.06, 0.08, 0.25
 DIGITS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")
@@ -77,12 +80,40 @@ def token_map(a: list[str], b: list[str]) -> list[int | None]:
     return out
 
 
-def _token_map(a: Column, b: Column) -> Column:
-    @F.pandas_udf("array<int>")
-    def mapped(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([token_map(list(x), list(y)) for x, y in zip(a, b, strict=True)], dtype=object)
+def _by_segment(kernel, kind: str, *cols: Column) -> Column:
+    """A kernel over arrays of a segment, part by part of a batch."""
+
+    @F.pandas_udf(kind)
+    def each(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for series in batches:
+            for part in C.parts(list(zip(*series, strict=True))):
+                yield pd.Series([kernel(*(x.tolist() for x in row)) for row in part], dtype=object)
+
+    return each(*cols)
+
+
+def span_words(tokens: list[str], begins: list[int], ends: list[int], words: list[str], starts: list[int], stops: list[int]) -> list[list[int] | None]:
+    """Of each span [start, stop) the places of the words that its tokens, which are in order, stand for: None for none."""
+    held = [(i, j) for i, j in enumerate(token_map(tokens, words)) if j is not None]
+    first, last = [begins[i] for i, _ in held], [ends[i] for i, _ in held]
+    out: list[list[int] | None] = []
+    for a, b in zip(starts, stops, strict=True):
+        # An empty span within a token meets it, as in the comparison of their ends.
+        got = [j for _, j in held[bisect_right(last, a) : bisect_left(first, b)]]
+        out.append(got or None)
+    return out
+
+
+def run_places(words: list[str], said: list[list[str]]) -> list[list[int]]:
+    """Of each list of tokens the places of the words where a run says them."""
+    at: dict[str, list[int]] = {}
+    for i, w in enumerate(words):
+        at.setdefault(w, []).append(i)
+    return [[i for i in at.get(t[0], ()) if words[i : i + len(t)] == t] for t in said]
+
 
-    return mapped(a, b)
+def _runs(words: list[str], said: list[str]) -> list[list[int]]:
+    return run_places(words, [t.split(" ") for t in said])
 
 
 def _line(words: DataFrame, key: str) -> DataFrame:
@@ -93,17 +124,18 @@ def _line(words: DataFrame, key: str) -> DataFrame:
 
 def mapped_times(spans: DataFrame, texts: DataFrame, words: DataFrame, key: str = "segment_id", pad: float = MAP_PAD) -> DataFrame:
     """Spans (key, type, text, start, end) with start_sec and end_sec by the words (key, word_index, word, word_start, word_end) that their tokens of ``texts`` (key, text) map onto; others go."""
-    said = F.transform(F.split(F.coalesce("text", F.lit("")), " "), lambda w: F.struct(F.char_length(w).alias("n"), norm(w).alias("norm")))
-    # Tokens with the place of their first character.
-    placed = F.aggregate(said, F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<from:int,to:int,norm:string>>").alias("out")), lambda s, x: F.struct((s["at"] + x["n"] + 1).alias("at"), F.concat(s["out"], F.array(F.struct(s["at"].alias("from"), (s["at"] + x["n"]).alias("to"), x["norm"].alias("norm")))).alias("out")))
-    tokens = texts.select(key, F.filter(placed["out"], lambda t: t["norm"] != "").alias("_tokens"))
+    # Tokens with the place of their first character, in one pass over the text.
+    said = F.transform(C.word_places(F.col("text")), lambda w: F.struct(w["start_char"].alias("from"), (w["start_char"] + F.char_length(w["word"])).alias("to"), norm(w["word"]).alias("norm")))
+    tokens = texts.select(key, F.filter(said, lambda t: t["norm"] != "").alias("_tokens"))
     both = tokens.join(_line(words, key), key)
-    both = both.withColumn("_map", _token_map(F.transform("_tokens", lambda t: t["norm"]), F.transform("_words", lambda w: w["norm"])))
-    timed = F.zip_with("_tokens", "_map", lambda t, m: F.struct(t["from"].alias("from"), t["to"].alias("to"), F.get("_words", m).alias("w")))
-    rows = spans.join(both.select(key, F.filter(timed, lambda x: x["w"].isNotNull()).alias("_timed")), key)
-    hit = F.filter("_timed", lambda x: (x["to"] > F.col("start")) & (x["from"] < F.col("end")))
-    rows = rows.withColumn("_hit", hit).where(F.size("_hit") > 0)
-    first, last = F.array_min(F.transform("_hit", lambda x: x["w"]["word_start"])), F.array_max(F.transform("_hit", lambda x: x["w"]["word_end"]))
+    # Spans of a segment meet its words once, all together: nothing is repeated or gone through for each span.
+    mine = spans.groupBy(key).agg(F.collect_list(F.struct(*spans.columns)).alias("_spans"))
+    column = lambda of, name: F.transform(of, lambda x: x[name])
+    words_of = _by_segment(span_words, "array<array<int>>", column("_tokens", "norm"), column("_tokens", "from"), column("_tokens", "to"), column("_words", "norm"), column("_spans", "start"), column("_spans", "end"))
+    both = both.join(mine, key).withColumn("_at", words_of)
+    timed = F.zip_with("_spans", "_at", lambda x, at: F.struct(x.alias("s"), F.array_min(F.transform(at, lambda i: F.get("_words", i)["word_start"])).alias("first"), F.array_max(F.transform(at, lambda i: F.get("_words", i)["word_end"])).alias("last")))
+    rows = both.select(F.explode(F.filter(timed, lambda x: x["first"].isNotNull())).alias("_x")).select("_x.s.*", "_x.first", "_x.last")
+    first, last = F.col("first"), F.col("last")
     return rows.select(*spans.columns, F.round(F.greatest(F.lit(0.0), first - pad), 6).alias("start_sec"), F.round(last + pad, 6).alias("end_sec"))
 
 
@@ -116,12 +148,12 @@ def search_tokens(text: Column) -> Column:
 
 def searched_times(spans: DataFrame, words: DataFrame, key: str = "segment_id", pad: float = SEARCH_PAD, least: float = LEAST) -> DataFrame:
     """Spans (key, type, text) with start_sec and end_sec of each run of words that says their tokens, at least ``least`` long; those that none says go."""
-    rows = spans.withColumn("_toks", search_tokens(F.col("text"))).where(F.size("_toks") > 0).join(_line(words, key), key)
-    n = F.size("_toks")
-    starts = F.filter(F.sequence(F.lit(0), F.size("_words") - n), lambda i: F.get("_words", i)["norm"] == F.col("_toks")[0])
-    same = F.filter(starts, lambda i: F.transform(F.slice("_words", i + 1, n), lambda w: w["norm"]) == F.col("_toks"))
-    rows = rows.where(F.size("_words") >= n).withColumn("_at", F.explode(same))
-    s, e = F.greatest(F.lit(0.0), F.get("_words", F.col("_at"))["word_start"] - pad), F.get("_words", F.col("_at") + n - 1)["word_end"] + pad
+    asked = spans.withColumn("_toks", search_tokens(F.col("text"))).where(F.size("_toks") > 0)
+    mine = asked.groupBy(key).agg(F.collect_list(F.struct(*asked.columns)).alias("_spans"))
+    both = mine.join(_line(words, key), key).withColumn("_at", _by_segment(_runs, "array<array<int>>", F.transform("_words", lambda w: w["norm"]), F.transform("_spans", lambda x: F.array_join(x["_toks"], " "))))
+    each = F.zip_with("_spans", "_at", lambda x, at: F.transform(at, lambda i: F.struct(x.alias("s"), F.get("_words", i)["word_start"].alias("first"), F.get("_words", i + F.size(x["_toks"]) - 1)["word_end"].alias("last"))))
+    rows = both.select(F.explode(F.flatten(each)).alias("_x")).select("_x.s.*", "_x.first", "_x.last")
+    s, e = F.greatest(F.lit(0.0), F.col("first") - pad), F.col("last") + pad
     rows = rows.withColumns({"_s": s, "_e": e}).withColumn("_mid", (F.col("_s") + F.col("_e")) / 2)
     short = F.col("_e") - F.col("_s") < least
     start = F.when(short, F.greatest(F.lit(0.0), F.col("_mid") - least / 2)).otherwise(F.col("_s"))
