@@ -1,5 +1,6 @@
 """What tasks hold and do grows with a part or a difference, not with a batch, a call or the square of a text."""
 
+import hashlib
 import random
 import time
 
@@ -55,3 +56,22 @@ def test_distance_of_long_texts_takes_no_whole_table(spark):
     began = time.time()
     assert sorted(x for x, in df.select(C.distance(F.col("a"), F.col("b"))).collect()) == [1, 4, 5, 100_001]
     assert time.time() - began < 60
+
+
+def test_signature_is_the_digest_of_all_lines(spark):
+    from voxloom.operators import state
+
+    files = [(f"p{(i * 7919) % 25_000:05d}", i % 97) for i in range(25_000)] + [("p00000", 5), ("p00000", 5), (None, 3)]
+    df = spark.createDataFrame(files, "p string, n int").repartition(5)
+    lines = [f"{p}:{n}" for p, n in sorted(f for f in files if f[0] is not None)]
+    want = hashlib.sha256("\n".join(lines).encode()).hexdigest()[:24]
+    assert [tuple(r) for r in state.digest_of_lines(df, "p", "n").collect()] == [(want, len(files))]
+    assert [tuple(r) for r in state.digest_of_lines(df.where("false"), "p", "n").collect()] == [(None, 0)]
+
+
+def test_entities_leave_a_batch_in_slices():
+    from voxloom.operators import adapters
+
+    pdf = pd.DataFrame({"segment_id": range(1000), "t": ["Word " * 200 if i % 9 else None for i in range(1000)]})
+    got = list(adapters._slices(iter([pdf]), "t"))
+    assert pd.concat(got).equals(pdf) and max(x["t"].fillna("").str.len().sum() for x in got) <= C.PART_CHARS

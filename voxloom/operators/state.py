@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +50,28 @@ def signature(rows: DataFrame, path: str, size: str, fan: int = FAN) -> DataFram
         level, left, order = placed.groupBy("g").agg(digest.alias("l")), -(-left // fan), [F.col("g")]
 
 
+def digest_of_lines(rows: DataFrame, path: str, size: str, fan: int = 100) -> DataFrame:
+    """One row: the start of the SHA-256 of all ``path:size`` lines in order, joined by line feeds (null without lines), and the number of rows.
+
+    Lines are sorted and joined in ranges of ``fan``, in all tasks. SHA-256 goes through its input in order, so one task is fed them one after another; it holds an Arrow batch of them at a time.
+    """
+    lines = rows.select(F.col(path).cast("string").alias("p"), F.col(size).cast("long").alias("n"))
+    # A line without path or size is null: it counts as a row and isn't signed.
+    signed = running(lines.where("p is not null and n is not null").withColumn("l", F.concat_ws(":", "p", F.col("n").cast("string"))), [F.col("p"), F.col("n")])
+    ranges = signed.groupBy(F.floor(F.col("before") / fan).alias("g")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("before", "l"))), lambda x: x["l"]), "\n").alias("l"))
+
+    def fed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        whole, first = hashlib.sha256(), True
+        for pdf in batches:
+            for text in pdf["l"]:
+                whole.update((text if first else "\n" + text).encode())
+                first = False
+        yield pd.DataFrame({"signature": [None if first else whole.hexdigest()[:24]]})
+
+    signature = ranges.repartition(1).sortWithinPartitions("g").select("l").mapInPandas(fed, "signature string")
+    return lines.agg(F.count("*").alias("files")).join(signature, F.lit(True), "left").select("signature", "files")
+
+
 def chunks(rows: DataFrame, call: str, target: int, order: list[str]) -> DataFrame:
     """(call, chunk): whole calls in the order in which their first rows are seen; a chunk closes once it has ``target`` rows. A larger call closes its chunk."""
     sizes = rows.groupBy(call).agg(F.count("*").alias("n"), F.min(F.struct(*order)).alias("seen"))
