@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.functions.columns import parts as parts_of
+
 
 class Recogniser(Protocol):
     """Loaded once a worker; transcribes rows of (segment_id, payload) in batches."""
@@ -80,6 +82,15 @@ def text_windows(text: str, size: int = 1200, back: int = 150) -> list[tuple[int
     return out
 
 
+def _slices(batches: Iterator[pd.DataFrame], text: str) -> Iterator[pd.DataFrame]:
+    """Batches cut into rows of bounded text in all (``columns.parts``), so that what is found in them leaves a worker as it goes."""
+    for pdf in batches:
+        at = 0
+        for part in parts_of([(x or "",) for x in pdf[text]]):
+            yield pdf.iloc[at : at + len(part)]
+            at += len(part)
+
+
 def find_entities(rows: DataFrame, make: Callable[[], Detector], threshold: float, text: str = "text", size: int = 1200, back: int = 150, batch: int = 128) -> DataFrame:
     """(segment_id, type, start, end, confidence, error): whole texts in windows, entities at least so sure, of overlapping finds of a type the surest.
 
@@ -88,7 +99,7 @@ def find_entities(rows: DataFrame, make: Callable[[], Detector], threshold: floa
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = make()
-        for pdf in batches:
+        for pdf in _slices(batches, "t"):
             parts = [(i, a, t[a:b]) for i, t in enumerate(pdf["t"]) for a, b in text_windows(t or "", size, back)]
             found: list[list[tuple[str, int, int, float]]] = [[] for _ in range(len(pdf))]
             wrong: dict[int, str] = {}
