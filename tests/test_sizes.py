@@ -75,3 +75,12 @@ def test_entities_leave_a_batch_in_slices():
     pdf = pd.DataFrame({"segment_id": range(1000), "t": ["Word " * 200 if i % 9 else None for i in range(1000)]})
     got = list(adapters._slices(iter([pdf]), "t"))
     assert pd.concat(got).equals(pdf) and max(x["t"].fillna("").str.len().sum() for x in got) <= C.PART_CHARS
+
+
+def test_merged_spans_leave_a_batch_in_parts():
+    """PII-MERGE takes its spans from one lifted kernel: no list of spans comes back to Python."""
+    import inspect
+
+    from voxloom.plans import more
+
+    assert "pandas_udf" not in inspect.getsource(more.pii_merge) and "C.sure_spans(" in inspect.getsource(more.pii_merge)
