@@ -163,3 +163,20 @@ def test_times_by_hand(spark):
 def test_vague(spark, text):
     got = spark.createDataFrame([("DATE", text), ("NUMBER", text), ("ID", text)], "k string, t string").select(C.vague(F.col("k"), F.col("t"))).collect()
     assert [r[0] for r in got] == [K.vague_time(k, text) for k in ("DATE", "NUMBER", "ID")] == [plain_vague(k, text) for k in ("DATE", "NUMBER", "ID")]
+
+
+def test_chunks_and_choices_work_out_their_input_once(spark):
+    """Ranges are sampled, sorted and counted; what the rows are derived by runs for one of these alone."""
+    from voxloom.operators import intervals
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def derived(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    rows = spark.createDataFrame([(k, 2.0 * i, 2.0 * i + 1.5, 0.5) for k in range(3) for i in range(20)], "k long, start_sec double, end_sec double, confidence double").coalesce(1)
+    rows = rows.mapInPandas(derived, rows.schema)
+    assert len(intervals.chunks(rows, ["k"]).collect()) > 0 and seen.value == 60
+    assert len(intervals.resolve_spans(rows, ["k"], "start_sec", "end_sec").collect()) == 60 and seen.value == 120
