@@ -144,3 +144,12 @@ def test_checks_of_the_tables(spark, sound):
         want.append((k, float(e.max()), bad, int((held > 1).sum()), int((held == 0).sum()), True, bad == 0))
     check(spark, "VAL-RECON", ["file_id", "max_error", "bad", "doubled", "holes", "duration_ok", "ok"], want)
     assert {w[-1] for w in want} == {True, False}
+
+
+def test_small_blocks_share_a_frame(monkeypatch):
+    rows = [(i, 0, bytes(4)) for i in range(1000)]
+    frames = list(BL._together(iter(rows), ["file_id", "block", "samples"], "samples"))
+    assert len(frames) == 1 and [tuple(r) for r in frames[0].itertuples(index=False)] == rows
+    monkeypatch.setattr(BL, "PART_BYTES", 40)
+    assert [len(f) for f in BL._together(iter(rows), ["file_id", "block", "samples"], "samples")] == [10] * 100
+    assert list(BL._together(iter([]), ["file_id", "block", "samples"], "samples")) == []

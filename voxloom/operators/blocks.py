@@ -17,14 +17,27 @@ from pyspark.sql import functions as F
 
 from voxloom.operators.audio import GAIN, NOISE_SEED, STRATEGIES, TONE_HZ, open_wav, to_int16
 
-#: Frames of a block.
-FRAMES = 1 << 18
+#: Frames of a block; bytes of samples, and rows, that leave a worker at a time.
+FRAMES, PART_BYTES, PART_ROWS = 1 << 18, 1 << 24, 10_000
 #: Fixed values of the faded tone: gain of the file's peak, ramp in milliseconds.
 FADE_GAIN, FADE_MS = 0.25, 8
 #: Fixed values of the checks: seconds between lengths of a masked file and of a rebuilt call, difference of a sample.
 PAIR_SEC, CALL_SEC, SAMPLE = 0.010, 0.05, 5e-4
 
 
+def _together(rows: Iterator[tuple], columns: list[str], binary: str) -> Iterator[pd.DataFrame]:
+    """Rows in frames that hold a bounded number of bytes, or one row: small blocks share a frame."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[columns.index(binary)])
+        if size >= PART_BYTES or len(held) >= PART_ROWS:
+            yield pd.DataFrame(held, columns=columns)
+            held, size = [], 0
+    if held:
+        yield pd.DataFrame(held, columns=columns)
+
+
 def from_files(files: DataFrame, frames: int = FRAMES) -> tuple[DataFrame, DataFrame]:
     """Headers and blocks of WAV files (file_id, content) of 16 bits."""
     kind = dict(files.dtypes)["file_id"]
@@ -37,12 +50,15 @@ def from_files(files: DataFrame, frames: int = FRAMES) -> tuple[DataFrame, DataF
                     rows.append((i, w.getframerate(), w.getnchannels(), w.getnframes()))
             yield pd.DataFrame(rows, columns=["file_id", "rate", "channels", "frames"])
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for pdf in batches:
             for i, c in zip(pdf["file_id"], pdf["content"], strict=True):
                 with open_wav(c) as w:
                     for b in range(-(-w.getnframes() // frames)):
-                        yield pd.DataFrame({"file_id": [i], "block": [b], "samples": [w.readframes(frames)]})
+                        yield i, b, w.readframes(frames)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _together(each(batches), ["file_id", "block", "samples"], "samples")
 
     rows = files.select("file_id", "content").where(F.col("content").isNotNull())
     return rows.mapInPandas(heads, f"file_id {kind}, rate int, channels int, frames long"), rows.mapInPandas(cut, f"file_id {kind}, block long, samples binary")
@@ -82,7 +98,7 @@ def _changed(blocks: DataFrame, heads: DataFrame, cuts: DataFrame, change, frame
     rows = blocks.join(heads.select("file_id", *facts), "file_id").join(cuts, ["file_id", "block"], "left")
     kind = dict(blocks.dtypes)["file_id"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for pdf in batches:
             for r in pdf.itertuples(index=False):
                 samples = r.samples
@@ -92,7 +108,10 @@ def _changed(blocks: DataFrame, heads: DataFrame, cuts: DataFrame, change, frame
                     samples = to_int16(x).tobytes()
                 elif r.redone:  # samples of a file that is masked pass through floats, as all of it do
                     samples = to_int16(np.clip(np.frombuffer(samples, "<i2") / 32768.0, -1.0, 1.0)).tobytes()
-                yield pd.DataFrame({"file_id": [r.file_id], "block": [r.block], "samples": [samples]})
+                yield r.file_id, r.block, samples
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _together(each(batches), ["file_id", "block", "samples"], "samples")
 
     masked = cuts.select("file_id").distinct().withColumn("redone", F.lit(True))
     rows = rows.join(masked, "file_id", "left").withColumn("redone", F.coalesce("redone", F.lit(False)))
@@ -151,9 +170,11 @@ def heard(blocks: DataFrame, heads: DataFrame, of: str = "channel") -> DataFrame
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            rows = []
             for i, s, n in zip(pdf["file_id"], pdf["samples"], pdf["channels"], strict=True):
                 x = np.frombuffer(s, "<i2").reshape(-1, n).astype(np.int64)
-                yield pd.DataFrame({"file_id": [i] * n, of: range(n), "loud": np.abs(x).sum(axis=0), "energy": (x * x).sum(axis=0)})
+                rows += zip([i] * n, range(n), np.abs(x).sum(axis=0).tolist(), (x * x).sum(axis=0).tolist(), strict=True)
+            yield pd.DataFrame(rows, columns=["file_id", of, "loud", "energy"])
 
     rows = blocks.join(heads.select("file_id", "channels"), "file_id").mapInPandas(sums, f"file_id {kind}, {of} int, loud long, energy long")
     return rows.groupBy("file_id", of).agg(F.sum("loud").alias("loud"), F.sum("energy").alias("energy"))
@@ -176,7 +197,7 @@ def rebuilt(clips: DataFrame, heads: DataFrame, frames: int = FRAMES) -> DataFra
     """
     kind = dict(heads.dtypes)["file_id"]
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for pdf in batches:
             for r in pdf.itertuples(index=False):
                 x = np.frombuffer(r.samples, "<i2")
@@ -184,15 +205,18 @@ def rebuilt(clips: DataFrame, heads: DataFrame, frames: int = FRAMES) -> DataFra
                 while lo < hi:
                     block, at = divmod(r.first + lo, frames)
                     n = min(hi - lo, frames - at)
-                    yield pd.DataFrame({"file_id": [r.file_id], "block": [block], "channel": [r.channel], "at": [at], "part": [x[lo : lo + n].tobytes()]})
+                    yield r.file_id, block, r.channel, at, x[lo : lo + n].tobytes()
                     lo += n
 
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _together(stretches(batches), ["file_id", "block", "channel", "at", "part"], "part")
+
     parts = clips.join(heads.select("file_id", "frames"), "file_id").mapInPandas(cut, f"file_id {kind}, block long, channel int, at long, part binary")
     every = heads.where("frames > 0").select("file_id", "channels", "frames", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("frames") - 1) / frames))).alias("block"))
     # A block's clips are as many as lie on it; blocks without any are holes.
     by = every.join(parts.groupBy("file_id", "block").agg(F.collect_list(F.struct("channel", "at", "part")).alias("parts")), ["file_id", "block"], "left")
 
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for pdf in batches:
             for r in pdf.itertuples(index=False):
                 n = min(frames, r.frames - r.block * frames)
@@ -202,7 +226,10 @@ def rebuilt(clips: DataFrame, heads: DataFrame, frames: int = FRAMES) -> DataFra
                     x[p["at"] : p["at"] + len(s), p["channel"]] += s
                     held[p["at"] : p["at"] + len(s), p["channel"]] += 1
                 q = np.clip(np.round(x * 32768.0), -32768, 32767).astype("<i2")
-                yield pd.DataFrame({"file_id": [r.file_id], "block": [r.block], "samples": [q.tobytes()], "doubled": [int((held > 1).sum())], "holes": [int((held == 0).sum())]})
+                yield r.file_id, r.block, q.tobytes(), int((held > 1).sum()), int((held == 0).sum())
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _together(whole(batches), ["file_id", "block", "samples", "doubled", "holes"], "samples")
 
     return by.mapInPandas(build, f"file_id {kind}, block long, samples binary, doubled long, holes long")
 
