@@ -84,3 +84,18 @@ def test_merged_spans_leave_a_batch_in_parts():
     from voxloom.plans import more
 
     assert "pandas_udf" not in inspect.getsource(more.pii_merge) and "C.sure_spans(" in inspect.getsource(more.pii_merge)
+
+
+def test_words_of_texts_are_not_shuffled(spark):
+    """Words meet a bounded list of marks where they are: a text is one row of the shuffle; a longer list gives the same."""
+    import re
+
+    from voxloom.operators import language
+
+    rows = spark.createDataFrame([(i, None if i % 9 == 0 else "el the Niño " * (i % 5) + "casa " * (i % 3)) for i in range(60)], "doc_id int, text string")
+    marks = spark.createDataFrame([("el", "es"), ("casa", "es"), ("the", "en")], "w string, lang string")
+    found = language.score(rows, marks)
+    assert re.search(r"hashpartitioning\(_row#\d+L?, w#", found._jdf.queryExecution().toString()) is None
+    got = sorted(tuple(r) for r in found.select("doc_id", "code", "sure").collect())
+    assert got == sorted(tuple(r) for r in language.score(rows, marks, most=0).select("doc_id", "code", "sure").collect())
+    assert {x for _, x, _ in got} == {"es", None}

@@ -41,19 +41,28 @@ def pair_marks(docs: DataFrame, least: int = 20, share: float = 0.9) -> DataFram
     return marks_of(two, least, share)
 
 
-def score(rows: DataFrame, marks: DataFrame, text: str = "text") -> DataFrame:
+#: Marks that are broadcast; more meet the words in a shuffled join.
+MARKS = 100_000
+
+
+def score(rows: DataFrame, marks: DataFrame, text: str = "text", most: int = MARKS) -> DataFrame:
     """Adds code (es or en, null without evidence) and sure: by marks (w, lang) of the two languages and the letters that only Spanish has.
 
     Each such letter counts as two words and breaks a tie; sure is the margin over all evidence. The marks are any list of folded words, each of one language; their
-    number isn't bounded: words meet them in a join, counted by text first.
+    number isn't bounded: up to ``most`` go to the words, so that one row a text is shuffled; more are met in a join of words that are counted by text first.
     """
-    kept = write_work(rows.withColumn("_row", F.monotonically_increasing_id()), "texts")
     said = F.coalesce(F.col(text), F.lit(""))
     letters = 2 * F.regexp_count(F.lower(said), F.lit(f"[{K.SPANISH_LETTERS}]"))
-    each = kept.select("_row", F.explode(F.regexp_extract_all(fold(said), F.lit(r"\p{L}+"), F.lit(0))).alias("w")).groupBy("_row", "w").agg(F.count("*").alias("n"))
+    kept = write_work(rows.withColumns({"_row": F.monotonically_increasing_id(), "_letters": letters}), "texts")
+    marks = write_work(marks, "marks")
+    each = kept.select("_row", F.explode(F.regexp_extract_all(fold(said), F.lit(r"\p{L}+"), F.lit(0))).alias("w"))
+    if marks.count() <= most:
+        each, marks = each.withColumn("n", F.lit(1).cast("long")), F.broadcast(marks)
+    else:
+        each = each.groupBy("_row", "w").agg(F.count("*").alias("n"))
     of = lambda lang: F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("n"))), F.lit(0))
     found = each.join(marks, "w").groupBy("_row").agg(of("es").alias("_es"), of("en").alias("_en"))
-    both = kept.join(found, "_row", "left").withColumn("_letters", letters).withColumns({"_es": F.col("_letters") + F.coalesce("_es", F.lit(0)), "_en": F.coalesce("_en", F.lit(0))})
+    both = kept.join(found, "_row", "left").withColumns({"_es": F.col("_letters") + F.coalesce("_es", F.lit(0)), "_en": F.coalesce("_en", F.lit(0))})
     es, en = F.col("_es"), F.col("_en")
     code = F.when(es + en == 0, None).when(es > en, "es").when(en > es, "en").when(F.col("_letters") > 0, "es")
     return both.withColumns({"code": code, "sure": F.when(es + en == 0, 0.0).otherwise(F.abs(es - en) / (es + en))}).drop("_row", "_es", "_en", "_letters")
