@@ -99,3 +99,28 @@ def test_words_of_texts_are_not_shuffled(spark):
     got = sorted(tuple(r) for r in found.select("doc_id", "code", "sure").collect())
     assert got == sorted(tuple(r) for r in language.score(rows, marks, most=0).select("doc_id", "code", "sure").collect())
     assert {x for _, x, _ in got} == {"es", None}
+
+
+def test_values_of_a_batch_are_made_part_by_part():
+    """When a part leaves, no more values of its batch than the part's and one are Python objects."""
+    made = []
+
+    def values():
+        for i in range(1000):
+            made.append(i)
+            yield "word " * 200 + str(i)
+
+    out = C.worked(kernels.word_places, iter([(values(),)]))
+    first = next(out)
+    assert len(made) <= len(first) + 1 < 1000
+    assert len(first) + sum(len(x) for x in out) == len(made) == 1000
+
+
+def test_both_kinds_of_spans_take_one_worker_a_task(spark):
+    from voxloom.operators import spans
+
+    rows = [("a", "call 555-123-4567 tomorrow at 5"), ("b", ""), ("c", None), ("d", "ana@x.org, 12 euros")]
+    df = spark.createDataFrame(rows, "segment_id string, final string")
+    assert spans.personal(df)._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    got = {r["segment_id"]: r for r in df.select("segment_id", C.said_spans("final").alias("x"), F.concat(C.detect("final"), C.times_and_numbers("final")).alias("y")).collect()}
+    assert all(r["x"] == r["y"] for r in got.values()) and len(got["a"]["x"]) >= 2 and got["c"]["x"] == []

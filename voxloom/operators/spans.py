@@ -80,7 +80,7 @@ def personal(finals: DataFrame, heard: DataFrame | None = None, key: str = "segm
     if heard is not None:
         # A transcript that says what the final one does is told apart by its name alone: its spans are found once.
         rows = rows.unionByName(heard.where(F.coalesce("transcript", F.lit("")) != "").select(key, "source_name", "transcript").join(finals.select(key, "final"), key).select(key, "final", "source_name", "transcript"))
-    found = rows.withColumn("s", F.explode(F.concat(C.detect("transcript"), C.times_and_numbers("transcript")))).select(key, "final", "source_name", "transcript", "s.*")
+    found = rows.withColumn("s", F.explode(C.said_spans("transcript"))).select(key, "final", "source_name", "transcript", "s.*")
     kept = found.where(~F.upper("type").isin(*K.NOT_MASKED) & ~C.vague(F.col("type"), F.col("text")))
     return told_apart(grown(placed(kept)).select(key, "type", "text", "start", "end", "confidence", "source", "source_name"), [key])
 
