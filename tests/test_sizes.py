@@ -124,3 +124,14 @@ def test_both_kinds_of_spans_take_one_worker_a_task(spark):
     assert spans.personal(df)._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
     got = {r["segment_id"]: r for r in df.select("segment_id", C.said_spans("final").alias("x"), F.concat(C.detect("final"), C.times_and_numbers("final")).alias("y")).collect()}
     assert all(r["x"] == r["y"] for r in got.values()) and len(got["a"]["x"]) >= 2 and got["c"]["x"] == []
+
+
+def test_words_of_a_text_are_found_once(spark):
+    """Asking for texts with words must not find their words a second time, in a second worker of the task; texts without words have no rows."""
+    from voxloom.operators import intervals
+
+    df = spark.createDataFrame([("a", "one two", 2.0), ("b", "", 1.0), ("c", "  ", 1.0), ("d", None, 1.0)], "segment_id string, text string, duration_sec double")
+    words = intervals.uniform_words(df).where("start_char < 17")
+    assert words._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    got = sorted((r["segment_id"], r["word_index"], r["word"], r["start_char"], r["end_char"], r["word_start"], r["word_end"]) for r in words.collect())
+    assert got == [("a", 0, "one", 0, 3, 0.0, 1.0), ("a", 1, "two", 4, 7, 1.0, 2.0)]
