@@ -104,3 +104,32 @@ def test_spans_and_runs_of_a_long_text_are_found_together():
     assert got == [[i * 10, i * 10 + 1, *([i * 10 + 2] if 70 * i + 14 < s + 12 else [])] for i, s in enumerate(starts)]
     assert TM.run_places(words, [words[i : i + 3] for i in range(0, 4000)]) == [list(range(i, n - 2, 9973)) for i in range(0, 4000)]
     assert time.time() - began < 5
+
+
+def test_times_are_found_where_one_can_begin():
+    """The same matches as the pattern gives by itself, also with letters that it takes for others; texts without vague times or digits don't meet it."""
+    rng = np.random.default_rng(5)
+    words = [*K.K.VAGUE_TIMES, *K.K.MONTHS, *K.K.COUNTS, "the", "this", "a", "1", "123", "3/4/20", "1st", "x", "_", "é", "ſ", "ı", "İ", "dayſ", "tıme", "day_"]
+    for _ in range(5000):
+        text = "".join(str(rng.choice(words)) + str(rng.choice([" ", " ", " ", "  ", ". ", ", ", "-", "", "\n"])) for _ in range(int(rng.integers(1, 8))))
+        text = text if rng.random() < 0.8 else text.upper()
+        assert [m.span() for m in K._times(text)] == [m.span() for m in K._TIMES.finditer(text)], text
+        few = len(K._DIGIT_WORD.findall(text)) < min(K.K.TRUE_DIGITS, K.K.CUED_DIGITS)
+        assert few or not K._few_digits(text), text
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables aren't here")
+def test_words_stay_in_their_rows(spark):
+    """Nothing is shuffled, each function runs once, and tables of spans and words give the same rows."""
+    from pyspark.sql import functions as F
+
+    from voxloom.plans import catalog, more
+
+    df = catalog.QUERIES["ALN-TOKENMAP"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 2
+    rows = more._recognised(spark, SF)
+    spans = rows.select("segment_id", F.explode_outer("spans").alias("s")).where("s is not null").select("segment_id", "s.type", "s.text", "s.start", "s.end")
+    words = rows.select("segment_id", F.posexplode_outer("words").alias("word_index", "w")).where("w is not null").select("segment_id", "word_index", F.col("w.norm").alias("word"), "w.word_start", "w.word_end")
+    apart = TM.times(TM.gathered(spans, rows.select("segment_id", "text"), words))
+    assert df.count() > 100 and sorted(map(tuple, apart.collect())) == sorted(map(tuple, df.collect()))

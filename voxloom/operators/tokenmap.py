@@ -1,17 +1,17 @@
 """Entities of a transcript in the time of recognised words that aren't the same ones.
 
-``mapped_times`` maps the transcript's tokens onto words: runs that are unique on both sides are anchors, the longest increasing run of anchors holds, what lies between
-is mapped in the same way by shorter runs, and what is left between equal tokens stands for each other in order. ``searched_times`` looks for an entity's tokens, digits spoken one by one,
+``times`` goes two ways. One maps the transcript's tokens onto words: runs that are unique on both sides are anchors, the longest increasing run of anchors holds, what lies between
+is mapped in the same way by shorter runs, and what is left between equal tokens stands for each other in order. The other looks for an entity's tokens, digits spoken one by one,
 as a run of words, wherever they are said. Segments bound the arrays that both work on.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,18 +80,6 @@ def token_map(a: list[str], b: list[str]) -> list[int | None]:
     return out
 
 
-def _by_segment(kernel, kind: str, *cols: Column) -> Column:
-    """A kernel over arrays of a segment, part by part of a batch."""
-
-    @F.pandas_udf(kind)
-    def each(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for series in batches:
-            for part in C.parts(list(zip(*series, strict=True))):
-                yield pd.Series([kernel(*(x.tolist() for x in row)) for row in part], dtype=object)
-
-    return each(*cols)
-
-
 def span_words(tokens: list[str], begins: list[int], ends: list[int], words: list[str], starts: list[int], stops: list[int]) -> list[list[int] | None]:
     """Of each span [start, stop) the places of the words that its tokens, which are in order, stand for: None for none."""
     held = [(i, j) for i, j in enumerate(token_map(tokens, words)) if j is not None]
@@ -112,50 +100,64 @@ def run_places(words: list[str], said: list[list[str]]) -> list[list[int]]:
     return [[i for i in at.get(t[0], ()) if words[i : i + len(t)] == t] for t in said]
 
 
-def _runs(words: list[str], said: list[str]) -> list[list[int]]:
-    return run_places(words, [t.split(" ") for t in said])
+def search_tokens(text: str) -> list[str]:
+    """An entity's tokens; those of digits alone are their words, one by one."""
+    parts = (re.sub("[^a-z0-9]+", "", t.lower()) for t in re.findall(r"[A-Za-z0-9@._%+\-']+", text))
+    return [w for t in parts for w in ([DIGITS[int(c)] for c in t] if t.isdigit() else [t] if t else [])]
+
+
+def placed(text: str | None, plain: str | None, said: str | None, spans: str | None) -> list[dict]:
+    """Places of the words of each span (JSON of type, text, start, end) in a text, by both ways: of all words that its tokens are mapped onto; of the first and last of each run that says it.
+
+    plain: the text's words as norms, between the same spaces; said: the norms of the recognised words.
+    """
+    if not said or not spans:
+        return []
+    own, words = json.loads(spans), said.split(" ")
+    tokens, begins, ends, at = [], [], [], 0
+    for w, t in zip(text.split(" "), plain.split(" "), strict=True):
+        if t:
+            tokens.append(t), begins.append(at), ends.append(at + len(w))
+        at += len(w) + 1
+    held = span_words(tokens, begins, ends, words, [s["start"] for s in own], [s["end"] for s in own])
+    out = [{"type": s["type"], "text": s["text"], "at": got, "way": "mapped"} for s, got in zip(own, held, strict=True) if got]
+    asked = [(*x, toks) for x in dict.fromkeys((s["type"], s["text"]) for s in own) if (toks := search_tokens(x[1]))]
+    for (kind, of, toks), starts in zip(asked, run_places(words, [x[2] for x in asked]), strict=True):
+        out += [{"type": kind, "text": of, "at": [i, i + len(toks) - 1], "way": "searched"} for i in starts]
+    return out
+
 
+_placed = C._lift(placed, "array<struct<type:string,text:string,at:array<int>,way:string>>")
 
-def _line(words: DataFrame, key: str) -> DataFrame:
-    """One row a segment: its words with a norm, in order of time."""
+
+def gathered(spans: DataFrame, texts: DataFrame, words: DataFrame, key: str = "segment_id") -> DataFrame:
+    """Rows for ``times`` from tables of spans (key, type, text, start, end), texts (key, text) and words (key, word_index, word, word_start, word_end)."""
     kept = words.select(key, "word_index", "word_start", "word_end", norm(F.col("word")).alias("norm")).where("norm <> ''")
-    return kept.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("word_start", "word_index", "norm", "word_end"))).alias("_words"))
-
-
-def mapped_times(spans: DataFrame, texts: DataFrame, words: DataFrame, key: str = "segment_id", pad: float = MAP_PAD) -> DataFrame:
-    """Spans (key, type, text, start, end) with start_sec and end_sec by the words (key, word_index, word, word_start, word_end) that their tokens of ``texts`` (key, text) map onto; others go."""
-    # Tokens with the place of their first character, in one pass over the text.
-    said = F.transform(C.word_places(F.col("text")), lambda w: F.struct(w["start_char"].alias("from"), (w["start_char"] + F.char_length(w["word"])).alias("to"), norm(w["word"]).alias("norm")))
-    tokens = texts.select(key, F.filter(said, lambda t: t["norm"] != "").alias("_tokens"))
-    both = tokens.join(_line(words, key), key)
-    # Spans of a segment meet its words once, all together: nothing is repeated or gone through for each span.
-    mine = spans.groupBy(key).agg(F.collect_list(F.struct(*spans.columns)).alias("_spans"))
-    column = lambda of, name: F.transform(of, lambda x: x[name])
-    words_of = _by_segment(span_words, "array<array<int>>", column("_tokens", "norm"), column("_tokens", "from"), column("_tokens", "to"), column("_words", "norm"), column("_spans", "start"), column("_spans", "end"))
-    both = both.join(mine, key).withColumn("_at", words_of)
-    timed = F.zip_with("_spans", "_at", lambda x, at: F.struct(x.alias("s"), F.array_min(F.transform(at, lambda i: F.get("_words", i)["word_start"])).alias("first"), F.array_max(F.transform(at, lambda i: F.get("_words", i)["word_end"])).alias("last")))
-    rows = both.select(F.explode(F.filter(timed, lambda x: x["first"].isNotNull())).alias("_x")).select("_x.s.*", "_x.first", "_x.last")
-    first, last = F.col("first"), F.col("last")
-    return rows.select(*spans.columns, F.round(F.greatest(F.lit(0.0), first - pad), 6).alias("start_sec"), F.round(last + pad, 6).alias("end_sec"))
-
-
-def search_tokens(text: Column) -> Column:
-    """An entity's tokens; those of digits alone are their words, one by one."""
-    parts = F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"[A-Za-z0-9@._%+\-']+"), F.lit(0)), norm), lambda t: t != "")
-    spoken = F.array(*[F.lit(w) for w in DIGITS])
-    return F.flatten(F.transform(parts, lambda t: F.when(t.rlike("^[0-9]+$"), F.transform(F.filter(F.split(t, ""), lambda c: c != ""), lambda c: F.get(spoken, c.cast("int")))).otherwise(F.array(t))))
-
-
-def searched_times(spans: DataFrame, words: DataFrame, key: str = "segment_id", pad: float = SEARCH_PAD, least: float = LEAST) -> DataFrame:
-    """Spans (key, type, text) with start_sec and end_sec of each run of words that says their tokens, at least ``least`` long; those that none says go."""
-    asked = spans.withColumn("_toks", search_tokens(F.col("text"))).where(F.size("_toks") > 0)
-    mine = asked.groupBy(key).agg(F.collect_list(F.struct(*asked.columns)).alias("_spans"))
-    both = mine.join(_line(words, key), key).withColumn("_at", _by_segment(_runs, "array<array<int>>", F.transform("_words", lambda w: w["norm"]), F.transform("_spans", lambda x: F.array_join(x["_toks"], " "))))
-    each = F.zip_with("_spans", "_at", lambda x, at: F.transform(at, lambda i: F.struct(x.alias("s"), F.get("_words", i)["word_start"].alias("first"), F.get("_words", i + F.size(x["_toks"]) - 1)["word_end"].alias("last"))))
-    rows = both.select(F.explode(F.flatten(each)).alias("_x")).select("_x.s.*", "_x.first", "_x.last")
-    s, e = F.greatest(F.lit(0.0), F.col("first") - pad), F.col("last") + pad
-    rows = rows.withColumns({"_s": s, "_e": e}).withColumn("_mid", (F.col("_s") + F.col("_e")) / 2)
-    short = F.col("_e") - F.col("_s") < least
-    start = F.when(short, F.greatest(F.lit(0.0), F.col("_mid") - least / 2)).otherwise(F.col("_s"))
-    end = F.when(short, F.col("_mid") + least / 2).otherwise(F.col("_e"))
-    return rows.select(*spans.columns, F.round(start, 6).alias("start_sec"), F.round(end, 6).alias("end_sec"))
+    line = kept.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("word_start", "word_index", "norm", "word_end"))).alias("words"))
+    mine = spans.groupBy(key).agg(F.collect_list(F.struct("type", "text", "start", "end")).alias("spans"))
+    return texts.select(key, "text").join(line, key).join(mine, key)
+
+
+def times(rows: DataFrame, key: str = "segment_id") -> DataFrame:
+    """(key, type, text, start_sec, end_sec, way): when what is found in a text was said, by both ways; what has no words goes.
+
+    rows: key, text, spans (type, text, start, end) and words (word_start, word_end, norm), those with a norm, in order of time. A row is worked on where it is: no span or word leaves it.
+    """
+    plain = F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N} ]+", "")
+    asks = F.size("spans") > 0
+    got = _placed(F.when(asks, F.col("text")), F.when(asks, plain), F.when(asks, F.array_join(F.transform("words", lambda w: w["norm"]), " ")), F.when(asks, F.to_json(F.transform("spans", lambda s: F.struct(*[s[c].alias(c) for c in ("type", "text", "start", "end")])))))
+    def timed(x: Column) -> Column:
+        mapped = x["way"] == "mapped"
+        first, end = F.get("words", F.get(x["at"], F.lit(0)))["word_start"], F.get("words", F.element_at(x["at"], -1))["word_end"]
+        last = F.array_max(F.transform(x["at"], lambda i: F.get("words", i)["word_end"]))
+        pad = F.when(mapped, MAP_PAD).otherwise(SEARCH_PAD)
+        return F.struct(x["type"].alias("type"), x["text"].alias("text"), x["way"].alias("way"), F.greatest(F.lit(0.0), first - pad).alias("_s"), (F.when(mapped, last).otherwise(end) + pad).alias("_e"))
+
+    # Times are looked up before rows are taken apart, so that words aren't copied for each of them.
+    # explode would ask for arrays that aren't empty before they are made: the function would run twice.
+    each = rows.withColumn("_got", got).select(key, F.explode_outer(F.transform("_got", timed)).alias("_x")).where(F.col("_x").isNotNull()).select(key, "_x.*")
+    short = ~(F.col("way") == "mapped") & (F.col("_e") - F.col("_s") < LEAST)
+    mid = (F.col("_s") + F.col("_e")) / 2
+    start = F.when(short, F.greatest(F.lit(0.0), mid - LEAST / 2)).otherwise(F.col("_s"))
+    stop = F.when(short, mid + LEAST / 2).otherwise(F.col("_e"))
+    return each.select(key, "type", "text", F.round(start, 6).alias("start_sec"), F.round(stop, 6).alias("end_sec"), "way")
