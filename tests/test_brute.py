@@ -605,3 +605,25 @@ def test_shards_of_a_scan(spark):
 
     names = [r.name for r in catalog.QUERIES["SRC-WALK"](spark, SF).collect()]
     check(spark, "SRC-SHARDSCAN", ["name", "shard"], [(n, int(hashlib.sha1(n.encode()).hexdigest(), 16) % 2) for n in names])
+
+
+def test_columns_of_pairs(spark, ok, pairs, segs):
+    metrics = ("wer", "cer", "jaccard", "sim")
+    names = [(a, b) for i, a in enumerate(X.PANEL) for b in X.PANEL[i + 1 :]]
+    want = []
+    for s in segs:
+        own = {k[1:]: v for k, v in pairs.items() if k[0] == s.segment_id}
+        mean = [float(np.mean([v[i] for v in own.values()])) for i in range(4)] if own else [1.0, 1.0, 0.0, 0.0]
+        want.append((s.segment_id, *mean, *[own[p][i] if p in own else None for p in names for i in range(4)]))
+    check(spark, "CNS-PAIRCOLS", ["segment_id", *[f"avg_{m}" for m in metrics], *[f"{a}_vs_{b}_{m}" for a, b in names for m in metrics]], want)
+
+
+def test_segments_that_nobody_transcribed(spark, tmp_path):
+    """A segment whose transcripts are all blank or missing has its row of 1, 1, 0, 0."""
+    turns = [(1, 0, "user", "one two three"), (1, 1, "user", "  "), (1, 2, "user", None), (3, 4, "user", "")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    rows = catalog.QUERIES["CNS-PAIRAVG"](spark, str(tmp_path)).orderBy("segment_id").collect()
+    assert [r.segment_id for r in rows] == ["call_1_00000", "call_1_00001", "call_1_00002", "call_3_00004"]
+    assert [tuple(r)[1:] for r in rows[1:]] == [(1.0, 1.0, 0.0, 0.0)] * 3
+    wide = {r.segment_id: r for r in catalog.QUERIES["CNS-PAIRCOLS"](spark, str(tmp_path)).collect()}
+    assert wide["call_1_00000"].parakeet_vs_whisper_wer == 0.0 and wide["call_1_00001"].parakeet_vs_whisper_wer is None
