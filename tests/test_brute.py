@@ -627,3 +627,12 @@ def test_segments_that_nobody_transcribed(spark, tmp_path):
     assert [tuple(r)[1:] for r in rows[1:]] == [(1.0, 1.0, 0.0, 0.0)] * 3
     wide = {r.segment_id: r for r in catalog.QUERIES["CNS-PAIRCOLS"](spark, str(tmp_path)).collect()}
     assert wide["call_1_00000"].parakeet_vs_whisper_wer == 0.0 and wide["call_1_00001"].parakeet_vs_whisper_wer is None
+
+
+def test_places_of_spelled_characters(spark, segs):
+    """All places: each character of a text that isn't a digit's is the one at its place."""
+    want = [(s.segment_id, *K.spelled_digits(s.text + " 555-12, (4) 0", "es" if s.call_id % 2 == 0 else "en").values()) for s in segs]
+    check(spark, "NRM-ALIGNMAP", ["segment_id", "text", "place"], want)
+    source = {s.segment_id: s.text + " 555-12, (4) 0" for s in segs}
+    for i, text, place in want:
+        assert len(text) == len(place) and all(p is None or source[i][p].isdigit() or source[i][p] == c for c, p in zip(text, place, strict=True))
